@@ -2,8 +2,8 @@
 
 ``decode_events`` turns raw messages (binary or string ``value``) into typed event
 rows plus a ``violations`` array; ``valid_events`` / ``quarantine`` split them.
-Malformed JSON never raises: ``from_json`` is PERMISSIVE and the timestamp is
-parsed with ``try_cast``, so bad rows land in quarantine instead of failing the
+Malformed JSON never raises: fields are extracted with ``json_tuple`` and
+typed with ``try_cast``, so bad rows land in quarantine instead of failing the
 job or being counted under null keys.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.contract import violations
-from ..schemas import EVENT_COLUMNS, EVENT_WIRE_SCHEMA
+from ..schemas import EVENT_COLUMNS, EVENT_SCHEMA
 
 # ISO-8601 with microseconds and offset: keeps the full precision on the wire.
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -42,16 +43,35 @@ def encode_events(events: DataFrame, key_col: str = "customer_id", extra=(),
 
 
 def decode_events(raw: DataFrame, value_col: str = "value", keep=("key",)) -> DataFrame:
-    """Raw messages -> typed events + ``violations`` (array<string>)."""
+    """Raw messages -> typed events + ``violations`` (array<string>).
+
+    The message is parsed once with ``json_tuple`` over the declared field
+    names, then each field is ``try_cast`` to its declared type: absent keys,
+    JSON nulls, malformed text and values of the wrong type all become null
+    (the PERMISSIVE reading of ``from_json``) and are then judged by the
+    contract.  ``json_tuple`` is a generator, so the contract filter cannot be
+    pushed below it and re-inline the parse into every check, which is what
+    happens to a ``from_json`` projection (measured 4x slower).
+    """
     keep = [c for c in keep if c in raw.columns]
+    text = F.col(value_col).cast("string")
     parsed = raw.select(
         *[F.col(c) for c in keep],
-        F.from_json(F.col(value_col).cast("string"), EVENT_WIRE_SCHEMA).alias("data"))
+        text.isNull().alias("__no_value"),
+        F.json_tuple(text, *EVENT_COLUMNS).alias(*[f"__j_{c}" for c in EVENT_COLUMNS]))
     typed = parsed.select(
         *[F.col(c) for c in keep],
-        *[(F.expr("try_cast(data.event_date AS TIMESTAMP)") if c == "event_date"
-           else F.col(f"data.{c}")).alias(c) for c in EVENT_COLUMNS])
-    return typed.withColumn("violations", violations())
+        "__no_value",
+        *[_typed(f"__j_{f.name}", f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+    checks = F.concat(F.array_compact(F.array(F.when(F.col("__no_value"), F.lit("value")))),
+                      violations())
+    return typed.withColumn("violations", checks).drop("__no_value")
+
+
+def _typed(name: str, dtype) -> Column:
+    if isinstance(dtype, StringType):
+        return F.col(name)
+    return F.expr(f"try_cast(`{name}` AS {dtype.simpleString()})")
 
 
 def valid_events(decoded: DataFrame) -> DataFrame:
