@@ -1,0 +1,119 @@
+"""Silver aggregates and gold queries on hand-made rows (FIXTURES section 3)."""
+
+from pyspark.sql import functions as F
+
+from inboxlens.operators import gold, silver
+from tests.helpers import event, events_df, rows
+
+
+def _campaigns(spark, ids):
+    return spark.createDataFrame([(i, f"name-{i}") for i in ids], "uuid_campaign string, name string")
+
+
+def test_city_counts_column_is_count(spark):
+    ev = events_df(spark, [event(city="X"), event(city="X"), event(type_event="FORWARDED", city="Y"),
+                           event(type_event="HARD_BOUNCE", city=None)])
+    out = silver.campaign_city_counts(ev)
+    assert out.columns == ["campaign_id", "city", "count"]
+    assert rows(out) == sorted([("a", "X", 2), ("a", "Y", 1), ("a", None, 1)], key=repr)
+
+
+def test_type_counts_both_delivered_spellings_and_unlisted_types(spark):
+    ev = events_df(spark, [event(type_event="DELIVERED"), event(type_event="DELIVERED_EVENT"),
+                           event(type_event="FORWARDED"), event(type_event="HARD_BOUNCE"),
+                           event(type_event="SENT")])
+    r = silver.campaign_type_counts(ev).first().asDict()
+    assert r == {"campaign_id": "a", "DELIVERED": 2, "CLICKED": 0, "SPAM": 0, "OPENED": 0, "SENT": 1}
+
+
+def test_effectiveness_edge_cases(spark):
+    evs = ([event(campaign_id="half", type_event="CLICKED")] * 3
+           + [event(campaign_id="half", type_event="OPENED")] * 96
+           + [event(campaign_id="noopen", type_event="CLICKED")] * 2
+           + [event(campaign_id="noclick", type_event="OPENED")] * 4
+           + [event(campaign_id="over", type_event="CLICKED")] * 3
+           + [event(campaign_id="over", type_event="OPENED")] * 2)
+    ev = events_df(spark, evs)
+    eff = {r["campaign_id"]: r for r in gold.effectiveness(gold.engagement_rows(ev)).collect()}
+    assert eff["half"]["effectiveness"] == 3.12
+    assert eff["noopen"]["effectiveness"] is None and eff["noopen"]["OPENED"] is None
+    assert eff["noclick"]["CLICKED"] is None
+    assert eff["over"]["effectiveness"] == 150.0
+    top = gold.campaign_effectiveness(gold.engagement_rows(ev),
+                                      _campaigns(spark, ["half", "noopen", "noclick", "over"]))
+    got = {r["campaign_id"]: (r["CLICKED"], r["OPENED"], r["effectiveness"]) for r in top.collect()}
+    assert got == {"half": (3, 96, 3.12), "noopen": (2, 0, 0.0), "noclick": (0, 4, 0.0),
+                   "over": (3, 2, 150.0)}
+
+
+def test_effectiveness_joins_names_after_the_cut(spark):
+    evs = [event(campaign_id=f"c{i:02d}", type_event="CLICKED") for i in range(12) for _ in range(i + 1)]
+    ev = events_df(spark, evs)
+    # only c11 (the best) and c00 (outside the top 10) have names
+    out = gold.campaign_effectiveness(gold.engagement_rows(ev), _campaigns(spark, ["c11", "c00"]))
+    assert [r["campaign_id"] for r in out.collect()] == ["c11"]
+
+
+def test_top_products_ties_dangling_and_rank(spark):
+    evs = [event(type_event="CLICKED", product_id=p) for p in range(11)]
+    products = spark.createDataFrame([(p, f"t{p}", "cat", None) for p in range(1, 11)],
+                                     "id int, title string, category string, image string")
+    ranking = gold.product_ranking(silver.product_counts(events_df(spark, evs)), products)
+    # 11 products tie; the lowest 10 ids are kept; id 0 has no product row and drops out
+    assert rows(ranking, "product_id", "rank") == [(p, 1) for p in range(1, 10)]
+    assert gold.best_product(ranking).first()["product_id"] == 1
+
+
+def test_empty_input_keeps_schema(spark):
+    ev = events_df(spark, [])
+    out = gold.campaign_effectiveness(gold.engagement_rows(ev), _campaigns(spark, []))
+    assert out.count() == 0
+    assert out.columns == ["campaign_id", "name", "CLICKED", "OPENED", "effectiveness"]
+    h = gold.header_counts(ev).first()
+    assert (h["total_events"], h["total_customers"], h["distinct_customers"]) == (0, 0, 0)
+
+
+def test_city_top_drops_null_city_and_breaks_ties_by_name(spark):
+    evs = [event(city=c) for c in ["B", "A", "C", "C"]] + [event(city=None)] * 5
+    out = gold.city_top(events_df(spark, evs), k=2)
+    assert [tuple(r) for r in out.collect()] == [("C", 2), ("A", 1)]
+
+
+def test_funnel_and_deliverability(spark):
+    evs = ([event(customer_id=1, type_event=t) for t in ["SENT", "DELIVERED", "OPENED", "CLICKED"]]
+           + [event(customer_id=2, type_event="SENT"), event(customer_id=2, type_event="SPAM")]
+           + [event(customer_id=3, type_event="HARD_BOUNCE")])
+    ev = events_df(spark, evs)
+    f = gold.funnel(ev).first().asDict()
+    assert (f["sent"], f["delivered"], f["opened"], f["clicked"], f["forwarded"]) == (2, 1, 1, 1, 0)
+    assert f["delivered_rate"] == 50.0 and f["forwarded_rate"] == 0.0
+    d = gold.deliverability(ev).first().asDict()
+    assert (d["events"], d["spam"], d["hard_bounce"]) == (7, 1, 1)
+    assert d["spam_rate"] == 14.29 and d["bounce_rate"] == 14.29
+
+
+def test_user_ctr_counts_distinct_people(spark):
+    evs = ([event(customer_id=1, type_event="CLICKED")] * 3 + [event(customer_id=1, type_event="OPENED")]
+           + [event(customer_id=2, type_event="OPENED")] * 2 + [event(customer_id=3, type_event="SENT")])
+    r = gold.user_ctr(events_df(spark, evs)).first()
+    assert (r["clickers"], r["openers"], r["ctr"]) == (1, 2, 50.0)
+
+
+def test_repeat_engagement_and_click_share(spark):
+    evs = [event(customer_id=1, type_event="OPENED")] * 2 + [event(customer_id=2, type_event="OPENED")]
+    rep = gold.repeat_engagement(silver.engagement_counts(events_df(spark, evs)))
+    assert rows(rep) == [("OPENED", 1, 1), ("OPENED", 2, 1)]
+    top = spark.createDataFrame([("a", "A", 3), ("b", "B", 1)], "campaign_id string, name string, CLICKED long")
+    share = {r["campaign_id"]: r["click_share"] for r in gold.click_share(top).collect()}
+    assert share == {"a": 0.75, "b": 0.25}
+
+
+def test_enrich_keeps_every_event_and_spreads_null_keys(spark):
+    evs = [event(type_event="SENT")] * 50 + [event(type_event="CLICKED", product_id=1),
+                                             event(type_event="CLICKED", product_id=99)]
+    ev = events_df(spark, evs)
+    products = spark.createDataFrame([(1, "t1", "cat", 2.5)], "id int, title string, category string, price float")
+    out = silver.enrich_events(ev, products, _campaigns(spark, ["a"]))
+    assert out.count() == 52
+    assert out.filter(F.col("product_title") == "t1").count() == 1
+    assert out.filter(F.col("campaign_name") == "name-a").count() == 52
