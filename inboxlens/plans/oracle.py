@@ -293,6 +293,8 @@ STREAM_EQUALS = {
     "stream_activity": "activity_tumbling",
     "stream_product_popularity": "product_popularity",
     "fanout_roundtrip": "json_roundtrip_events",
+    "stream_enriched_events": "enriched_events",
+    "stream_route_events": "route_events",
 }
 
 

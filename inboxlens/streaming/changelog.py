@@ -17,17 +17,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def changelog_sink(path: str):
-    """A ``foreachBatch`` function writing each micro-batch to ``path/batch_id=N``."""
+def changelog_sink(path: str, partition_by: Sequence[str] = ()):
+    """A ``foreachBatch`` function writing each micro-batch to ``path/batch_id=N``
+    (optionally sub-partitioned, e.g. by a computed ``topic`` column)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        w = batch.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
-def init_changelog(spark: SparkSession, path: str, schema: StructType) -> None:
+def init_changelog(spark: SparkSession, path: str, schema: StructType,
+                   partition_by: Sequence[str] = ()) -> None:
     """Create the sink with an empty, typed ``batch_id=-1`` part so it can always
     be read back, also when the stream delivered nothing."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    empty = spark.createDataFrame([], schema)
+    leaf = f"{path}/batch_id=-1"
+    if partition_by:  # data files must sit at the same depth as the real batches
+        empty = empty.drop(*partition_by)
+        leaf += "".join(f"/{c}=__empty__" for c in partition_by)
+    empty.write.mode("overwrite").parquet(leaf)
 
 
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:

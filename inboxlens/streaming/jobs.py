@@ -14,21 +14,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import decode, gold, silver
+from ..operators import decode, gold, routing, silver
 from ..session import fresh_dir
 from ..sources import fixture
 from .changelog import latest_per_key, max_per_key, read_changelog
 from .landing import landed_events
-from .pipeline import event_stream, run_changelog, run_fanout
+from .pipeline import event_stream, message_stream, run_changelog, run_fanout
 
 
-def _run(spark: SparkSession, sf_dir: str, build, name: str) -> DataFrame:
+def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update") -> DataFrame:
     """Stream ``build(events)`` over the landed topic; return the raw changelog."""
     landing = landed_events(spark, sf_dir)
     root = fresh_dir(spark, f"stream-{name}")
     agg = build(event_stream(spark, landing))
     sink = os.path.join(root, "changelog")
-    run_changelog(agg, sink, os.path.join(root, "checkpoint"), f"{name}_{uuid.uuid4().hex[:8]}")
+    run_changelog(agg, sink, os.path.join(root, "checkpoint"), f"{name}_{uuid.uuid4().hex[:8]}",
+                  mode=mode)
     return read_changelog(spark, sink)
 
 
@@ -82,6 +83,27 @@ def fanout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
 
 
+def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static enrichment: each micro-batch of events left-joins the product
+    and campaign tables (append mode, stateless)."""
+    products, campaigns = fixture.products(spark, sf_dir), fixture.campaigns(spark, sf_dir)
+    log = _run(spark, sf_dir,
+               lambda ev: silver.enrich_events(ev, products, campaigns), "enriched", mode="append")
+    return log.drop("batch_id").withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
+
+
+def stream_route_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule-based routing of the raw topic (damaged messages included): one
+    write per micro-batch, partitioned by the computed ``topic`` column."""
+    landing = landed_events(spark, sf_dir, corrupt=True)
+    root = fresh_dir(spark, "stream-route")
+    routed = routing.route_events(decode.decode_events(message_stream(spark, landing)))
+    sink = os.path.join(root, "topics")
+    run_changelog(routed, sink, os.path.join(root, "checkpoint"), f"route_{uuid.uuid4().hex[:8]}",
+                  mode="append", partition_by=("topic",))
+    return read_changelog(spark, sink).select("topic", "key", "type_event")
+
+
 STREAM_QUERIES = {
     "stream_city": stream_city,
     "stream_types": stream_types,
@@ -90,4 +112,6 @@ STREAM_QUERIES = {
     "stream_activity": stream_activity,
     "stream_product_popularity": stream_product_popularity,
     "fanout_roundtrip": fanout_roundtrip,
+    "stream_enriched_events": stream_enriched_events,
+    "stream_route_events": stream_route_events,
 }

@@ -40,17 +40,17 @@ def event_stream(spark: SparkSession, landing: Landing,
 
 def run_changelog(agg: DataFrame, sink: str, checkpoint: str, name: str,
                   mode: str = "update", available_now: bool = True,
-                  wait: bool = True) -> StreamingQuery:
+                  wait: bool = True, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start ``agg`` into a changelog sink.
 
     ``available_now`` processes what is there and stops (tests, scheduled
     catch-up runs); otherwise a 2-second processing-time trigger runs live.
     ``wait`` blocks until an ``available_now`` run has finished.
     """
-    init_changelog(agg.sparkSession, sink, agg.schema)
+    init_changelog(agg.sparkSession, sink, agg.schema, partition_by)
     writer = (agg.writeStream.queryName(name).outputMode(mode)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(changelog_sink(sink)))
+              .foreachBatch(changelog_sink(sink, partition_by)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="2 seconds")
     q = writer.start()
