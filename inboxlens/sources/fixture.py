@@ -53,21 +53,26 @@ def _type_event() -> Column:
     return expr.otherwise(F.lit(OTHER_TYPE))
 
 
-def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer_id -> country, city, state.
-
-    nation and region are fixed-size (25 and 5 rows) and are broadcast by Catalyst's
-    size estimate; customer grows with the data and joins by shuffle when large.
+def with_geography(spark: SparkSession, sf_dir: str, df: DataFrame,
+                   key: str = "customer_id") -> DataFrame:
+    """Add country, city, state to rows keyed by customer id (left joins).
+
+    The fact rows join ``customer`` first, so Catalyst sizes that join from the
+    customer scan alone (broadcast while small, sort-merge join beyond); nation
+    and region are fixed-size (25 and 5 rows) and join last.  Joining them to
+    customer first would make the estimate the product of three table sizes and
+    force a shuffle of the fact side even when customer is tiny.
     """
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return (table(spark, sf_dir, "customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-            .select(F.col("c_custkey").alias("geo_customer_id"),
-                    F.col("r_name").alias("country"),
-                    F.col("n_name").alias("city"),
-                    F.col("c_mktsegment").alias("state")))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return (df.join(customer, F.col(key) == F.col("c_custkey"), "left")
+              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+              .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+              .withColumnRenamed("r_name", "country")
+              .withColumnRenamed("n_name", "city")
+              .withColumnRenamed("c_mktsegment", "state")
+              .drop("c_custkey", "c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey"))
 
 
 def events(spark: SparkSession, sf_dir: str, geo: bool = True,
@@ -97,8 +102,7 @@ def events(spark: SparkSession, sf_dir: str, geo: bool = True,
     out = e.select(*cols)
     if not geo:
         return out
-    joined = out.join(geography(spark, sf_dir),
-                      F.col("customer_id") == F.col("geo_customer_id"), "left")
+    joined = with_geography(spark, sf_dir, out)
     order = ["customer_id", "campaign_id", "type_event", "event_date", "gender", "email",
              "user_agent", "country", "city", "state", "product_id"]
     if keep_event_id:
