@@ -141,6 +141,18 @@ def user_ctr(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFra
     return per.withColumn("ctr", rate_or_zero("clickers", "openers"))
 
 
+def user_ctr_from_engagement(engagement: DataFrame,
+                             labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
+    """CTR from the compacted engagement table: it has one row per (campaign,
+    customer, type), so counting rows per type counts distinct people exactly
+    (streams refuse exact distinct counts; this needs none)."""
+    t = F.col("type_event")
+    per = engagement.filter(F.col("customer_id").isNotNull()).groupBy("campaign_id").agg(
+        count_if(t.isin(*labels.clicked)).alias("clickers"),
+        count_if(t.isin(*labels.opened)).alias("openers"))
+    return per.withColumn("ctr", rate_or_zero("clickers", "openers"))
+
+
 def funnel(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
     """Customers reaching each funnel stage per campaign, and step rates.
 

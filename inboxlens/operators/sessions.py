@@ -36,7 +36,9 @@ def sessions(events: DataFrame, gap: str = "12 hours", key: str = "customer_id",
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     buckets = (events.filter(F.col(ts).isNotNull())
                .select(F.col(key), micros.alias("t"))
-               .withColumn("bucket", F.floor(F.col("t") / F.lit(g * 1_000_000)))
+               .withColumn("bucket", F.call_function(
+                   "div", F.col("t") - F.pmod(F.col("t"), F.lit(g * 1_000_000)),
+                   F.lit(g * 1_000_000)))
                .groupBy(key, "bucket")
                .agg(F.min("t").alias("t_min"), F.max("t").alias("t_max"),
                     F.count(F.lit(1)).alias("n")))

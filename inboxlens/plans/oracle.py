@@ -149,12 +149,15 @@ TUMBLING = _with(EV) + """SELECT campaign_id, type_event,
   COUNT(*) AS events
 FROM ev WHERE event_date IS NOT NULL GROUP BY ALL"""
 
-SLIDING = _with(EV) + """SELECT campaign_id, type_event, window_start,
-  window_start + INTERVAL 1 DAY AS window_end, COUNT(*) AS events
-FROM (SELECT campaign_id, type_event,
-             time_bucket(INTERVAL 12 HOUR, event_date) - o.off * INTERVAL 12 HOUR AS window_start
-      FROM ev, (VALUES (0), (1)) o(off) WHERE event_date IS NOT NULL)
-GROUP BY ALL"""
+SLIDING = _with(EV) + """, w AS (
+  SELECT campaign_id, type_event, time_bucket(INTERVAL 12 HOUR, event_date) AS window_start
+  FROM ev WHERE event_date IS NOT NULL
+  UNION ALL
+  SELECT campaign_id, type_event, time_bucket(INTERVAL 12 HOUR, event_date) - INTERVAL 12 HOUR
+  FROM ev WHERE event_date IS NOT NULL)
+SELECT campaign_id, type_event, window_start, window_start + INTERVAL 1 DAY AS window_end,
+       COUNT(*) AS events
+FROM w GROUP BY ALL"""
 
 SESSIONS = _with(EV) + """, l AS (
   SELECT customer_id, event_date,

@@ -32,6 +32,7 @@ def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: Da
         "click_share": gold.click_share(effectiveness),
         "campaign_types": types,
         "repeat_engagement": gold.repeat_engagement(engagement),
+        "user_ctr": gold.user_ctr_from_engagement(engagement),
     }
     if products is not None and product_sink is not None:
         counts = max_per_key(read_changelog(spark, product_sink), ["product_id"], "count_product")

@@ -117,3 +117,13 @@ def test_enrich_keeps_every_event_and_spreads_null_keys(spark):
     assert out.count() == 52
     assert out.filter(F.col("product_title") == "t1").count() == 1
     assert out.filter(F.col("campaign_name") == "name-a").count() == 52
+
+
+def test_ctr_from_engagement_equals_ctr_from_events(spark):
+    evs = ([event(customer_id=c, campaign_id=f"c{c % 2}", type_event=t)
+            for c in range(6) for t in (["OPENED", "CLICKED"] if c % 3 else ["OPENED"])]
+           + [event(customer_id=9, campaign_id="c1", type_event="CLICKED")] * 3)
+    ev = events_df(spark, evs)
+    from_eng = gold.user_ctr_from_engagement(silver.engagement_counts(ev))
+    direct = gold.user_ctr(ev.filter(F.col("type_event").isin("OPENED", "CLICKED")))
+    assert rows(from_eng) == rows(direct)
