@@ -19,7 +19,7 @@ from ..session import fresh_dir
 from ..sources import fixture
 from .changelog import latest_per_key, max_per_key, read_changelog
 from .landing import landed_events
-from .pipeline import event_stream, message_stream, run_changelog, run_fanout
+from .pipeline import event_stream, message_stream, run_changelog, run_fanout, state_settings
 
 
 def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update") -> DataFrame:
@@ -29,7 +29,7 @@ def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update
     agg = build(event_stream(spark, landing))
     sink = os.path.join(root, "changelog")
     run_changelog(agg, sink, os.path.join(root, "checkpoint"), f"{name}_{uuid.uuid4().hex[:8]}",
-                  mode=mode)
+                  mode=mode, settings=state_settings(spark))
     return read_changelog(spark, sink)
 
 
@@ -100,7 +100,7 @@ def stream_route_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = routing.route_events(decode.decode_events(message_stream(spark, landing)))
     sink = os.path.join(root, "topics")
     run_changelog(routed, sink, os.path.join(root, "checkpoint"), f"route_{uuid.uuid4().hex[:8]}",
-                  mode="append", partition_by=("topic",))
+                  mode="append", partition_by=("topic",), settings=state_settings(spark))
     return read_changelog(spark, sink).select("topic", "key", "type_event")
 
 

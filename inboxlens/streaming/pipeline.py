@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,50 @@ from .changelog import changelog_sink, init_changelog
 from .landing import MESSAGE_SCHEMA, Landing
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_settings(spark: SparkSession, state_partitions: int | None = None) -> dict:
+    """Settings a stateful query is started with.
+
+    The state partition count is fixed by the first run of a checkpoint; it
+    defaults to the cluster's default parallelism (all executor cores), which
+    grows with the cluster, rather than whatever ``spark.sql.shuffle.partitions``
+    a batch job left behind.  State lives in RocksDB (off-heap, spills to local
+    disk, checkpointed incrementally with changelogs) so large keyed state does
+    not sit on the JVM heap.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
+@contextmanager
+def started_with(spark: SparkSession, settings: dict | None):
+    """Apply ``settings`` while a stream starts, then restore the session.
+
+    A streaming query copies the session configuration when it starts, so the
+    settings stay in force for that query only.
+    """
+    if not settings:
+        yield
+        return
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def message_stream(spark: SparkSession, landing: Landing) -> DataFrame:
     """The landed topic as a stream of (key, value) messages."""
     return (spark.readStream.schema(MESSAGE_SCHEMA)
@@ -40,7 +85,8 @@ def event_stream(spark: SparkSession, landing: Landing,
 
 def run_changelog(agg: DataFrame, sink: str, checkpoint: str, name: str,
                   mode: str = "update", available_now: bool = True,
-                  wait: bool = True, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+                  wait: bool = True, partition_by: tuple[str, ...] = (),
+                  settings: dict | None = None) -> StreamingQuery:
     """Start ``agg`` into a changelog sink.
 
     ``available_now`` processes what is there and stops (tests, scheduled
@@ -53,7 +99,8 @@ def run_changelog(agg: DataFrame, sink: str, checkpoint: str, name: str,
               .foreachBatch(changelog_sink(sink, partition_by)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="2 seconds")
-    q = writer.start()
+    with started_with(agg.sparkSession, settings):
+        q = writer.start()
     if available_now and wait:
         _await(q)
     return q

@@ -91,3 +91,17 @@ def test_three_concurrent_silver_queries(spark, scratch):
                       ["campaign_id", "customer_id", "type_event"], "total_events")
     # gold reads the compacted silver table with the same plan as the batch path
     assert rows(gold.effectiveness(eng)) == rows(gold.effectiveness(gold.engagement_rows(ev)))
+
+
+def test_stream_settings_apply_to_the_query_only(spark, scratch):
+    from inboxlens.streaming.pipeline import state_settings
+    evs = [event(customer_id=i, type_event="OPENED", minutes=i) for i in range(6)]
+    landing = land_messages(spark, encode_events(events_df(spark, evs)), slices=2, files_per_slice=1,
+                            path=os.path.join(scratch, "in"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_changelog(silver.engagement_counts(event_stream(spark, landing)),
+                      os.path.join(scratch, "log"), os.path.join(scratch, "ckpt"), "settings_q",
+                      settings=state_settings(spark, state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state_ops = q.lastProgress["stateOperators"]
+    assert state_ops and state_ops[0]["numShufflePartitions"] == 3

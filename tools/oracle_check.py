@@ -42,7 +42,11 @@ def canon(cols, rows):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(queries())
-    spark = build_session("local[8]")
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session("local[8]")
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(sf, f"{t}.parquet")
