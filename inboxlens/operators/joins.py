@@ -38,25 +38,60 @@ def join_bounded(big: DataFrame, small_bounded: DataFrame, on: Column | str | li
     return big.join(F.broadcast(small_bounded), on, how)
 
 
+def hot_keys(fact: DataFrame, key: str, k: int = 64) -> DataFrame:
+    """The ``k`` most frequent non-null keys of ``fact`` (at most ``k`` rows).
+
+    A partial aggregate on one column, then a top-k: the result's size is
+    bounded by ``k`` whatever the data, so it may be broadcast.
+    """
+    counts = (fact.filter(F.col(key).isNotNull())
+              .groupBy(key).agg(F.count(F.lit(1)).alias("__n")))
+    return top_k(counts, [F.col("__n").desc(), F.col(key)], k).select(key)
+
+
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                salt_cols: Sequence[str] | None = None, salt_buckets: int = 1024) -> DataFrame:
+                salt_cols: Sequence[str] | None = None, salt_buckets: int = 1024,
+                hot: DataFrame | None = None, hot_salts: int = 32) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key``, keeping every fact row, one scan.
 
     ``dim_key`` must be unique in ``dim`` (a dimension).  The join runs on
-    ``(key is null, coalesce(key, salt))``: a null key gets a deterministic salt
-    (a hash of ``salt_cols``, stable under task retries) so null rows spread over
-    ``salt_buckets`` shuffle keys, and its ``true`` flag never matches a dimension
-    row.  Hot non-null keys are left to AQE's skew-join split.
+    ``(key is null, coalesce(key, salt), hot salt)``:
+
+    * a null key gets a deterministic salt (a hash of ``salt_cols``, stable under
+      task retries) so null rows spread over ``salt_buckets`` shuffle keys, and
+      its ``true`` flag never matches a dimension row;
+    * keys listed in ``hot`` (a bounded key set, e.g. from ``hot_keys``) are split
+      over ``hot_salts`` sub-keys on the fact side, and their dimension rows are
+      replicated once per sub-key (``|hot| * hot_salts`` extra rows), so one hot
+      key no longer lands in one task.  Without ``hot``, batch plans rely on
+      AQE's skew-join split, which streaming micro-batches do not have.
     """
     salt_cols = list(salt_cols or fact.columns)
     key_type = _common_key_type(fact.schema[fact_key].dataType, dim.schema[dim_key].dataType)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salt_buckets)).cast(key_type)
+    h = F.xxhash64(*[F.col(c) for c in salt_cols])
     f = (fact.withColumn("__lk_null", F.col(fact_key).isNull())
-             .withColumn("__lk_val", F.coalesce(F.col(fact_key).cast(key_type), salt)))
+             .withColumn("__lk_val", F.coalesce(F.col(fact_key).cast(key_type),
+                                                F.pmod(h, F.lit(salt_buckets)).cast(key_type))))
     d = dim.select(F.lit(False).alias("__ld_null"), F.col(dim_key).cast(key_type).alias("__ld_val"),
                    *[F.col(c) for c in dim.columns if c != dim_key])
-    cond = (F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
-    return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__ld_null", "__ld_val")
+    if hot is None:
+        cond = (F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
+        return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__ld_null", "__ld_val")
+
+    flags = hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"),
+                       F.lit(True).alias("__hot"))
+    f = (join_bounded(f, flags, F.col("__lk_val") == F.col("__hk"), "left")
+         .withColumn("__lk_salt", F.when(F.col("__hot"), F.pmod(h, F.lit(hot_salts))).otherwise(0))
+         .drop("__hk", "__hot"))
+    d = (join_bounded(d, flags, F.col("__ld_val") == F.col("__hk"), "left")
+         .withColumn("__ld_salt", F.explode(
+             F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(hot_salts - 1)))
+              .otherwise(F.array(F.lit(0)))))
+         .drop("__hk", "__hot"))
+    cond = ((F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
+            & (F.col("__lk_salt") == F.col("__ld_salt")))
+    return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__lk_salt",
+                                        "__ld_null", "__ld_val", "__ld_salt")
 
 
 def _common_key_type(a: DataType, b: DataType) -> DataType:

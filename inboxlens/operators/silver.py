@@ -70,11 +70,14 @@ def client_mix(events: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("events")))
 
 
-def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame) -> DataFrame:
+def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame,
+                  hot_products: DataFrame | None = None,
+                  hot_campaigns: DataFrame | None = None) -> DataFrame:
     """Events with product and campaign attributes (left joins: no event is lost).
 
     Both dimension keys must be unique.  ``product_id`` is null on most events,
-    so the product look-up salts null keys (``left_lookup``).
+    so the product look-up salts null keys (``left_lookup``); bounded hot-key
+    sets (``joins.hot_keys``) additionally split the busiest products/campaigns.
     """
     prod = products.select(F.col("id").alias("p_id"), F.col("title").alias("product_title"),
                            F.col("category").alias("product_category"),
@@ -82,6 +85,7 @@ def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame)
     camp = campaigns.select(F.col("uuid_campaign").alias("c_id"),
                             F.col("name").alias("campaign_name"))
     with_product = left_lookup(events, prod, "product_id", "p_id",
-                               salt_cols=["customer_id", "event_date", "campaign_id"])
+                               salt_cols=["customer_id", "event_date", "campaign_id"],
+                               hot=hot_products)
     return left_lookup(with_product, camp, "campaign_id", "c_id",
-                       salt_cols=["customer_id", "event_date"])
+                       salt_cols=["customer_id", "event_date"], hot=hot_campaigns)

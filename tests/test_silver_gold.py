@@ -127,3 +127,29 @@ def test_ctr_from_engagement_equals_ctr_from_events(spark):
     from_eng = gold.user_ctr_from_engagement(silver.engagement_counts(ev))
     direct = gold.user_ctr(ev.filter(F.col("type_event").isin("OPENED", "CLICKED")))
     assert rows(from_eng) == rows(direct)
+
+
+def test_hot_key_salting_spreads_a_hot_key_and_keeps_results(spark):
+    from inboxlens.operators.joins import hot_keys, left_lookup
+    evs = ([event(customer_id=i, type_event="CLICKED", product_id=1, minutes=i) for i in range(400)]
+           + [event(customer_id=i, type_event="CLICKED", product_id=2 + i % 5, minutes=i) for i in range(40)]
+           + [event(customer_id=i, type_event="SENT", minutes=i) for i in range(60)])
+    ev = events_df(spark, evs)
+    products = spark.createDataFrame([(p, f"t{p}") for p in range(1, 6)], "id int, title string")
+    hot = hot_keys(ev, "product_id", k=2)
+    assert sorted(r[0] for r in hot.collect()) == [1, 2]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force a shuffle join
+    spark.conf.set("spark.sql.adaptive.enabled", "false")         # no AQE skew split
+    try:
+        salted = left_lookup(ev, products, "product_id", "id", hot=hot, hot_salts=8)
+        plain = left_lookup(ev, products, "product_id", "id")
+        assert rows(salted) == rows(plain)
+        assert salted.count() == 500
+        per_task = (salted.filter(F.col("product_id") == 1)
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(per_task) > 1  # the hot key is no longer in a single task
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
