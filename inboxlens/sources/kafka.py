@@ -79,3 +79,16 @@ def write_topic_stream(messages: DataFrame, bootstrap: str, topic: str, checkpoi
     return (messages.writeStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
             .option("checkpointLocation", checkpoint).outputMode(mode).start())
+
+
+def changelog_topic_sink(bootstrap: str, topic: str, key_cols: Sequence[str]):
+    """``foreachBatch`` function publishing an update-mode aggregate to a topic.
+
+    Each message is keyed by the JSON of the group keys (all updates of a key go
+    to one partition, in order) and carries ``batch_id`` so consumers can keep
+    the latest value per key.  A replayed batch re-publishes the same messages,
+    which compaction by (key, batch_id) makes harmless.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_topic_batch(keyed_messages(batch, key_cols, batch_id), bootstrap, topic)
+    return write

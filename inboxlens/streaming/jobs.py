@@ -28,11 +28,17 @@ def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update
     root = fresh_dir(spark, f"stream-{name}")
     agg = build(event_stream(spark, landing))
     sink = os.path.join(root, "changelog")
-    run_changelog(agg, sink, os.path.join(root, "checkpoint"), f"{name}_{uuid.uuid4().hex[:8]}",
+    qname = f"{name}_{uuid.uuid4().hex[:8]}"
+    run_changelog(agg, sink, os.path.join(root, "checkpoint"), qname,
                   mode=mode, settings=state_settings(spark))
+    LAST_RUN[name] = qname
     return read_changelog(spark, sink)
 
 
+# job name -> query name of its latest run (throughput in pipeline.STREAM_STATS)
+LAST_RUN: dict[str, str] = {}
+
+
 def stream_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _run(spark, sf_dir, silver.campaign_city_counts, "city")
     return latest_per_key(log, ["campaign_id", "city"]).select("campaign_id", "city", "count")

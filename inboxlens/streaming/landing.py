@@ -9,6 +9,7 @@ slice per micro-batch, as a live topic would deliver them.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,7 @@ def landed_events(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> La
     from ..sources import fixture
 
     key = (id(spark), sf_dir, corrupt)
-    if key not in _LANDINGS:
+    cached = _LANDINGS.get(key)
+    if cached is None or ("://" not in cached.path and not os.path.isdir(cached.path)):
         _LANDINGS[key] = land_messages(spark, fixture.event_messages(spark, sf_dir, corrupt))
     return _LANDINGS[key]

@@ -110,6 +110,21 @@ def _await(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+    STREAM_STATS[q.name] = throughput(q)
+
+
+# name -> {"rows", "batches", "seconds", "rows_per_sec"} of finished availableNow runs
+STREAM_STATS: dict[str, dict] = {}
+
+
+def throughput(q: StreamingQuery) -> dict:
+    """Input rows, micro-batches and rows per second of trigger time, from the
+    query's progress reports."""
+    progress = q.recentProgress
+    rows = sum(p["numInputRows"] for p in progress)
+    ms = sum(p["durationMs"].get("triggerExecution", 0) for p in progress)
+    return {"rows": rows, "batches": sum(1 for p in progress if p["numInputRows"] > 0),
+            "seconds": ms / 1000.0, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None}
 
 
 def start_silver_queries(spark: SparkSession, landing: Landing, root: str,

@@ -65,3 +65,19 @@ def test_gold_refresh_from_compacted_silver(spark, scratch):
     assert spark.read.parquet(paths["repeat_engagement"]).filter(F.col("pairs") > 0).count() > 0
     types = spark.read.parquet(paths["campaign_types"]).drop("computed_at")
     assert rows(types) == rows(silver.campaign_type_counts(ev))
+
+
+def test_changelog_topic_sink_builds_keyed_messages(spark, monkeypatch):
+    sent = {}
+
+    def fake_write(messages, bootstrap, topic=None):
+        sent["rows"] = [tuple(r) for r in messages.collect()]
+        sent["topic"] = topic
+
+    monkeypatch.setattr(kafka, "write_topic_batch", fake_write)
+    sink = kafka.changelog_topic_sink("h:9092", "events-city-aggregation", ["campaign_id", "city"])
+    sink(spark.createDataFrame([("a", "X", 2)], "campaign_id string, city string, count long"), 4)
+    assert sent["topic"] == "events-city-aggregation"
+    key, value = sent["rows"][0]
+    assert json.loads(key) == {"campaign_id": "a", "city": "X"}
+    assert json.loads(value)["batch_id"] == 4
