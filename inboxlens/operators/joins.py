@@ -3,7 +3,8 @@
 Broadcast rules
 ---------------
 * ``broadcast()`` is only applied to sides whose size is bounded by construction:
-  a ``limit(k)`` result (``top_k``) or an id list reduced from one.
+  a ``limit(k)`` result (``top_k``), such as a top-k report or a hot-key set
+  (``hot_keys``).
 * Dimension look-ups are plain joins: Catalyst broadcasts a side when its size
   estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
   the real shuffle size at run time; beyond that the join is a sort-merge join
@@ -13,7 +14,8 @@ Null keys
 ---------
 A left look-up on a mostly-null key (``product_id`` is set on clicks only) would
 hash every null to one shuffle partition.  ``left_lookup`` salts null keys so
-they spread over many partitions (they can never match anyway).
+they spread over many partitions (they can never match anyway), and can split
+the keys of a bounded hot-key set over several sub-keys.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     flags = hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"),
                        F.lit(True).alias("__hot"))
-    f = (join_bounded(f, flags, F.col("__lk_val") == F.col("__hk"), "left")
+    f = (join_bounded(f, flags, (F.col("__lk_val") == F.col("__hk")) & ~F.col("__lk_null"), "left")
          .withColumn("__lk_salt", F.when(F.col("__hot"), F.pmod(h, F.lit(hot_salts))).otherwise(0))
          .drop("__hk", "__hot"))
     d = (join_bounded(d, flags, F.col("__ld_val") == F.col("__hk"), "left")

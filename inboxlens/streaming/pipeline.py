@@ -128,7 +128,8 @@ def throughput(q: StreamingQuery) -> dict:
 
 
 def start_silver_queries(spark: SparkSession, landing: Landing, root: str,
-                         available_now: bool = True) -> dict[str, str]:
+                         available_now: bool = True,
+                         state_partitions: int | None = None) -> dict[str, str]:
     """The three running silver aggregates as concurrent queries (one source
     definition, read once per query), each with its own checkpoint; returns the
     sink path per query.  With ``available_now`` all three run to completion."""
@@ -144,8 +145,9 @@ def start_silver_queries(spark: SparkSession, landing: Landing, root: str,
     for name, agg in aggs.items():
         sinks[name] = os.path.join(root, name, "changelog")
         running.append(run_changelog(agg, sinks[name], os.path.join(root, name, "checkpoint"),
-                                     f"silver_{name}_{os.path.basename(root)}",
-                                     available_now=available_now, wait=False))
+                                     f"silver_{name}_{uuid.uuid4().hex[:8]}",
+                                     available_now=available_now, wait=False,
+                                     settings=state_settings(spark, state_partitions)))
     if available_now:
         for q in running:
             _await(q)
