@@ -9,6 +9,7 @@ slice per micro-batch, as a live topic would deliver them.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -33,22 +34,23 @@ def land_messages(spark: SparkSession, messages: DataFrame, slices: int = 5,
     """Write (key, value, event_date) messages as ``slices`` time-ordered batches.
 
     One small aggregate finds the time range; each slice is then written by its
-    own job (a pushed-down range filter over the source) into ``files_per_slice``
-    files.
+    own job into ``files_per_slice`` files.  The slice bounds are timestamp
+    literals, so the range filter is pushed into the source scan (row groups
+    outside the slice are skipped by their statistics).
     """
     path = path or fresh_dir(spark, "landing")
-    bounds = messages.agg(F.min(F.unix_micros("event_date")).alias("lo"),
-                          F.max(F.unix_micros("event_date")).alias("hi")).first()
+    bounds = messages.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
         spark.createDataFrame([], MESSAGE_SCHEMA).write.mode("append").parquet(path)
         return Landing(path, files_per_slice, 0)
-    width = (hi - lo) // slices + 1
-    t = F.unix_micros("event_date")
+    width = (hi - lo) // slices + dt.timedelta(microseconds=1)
+    t = F.col("event_date")
     for i in range(slices):
+        # timestamp-literal bounds reach the source scan as pushed filters
         part = messages.filter((t >= F.lit(lo + i * width)) & (t < F.lit(lo + (i + 1) * width)))
         if i == 0:  # messages without a parseable time travel with the first slice
-            part = part.unionByName(messages.filter(F.col("event_date").isNull()))
+            part = part.unionByName(messages.filter(t.isNull()))
         (part.select("key", "value").repartition(files_per_slice)
              .write.mode("append").parquet(path))
     return Landing(path, files_per_slice, slices)
