@@ -39,6 +39,18 @@ def test_late_row_dropped_by_watermark_in_windows_only(spark, scratch):
     assert latest_per_key(log2, ["campaign_id"]).first()["SENT"] == 4  # no time key: all kept
 
 
+def test_late_row_kept_when_watermark_has_not_advanced_past_it(spark, scratch):
+    # 00:00, 01:00, 00:00:01: the third batch is filtered with the watermark known
+    # before it, so the row still counts
+    landing = _land_one_row_batches(spark, os.path.join(scratch, "in"), [0, 60, 1 / 60])
+    q, log = _run(spark, scratch, landing, lambda ev: silver.activity_windows(ev, "10 minutes"), "win3")
+    windows = latest_per_key(log, ["campaign_id", "type_event", "window_start", "window_end"])
+    counts = sorted((r["window_start"].hour, r["events"]) for r in windows.collect())
+    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress)
+    assert counts == [(0, 2), (1, 1)]
+    assert dropped == 0
+
+
 def test_changelog_must_be_compacted_not_summed(spark):
     log = spark.createDataFrame([("a", "X", 1, 0), ("a", "X", 2, 1), ("a", "X", 3, 2)],
                                 "campaign_id string, city string, count long, batch_id int")
