@@ -94,3 +94,15 @@ def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame,
                                hot=hot_products)
     return left_lookup(with_product, camp, "campaign_id", "c_id",
                        salt_cols=["customer_id", "event_date"], hot=hot_campaigns)
+
+
+def session_counts(events: DataFrame, gap: str = "12 hours", key: str = "customer_id") -> DataFrame:
+    """Streaming sessions: events per (key, session window) with Spark's
+    ``session_window`` (events up to ``gap`` apart share a session; the window
+    ends at the last event + gap).  On a stream it needs a watermark and append
+    mode: a session is emitted once the watermark passes its end.  Batch jobs use
+    ``operators.sessions``, which bounds the per-key ordered work."""
+    w = F.session_window("event_date", gap).alias("session")
+    return (events.groupBy(key, w).agg(F.count(F.lit(1)).alias("events"))
+            .select(key, F.col("session.start").alias("session_start"),
+                    F.col("session.end").alias("session_end"), "events"))

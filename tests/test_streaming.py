@@ -19,10 +19,11 @@ def _land_one_row_batches(spark, path, minutes_list):
     return Landing(path, files_per_trigger=1, slices=len(minutes_list))
 
 
-def _run(spark, scratch, landing, build, name):
+def _run(spark, scratch, landing, build, name, mode="update"):
     sink = os.path.join(scratch, name, "log")
     q = run_changelog(build(event_stream(spark, landing)), sink,
-                      os.path.join(scratch, name, "ckpt"), f"{name}_{os.path.basename(scratch)}")
+                      os.path.join(scratch, name, "ckpt"), f"{name}_{os.path.basename(scratch)}",
+                      mode=mode)
     return q, read_changelog(spark, sink)
 
 
@@ -117,3 +118,21 @@ def test_stream_settings_apply_to_the_query_only(spark, scratch):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     state_ops = q.lastProgress["stateOperators"]
     assert state_ops and state_ops[0]["numShufflePartitions"] == 3
+
+
+def test_stream_sessions_append_mode_match_batch_sessions(spark, scratch):
+    from inboxlens.operators.sessions import sessions
+    minutes = [0, 30, 13 * 60, 13 * 60 + 5, 40 * 60]
+    evs = [event(customer_id=1, minutes=m) for m in minutes] + [event(customer_id=2, minutes=5)]
+    # a late-enough event of another customer moves the watermark past every session
+    flush = [event(customer_id=99, minutes=200 * 60)]
+    path = os.path.join(scratch, "in")
+    for batch in (evs, flush):
+        encode_events(events_df(spark, batch)).select("key", "value").coalesce(1) \
+            .write.mode("append").parquet(path)
+    landing = Landing(path, files_per_trigger=1, slices=2)
+    _, log = _run(spark, scratch, landing, lambda ev: silver.session_counts(ev, "12 hours"),
+                  "sess", mode="append")
+    got = rows(log.filter(F.col("customer_id") != 99).drop("batch_id"))
+    expected = rows(sessions(events_df(spark, evs), "12 hours"))
+    assert got == expected
