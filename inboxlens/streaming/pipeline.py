@@ -38,7 +38,7 @@ def state_settings(spark: SparkSession, state_partitions: int | None = None) ->
     disk, checkpointed incrementally with changelogs) so large keyed state does
     not sit on the JVM heap.
     """
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    n = state_partitions or _default_parallelism(spark)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
@@ -46,6 +46,13 @@ def state_settings(spark: SparkSession, state_partitions: int | None = None) ->
     }
 
 
+def _default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext in this client (e.g. a Connect session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 @contextmanager
 def started_with(spark: SparkSession, settings: dict | None):
     """Apply ``settings`` while a stream starts, then restore the session.

@@ -25,7 +25,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else (v if os.environ.get("EXACT_FLOATS") else round(v, 9))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
