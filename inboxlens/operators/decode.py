@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 from ..functions.contract import violations
 from ..schemas import EVENT_COLUMNS, EVENT_SCHEMA
@@ -55,8 +55,10 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep=("key",)) -> Da
     """
     keep = [c for c in keep if c in raw.columns]
     text = F.col(value_col).cast("string")
+    kept = [F.col(c).cast("string").alias(c) if isinstance(raw.schema[c].dataType, BinaryType)
+            else F.col(c) for c in keep]  # topic records carry binary keys
     parsed = raw.select(
-        *[F.col(c) for c in keep],
+        *kept,
         text.isNull().alias("__no_value"),
         F.json_tuple(text, *EVENT_COLUMNS).alias(*[f"__j_{c}" for c in EVENT_COLUMNS]))
     typed = parsed.select(

@@ -45,3 +45,14 @@ def test_roundtrip_keeps_every_field(spark):
     assert '"product_id"' not in msgs.filter("key = '8'").first()["value"]  # nulls omitted
     back = valid_events(decode_events(msgs.select("key", "value"))).drop("key")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ev.collect()))
+
+
+def test_binary_topic_records_decode(spark):
+    raw = spark.createDataFrame(
+        [(b"7", b'{"customer_id": 7, "campaign_id": "c", "type_event": "OPENED", '
+                b'"event_date": "2024-01-02T03:04:05Z"}'), (b"8", b"\xff\xfe")],
+        "key binary, value binary")
+    decoded = decode_events(raw)
+    ok = valid_events(decoded).collect()
+    assert [(r["key"], r["customer_id"], r["type_event"]) for r in ok] == [("7", 7, "OPENED")]
+    assert [r["key"] for r in quarantine(decoded).collect()] == ["8"]
