@@ -136,3 +136,23 @@ def test_stream_sessions_append_mode_match_batch_sessions(spark, scratch):
     got = rows(log.filter(F.col("customer_id") != 99).drop("batch_id"))
     expected = rows(sessions(events_df(spark, evs), "12 hours"))
     assert got == expected
+
+
+def test_live_trigger_processes_new_files(spark, scratch):
+    evs = [event(customer_id=i % 3, campaign_id="c", type_event=t, minutes=i, city="X")
+           for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 4)]
+    ev = events_df(spark, evs)
+    path = os.path.join(scratch, "in")
+    land_messages(spark, encode_events(ev), slices=1, files_per_slice=1, path=path)
+    sinks = start_silver_queries(spark, Landing(path, 1, 1), os.path.join(scratch, "silver"),
+                                 available_now=False, state_partitions=2)
+    live = [q for q in spark.streams.active if q.name.startswith("silver_")]
+    try:
+        assert len(live) == 3
+        for q in live:
+            q.processAllAvailable()
+    finally:
+        for q in live:
+            q.stop()
+    city = latest_per_key(read_changelog(spark, sinks["city"]), ["campaign_id", "city"])
+    assert rows(city, "campaign_id", "city", "count") == [("c", "X", 12)]
