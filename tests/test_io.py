@@ -81,3 +81,31 @@ def test_changelog_topic_sink_builds_keyed_messages(spark, monkeypatch):
     key, value = sent["rows"][0]
     assert json.loads(key) == {"campaign_id": "a", "city": "X"}
     assert json.loads(value)["batch_id"] == 4
+
+
+def test_job_entry_points_silver_then_gold(spark, scratch):
+    from inboxlens import apps
+    evs = [event(customer_id=i % 4, campaign_id=f"c{i % 2}", type_event=t, minutes=i, city="X",
+                 product_id=(i % 3 if t == "CLICKED" else None))
+           for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 6)]
+    ev = events_df(spark, evs)
+    path = os.path.join(scratch, "in")
+    land_messages(spark, encode_events(ev), slices=2, files_per_slice=1, path=path)
+    root = os.path.join(scratch, "app")
+    apps.run_silver(spark, apps.parser().parse_args(
+        ["silver", "--source", "files", "--path", path, "--root", root, "--available-now",
+         "--state-partitions", "2"]))
+    dims = os.path.join(scratch, "dims")
+    spark.createDataFrame([("c0", "n0"), ("c1", "n1")], "uuid_campaign string, name string") \
+        .write.parquet(os.path.join(dims, "campaign"))
+    spark.createDataFrame([(p, f"t{p}", "cat", None) for p in range(3)],
+                          "id int, title string, category string, image string") \
+        .write.parquet(os.path.join(dims, "product"))
+    paths = apps.run_gold(spark, apps.parser().parse_args(
+        ["gold", "--root", root, "--campaigns", os.path.join(dims, "campaign"),
+         "--products", os.path.join(dims, "product")]))
+    eff = spark.read.parquet(paths["campaign_effectiveness"]).drop("computed_at")
+    campaigns = spark.read.parquet(os.path.join(dims, "campaign"))
+    assert rows(eff) == rows(gold.campaign_effectiveness(gold.engagement_rows(ev), campaigns))
+    best = spark.read.parquet(paths["best_product"]).first()
+    assert best["rank"] == 1
