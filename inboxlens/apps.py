@@ -1,8 +1,8 @@
 """Job entry points for ``spark-submit``.
 
-    spark-submit -m inboxlens.apps silver --source kafka --bootstrap host:9092 \\
+    spark-submit --py-files inboxlens.zip run_job.py silver --source kafka --bootstrap host:9092 \\
         --topic events --root s3://bucket/analytics
-    spark-submit -m inboxlens.apps gold --root s3://bucket/analytics \\
+    spark-submit --py-files inboxlens.zip run_job.py gold --root s3://bucket/analytics \\
         --campaigns s3://bucket/dims/campaign --products s3://bucket/dims/product
 
 ``silver`` starts the three running aggregates (campaign x city, campaign x
