@@ -14,17 +14,41 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold
-from ..streaming.changelog import latest_per_key, max_per_key, read_changelog
+from ..streaming.changelog import read_latest, snapshot
 from ..streaming.pipeline import with_freshness
 
 
+SILVER_KEYS = {
+    "city": ["campaign_id", "city"],
+    "types": ["campaign_id"],
+    "engagement": ["campaign_id", "customer_id", "type_event"],
+    "products": ["product_id"],
+}
+
+
+def snapshot_silver(spark: SparkSession, silver_sinks: dict[str, str], snapshots: str) -> dict:
+    """Compact every silver changelog into ``<snapshots>/<name>/upto=<N>`` (run
+    periodically; each run reads only the batches since the previous one)."""
+    return {name: snapshot(spark, path, SILVER_KEYS[name], os.path.join(snapshots, name))
+            for name, path in silver_sinks.items()}
+
+
+def _latest(spark, silver_sinks, name, snapshots):
+    root = os.path.join(snapshots, name) if snapshots else None
+    return read_latest(spark, silver_sinks[name], SILVER_KEYS[name], root).drop("batch_id")
+
+
 def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
-                products: DataFrame | None = None,
-                product_sink: str | None = None) -> dict[str, DataFrame]:
-    city = latest_per_key(read_changelog(spark, silver_sinks["city"]), ["campaign_id", "city"])
-    types = latest_per_key(read_changelog(spark, silver_sinks["types"]), ["campaign_id"])
-    engagement = max_per_key(read_changelog(spark, silver_sinks["engagement"]),
-                             ["campaign_id", "customer_id", "type_event"], "total_events")
+                products: DataFrame | None = None, product_sink: str | None = None,
+                snapshots: str | None = None) -> dict[str, DataFrame]:
+    """Gold tables from the latest value per key of each silver changelog (read
+    through the newest snapshot when ``snapshots`` is given)."""
+    sinks = dict(silver_sinks)
+    if product_sink:
+        sinks["products"] = product_sink
+    city = _latest(spark, sinks, "city", snapshots)
+    types = _latest(spark, sinks, "types", snapshots)
+    engagement = _latest(spark, sinks, "engagement", snapshots)
     effectiveness = gold.campaign_effectiveness(engagement, campaigns)
     out = {
         "city_top10": gold.city_top_from_silver(city),
@@ -34,9 +58,8 @@ def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: Da
         "repeat_engagement": gold.repeat_engagement(engagement),
         "user_ctr": gold.user_ctr_from_engagement(engagement),
     }
-    if products is not None and product_sink is not None:
-        counts = max_per_key(read_changelog(spark, product_sink), ["product_id"], "count_product")
-        ranking = gold.product_ranking(counts, products)
+    if products is not None and "products" in sinks:
+        ranking = gold.product_ranking(_latest(spark, sinks, "products", snapshots), products)
         out["product_popularity"] = ranking
         out["best_product"] = gold.best_product(ranking)
     return out

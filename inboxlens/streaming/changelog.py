@@ -56,3 +56,58 @@ def latest_per_key(changelog: DataFrame, keys: Sequence[str],
 def max_per_key(changelog: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Compaction for running totals, which only grow: the max per key."""
     return changelog.groupBy(*keys).agg(F.max(value).alias(value))
+
+
+# --- snapshots: bounded reads of a long-running changelog ------------------
+
+def _snapshots(spark: SparkSession, snapshot_root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(snapshot_root)
+    except Exception:  # no snapshot written yet
+        return None
+
+
+def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str],
+             snapshot_root: str, order_col: str = "batch_id") -> int | None:
+    """Write the latest row per key up to the newest batch as ``upto=<N>/``.
+
+    It starts from the previous snapshot and reads only the changelog batches
+    after it (a partition filter on ``batch_id``), so the work per snapshot is
+    bounded by the keys plus the new batches, not by the stream's history.
+    Returns N (None when the changelog is empty).
+    """
+    log = read_changelog(spark, changelog_path)
+    upto = log.agg(F.max(order_col)).first()[0]
+    if upto is None or upto < 0:
+        return None
+    snaps = _snapshots(spark, snapshot_root)
+    prev = snaps.agg(F.max("upto")).first()[0] if snaps is not None else None
+    if prev is not None and prev >= upto:
+        return prev
+    fresh = log.filter(F.col(order_col) <= upto)
+    if prev is not None:
+        base = snaps.filter(F.col("upto") == prev).drop("upto")
+        fresh = base.unionByName(fresh.filter(F.col(order_col) > prev))
+    latest = latest_per_key(_keep_order(fresh, order_col), keys, order_col="__order")
+    latest.withColumnRenamed("__batch", order_col) \
+        .write.mode("overwrite").parquet(f"{snapshot_root}/upto={upto}")
+    return upto
+
+
+def _keep_order(df: DataFrame, order_col: str) -> DataFrame:
+    """Keep the batch id as a value column too, so a snapshot row remembers which
+    batch its value came from."""
+    return df.withColumn("__order", F.col(order_col)).withColumnRenamed(order_col, "__batch")
+
+
+def read_latest(spark: SparkSession, changelog_path: str, keys: Sequence[str],
+                snapshot_root: str | None = None, order_col: str = "batch_id") -> DataFrame:
+    """Latest value per key: newest snapshot + only the batches after it."""
+    log = read_changelog(spark, changelog_path)
+    snaps = _snapshots(spark, snapshot_root) if snapshot_root else None
+    prev = snaps.agg(F.max("upto")).first()[0] if snaps is not None else None
+    if prev is None:
+        return latest_per_key(log, keys, order_col)
+    base = snaps.filter(F.col("upto") == prev).drop("upto")
+    merged = base.unionByName(log.filter(F.col(order_col) > prev))
+    return latest_per_key(merged, keys, order_col)

@@ -109,3 +109,21 @@ def test_job_entry_points_silver_then_gold(spark, scratch):
     assert rows(eff) == rows(gold.campaign_effectiveness(gold.engagement_rows(ev), campaigns))
     best = spark.read.parquet(paths["best_product"]).first()
     assert best["rank"] == 1
+
+
+def test_gold_refresh_through_snapshots(spark, scratch):
+    from inboxlens.plans.refresh import gold_tables, snapshot_silver
+    evs = [event(customer_id=i % 4, campaign_id=f"c{i % 3}", type_event=t, minutes=i, city=f"X{i % 2}")
+           for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 10)]
+    ev = events_df(spark, evs)
+    landing = land_messages(spark, encode_events(ev), slices=3, files_per_slice=1,
+                            path=os.path.join(scratch, "in"))
+    sinks = start_silver_queries(spark, landing, os.path.join(scratch, "silver"))
+    snaps = os.path.join(scratch, "snaps")
+    assert all(v is not None for v in snapshot_silver(spark, sinks, snaps).values())
+    campaigns = spark.createDataFrame([(f"c{i}", f"n{i}") for i in range(3)],
+                                      "uuid_campaign string, name string")
+    with_snap = gold_tables(spark, sinks, campaigns, snapshots=snaps)
+    without = gold_tables(spark, sinks, campaigns)
+    for name in with_snap:
+        assert rows(with_snap[name]) == rows(without[name]), name

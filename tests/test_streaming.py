@@ -156,3 +156,24 @@ def test_live_trigger_processes_new_files(spark, scratch):
             q.stop()
     city = latest_per_key(read_changelog(spark, sinks["city"]), ["campaign_id", "city"])
     assert rows(city, "campaign_id", "city", "count") == [("c", "X", 12)]
+
+
+def test_snapshots_bound_changelog_reads(spark, scratch):
+    from inboxlens.streaming.changelog import read_latest, snapshot
+    log_path, snaps = os.path.join(scratch, "log"), os.path.join(scratch, "snaps")
+    write = changelog_sink(log_path)
+    schema = "campaign_id string, city string, count long"
+    write(spark.createDataFrame([("a", "X", 1), ("b", "Y", 5)], schema), 0)
+    write(spark.createDataFrame([("a", "X", 2)], schema), 1)
+    assert snapshot(spark, log_path, ["campaign_id", "city"], snaps) == 1
+    write(spark.createDataFrame([("a", "X", 3), ("c", "Z", 1)], schema), 2)
+    got = read_latest(spark, log_path, ["campaign_id", "city"], snaps)
+    assert rows(got, "campaign_id", "city", "count") == [("a", "X", 3), ("b", "Y", 5), ("c", "Z", 1)]
+    assert snapshot(spark, log_path, ["campaign_id", "city"], snaps) == 2
+    write(spark.createDataFrame([("b", "Y", 6)], schema), 3)
+    got = read_latest(spark, log_path, ["campaign_id", "city"], snaps)
+    assert rows(got, "campaign_id", "city", "count") == [("a", "X", 3), ("b", "Y", 6), ("c", "Z", 1)]
+    # the reader only touches batches after the newest snapshot
+    plan = read_changelog(spark, log_path).filter(F.col("batch_id") > 2)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters" in plan
