@@ -153,3 +153,21 @@ def test_hot_key_salting_spreads_a_hot_key_and_keeps_results(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_names_for_an_empty_id_list_is_empty(spark):
+    campaigns = _campaigns(spark, ["a", "b"])
+    ids = spark.createDataFrame([], "campaign_id string")
+    out = gold.campaign_names(campaigns, ids)
+    assert out.count() == 0 and out.columns == ["uuid_campaign", "name"]
+    some = spark.createDataFrame([("b",), ("b",), ("zz",)], "campaign_id string")
+    assert rows(gold.campaign_names(campaigns, some)) == [("b", "name-b")]
+
+
+def test_missing_source_raises(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from inboxlens.sources import fixture
+    with pytest.raises(AnalysisException):
+        fixture.table(spark, scratch, "no_such_table").count()
