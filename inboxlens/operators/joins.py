@@ -2,9 +2,9 @@
 
 Broadcast rules
 ---------------
-* ``broadcast()`` is only applied to sides whose size is bounded by construction:
-  a ``limit(k)`` result (``top_k``), such as a top-k report or a hot-key set
-  (``hot_keys``).
+* ``broadcast()`` is only applied to sides whose size is bounded by construction
+  (a ``limit(k)`` result: a top-k report or a hot-key set from ``hot_keys``) or
+  whose row count was checked against a bound (``broadcast_if_small``).
 * Dimension look-ups are plain joins: Catalyst broadcasts a side when its size
   estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
   the real shuffle size at run time; beyond that the join is a sort-merge join
@@ -40,6 +40,15 @@ def join_bounded(big: DataFrame, small_bounded: DataFrame, on: Column | str | li
     return big.join(F.broadcast(small_bounded), on, how)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
+    """Broadcast hint only behind a size check: counts at most ``max_rows + 1``
+    rows of ``df`` (meant for a materialised, e.g. checkpointed, side) and hints
+    a broadcast when it is within the bound; otherwise the frame is returned
+    unchanged and the join stays a shuffle join."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return (F.broadcast(df) if small else df), small
+
+
 def hot_keys(fact: DataFrame, key: str, k: int = 64) -> DataFrame:
     """The ``k`` most frequent non-null keys of ``fact`` (at most ``k`` rows).
 
@@ -51,9 +60,32 @@ def hot_keys(fact: DataFrame, key: str, k: int = 64) -> DataFrame:
     return top_k(counts, [F.col("__n").desc(), F.col(key)], k).select(key)
 
 
+def lookup_side(dim: DataFrame, dim_key: str, key_type: DataType | None = None,
+                hot: DataFrame | None = None, hot_salts: int = 32) -> DataFrame:
+    """The dimension side of ``left_lookup``: key, null flag and hot-key salts
+    (each hot key's row replicated once per salt).  Static, so a stream may
+    materialise it once (``checkpoint()``) instead of rebuilding it per batch."""
+    key_type = key_type or dim.schema[dim_key].dataType
+    d = dim.select(F.lit(False).alias("__ld_null"), F.col(dim_key).cast(key_type).alias("__ld_val"),
+                   *[F.col(c) for c in dim.columns if c != dim_key])
+    if hot is None:
+        return d.withColumn("__ld_salt", F.lit(0))
+    flags = _hot_flags(hot, key_type)
+    return (join_bounded(d, flags, F.col("__ld_val") == F.col("__hk"), "left")
+            .withColumn("__ld_salt", F.explode(
+                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(hot_salts - 1)))
+                 .otherwise(F.array(F.lit(0)))))
+            .drop("__hk", "__hot"))
+
+
+def _hot_flags(hot: DataFrame, key_type: DataType) -> DataFrame:
+    return hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"), F.lit(True).alias("__hot"))
+
+
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 salt_cols: Sequence[str] | None = None, salt_buckets: int = 1024,
-                hot: DataFrame | None = None, hot_salts: int = 32) -> DataFrame:
+                hot: DataFrame | None = None, hot_salts: int = 32,
+                prepared: DataFrame | None = None) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key``, keeping every fact row, one scan.
 
     ``dim_key`` must be unique in ``dim`` (a dimension).  The join runs on
@@ -67,29 +99,24 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
       replicated once per sub-key (``|hot| * hot_salts`` extra rows), so one hot
       key no longer lands in one task.  Without ``hot``, batch plans rely on
       AQE's skew-join split, which streaming micro-batches do not have.
+
+    ``prepared`` is the output of ``lookup_side`` for the same ``dim``/``hot``
+    (e.g. materialised once for a stream); otherwise it is built here.
     """
     salt_cols = list(salt_cols or fact.columns)
     key_type = _common_key_type(fact.schema[fact_key].dataType, dim.schema[dim_key].dataType)
+    d = prepared if prepared is not None else lookup_side(dim, dim_key, key_type, hot, hot_salts)
     h = F.xxhash64(*[F.col(c) for c in salt_cols])
     f = (fact.withColumn("__lk_null", F.col(fact_key).isNull())
              .withColumn("__lk_val", F.coalesce(F.col(fact_key).cast(key_type),
                                                 F.pmod(h, F.lit(salt_buckets)).cast(key_type))))
-    d = dim.select(F.lit(False).alias("__ld_null"), F.col(dim_key).cast(key_type).alias("__ld_val"),
-                   *[F.col(c) for c in dim.columns if c != dim_key])
     if hot is None:
-        cond = (F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
-        return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__ld_null", "__ld_val")
-
-    flags = hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"),
-                       F.lit(True).alias("__hot"))
-    f = (join_bounded(f, flags, (F.col("__lk_val") == F.col("__hk")) & ~F.col("__lk_null"), "left")
-         .withColumn("__lk_salt", F.when(F.col("__hot"), F.pmod(h, F.lit(hot_salts))).otherwise(0))
-         .drop("__hk", "__hot"))
-    d = (join_bounded(d, flags, F.col("__ld_val") == F.col("__hk"), "left")
-         .withColumn("__ld_salt", F.explode(
-             F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(hot_salts - 1)))
-              .otherwise(F.array(F.lit(0)))))
-         .drop("__hk", "__hot"))
+        f = f.withColumn("__lk_salt", F.lit(0))
+    else:
+        f = (join_bounded(f, _hot_flags(hot, key_type),
+                          (F.col("__lk_val") == F.col("__hk")) & ~F.col("__lk_null"), "left")
+             .withColumn("__lk_salt", F.when(F.col("__hot"), F.pmod(h, F.lit(hot_salts))).otherwise(0))
+             .drop("__hk", "__hot"))
     cond = ((F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
             & (F.col("__lk_salt") == F.col("__ld_salt")))
     return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__lk_salt",

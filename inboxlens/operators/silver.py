@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
 
 from ..functions.stages import count_if
 from ..functions.useragent import client_columns
 from ..schemas import DEFAULT_LABELS, EventLabels
-from .joins import left_lookup
+from .joins import left_lookup, lookup_side
 
 
 def campaign_city_counts(events: DataFrame) -> DataFrame:
@@ -75,25 +76,42 @@ def client_mix(events: DataFrame) -> DataFrame:
             .agg(F.sum("n").cast("long").alias("events")))
 
 
+PRODUCT_LOOKUP = {"id": "p_id", "title": "product_title", "category": "product_category",
+                  "price": "product_price"}
+CAMPAIGN_LOOKUP = {"uuid_campaign": "c_id", "name": "campaign_name"}
+
+
+def _renamed(df: DataFrame, mapping: dict) -> DataFrame:
+    return df.select(*[F.col(k).alias(v) for k, v in mapping.items()])
+
+
+def enrichment_sides(products: DataFrame, campaigns: DataFrame,
+                     hot_products: DataFrame | None = None,
+                     hot_campaigns: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The prepared product and campaign look-up sides of ``enrich_events``."""
+    return (lookup_side(_renamed(products, PRODUCT_LOOKUP), "p_id", IntegerType(), hot_products),
+            lookup_side(_renamed(campaigns, CAMPAIGN_LOOKUP), "c_id", StringType(), hot_campaigns))
+
+
 def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame,
                   hot_products: DataFrame | None = None,
-                  hot_campaigns: DataFrame | None = None) -> DataFrame:
+                  hot_campaigns: DataFrame | None = None,
+                  prepared: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Events with product and campaign attributes (left joins: no event is lost).
 
     Both dimension keys must be unique.  ``product_id`` is null on most events,
     so the product look-up salts null keys (``left_lookup``); bounded hot-key
     sets (``joins.hot_keys``) additionally split the busiest products/campaigns.
+    ``prepared`` takes the sides from ``enrichment_sides`` built once (streams).
     """
-    prod = products.select(F.col("id").alias("p_id"), F.col("title").alias("product_title"),
-                           F.col("category").alias("product_category"),
-                           F.col("price").alias("product_price"))
-    camp = campaigns.select(F.col("uuid_campaign").alias("c_id"),
-                            F.col("name").alias("campaign_name"))
+    prod, camp = _renamed(products, PRODUCT_LOOKUP), _renamed(campaigns, CAMPAIGN_LOOKUP)
+    p_side, c_side = prepared if prepared is not None else (None, None)
     with_product = left_lookup(events, prod, "product_id", "p_id",
                                salt_cols=["customer_id", "event_date", "campaign_id"],
-                               hot=hot_products)
+                               hot=hot_products, prepared=p_side)
     return left_lookup(with_product, camp, "campaign_id", "c_id",
-                       salt_cols=["customer_id", "event_date"], hot=hot_campaigns)
+                       salt_cols=["customer_id", "event_date"], hot=hot_campaigns,
+                       prepared=c_side)
 
 
 def session_counts(events: DataFrame, gap: str = "12 hours", key: str = "customer_id") -> DataFrame:

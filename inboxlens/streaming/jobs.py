@@ -100,8 +100,13 @@ def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch_root(spark)
     hot_p = joins.hot_keys(history, "product_id").checkpoint(eager=True)
     hot_c = joins.hot_keys(history, "campaign_id").checkpoint(eager=True)
+    # the static look-up sides are prepared (salted, replicated) once, not per
+    # batch; micro-batches have no AQE, so each side is counted and broadcast
+    # only when within the bound (else the salted shuffle join runs)
+    sides = tuple(joins.broadcast_if_small(side.checkpoint(eager=True))[0]
+                  for side in silver.enrichment_sides(products, campaigns, hot_p, hot_c))
     log = _run(spark, sf_dir,
-               lambda ev: silver.enrich_events(ev, products, campaigns, hot_p, hot_c),
+               lambda ev: silver.enrich_events(ev, products, campaigns, hot_p, hot_c, sides),
                "enriched", mode="append")
     return log.drop("batch_id").withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
 

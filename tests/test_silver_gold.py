@@ -171,3 +171,11 @@ def test_missing_source_raises(spark, scratch):
     from inboxlens.sources import fixture
     with pytest.raises(AnalysisException):
         fixture.table(spark, scratch, "no_such_table").count()
+
+
+def test_broadcast_only_behind_a_row_count_check(spark):
+    from inboxlens.operators.joins import broadcast_if_small
+    df = spark.range(10)
+    _, small = broadcast_if_small(df, max_rows=10)
+    _, big = broadcast_if_small(df, max_rows=9)
+    assert small and not big
