@@ -93,6 +93,8 @@ def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-static enrichment: each micro-batch of events left-joins the product
     and campaign tables (append mode, stateless)."""
     products, campaigns = fixture.products(spark, sf_dir), fixture.campaigns(spark, sf_dir)
+    joins.assert_unique(products, "id")  # a left look-up must not multiply events
+    joins.assert_unique(campaigns, "uuid_campaign")
     # micro-batches get no AQE skew split: the busiest keys of the event history
     # (bounded top-k sets, materialised once in the checkpoint folder rather
     # than recomputed from history in every micro-batch) are salted explicitly

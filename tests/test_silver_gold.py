@@ -179,3 +179,12 @@ def test_broadcast_only_behind_a_row_count_check(spark):
     _, small = broadcast_if_small(df, max_rows=10)
     _, big = broadcast_if_small(df, max_rows=9)
     assert small and not big
+
+
+def test_assert_unique_rejects_duplicate_dimension_keys(spark):
+    import pytest
+
+    from inboxlens.operators.joins import assert_unique
+    assert_unique(_campaigns(spark, ["a", "b"]), "uuid_campaign")
+    with pytest.raises(ValueError):
+        assert_unique(_campaigns(spark, ["a", "a"]), "uuid_campaign")
