@@ -5,6 +5,7 @@
     spark-submit --py-files inboxlens.zip run_job.py gold --root s3://bucket/analytics \\
         --campaigns s3://bucket/dims/campaign --products s3://bucket/dims/product
 
+``dims`` loads landed product/user/campaign JSON into cleaned tables;
 ``silver`` starts the three running aggregates (campaign x city, campaign x
 type, engagement per customer) plus live product counts, each checkpointed
 under ``<root>/silver/<name>``, and waits; ``--available-now`` processes what is
@@ -19,11 +20,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import silver
+from .operators import dims, silver
 from .operators.decode import decode_events, valid_events
 from .plans.refresh import refresh_gold
-from .schemas import WATERMARK_DELAY
-from .sources import kafka
+from .schemas import (CAMPAIGN_SCHEMA, LANDED_CAMPAIGN_SCHEMA, LANDED_PRODUCT_SCHEMA,
+                      LANDED_USER_SCHEMA, PRODUCT_SCHEMA, WATERMARK_DELAY)
+from .sources import files, jdbc, kafka
 from .streaming.landing import Landing
 from .streaming.pipeline import message_stream, run_changelog, state_settings
 
@@ -70,6 +72,40 @@ def run_gold(spark: SparkSession, args) -> dict[str, str]:
                         products=products, product_sink=sinks["products"] if products else None)
 
 
+def run_dims(spark: SparkSession, args) -> dict[str, str]:
+    """Dimension load: landed JSON records -> cleaned, typed tables (overwrite).
+
+    products: price text -> float (bad text 0.0, missing -> ``product_quarantine``);
+    users: nested records flattened to customer attributes; campaigns: tag list
+    joined to text, plus the campaign -> product link table.  With ``--jdbc-url``
+    the tables are also written over JDBC (overwrite, the table is recreated).
+    """
+    out: dict[str, DataFrame] = {}
+    if args.products:
+        landed = files.read_records(spark, args.products, LANDED_PRODUCT_SCHEMA)
+        valid, rejected = dims.clean_prices(landed)
+        valid, missing = files.enforce_not_null(files.conform(valid, PRODUCT_SCHEMA), PRODUCT_SCHEMA)
+        out["product"] = valid
+        out["product_quarantine"] = rejected.unionByName(
+            missing.withColumn("price", missing["price"].cast("string")), allowMissingColumns=True)
+    if args.users:
+        out["users"] = dims.flatten_users(files.read_records(spark, args.users, LANDED_USER_SCHEMA))
+    if args.campaigns:
+        landed = files.read_records(spark, args.campaigns, LANDED_CAMPAIGN_SCHEMA)
+        out["campaign"] = files.conform(dims.join_tags(landed, "tags"), CAMPAIGN_SCHEMA)
+        out["campaign_product_interactions"] = dims.campaign_links(
+            landed.filter(landed["product_id"].isNotNull()))
+    paths = {}
+    for name, df in out.items():
+        paths[name] = os.path.join(args.out, name)
+        df.write.mode("overwrite").parquet(paths[name])
+        if args.jdbc_url and not name.endswith("quarantine"):
+            conn = jdbc.connection_options(args.jdbc_url, args.jdbc_user,
+                                           os.environ.get(args.jdbc_password_env or "", None))
+            jdbc.write_table(spark.read.parquet(paths[name]), conn, name, mode="overwrite")
+    return paths
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="inboxlens.apps")
     sub = p.add_subparsers(dest="job", required=True)
@@ -86,16 +122,21 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--root", required=True)
     g.add_argument("--campaigns", required=True)
     g.add_argument("--products")
+    d = sub.add_parser("dims")
+    d.add_argument("--products", help="landed product JSON")
+    d.add_argument("--users", help="landed nested user JSON")
+    d.add_argument("--campaigns", help="landed campaign JSON")
+    d.add_argument("--out", required=True)
+    d.add_argument("--jdbc-url")
+    d.add_argument("--jdbc-user")
+    d.add_argument("--jdbc-password-env", help="name of the variable holding the password")
     return p
 
 
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"inboxlens-{args.job}").getOrCreate()
-    if args.job == "silver":
-        run_silver(spark, args)
-    else:
-        run_gold(spark, args)
+    {"silver": run_silver, "gold": run_gold, "dims": run_dims}[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import (BooleanType, FloatType, IntegerType, LongType,
+from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampType)
 
 # ---------------------------------------------------------------------------
@@ -147,3 +147,25 @@ USER_RECORD_SCHEMA = StructType([
         StructField("timezone", StructType([StructField("description", StringType())])),
     ])),
 ])
+
+# Landed (pre-cleaning) records of the dimension load.
+LANDED_PRODUCT_SCHEMA = StructType([
+    StructField("id", IntegerType()),
+    StructField("title", StringType()),
+    StructField("description", StringType()),
+    StructField("category", StringType()),
+    StructField("image", StringType()),
+    StructField("price", StringType()),
+])
+
+LANDED_USER_SCHEMA = StructType([StructField("user_key", LongType())] + USER_RECORD_SCHEMA.fields)
+
+LANDED_CAMPAIGN_SCHEMA = StructType([
+    StructField("uuid_campaign", StringType()),
+    StructField("name", StringType()),
+    StructField("created_by", StringType()),
+    StructField("description", StringType()),
+    StructField("valid_campaign", BooleanType()),
+    StructField("tags", ArrayType(StringType())),
+    StructField("product_id", IntegerType()),
+])

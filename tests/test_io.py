@@ -127,3 +127,35 @@ def test_gold_refresh_through_snapshots(spark, scratch):
     without = gold_tables(spark, sinks, campaigns)
     for name in with_snap:
         assert rows(with_snap[name]) == rows(without[name]), name
+
+
+def test_dimension_load_job(spark, scratch):
+    from inboxlens import apps
+    src = os.path.join(scratch, "landed")
+    os.makedirs(src)
+    with open(os.path.join(src, "products.json"), "w") as fh:
+        for rec in [{"id": 1, "title": "a", "category": "c", "price": "12.5"},
+                    {"id": 2, "title": "b", "category": "c", "price": "12,5"},
+                    {"id": 3, "title": "c", "category": "c"}]:
+            fh.write(json.dumps(rec) + "\n")
+    with open(os.path.join(src, "users.json"), "w") as fh:
+        fh.write(json.dumps({"user_key": 0, "name": {"first": "Ann", "last": "Lee"}, "gender": "f",
+                             "location": {"country": "UK", "city": "Leeds", "state": "WY",
+                                          "timezone": {"description": "GMT"}}}) + "\n")
+    with open(os.path.join(src, "campaigns.json"), "w") as fh:
+        fh.write(json.dumps({"uuid_campaign": "u1", "name": "n", "created_by": "Bob",
+                             "tags": ["BTC", "ETH"], "product_id": 7}) + "\n")
+    out = os.path.join(scratch, "dims")
+    paths = apps.run_dims(spark, apps.parser().parse_args(
+        ["dims", "--products", os.path.join(src, "products.json"), "--users",
+         os.path.join(src, "users.json"), "--campaigns", os.path.join(src, "campaigns.json"),
+         "--out", out]))
+    prod = {r["id"]: r["price"] for r in spark.read.parquet(paths["product"]).collect()}
+    assert prod == {1: 12.5, 2: 0.0}
+    assert [r["id"] for r in spark.read.parquet(paths["product_quarantine"]).collect()] == [3]
+    u = spark.read.parquet(paths["users"]).first()
+    assert (u["name_customer"], u["email"]) == ("Ann Lee", "Ann-0@gmail.com.co")
+    c = spark.read.parquet(paths["campaign"]).first()
+    assert c["tags"] == "BTC, ETH"
+    link = spark.read.parquet(paths["campaign_product_interactions"]).first()
+    assert tuple(link) == (7, "u1", "Bob")
