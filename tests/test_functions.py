@@ -4,7 +4,6 @@ from decimal import ROUND_HALF_EVEN, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from inboxlens.functions import client_columns, half_even_percent, rate_or_zero, violations
 from inboxlens.sources.fixture import USER_AGENTS
