@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from inboxlens.schemas import EVENT_SCHEMA
 
 BASE = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -22,15 +20,7 @@ def rows(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-def as_dicts(df):
-    return [r.asDict() for r in df.collect()]
-
-
 def one(df):
     out = df.collect()
     assert len(out) == 1, out
     return out[0]
-
-
-def lit_ts(s):
-    return F.to_timestamp(F.lit(s))

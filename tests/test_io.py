@@ -159,3 +159,19 @@ def test_dimension_load_job(spark, scratch):
     assert c["tags"] == "BTC, ETH"
     link = spark.read.parquet(paths["campaign_product_interactions"]).first()
     assert tuple(link) == (7, "u1", "Bob")
+
+
+def test_record_stream_reads_landed_json(spark, scratch):
+    src = os.path.join(scratch, "landed")
+    os.makedirs(src)
+    for i in range(2):
+        with open(os.path.join(src, f"part-{i}.json"), "w") as fh:
+            fh.write(json.dumps({"id": i, "title": "t", "category": "c", "price": 1.5}) + "\n")
+    stream = files.read_record_stream(spark, src, PRODUCT_SCHEMA, max_files_per_trigger=1)
+    out = os.path.join(scratch, "out")
+    q = (stream.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1]
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 2
