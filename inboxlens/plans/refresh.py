@@ -10,6 +10,7 @@ campaign), so the cost is dominated by reading the compacted silver tables.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,43 +34,72 @@ def snapshot_silver(spark: SparkSession, silver_sinks: dict[str, str], snapshots
             for name, path in silver_sinks.items()}
 
 
-def _latest(spark, silver_sinks, name, snapshots):
-    root = os.path.join(snapshots, name) if snapshots else None
-    return read_latest(spark, silver_sinks[name], SILVER_KEYS[name], root).drop("batch_id")
+def compacted_silver(spark: SparkSession, silver_sinks: dict[str, str],
+                     snapshots: str | None = None) -> dict[str, DataFrame]:
+    """Latest value per key of each silver changelog (through the newest snapshot
+    when ``snapshots`` is given)."""
+    out = {}
+    for name, path in silver_sinks.items():
+        root = os.path.join(snapshots, name) if snapshots else None
+        out[name] = read_latest(spark, path, SILVER_KEYS[name], root).drop("batch_id")
+    return out
 
 
-def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
-                products: DataFrame | None = None, product_sink: str | None = None,
-                snapshots: str | None = None) -> dict[str, DataFrame]:
-    """Gold tables from the latest value per key of each silver changelog (read
-    through the newest snapshot when ``snapshots`` is given)."""
-    sinks = dict(silver_sinks)
-    if product_sink:
-        sinks["products"] = product_sink
-    city = _latest(spark, sinks, "city", snapshots)
-    types = _latest(spark, sinks, "types", snapshots)
-    engagement = _latest(spark, sinks, "engagement", snapshots)
+def gold_from_silver(silver: dict[str, DataFrame], campaigns: DataFrame,
+                     products: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The dashboard tables from compacted silver tables."""
+    engagement = silver["engagement"]
     effectiveness = gold.campaign_effectiveness(engagement, campaigns)
     out = {
-        "city_top10": gold.city_top_from_silver(city),
+        "city_top10": gold.city_top_from_silver(silver["city"]),
         "campaign_effectiveness": effectiveness,
         "click_share": gold.click_share(effectiveness),
-        "campaign_types": types,
+        "campaign_types": silver["types"],
         "repeat_engagement": gold.repeat_engagement(engagement),
         "user_ctr": gold.user_ctr_from_engagement(engagement),
     }
-    if products is not None and "products" in sinks:
-        ranking = gold.product_ranking(_latest(spark, sinks, "products", snapshots), products)
+    if products is not None and "products" in silver:
+        ranking = gold.product_ranking(silver["products"], products)
         out["product_popularity"] = ranking
         out["best_product"] = gold.best_product(ranking)
     return out
 
 
+def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
+                products: DataFrame | None = None, product_sink: str | None = None,
+                snapshots: str | None = None) -> dict[str, DataFrame]:
+    """Gold tables (lazy) from the silver changelogs."""
+    sinks = dict(silver_sinks)
+    if product_sink:
+        sinks["products"] = product_sink
+    return gold_from_silver(compacted_silver(spark, sinks, snapshots), campaigns, products)
+
+
 def refresh_gold(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
-                 out_root: str, **kw) -> dict[str, str]:
-    """Write every gold table (overwrite) with a ``computed_at`` column."""
-    paths = {}
-    for name, df in gold_tables(spark, silver_sinks, campaigns, **kw).items():
-        paths[name] = os.path.join(out_root, name)
-        with_freshness(df).write.mode("overwrite").parquet(paths[name])
-    return paths
+                 out_root: str, products: DataFrame | None = None,
+                 product_sink: str | None = None, snapshots: str | None = None) -> dict[str, str]:
+    """Write every gold table (overwrite) with a ``computed_at`` column.
+
+    Each silver changelog is compacted once and kept for the duration of the
+    refresh (several gold tables derive from the same compacted table), then
+    released; the table writes are independent jobs and are submitted together.
+    """
+    sinks = dict(silver_sinks)
+    if product_sink:
+        sinks["products"] = product_sink
+    silver = {name: df.persist() for name, df in compacted_silver(spark, sinks, snapshots).items()}
+    try:
+        tables = gold_from_silver(silver, campaigns, products)
+        paths = {name: os.path.join(out_root, name) for name in tables}
+
+        def write(name: str) -> None:
+            with_freshness(tables[name]).write.mode("overwrite").parquet(paths[name])
+
+        # small independent jobs: submitted together, they share the executors
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            for done in [pool.submit(write, name) for name in tables]:
+                done.result()
+        return paths
+    finally:
+        for df in silver.values():
+            df.unpersist()
