@@ -9,7 +9,8 @@
 ``silver`` starts the three running aggregates (campaign x city, campaign x
 type, engagement per customer) plus live product counts, each checkpointed
 under ``<root>/silver/<name>``, and waits; ``--available-now`` processes what is
-there and stops.  ``gold`` recomputes the dashboard tables from the compacted
+there and stops; ``--decode-once`` first decodes the topic into
+``<root>/silver/events`` (``valid=true|false``) and the aggregates read that table.  ``gold`` recomputes the dashboard tables from the compacted
 silver changelogs into ``<root>/gold/<name>`` with a ``computed_at`` column.
 """
 
@@ -27,7 +28,8 @@ from .schemas import (CAMPAIGN_SCHEMA, LANDED_CAMPAIGN_SCHEMA, LANDED_PRODUCT_SC
                       LANDED_USER_SCHEMA, PRODUCT_SCHEMA, WATERMARK_DELAY)
 from .sources import files, jdbc, kafka
 from .streaming.landing import Landing
-from .streaming.pipeline import message_stream, run_changelog, state_settings
+from .streaming.pipeline import (decoded_event_stream, message_stream, run_changelog, run_decode,
+                                 state_settings)
 
 SILVER = {
     "city": silver.campaign_city_counts,
@@ -38,18 +40,32 @@ SILVER = {
 
 
 def events_from(spark: SparkSession, args) -> DataFrame:
-    """Typed, valid events with the watermark, from a topic or a landed folder."""
+    """Typed, valid events with the watermark, decoded from a topic or a landed folder."""
+    raw = raw_from(spark, args)
+    return valid_events(decode_events(raw)).drop("key").withWatermark("event_date", WATERMARK_DELAY)
+
+
+def raw_from(spark: SparkSession, args) -> DataFrame:
     if args.source == "kafka":
-        raw = kafka.message_values(kafka.read_topic_stream(
+        return kafka.message_values(kafka.read_topic_stream(
             spark, args.bootstrap, args.topic, max_offsets_per_trigger=args.max_per_trigger))
-    else:
-        raw = message_stream(spark, Landing(args.path, args.max_per_trigger or 1, 0))
-    return valid_events(decode_events(raw)).drop("key").withWatermark("event_date", WATERMARK_DELAY)
+    return message_stream(spark, Landing(args.path, args.max_per_trigger or 1, 0))
 
 
 def run_silver(spark: SparkSession, args) -> dict[str, str]:
-    events = events_from(spark, args)
-    sinks, running = {}, []
+    running = []
+    if args.decode_once:
+        # one query decodes the topic into <root>/silver/events (valid=true|false);
+        # the aggregates stream typed rows from that table
+        table = os.path.join(args.root, "silver", "events")
+        running.append(run_decode(raw_from(spark, args), table,
+                                  os.path.join(args.root, "silver", "events_checkpoint"),
+                                  "silver_decode", available_now=args.available_now,
+                                  wait=args.available_now))
+        events = decoded_event_stream(spark, table)
+    else:
+        events = events_from(spark, args)
+    sinks = {}
     for name, build in SILVER.items():
         base = os.path.join(args.root, "silver", name)
         sinks[name] = os.path.join(base, "changelog")
@@ -118,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--max-per-trigger", type=int, default=None)
     s.add_argument("--state-partitions", type=int, default=None)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--decode-once", action="store_true",
+                   help="decode the topic once into a table the aggregates stream from")
     g = sub.add_parser("gold")
     g.add_argument("--root", required=True)
     g.add_argument("--campaigns", required=True)

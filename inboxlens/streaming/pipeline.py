@@ -18,9 +18,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..operators.decode import decode_events, encode_events, valid_events
-from ..schemas import WATERMARK_DELAY
+from ..schemas import EVENT_SCHEMA, WATERMARK_DELAY
 from .changelog import changelog_sink, init_changelog
 from .landing import MESSAGE_SCHEMA, Landing
 
@@ -90,6 +91,54 @@ def event_stream(spark: SparkSession, landing: Landing,
     return events.withWatermark("event_date", watermark) if watermark else events
 
 
+# The decoded-events table: typed event columns, the rejection reason (null when
+# valid) and the ``valid`` partition column.
+DECODED_SCHEMA = StructType(
+    [StructField("key", StringType())] + list(EVENT_SCHEMA.fields)
+    + [StructField("reason", StringType()), StructField("valid", BooleanType())])
+
+
+def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
+               available_now: bool = True, wait: bool = True) -> StreamingQuery:
+    """Decode the topic once into a table that every aggregate can stream from.
+
+    Valid and rejected rows go to one parquet file sink partitioned by
+    ``valid`` (the quarantine is ``valid=false``).  The file sink commits files
+    through its metadata log, so downstream file streams see each committed file
+    exactly once, also after a restart of this query.
+    """
+    # create the table folder up front (an empty typed frame in a hidden
+    # sub-folder, which file listings skip) so that aggregates started at the
+    # same time can already open it as a stream source
+    raw.sparkSession.createDataFrame([], DECODED_SCHEMA).write.mode("ignore") \
+        .parquet(f"{table_path}/_init")
+    decoded = decode_events(raw)
+    rows = decoded.select(
+        *[c for c in decoded.columns if c != "violations"],
+        F.when(F.size("violations") > 0, F.array_join("violations", ",")).alias("reason"),
+        (F.size("violations") == 0).alias("valid"))
+    writer = (rows.writeStream.queryName(name).format("parquet").partitionBy("valid")
+              .option("path", table_path).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime="2 seconds")
+    q = writer.start()
+    if available_now and wait:
+        _await(q)
+    return q
+
+
+def decoded_event_stream(spark: SparkSession, table_path: str,
+                         watermark: str | None = WATERMARK_DELAY,
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """Valid typed events streamed from the decoded-events table (no JSON work)."""
+    r = spark.readStream.schema(DECODED_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    events = (r.parquet(table_path).filter(F.col("valid"))
+              .select(*[F.col(f.name) for f in EVENT_SCHEMA.fields]))
+    return events.withWatermark("event_date", watermark) if watermark else events
+
+
 def run_changelog(agg: DataFrame, sink: str, checkpoint: str, name: str,
                   mode: str = "update", available_now: bool = True,
                   wait: bool = True, partition_by: tuple[str, ...] = (),

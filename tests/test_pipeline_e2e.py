@@ -9,16 +9,24 @@ from inboxlens import apps
 from inboxlens.plans import catalog
 from inboxlens.sources import fixture
 from inboxlens.streaming.landing import landed_events
+import pytest
+
 from tests.conftest import SF_SMALL
 from tests.helpers import rows
 
 
-def test_silver_then_gold_equals_batch_queries(spark, scratch):
+@pytest.mark.parametrize("decode_once", [False, True])
+def test_silver_then_gold_equals_batch_queries(spark, scratch, decode_once):
     landing = landed_events(spark, SF_SMALL)
     root = os.path.join(scratch, "app")
     apps.run_silver(spark, apps.parser().parse_args(
         ["silver", "--source", "files", "--path", landing.path, "--root", root,
-         "--max-per-trigger", str(landing.files_per_trigger), "--available-now"]))
+         "--max-per-trigger", str(landing.files_per_trigger), "--available-now"]
+        + (["--decode-once"] if decode_once else [])))
+    if decode_once:  # the decoded table holds every message once: valid + quarantine
+        table = spark.read.parquet(os.path.join(root, "silver", "events"))
+        assert table.count() == fixture.table(spark, SF_SMALL, "events").count()
+        assert table.filter(~F.col("valid")).count() == 0
     dims = os.path.join(scratch, "dims")
     fixture.campaigns(spark, SF_SMALL).write.parquet(os.path.join(dims, "campaign"))
     fixture.products(spark, SF_SMALL).write.parquet(os.path.join(dims, "product"))
@@ -41,3 +49,44 @@ def test_silver_then_gold_equals_batch_queries(spark, scratch):
     ctr = catalog.BATCH_QUERIES["user_ctr"](spark, SF_SMALL)
     active = ctr.filter((F.col("clickers") > 0) | (F.col("openers") > 0))
     assert rows(gold("user_ctr"), *ctr.columns) == rows(active)
+
+
+def test_decode_once_table_holds_the_quarantine(spark, scratch):
+    from inboxlens.streaming.pipeline import message_stream, run_decode
+    landing = landed_events(spark, SF_SMALL, corrupt=True)
+    table = os.path.join(scratch, "events")
+    run_decode(message_stream(spark, landing), table, os.path.join(scratch, "ckpt"), "decode_q")
+    rejected = spark.read.parquet(table).filter(~F.col("valid")).select("key", "reason")
+    assert rows(rejected) == rows(catalog.BATCH_QUERIES["events_quarantine"](spark, SF_SMALL))
+
+
+def test_decode_once_live_mode(spark, scratch):
+    landing = landed_events(spark, SF_SMALL)
+    root = os.path.join(scratch, "live")
+    args = apps.parser().parse_args(
+        ["silver", "--source", "files", "--path", landing.path, "--root", root, "--decode-once",
+         "--state-partitions", "2"])
+    import threading
+    worker = threading.Thread(target=apps.run_silver, args=(spark, args), daemon=True)
+    worker.start()
+    try:
+        import time
+        deadline = time.time() + 240
+        while len([q for q in spark.streams.active if q.name.startswith("silver_")]) < 5:
+            assert time.time() < deadline
+            time.sleep(1)
+        decode = [q for q in spark.streams.active if q.name == "silver_decode"][0]
+        decode.processAllAvailable()
+        for q in spark.streams.active:
+            if q.name.startswith("silver_"):
+                q.processAllAvailable()
+    finally:
+        for q in spark.streams.active:
+            if q.name.startswith("silver_"):
+                q.stop()
+        worker.join(timeout=60)
+    from inboxlens.streaming.changelog import latest_per_key, read_changelog
+    city = latest_per_key(read_changelog(spark, os.path.join(root, "silver", "city", "changelog")),
+                          ["campaign_id", "city"])
+    expected = catalog.BATCH_QUERIES["events_by_campaign_city"](spark, SF_SMALL)
+    assert rows(city, *expected.columns) == rows(expected)
