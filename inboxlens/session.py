@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -63,9 +64,18 @@ def scratch_root(spark: SparkSession) -> str:
 _LOCAL_ROOTS: dict[int, str] = {}
 
 
+def local_path(path: str) -> str | None:
+    """The local file-system path of ``path`` (plain or ``file:`` URI), else None."""
+    parsed = urlparse(path)
+    if parsed.scheme in ("", "file"):
+        return parsed.path if parsed.scheme else path
+    return None
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the scratch root (never reused, never cleared)."""
     path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    local = local_path(path)
+    if local is not None:  # remote stores need no directories up front
+        os.makedirs(local, exist_ok=True)
     return path

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..session import fresh_dir
+from ..session import fresh_dir, local_path
 
 MESSAGE_SCHEMA = StructType([StructField("key", StringType()), StructField("value", StringType())])
 
@@ -65,6 +65,7 @@ def landed_events(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> La
 
     key = (id(spark), sf_dir, corrupt)
     cached = _LANDINGS.get(key)
-    if cached is None or ("://" not in cached.path and not os.path.isdir(cached.path)):
+    local = local_path(cached.path) if cached is not None else None
+    if cached is None or (local is not None and not os.path.isdir(local)):
         _LANDINGS[key] = land_messages(spark, fixture.event_messages(spark, sf_dir, corrupt))
     return _LANDINGS[key]

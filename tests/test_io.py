@@ -175,3 +175,11 @@ def test_record_stream_reads_landed_json(spark, scratch):
     q.awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1]
     assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 2
+
+
+def test_local_path_handles_uris():
+    from inboxlens.session import local_path
+    assert local_path("/tmp/a") == "/tmp/a"
+    assert local_path("file:/tmp/a") == "/tmp/a"
+    assert local_path("file:///tmp/a") == "/tmp/a"
+    assert local_path("s3a://bucket/a") is None
