@@ -18,7 +18,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
 from ..operators.decode import decode_events, encode_events, valid_events
 from ..schemas import EVENT_SCHEMA, WATERMARK_DELAY
@@ -95,7 +95,8 @@ def event_stream(spark: SparkSession, landing: Landing,
 # valid) and the ``valid`` partition column.
 DECODED_SCHEMA = StructType(
     [StructField("key", StringType())] + list(EVENT_SCHEMA.fields)
-    + [StructField("reason", StringType()), StructField("valid", BooleanType())])
+    + [StructField("reason", StringType()), StructField("valid", BooleanType()),
+       StructField("event_day", DateType())])
 
 
 def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
@@ -103,7 +104,8 @@ def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
     """Decode the topic once into a table that every aggregate can stream from.
 
     Valid and rejected rows go to one parquet file sink partitioned by
-    ``valid`` (the quarantine is ``valid=false``).  The file sink commits files
+    ``valid`` (the quarantine is ``valid=false``) and by ``event_day``, so batch
+    readers of the table prune by date.  The file sink commits files
     through its metadata log, so downstream file streams see each committed file
     exactly once, also after a restart of this query.
     """
@@ -116,8 +118,9 @@ def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
     rows = decoded.select(
         *[c for c in decoded.columns if c != "violations"],
         F.when(F.size("violations") > 0, F.array_join("violations", ",")).alias("reason"),
-        (F.size("violations") == 0).alias("valid"))
-    writer = (rows.writeStream.queryName(name).format("parquet").partitionBy("valid")
+        (F.size("violations") == 0).alias("valid"),
+        F.to_date("event_date").alias("event_day"))
+    writer = (rows.writeStream.queryName(name).format("parquet").partitionBy("valid", "event_day")
               .option("path", table_path).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="2 seconds")

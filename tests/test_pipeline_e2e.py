@@ -2,6 +2,7 @@
 checked table by table against the batch queries over the same tables."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -58,6 +59,9 @@ def test_decode_once_table_holds_the_quarantine(spark, scratch):
     run_decode(message_stream(spark, landing), table, os.path.join(scratch, "ckpt"), "decode_q")
     rejected = spark.read.parquet(table).filter(~F.col("valid")).select("key", "reason")
     assert rows(rejected) == rows(catalog.BATCH_QUERIES["events_quarantine"](spark, SF_SMALL))
+    one_day = spark.read.parquet(table).filter(F.col("event_day") == F.lit("2024-01-02").cast("date"))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*event_day", plan)  # day pruning, not a scan filter
 
 
 def test_decode_once_live_mode(spark, scratch):
