@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 def _seconds(interval: str) -> int:
     n, unit = interval.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
     return int(n) * mult[unit.rstrip("s")]
 
 
