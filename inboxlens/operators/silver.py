@@ -124,3 +124,18 @@ def session_counts(events: DataFrame, gap: str = "12 hours", key: str = "custome
     return (events.groupBy(key, w).agg(F.count(F.lit(1)).alias("events"))
             .select(key, F.col("session.start").alias("session_start"),
                     F.col("session.end").alias("session_end"), "events"))
+
+
+def campaign_reach(events: DataFrame, labels: EventLabels = DEFAULT_LABELS,
+                   rsd: float = 0.01) -> DataFrame:
+    """Distinct clickers and openers per campaign for a stream, where exact
+    distinct counts are refused: HyperLogLog++ sketches (``approx_count_distinct``,
+    relative error ``rsd``) kept in state, one fixed-size sketch per campaign and
+    type however many customers there are.  For exact numbers, read the compacted
+    engagement table (``gold.user_ctr_from_engagement``)."""
+    t = F.col("type_event")
+    return events.groupBy("campaign_id").agg(
+        F.approx_count_distinct(F.when(t.isin(*labels.clicked), F.col("customer_id")), rsd)
+         .alias("clickers"),
+        F.approx_count_distinct(F.when(t.isin(*labels.opened), F.col("customer_id")), rsd)
+         .alias("openers"))

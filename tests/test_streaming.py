@@ -177,3 +177,16 @@ def test_snapshots_bound_changelog_reads(spark, scratch):
     plan = read_changelog(spark, log_path).filter(F.col("batch_id") > 2)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_stream_reach_sketch_matches_exact_counts_on_small_data(spark, scratch):
+    from inboxlens.operators import gold
+    evs = [event(customer_id=i % 37, campaign_id=f"c{i % 3}", type_event=t, minutes=i)
+           for i, t in enumerate(["OPENED", "CLICKED", "OPENED", "SENT"] * 30)]
+    ev = events_df(spark, evs)
+    landing = land_messages(spark, encode_events(ev), slices=3, files_per_slice=1,
+                            path=os.path.join(scratch, "in"))
+    _, log = _run(spark, scratch, landing, silver.campaign_reach, "reach")
+    got = latest_per_key(log, ["campaign_id"])
+    exact = gold.user_ctr(ev).select("campaign_id", "clickers", "openers")
+    assert rows(got, "campaign_id", "clickers", "openers") == rows(exact)
