@@ -62,3 +62,19 @@ def test_skewed_data_is_skewed(spark, skewed):
     ev = spark.read.parquet(os.path.join(path, "events.parquet"))
     share = ev.filter(F.col("user_id") == 0).count() / ev.count()
     assert share > 0.33
+
+
+def test_null_product_keys_spread_over_join_partitions(spark, skewed, shuffle_joins_only):
+    from inboxlens.operators import silver
+    from inboxlens.sources import fixture
+    path, _ = skewed
+    ev = fixture.events(spark, path, geo=False)
+    out = silver.enrich_events(ev, fixture.products(spark, path), fixture.campaigns(spark, path))
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    # partition ids right after the product look-up (a sort-merge join on the salted key)
+    from inboxlens.operators.joins import left_lookup
+    prod = fixture.products(spark, path).select(F.col("id").alias("p_id"), "title")
+    joined = left_lookup(ev, prod, "product_id", "p_id", salt_cols=["customer_id", "event_date"])
+    parts = (joined.filter(F.col("product_id").isNull())
+             .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(parts) >= 4  # ~80% of events have no product; they do not pile into one task
