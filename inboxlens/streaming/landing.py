@@ -3,8 +3,8 @@
 The broker connector is not part of this environment, so a stream reads a
 directory of message files instead of a topic.  Messages are written in
 event-time slices, one write job per slice, so files reach the directory in
-time order; a stream reading ``files_per_slice`` files per trigger then sees one
-slice per micro-batch, as a live topic would deliver them.
+time order; a stream reading ``files_per_slice`` files per trigger (one per core
+by default) then sees one slice per micro-batch, as a live topic would deliver them.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ class Landing:
 
 
 def land_messages(spark: SparkSession, messages: DataFrame, slices: int = 5,
-                  files_per_slice: int = 2, path: str | None = None) -> Landing:
+                  files_per_slice: int | None = None, path: str | None = None) -> Landing:
     """Write (key, value, event_date) messages as ``slices`` time-ordered batches.
 
     One small aggregate finds the time range; each slice is then written by its
@@ -39,6 +39,9 @@ def land_messages(spark: SparkSession, messages: DataFrame, slices: int = 5,
     outside the slice are skipped by their statistics).
     """
     path = path or fresh_dir(spark, "landing")
+    # one writer task per core: the write (and each micro-batch's read) scales
+    # with the cluster instead of a fixed file count
+    files_per_slice = files_per_slice or _parallelism(spark)
     bounds = messages.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
@@ -56,6 +59,13 @@ def land_messages(spark: SparkSession, messages: DataFrame, slices: int = 5,
     return Landing(path, files_per_slice, slices)
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext in this client (e.g. a Connect session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 _LANDINGS: dict[tuple, Landing] = {}
 
 
