@@ -65,7 +65,12 @@ def main() -> None:
         scans = "; ".join(f"{t} [{re.sub(r'#[0-9]+L?', '', c)}]" + (f" ({re.sub(r'#[0-9]+L?', '', f)})" if f else "")
                           for c, t, f in s["scans"])
         lines.append(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['windows']} | {joins} | {scans} |")
-    lines += ["", NOTES]
+    flagship = BATCH_QUERIES["campaign_effectiveness"](spark, sf)
+    formatted = flagship._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    head = formatted.split("\n\n")[0]  # the operator tree; node details omitted
+    lines += ["", "## Flagship query: campaign_effectiveness (`explain(\"formatted\")` tree)", "",
+              "```", head.strip(), "```", "", NOTES]
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as fh:
         fh.write("\n".join(lines))
