@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .simhash_trie import simhash_groups
 from .token_files import read_tokens, write_tokens
+from .vector_packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +29,20 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest)
 
 
+def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pack_documents(docs, vocabulary("byte_bpe_50k.json"), end_id=0, capacity=2048)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "row")
+
+
 QUERIES: dict[str, Query] = {
     "op4_token_files": op4_token_files,
+    "op8_simhash_trie": op8_simhash_trie,
+    "op9_vector_packing": op9_vector_packing,
 }
 
 
