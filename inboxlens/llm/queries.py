@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .factorization import score_toxicity
 from .simhash_trie import simhash_groups
+from .subword_quality import score_quality
 from .token_files import read_tokens, write_tokens
 from .vector_packing import pack_documents
 
@@ -29,6 +31,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest)
 
 
+def op5_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                         label="quality", folds=5, threshold=0.3)
+
+
+def op10_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          label="toxic", folds=5, threshold=0.5)
+
+
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -41,6 +53,8 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_token_files": op4_token_files,
+    "op5_subword_quality": op5_subword_quality,
+    "op10_factorization": op10_factorization,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_vector_packing": op9_vector_packing,
 }
