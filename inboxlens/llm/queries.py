@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .entropy_mix import mix
 from .factorization import score_toxicity
 from .simhash_trie import simhash_groups
 from .subword_quality import score_quality
@@ -36,6 +37,11 @@ def op5_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          label="quality", folds=5, threshold=0.3)
 
 
+def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3.0)
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
 def op10_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                           label="toxic", folds=5, threshold=0.5)
@@ -54,6 +60,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_token_files": op4_token_files,
     "op5_subword_quality": op5_subword_quality,
+    "op6_entropy_mix": op6_entropy_mix,
     "op10_factorization": op10_factorization,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_vector_packing": op9_vector_packing,
