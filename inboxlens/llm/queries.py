@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .entropy_mix import mix
 from .factorization import score_toxicity
+from .line_dedup import dedup_lines
 from .simhash_trie import simhash_groups
 from .subword_quality import score_quality
 from .token_files import read_tokens, write_tokens
@@ -26,6 +27,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents"), k=2, window=2, min_chars=120, counts=True)
+    return out.select("doc_id", "text", "units", "removed")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_tokens(docs, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -58,6 +64,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_token_files": op4_token_files,
     "op5_subword_quality": op5_subword_quality,
     "op6_entropy_mix": op6_entropy_mix,
