@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .entropy_mix import mix
 from .factorization import score_toxicity
+from .imatch import fingerprints
 from .line_dedup import dedup_lines
 from .simhash_trie import simhash_groups
 from .subword_quality import score_quality
@@ -32,6 +33,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "units", "removed")
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"), least_share=0.001, most_share=0.1)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_tokens(docs, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -65,6 +70,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_imatch": op2_imatch,
     "op4_token_files": op4_token_files,
     "op5_subword_quality": op5_subword_quality,
     "op6_entropy_mix": op6_entropy_mix,
