@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .cross_polytope import nearest
 from .entropy_mix import mix
 from .factorization import score_toxicity
 from .imatch import fingerprints
@@ -58,6 +59,10 @@ def op10_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
                           label="toxic", folds=5, threshold=0.5)
 
 
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op5_subword_quality": op5_subword_quality,
     "op6_entropy_mix": op6_entropy_mix,
     "op10_factorization": op10_factorization,
+    "op7_cross_polytope": op7_cross_polytope,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_vector_packing": op9_vector_packing,
 }
