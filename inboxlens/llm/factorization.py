@@ -42,7 +42,7 @@ class Params:
     rate: float = 0.05
     decay: float = 1e-4
     least_documents: int = 8
-    sample: int = 10_000
+    sample: int = 6000
     damping: float = 0.0
     least_evidence: float = 25.0
     seed: int = 1
@@ -105,10 +105,10 @@ def evident(docs: list[tuple], y, p: Params):
     beyond chance: a likelihood-ratio statistic of at least ``least_evidence``."""
     import numpy as np
 
-    every = np.concatenate([d[0] for d in docs])
-    marks = np.repeat(y, [len(d[0]) for d in docs])
-    known, at, df = np.unique(every, return_inverse=True, return_counts=True)
-    a = np.bincount(at, weights=marks, minlength=len(known))  # positive documents with it
+    known, df = np.unique(np.concatenate([d[0] for d in docs]), return_counts=True)
+    toxic, hits = np.unique(np.concatenate([d[0] for d in docs if d[1]]), return_counts=True)
+    a = np.zeros(len(known))  # positive documents with the term
+    a[np.searchsorted(known, toxic)] = hits
     n, t = float(len(y)), float(y.sum())
 
     def part(o, e):
