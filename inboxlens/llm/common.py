@@ -68,3 +68,38 @@ def blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]
         size += len(text)
     if at < len(texts):
         yield at, len(texts)
+
+
+def filesystem(uri: str):
+    """The file system of a file that a task writes or reads itself, and its path there."""
+    from pyarrow import fs
+
+    if "://" in uri or uri.startswith("file:"):
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri
+
+
+def put_file(uri: str, parts) -> None:
+    """Write a file whole: under another name first, so a lost task leaves no half."""
+    import os
+    import uuid as ids
+
+    fs, path = filesystem(uri)
+    fs.create_dir(os.path.dirname(path), recursive=True)
+    part = f"{path}.{ids.uuid4().hex}"
+    with fs.open_output_stream(part) as out:
+        for p in parts:
+            out.write(p)
+    fs.move(part, path)
+
+
+def map_file(uri: str):
+    """The file's bytes as an array: a memory map of a file on a path, else a copy."""
+    import numpy as np
+    from pyarrow import fs as kinds
+
+    fs, path = filesystem(uri)
+    if isinstance(fs, kinds.LocalFileSystem):
+        return np.memmap(path, dtype=np.uint8, mode="r")
+    with fs.open_input_file(path) as f:
+        return np.frombuffer(f.read(), dtype=np.uint8)

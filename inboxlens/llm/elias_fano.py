@@ -124,27 +124,42 @@ class EliasFano:
         i = np.arange(self.n, dtype=np.int64)
         return ((np.flatnonzero(bits)[:self.n] - i) << self.low_bits) | self._low(i)
 
-    def successor(self, x):
-        """For each x the first position whose value is not below it (n if there is none)."""
-        x = np.asarray(x, dtype=np.int64)
-        out = np.full(len(x), self.n, dtype=np.int64)
-        inside = np.flatnonzero(x < self.universe)
-        if not len(inside) or not self.n:
-            return out
-        v = np.maximum(x[inside], 0)
-        h = v >> self.low_bits
+    def _search(self, x):
+        """Of values below the universe: the first position not below each, and the end of
+        the run of positions that share its high part."""
+        h = x >> self.low_bits
         low = np.zeros(len(h), dtype=np.int64)
         later = h > 0
         low[later] = self._select(h[later] - 1, True) + 1 - h[later]
-        high = self._select(h, True) - h
-        want = v & ((1 << self.low_bits) - 1)
-        while True:
-            todo = np.flatnonzero(low < high)
-            if not len(todo):
-                break
+        end = self._select(h, True) - h
+        high = end.copy()
+        want = x & ((1 << self.low_bits) - 1)
+        todo = np.flatnonzero(low < high)
+        while len(todo):
             mid = (low[todo] + high[todo]) >> 1
             below = self._low(mid) < want[todo]
             low[todo] = np.where(below, mid + 1, low[todo])
             high[todo] = np.where(below, high[todo], mid)
-        out[inside] = low
+            todo = todo[low[todo] < high[todo]]
+        return low, end, want
+
+    def successor(self, x):
+        """For each x the first position whose value is not below it (n if there is none)."""
+        x = np.asarray(x, dtype=np.int64)
+        out = np.full(len(x), self.n, dtype=np.int64)
+        inside = np.flatnonzero(x < self.universe)
+        if len(inside) and self.n:
+            out[inside] = self._search(np.maximum(x[inside], 0))[0]
+        return out
+
+    def find(self, x):
+        """For each x the first position that holds it, or -1."""
+        x = np.asarray(x, dtype=np.int64)
+        out = np.full(len(x), -1, dtype=np.int64)
+        inside = np.flatnonzero((x >= 0) & (x < self.universe))
+        if len(inside) and self.n:
+            at, end, want = self._search(x[inside])
+            hit = np.flatnonzero(at < end)
+            hit = hit[self._low(at[hit]) == want[hit]]
+            out[inside[hit]] = at[hit]
         return out

@@ -11,6 +11,7 @@ from .entropy_mix import mix
 from .factorization import score_toxicity
 from .imatch import fingerprints
 from .line_dedup import dedup_lines
+from .ngram_trie import score_documents
 from .simhash_trie import simhash_groups
 from .subword_quality import score_quality
 from .token_files import read_tokens, write_tokens
@@ -31,13 +32,17 @@ def vocabulary(name: str) -> str:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"), k=2, window=2, min_chars=120, counts=True)
-    return out.select("doc_id", "text", "units", "removed")
+    return out.select("doc_id", "text", "removed")
 
 
 def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"), least_share=0.001, most_share=0.1)
 
 
+def op3_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), folds=10)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = write_tokens(docs, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -76,6 +81,7 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_imatch": op2_imatch,
+    "op3_ngram_trie": op3_ngram_trie,
     "op4_token_files": op4_token_files,
     "op5_subword_quality": op5_subword_quality,
     "op6_entropy_mix": op6_entropy_mix,

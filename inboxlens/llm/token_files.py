@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, shared_path, text_of
+from .common import blocks, filesystem, put_file, shared_path, text_of
 
 MANIFEST = "low long, file string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -29,17 +29,8 @@ _MAGIC = 0x53444946  # marks a file of this format
 _HEAD = 8            # 64-bit words before the ids
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (
-        fs.LocalFileSystem(), uri)
-
-
 def write_file(uri: str, doc_ids: list[int | None], parts: list[bytes], width: int) -> None:
     """One token file; ``parts`` holds each document's 32-bit ids."""
-    import os
-
     import numpy as np
 
     from .elias_fano import encode
@@ -56,16 +47,9 @@ def write_file(uri: str, doc_ids: list[int | None], parts: list[bytes], width: i
     pad = -total * width % 8
     head = np.array([_MAGIC, len(parts), total, width, nulls, least, len(ends), int(bool(wide))],
                     dtype=np.int64)
-    fs, path = _filesystem(uri)
-    fs.create_dir(os.path.dirname(path), recursive=True)
-    with fs.open_output_stream(path + ".part") as out:
-        out.write(head.tobytes())
-        for p in parts:
-            out.write(np.frombuffer(p, dtype="<u4").astype("<u2").tobytes() if width == 2 else p)
-        out.write(b"\0" * pad)
-        out.write(ends)
-        out.write(names)
-    fs.move(path + ".part", path)
+    put_file(uri, [head.tobytes(),
+                   *(np.frombuffer(p, dtype="<u4").astype("<u2").tobytes() if width == 2 else p for p in parts),
+                   b"\0" * pad, ends, names])
 
 
 class TokenFile:
@@ -76,7 +60,7 @@ class TokenFile:
 
         from .elias_fano import EliasFano
 
-        fs, path = _filesystem(uri)
+        fs, path = filesystem(uri)
         self._file = fs.open_input_file(path)
         head = np.frombuffer(self._file.read_at(8 * _HEAD, 0), dtype=np.int64)
         if int(head[0]) != _MAGIC:
