@@ -205,35 +205,30 @@ class TermTable:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5,
                    threshold: float = 0.5, p: Params | None = None) -> DataFrame:
-    """Every row of ``docs`` with ``held_out``, ``score`` and ``predicted``."""
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
     import numpy as np
+    import pandas as pd
 
     p = p or Params()
     spark = docs.sparkSession
     rows = sample_counts(docs, labels, label, folds, p.sample, term_set, COUNTS)
     taught = [(np.frombuffer(r["idx"], dtype=np.int64), int(r["label"])) for r in rows]
-    machine = train(taught, p)
     mean = float(np.mean([t[1] for t in taught])) if taught else 0.0
-    shipped = spark.sparkContext.broadcast((machine, mean))
-
-    def score(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    shipped = spark.sparkContext.broadcast((train(taught, p), mean))
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         machine, mean = shipped.value
         table = TermTable(machine) if machine else None
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.tolist()
             values = [np.zeros(0)]
             for a, b in blocks(texts):
                 values.append(np.full(b - a, mean) if table is None
                               else 1 / (1 + np.exp(-table.logits(texts[a:b]))))
-            keep = [i for i, f in enumerate(batch.schema) if f.name != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(np.concatenate(values))],
-                names=[*(batch.schema[i].name for i in keep), "score"])
-
-    cols = docs.select("doc_id", held_out("doc_id", folds).alias("held_out"),
-                       text_of(docs).cast("binary").alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = cols.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double")
+            yield pd.Series(np.concatenate(values))
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    score = F.pandas_udf(run, "double")
+    scored = docs.select("doc_id", held_out("doc_id", folds).alias("held_out"),
+                         score(text_of(docs).cast("binary")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

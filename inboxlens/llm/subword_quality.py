@@ -184,27 +184,23 @@ def sample_counts(docs: DataFrame, labels: DataFrame, label: str, folds: int, si
 COUNTS = "doc_id long, label int, idx binary, n binary"
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
-                  threshold: float = 0.3, p: Params | None = None) -> DataFrame:
-    """Every row of ``docs`` with ``held_out``, ``score`` and ``predicted``."""
+def scorer(docs: DataFrame, labels: DataFrame, label: str, folds: int, p: Params):
+    """A column function that scores texts (binary), trained on the labelled ``docs``."""
     import numpy as np
+    import pandas as pd
 
-    p = p or Params()
     spark = docs.sparkSession
     rows = sample_counts(docs, labels, label, folds, p.sample, lambda t: counts_of(t, p), COUNTS)
     taught = [(np.frombuffer(r["idx"], dtype=np.int32), np.frombuffer(r["n"], dtype=np.int32),
                int(r["label"])) for r in rows]
-    model = train(taught, p)
     mean = float(np.mean([t[2] for t in taught])) if taught else 0.5
-    shipped = spark.sparkContext.broadcast((model, mean))
-
-    def score(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    shipped = spark.sparkContext.broadcast((train(taught, p), mean))
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, mean = shipped.value
         table = WordTable(model[0], p) if model else None
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.tolist()
             values = [np.zeros(0)]
             for a, b in blocks(texts):
                 if model is None:
@@ -212,13 +208,23 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fo
                     continue
                 z = table.averages(texts[a:b]) + model[1]
                 values.append(1 / (1 + np.exp(z[:, 0] - z[:, 1])))
-            rest = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "text"]
-            names = [f.name for f in batch.schema if f.name != "text"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(np.concatenate(values))],
-                                             names=[*names, "score"])
-
-    cols = docs.select("doc_id", held_out("doc_id", folds).alias("held_out"),
-                       text_of(docs).cast("binary").alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = cols.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double")
+            yield pd.Series(np.concatenate(values))
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "double")
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
+                  threshold: float = 0.3, p: Params | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
+    score = scorer(docs, labels, label, folds, p or Params())
+    scored = docs.select("doc_id", held_out("doc_id", folds).alias("held_out"),
+                         score(text_of(docs).cast("binary")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
+             threshold: float = 0.3, p: Params | None = None) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, as they are."""
+    score = scorer(docs, labels, label, folds, p or Params())
+    return docs.where(score(text_of(docs).cast("binary")) >= threshold)
