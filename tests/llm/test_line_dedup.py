@@ -1,0 +1,130 @@
+"""Line dedup against a plain reading of its rules."""
+
+import xxhash
+
+from inboxlens.llm.line_dedup import dedup_lines, hashed_units, marks
+
+from .helpers import DOCS, EDGES, corpus, docs_df
+
+LEAST = -2 ** 63
+
+
+def cut(text):
+    out, at = [], 0
+    for i, c in enumerate(text):
+        if c == "\n" or (c == " " and i and text[i - 1] in ".?!"):
+            out.append(text[at:i + 1])
+            at = i + 1
+    return [*out, text[at:]]
+
+
+def spark_hash(value, seed=42):
+    """Spark's xxhash64 of a long or a text."""
+    raw = value.encode() if isinstance(value, str) else value.to_bytes(8, "little", signed=True)
+    return signed(xxhash.xxh64_intdigest(raw, seed % 2 ** 64))
+
+
+def signed(x):
+    return x - 2 ** 64 if x >= 2 ** 63 else x
+
+
+def kept(hs, ls, k, window, least):
+    """(gram, position, width) of the winnowed grams and the long units."""
+    grams = []
+    for i in range(len(hs) - k + 1):
+        h = 42
+        for j in range(k):
+            h = spark_hash(hs[i + j], h)
+        grams.append(h)
+    spans = [range(j, j + window) for j in range(len(grams) - window + 1)] or ([range(len(grams))] if grams else [])
+    places = {min(s, key=lambda i: (grams[i], -i)) for s in spans}
+    return [(grams[i], i, k) for i in sorted(places)] + [
+        (spark_hash("unit", spark_hash(hs[i])), i, 1) for i in range(len(hs)) if ls[i] >= least]
+
+
+def brute(rows, k=2, window=2, least=120):
+    docs = {}
+    for d, t, *_ in rows:
+        us = cut(t or "")
+        bare = [u.strip(" \t\r\n\x0b\x0c") for u in us]
+        docs[LEAST if d is None else d, t] = (us, [spark_hash(b) for b in bare], [len(b) for b in bare])
+    order = sorted(docs, key=lambda x: (x[0], x[1] or ""))
+    first_text, out, alive = {}, {}, []
+    for key in order:
+        first = first_text.setdefault(key[1], key[0])
+        if first < key[0]:
+            out[key] = "" if sum(docs[key][2]) >= least else key[1]
+        else:
+            alive.append(key)
+    place = {}
+    for key in alive:
+        _, hs, ls = docs[key]
+        for g, p, width in kept(hs, ls, k, window, least):
+            place[g] = min(place.get(g, (key[0], p, key, width)), (key[0], p, key, width), key=lambda x: x[:2])
+    for key in alive:
+        us, hs, ls = docs[key]
+        hulls = {}
+
+        def near(h, i, other):
+            return (h[i] if 0 <= i < len(h) else other) % 2 ** 15
+
+        for g, p, width in kept(hs, ls, k, window, least):
+            k0, p0, key0, _ = place[g]
+            b = docs[key0][1]
+            goes_on = near(hs, p - 1, 1) == near(b, p0 - 1, 1) or near(hs, p + width, 2) == near(b, p0 + width, 2)
+            if (k0 < key[0] or (key0 == key and p > p0)) and (sum(ls[p:p + width]) >= least or goes_on):
+                hulls.setdefault((key0, p - p0), []).append(p)
+        gone = set()
+        for (key0, d), ps in hulls.items():
+            b = docs[key0][1]
+            i, end = max(0, d), min(len(hs), len(b) + d)
+            while i < end:
+                j = i
+                while j < end and hs[j] == b[j - d]:
+                    j += 1
+                if j > i and sum(ls[i:j]) >= least and j > min(ps) and i <= max(ps):
+                    gone |= set(range(i, j))
+                i = max(j, i + 1)
+        out[key] = key[1] if key[1] is None else "".join(u for i, u in enumerate(us) if i not in gone)
+    return sorted(((d, out[LEAST if d is None else d, t]) for d, t, *_ in rows), key=repr)
+
+
+def test_equals_the_rules(spark):
+    rows = corpus(n=80) + [(1000 + i if r[0] is not None else None, *r[1:]) for i, r in enumerate(EDGES)]
+    rows += [(2000, rows[0][1] + " " + rows[7][1]), (2001, rows[14][1] * 2), (2001, rows[14][1] * 2)]
+    got = dedup_lines(docs_df(spark, rows, extra=("key", "runs", "row")), counts=True)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "runs", "row", "removed"]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == brute(rows)
+
+
+def test_the_first_place_of_a_passage_stays(spark):
+    passage = "This passage is repeated in several texts. It has some sentences. They are not short ones, all in all. And one more."
+    rows = [(i, f"Text number {i} begins. Here it goes on {i * 7}. {passage} Then {i} ends.") for i in range(5)]
+    got = {r.doc_id: r.text for r in dedup_lines(docs_df(spark, rows), min_chars=60).collect()}
+    assert got[0] == rows[0][1]
+    for i in range(1, 5):
+        assert "It has some sentences" not in got[i] and f"begins. Here it goes on {i * 7}." in got[i]
+
+
+def test_a_run_longer_than_the_first_slice(spark):
+    import random
+
+    from .helpers import sentences
+
+    rng = random.Random(5)
+    shared = sentences(rng, 400)
+    rows = [(1, " ".join(["Start one."] + shared)), (2, " ".join(["Other start."] + shared + ["Other end."]))]
+    rows.append((3, " ".join(shared[:30] + ["Broken here."] + shared[30:300])))
+    got = dedup_lines(docs_df(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == brute(rows)
+
+
+def test_no_documents(spark):
+    assert dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_kept_grams(spark):
+    units = hashed_units(docs_df(spark, corpus(n=20)))
+    got = {(r.key, r.g, r.p) for r in marks(units, 2, 3, 100).collect()}
+    want = {(r.key, g, p) for r in units.collect() for g, p, _ in kept(r.hs, r.ls, 2, 3, 100)}
+    assert got == want
