@@ -5,13 +5,18 @@
     spark-submit --py-files inboxlens.zip run_job.py gold --root s3://bucket/analytics \\
         --campaigns s3://bucket/dims/campaign --products s3://bucket/dims/product
 
-``dims`` loads landed product/user/campaign JSON into cleaned tables;
-``silver`` starts the three running aggregates (campaign x city, campaign x
-type, engagement per customer) plus live product counts, each checkpointed
-under ``<root>/silver/<name>``, and waits; ``--available-now`` processes what is
-there and stops; ``--decode-once`` first decodes the topic into
-``<root>/silver/events`` (``valid=true|false``) and the aggregates read that table.  ``gold`` recomputes the dashboard tables from the compacted
-silver changelogs into ``<root>/gold/<name>`` with a ``computed_at`` column.
+``silver`` decodes the topic once into ``<root>/silver/events`` (``valid=true|false``: the
+rejected messages keep their payload) and runs the running aggregates from that table, each
+checkpointed under ``<root>/silver/<name>``; ``--publish`` also sends the three changelogs to
+their topics, ``--enrich-products/--enrich-campaigns`` adds the enriched events.  The first
+query that fails ends the job.  ``--available-now`` processes what is there and stops.
+``route`` sends each raw message to the topic its rule names, ``fanout`` to a table, a topic
+and the quarantine.  ``dims`` loads landed product/user/campaign JSON into cleaned tables
+and, with ``--events``, the customers table and its keyed messages.  ``gold`` brings the
+snapshots of the silver changelogs up to date and recomputes the dashboard tables into
+``<root>/gold/<name>`` with a ``computed_at`` column.
+
+Event time is UTC: ``main`` sets the session's time zone.
 """
 
 from __future__ import annotations
@@ -21,140 +26,207 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import dims, silver
-from .operators.decode import decode_events, valid_events
-from .plans.refresh import refresh_gold
-from .schemas import (CAMPAIGN_SCHEMA, LANDED_CAMPAIGN_SCHEMA, LANDED_PRODUCT_SCHEMA,
-                      LANDED_USER_SCHEMA, PRODUCT_SCHEMA, WATERMARK_DELAY)
+from .operators import dims, routing
+from .operators.decode import decode_events
+from .plans import dims_load
+from .plans.refresh import SILVER, refresh_gold, silver_paths
+from .schemas import CAMPAIGN_TOPIC, CITY_TOPIC, EFFECTIVENESS_TOPIC
 from .sources import files, jdbc, kafka
 from .streaming.landing import Landing
-from .streaming.pipeline import (decoded_event_stream, message_stream, run_changelog, run_decode,
+from .streaming.pipeline import (MAX_OFFSETS, TRIGGER, await_all, decoded_event_stream, folder_sink,
+                                 message_stream, run_changelog, run_decode, run_enriched, run_fanout,
                                  state_settings)
 
-SILVER = {
-    "city": silver.campaign_city_counts,
-    "types": silver.campaign_type_counts,
-    "engagement": silver.engagement_counts,
-    "products": silver.product_counts,
-}
-
-
-def events_from(spark: SparkSession, args) -> DataFrame:
-    """Typed, valid events with the watermark, decoded from a topic or a landed folder."""
-    raw = raw_from(spark, args)
-    return valid_events(decode_events(raw)).drop("key").withWatermark("event_date", WATERMARK_DELAY)
+#: The topic of each published changelog.
+TOPICS = {"city": CITY_TOPIC, "types": CAMPAIGN_TOPIC, "engagement": EFFECTIVENESS_TOPIC}
 
 
 def raw_from(spark: SparkSession, args) -> DataFrame:
+    """The topic, or a landed folder, as a rate-limited stream of (key, value)."""
     if args.source == "kafka":
         return kafka.message_values(kafka.read_topic_stream(
-            spark, args.bootstrap, args.topic, max_offsets_per_trigger=args.max_per_trigger))
-    return message_stream(spark, Landing(args.path, args.max_per_trigger or 1, 0))
+            spark, args.bootstrap, args.topic,
+            max_offsets_per_trigger=args.max_per_trigger or MAX_OFFSETS), text=False)
+    return message_stream(spark, Landing(args.path, args.max_per_trigger or 0, 0))
 
 
 def run_silver(spark: SparkSession, args) -> dict[str, str]:
-    running = []
-    if args.decode_once:
-        # one query decodes the topic into <root>/silver/events (valid=true|false);
-        # the aggregates stream typed rows from that table
-        table = os.path.join(args.root, "silver", "events")
+    """Decode once, then all running aggregates; returns the changelog of each."""
+    live = {"available_now": args.available_now, "trigger": args.trigger}
+    settings = state_settings(spark, args.state_partitions)
+    table = os.path.join(args.root, "silver", "events")
+    running, sinks = [], {}
+    try:
         running.append(run_decode(raw_from(spark, args), table,
                                   os.path.join(args.root, "silver", "events_checkpoint"),
-                                  "silver_decode", available_now=args.available_now,
-                                  wait=args.available_now))
+                                  "silver_decode", wait=args.available_now, **live))
         events = decoded_event_stream(spark, table)
-    else:
-        events = events_from(spark, args)
-    sinks = {}
-    for name, build in SILVER.items():
-        base = os.path.join(args.root, "silver", name)
-        sinks[name] = os.path.join(base, "changelog")
-        running.append(run_changelog(
-            build(events), sinks[name], os.path.join(base, "checkpoint"), f"silver_{name}",
-            available_now=args.available_now, wait=False,
-            settings=state_settings(spark, args.state_partitions)))
-    for q in running:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+        for name, (build, keys) in SILVER.items():
+            sinks[name], checkpoint, _ = silver_paths(args.root, name)
+            publish = None
+            if args.publish and name in TOPICS:
+                publish = kafka.changelog_topic_sink(args.publish, TOPICS[name], keys)
+            running.append(run_changelog(build(events), sinks[name], checkpoint, f"silver_{name}", wait=False,
+                                         settings=settings, publish=publish, **live))
+        if args.enrich_products and args.enrich_campaigns:
+            base = os.path.join(args.root, "silver", "enriched")
+            running.append(run_enriched(
+                events, os.path.join(base, "events"), os.path.join(base, "checkpoint"), "silver_enriched",
+                lambda: spark.read.parquet(args.enrich_products),
+                lambda: spark.read.parquet(args.enrich_campaigns), wait=False, settings=settings, **live))
+    except BaseException:
+        for q in running:
+            q.stop()
+        raise
+    await_all(running)
     return sinks
 
 
+def run_route(spark: SparkSession, args) -> None:
+    """Each raw message, payload included, to the topic that its rule names."""
+    routed = routing.route_events(decode_events(raw_from(spark, args)))
+    if args.to:
+        sink = kafka.topic_sink(args.to)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            sink(batch.select("topic", "key", "value"), batch_id)
+    else:
+        write = folder_sink(os.path.join(args.root, "routed"))
+    writer = (routed.writeStream.queryName("route").foreachBatch(write)
+              .option("checkpointLocation", os.path.join(args.root, "route_checkpoint")))
+    q = (writer.trigger(availableNow=True) if args.available_now
+         else writer.trigger(processingTime=args.trigger)).start()
+    await_all([q])
+
+
+def run_fan(spark: SparkSession, args) -> None:
+    """The topic fanned out to a table, a topic (or folder) and the quarantine."""
+    base = os.path.join(args.root, "fanout")
+    tables = [folder_sink(os.path.join(base, "events"))]
+    if args.jdbc_url:
+        conn = jdbc.connection_options(args.jdbc_url, args.jdbc_user,
+                                       os.environ.get(args.jdbc_password_env or "", None))
+        tables.append(jdbc.append_sink(conn, args.jdbc_table))
+    messages = [kafka.topic_sink(args.to, args.to_topic) if args.to else folder_sink(os.path.join(base, "topic"))]
+    q = run_fanout(spark, raw_from(spark, args), os.path.join(base, "checkpoint"), tables, messages,
+                   [folder_sink(os.path.join(base, "quarantine"))], available_now=args.available_now,
+                   trigger=args.trigger, wait=False)
+    await_all([q])
+
+
 def run_gold(spark: SparkSession, args) -> dict[str, str]:
-    sinks = {name: os.path.join(args.root, "silver", name, "changelog") for name in SILVER}
-    campaigns = spark.read.parquet(args.campaigns)
-    products = spark.read.parquet(args.products) if args.products else None
-    return refresh_gold(spark, sinks, campaigns, os.path.join(args.root, "gold"),
-                        products=products, product_sink=sinks["products"] if products else None)
+    def table(path: str | None) -> DataFrame | None:
+        return spark.read.parquet(path) if path else None
+
+    return refresh_gold(spark, args.root, table(args.campaigns), table(args.products), table(args.customers),
+                        prune=args.prune)
 
 
 def run_dims(spark: SparkSession, args) -> dict[str, str]:
-    """Dimension load: landed JSON records -> cleaned, typed tables (overwrite).
+    """Dimension load: landed JSON lines -> cleaned, typed tables (overwrite).
 
-    products: price text -> float (bad text 0.0, missing -> ``product_quarantine``);
-    users: nested records flattened to customer attributes; campaigns: tag list
-    joined to text, plus the campaign -> product link table.  With ``--jdbc-url``
-    the tables are also written over JDBC (overwrite, the table is recreated).
+    Each table is split on its declared non-null fields; what is rejected is written
+    beside it as ``<table>_quarantine`` (the line and the reason).  With ``--events`` (the
+    decoded events table) and users, the customers table and its messages keyed by id are
+    written too.  With ``--jdbc-url`` the tables are also written over JDBC (overwrite, the
+    table is recreated).
     """
-    out: dict[str, DataFrame] = {}
+    paths: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        paths[name] = os.path.join(args.out, name)
+        df.write.mode("overwrite").parquet(paths[name])
+
+    def both(name: str, split: tuple[DataFrame, DataFrame]) -> None:
+        write(name, split[0])
+        write(f"{name}_quarantine", split[1])
+
     if args.products:
-        landed = files.read_records(spark, args.products, LANDED_PRODUCT_SCHEMA)
-        valid, rejected = dims.clean_prices(landed)
-        valid, missing = files.enforce_not_null(files.conform(valid, PRODUCT_SCHEMA), PRODUCT_SCHEMA)
-        out["product"] = valid
-        out["product_quarantine"] = rejected.unionByName(
-            missing.withColumn("price", missing["price"].cast("string")), allowMissingColumns=True)
+        both("product", dims_load.products(spark.read.text(args.products)))
     if args.users:
-        out["users"] = dims.flatten_users(files.read_records(spark, args.users, LANDED_USER_SCHEMA))
+        both("users", dims_load.users(spark.read.text(args.users)))
     if args.campaigns:
-        landed = files.read_records(spark, args.campaigns, LANDED_CAMPAIGN_SCHEMA)
-        out["campaign"] = files.conform(dims.join_tags(landed, "tags"), CAMPAIGN_SCHEMA)
-        out["campaign_product_interactions"] = dims.campaign_links(
-            landed.filter(landed["product_id"].isNotNull()))
-    paths = {}
-    for name, df in out.items():
-        paths[name] = os.path.join(args.out, name)
-        df.write.mode("overwrite").parquet(paths[name])
-        if args.jdbc_url and not name.endswith("quarantine"):
-            conn = jdbc.connection_options(args.jdbc_url, args.jdbc_user,
-                                           os.environ.get(args.jdbc_password_env or "", None))
-            jdbc.write_table(spark.read.parquet(paths[name]), conn, name, mode="overwrite")
+        lines = spark.read.text(args.campaigns)
+        both("campaign", dims_load.campaigns(lines))
+        both("campaign_product_interactions",
+             dims_load.links(files.parse_records(lines, dims_load.LANDED["campaign"])))
+    if args.events and args.users:
+        events = spark.read.parquet(args.events).filter("valid")
+        write("customers", dims.customers_table(events, spark.read.parquet(paths["users"])))
+        messages = kafka.id_keyed_messages(spark.read.parquet(paths["customers"]), "id")
+        write("customers_messages", messages)
+        if args.publish:
+            kafka.write_topic_batch(spark.read.parquet(paths["customers_messages"]), args.publish,
+                                    args.customers_topic)
+    if args.jdbc_url:
+        conn = jdbc.connection_options(args.jdbc_url, args.jdbc_user,
+                                       os.environ.get(args.jdbc_password_env or "", None))
+        for name, path in paths.items():
+            if not name.endswith(("_quarantine", "_messages")):
+                jdbc.write_table(spark.read.parquet(path), conn, name, mode="overwrite")
     return paths
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="inboxlens.apps")
     sub = p.add_subparsers(dest="job", required=True)
-    s = sub.add_parser("silver")
-    s.add_argument("--source", choices=["kafka", "files"], default="kafka")
-    s.add_argument("--bootstrap")
-    s.add_argument("--topic")
-    s.add_argument("--path", help="landed message folder (source=files)")
-    s.add_argument("--root", required=True)
-    s.add_argument("--max-per-trigger", type=int, default=None)
+
+    def stream(name: str) -> argparse.ArgumentParser:
+        s = sub.add_parser(name)
+        s.add_argument("--source", choices=["kafka", "files"], default="kafka")
+        s.add_argument("--bootstrap")
+        s.add_argument("--topic")
+        s.add_argument("--path", help="landed message folder (source=files)")
+        s.add_argument("--root", required=True)
+        s.add_argument("--max-per-trigger", type=int, default=None,
+                       help="offsets or files of a micro-batch (default: a million offsets, 1 GB of files)")
+        s.add_argument("--trigger", default=TRIGGER, help="processing time of the live trigger")
+        s.add_argument("--available-now", action="store_true")
+        return s
+
+    def database(s: argparse.ArgumentParser) -> None:
+        s.add_argument("--jdbc-url")
+        s.add_argument("--jdbc-user")
+        s.add_argument("--jdbc-password-env", help="name of the variable holding the password")
+
+    s = stream("silver")
     s.add_argument("--state-partitions", type=int, default=None)
-    s.add_argument("--available-now", action="store_true")
-    s.add_argument("--decode-once", action="store_true",
-                   help="decode the topic once into a table the aggregates stream from")
+    s.add_argument("--publish", metavar="BOOTSTRAP", help="also publish the changelogs to their topics")
+    s.add_argument("--enrich-products", help="product table for the enriched events")
+    s.add_argument("--enrich-campaigns", help="campaign table for the enriched events")
+    s = stream("route")
+    s.add_argument("--to", metavar="BOOTSTRAP", help="broker of the destination topics (default: a folder)")
+    s = stream("fanout")
+    s.add_argument("--to", metavar="BOOTSTRAP", help="broker of the message topic (default: a folder)")
+    s.add_argument("--to-topic")
+    s.add_argument("--jdbc-table")
+    database(s)
     g = sub.add_parser("gold")
     g.add_argument("--root", required=True)
     g.add_argument("--campaigns", required=True)
     g.add_argument("--products")
+    g.add_argument("--customers", help="customers table of the dimension load, for the header")
+    g.add_argument("--prune", action="store_true", help="delete changelog batches that older snapshots hold")
     d = sub.add_parser("dims")
     d.add_argument("--products", help="landed product JSON")
     d.add_argument("--users", help="landed nested user JSON")
     d.add_argument("--campaigns", help="landed campaign JSON")
+    d.add_argument("--events", help="decoded events table, for the customers table")
     d.add_argument("--out", required=True)
-    d.add_argument("--jdbc-url")
-    d.add_argument("--jdbc-user")
-    d.add_argument("--jdbc-password-env", help="name of the variable holding the password")
+    d.add_argument("--publish", metavar="BOOTSTRAP", help="also publish the customers' messages")
+    d.add_argument("--customers-topic")
+    database(d)
     return p
 
 
+JOBS = {"silver": run_silver, "route": run_route, "fanout": run_fan, "gold": run_gold, "dims": run_dims}
+
+
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"inboxlens-{args.job}").getOrCreate()
-    {"silver": run_silver, "gold": run_gold, "dims": run_dims}[args.job](spark, args)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates and times are read and shown in UTC
+    JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..schemas import DEFAULT_LABELS, EventLabels
 
 
-def is_type(labels: tuple[str, ...], col: str = "type_event") -> Column:
-    return F.col(col).isin(*labels)
-
-
 def stage_rank(labels: EventLabels = DEFAULT_LABELS, col: str = "type_event") -> Column:
     """1 for SENT ... 5 for FORWARDED; null for types outside the funnel."""
     expr = None

@@ -13,23 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from ..functions import utc
 from ..functions.contract import violations
 from ..schemas import EVENT_COLUMNS, EVENT_SCHEMA
 
-# ISO-8601 with microseconds and offset: keeps the full precision on the wire.
-WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-
 
 def encode_events(events: DataFrame, key_col: str = "customer_id", extra=(),
                   event_date_text: Column | None = None) -> DataFrame:
     """Typed events -> (key, value) messages.
 
     key = the customer id as text; value = JSON of the event columns (null fields
-    omitted).  ``event_date`` travels as ISO text with microseconds and the zone.
+    omitted).  ``event_date`` travels as ISO text in UTC with microseconds.
     ``event_date_text``, when given, overrides the rendered time where non-null.
     The typed ``event_date`` and ``extra`` columns are passed through.
     """
-    rendered = F.date_format(F.col("event_date"), WIRE_TIMESTAMP_FORMAT)
+    rendered = utc.iso_text("event_date")
     if event_date_text is not None:
         rendered = F.coalesce(event_date_text, rendered)
     fields = [rendered.alias("event_date") if c == "event_date" else F.col(c)
@@ -43,7 +41,9 @@ def encode_events(events: DataFrame, key_col: str = "customer_id", extra=(),
 
 
 def decode_events(raw: DataFrame, value_col: str = "value", keep=("key",)) -> DataFrame:
-    """Raw messages -> typed events + ``violations`` (array<string>).
+    """Raw messages -> ``key``, ``value`` (as it came), typed events and ``violations``
+    (array<string>).  The payload stays with the row, so a rejected or routed message can
+    be sent on or replayed whole.
 
     The message is parsed once with ``json_tuple`` over the declared field
     names, then each field is ``try_cast`` to its declared type: absent keys,
@@ -59,10 +59,11 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep=("key",)) -> Da
             else F.col(c) for c in keep]  # topic records carry binary keys
     parsed = raw.select(
         *kept,
+        F.col(value_col).alias("value"),
         text.isNull().alias("__no_value"),
         F.json_tuple(text, *EVENT_COLUMNS).alias(*[f"__j_{c}" for c in EVENT_COLUMNS]))
     typed = parsed.select(
-        *[F.col(c) for c in keep],
+        *[F.col(c) for c in keep], "value",
         "__no_value",
         *[_typed(f"__j_{f.name}", f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
     checks = F.concat(F.array_compact(F.array(F.when(F.col("__no_value"), F.lit("value")))),
@@ -77,11 +78,13 @@ def _typed(name: str, dtype) -> Column:
 
 
 def valid_events(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.size("violations") == 0).drop("violations")
+    """The typed events that meet the contract (key and payload dropped)."""
+    return decoded.filter(F.size("violations") == 0).select(*EVENT_COLUMNS)
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
-    """Rejected rows with a comma-separated ``reason`` naming the failed columns."""
+    """Rejected rows, payload included, with a comma-separated ``reason`` naming the
+    failed columns."""
     return (decoded.filter(F.size("violations") > 0)
             .withColumn("reason", F.array_join("violations", ","))
             .drop("violations"))

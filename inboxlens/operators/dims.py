@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import EMAIL_DOMAINS
+from ..schemas import CUSTOMER_SCHEMA
+from ..sources.files import conform
 
 
 def clean_prices(landed: DataFrame, price_col: str = "price") -> tuple[DataFrame, DataFrame]:
@@ -47,14 +48,13 @@ def flatten_users(users: DataFrame, key: str = "user_key") -> DataFrame:
     """Nested user records -> flat customer attributes.
 
     ``name_customer = first + ' ' + last``; the e-mail is
-    ``<first>-<number>@<domain>.com.co`` with the number and domain chosen from
-    the user key (the number is the key, the domain is the key modulo the list).
+    ``<first>-<email_number>@<email_domain>.com.co``, null when a part is missing.
     """
-    domains = F.array(*[F.lit(d) for d in EMAIL_DOMAINS])
-    domain = F.element_at(domains, (F.pmod(F.col(key), F.lit(len(EMAIL_DOMAINS))) + 1).cast("int"))
+    email = F.concat(F.col("name.first"), F.lit("-"), F.col("email_number").cast("string"), F.lit("@"),
+                     F.col("email_domain"), F.lit(".com.co"))
     return users.select(
         F.col(key).alias("id"),
-        F.format_string("%s-%d@%s.com.co", F.col("name.first"), F.col(key), domain).alias("email"),
+        email.alias("email"),
         F.concat_ws(" ", F.col("name.first"), F.col("name.last")).alias("name_customer"),
         F.col("location.timezone.description").alias("description_customer"),
         F.col("gender"),
@@ -71,3 +71,8 @@ def audience(events: DataFrame, users_flat: DataFrame) -> DataFrame:
     return pairs.join(users_flat, "id", "inner").select(
         "id", "campaign_id", "email", "name_customer", "description_customer", "gender",
         "country", "city", "state")
+
+
+def customers_table(events: DataFrame, users_flat: DataFrame) -> DataFrame:
+    """The customers table in its declared columns and types, key (campaign_id, id)."""
+    return conform(audience(events, users_flat), CUSTOMER_SCHEMA)

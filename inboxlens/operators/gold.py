@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rates import half_even_percent, rate_or_zero
-from ..functions.stages import count_if, stage_rank
+from ..functions.stages import count_if
 from ..schemas import DEFAULT_LABELS, FUNNEL_STAGES, TOP_K, EventLabels
 from .joins import join_bounded, semi_join_ids, top_k
+from .silver import delivery_counts, furthest_stages
 
 
 # --- G1: city traffic -------------------------------------------------------
@@ -108,18 +109,27 @@ def best_product(ranking: DataFrame) -> DataFrame:
 
 # --- G4: header counts ------------------------------------------------------
 
-def header_counts(events: DataFrame) -> DataFrame:
-    """Total events, total audience rows (distinct (campaign, customer) pairs, the
-    key of the customers table) and distinct people, as one row.
+def header_counts(events: DataFrame, customers: DataFrame) -> DataFrame:
+    """Total events, rows of the customers table, and distinct people in it, as one row."""
+    return header_from_counts(events.agg(F.count(F.lit(1)).alias("total_events")), customers)
+
+
+def header_from_silver(city_counts: DataFrame, customers: DataFrame) -> DataFrame:
+    """The header from the compacted (campaign, city) totals, whose sum is every event."""
+    total = F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("total_events")
+    return header_from_counts(city_counts.agg(total), customers)
 
-    Three reductions, each pre-aggregated map-side: pairs -> customers -> total.
-    """
-    pairs = events.groupBy("campaign_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
-    people = pairs.groupBy("customer_id").agg(F.sum("n").alias("n"),
-                                              F.count(F.lit(1)).alias("pairs"))
-    return people.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_events"),
-                      F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("total_customers"),
-                      F.count("customer_id").alias("distinct_customers"))
+
+def header_from_counts(total: DataFrame, customers: DataFrame) -> DataFrame:
+    """Two results of one row each, added up into one.  People are counted in two map-side
+    combined steps instead of ``count(DISTINCT)``."""
+    people = customers.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    counts = people.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_customers"),
+                        F.count("id").alias("distinct_customers"))
+    zero = F.lit(0).cast("long")
+    names = ["total_events", "total_customers", "distinct_customers"]
+    parts = [df.select(*[F.col(c) if c in df.columns else zero.alias(c) for c in names]) for df in (total, counts)]
+    return parts[0].unionByName(parts[1]).agg(*[F.sum(c).alias(c) for c in names])
 
 
 # --- A12-A16 ----------------------------------------------------------------
@@ -141,16 +151,23 @@ def user_ctr(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFra
     return per.withColumn("ctr", rate_or_zero("clickers", "openers"))
 
 
-def user_ctr_from_engagement(engagement: DataFrame,
+def user_ctr_from_engagement(engagement: DataFrame, campaigns: DataFrame,
                              labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
     """CTR from the compacted engagement table: it has one row per (campaign,
     customer, type), so counting rows per type counts distinct people exactly
-    (streams refuse exact distinct counts; this needs none)."""
+    (streams refuse exact distinct counts; this needs none).  ``campaigns`` has a row
+    for every campaign seen (the compacted type counts): those without an open or a click
+    are in the result too, with zeros."""
     t = F.col("type_event")
     per = engagement.filter(F.col("customer_id").isNotNull()).groupBy("campaign_id").agg(
         count_if(t.isin(*labels.clicked)).alias("clickers"),
         count_if(t.isin(*labels.opened)).alias("openers"))
-    return per.withColumn("ctr", rate_or_zero("clickers", "openers"))
+    every = campaigns.select(F.col("campaign_id").alias("__c")).distinct()
+    zero = F.lit(0).cast("long")
+    full = every.join(per, F.col("__c").eqNullSafe(F.col("campaign_id")), "left").select(
+        F.col("__c").alias("campaign_id"), F.coalesce("clickers", zero).alias("clickers"),
+        F.coalesce("openers", zero).alias("openers"))
+    return full.withColumn("ctr", rate_or_zero("clickers", "openers"))
 
 
 def funnel(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
@@ -159,9 +176,10 @@ def funnel(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame
     The furthest stage per (campaign, customer) is the max stage rank of its
     events; ``reached_k`` counts customers with furthest >= k.
     """
-    furthest = (events.select("campaign_id", "customer_id",
-                              stage_rank(labels).alias("stage"))
-                .groupBy("campaign_id", "customer_id").agg(F.max("stage").alias("furthest")))
+    return funnel_from_stages(furthest_stages(events, labels))
+
+
+def funnel_from_stages(furthest: DataFrame) -> DataFrame:
     names = [s.lower() for s in FUNNEL_STAGES]
     per = furthest.groupBy("campaign_id").agg(
         *[count_if(F.col("furthest") >= i).alias(n) for i, n in enumerate(names, start=1)])
@@ -172,11 +190,10 @@ def funnel(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame
 
 def deliverability(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
     """Per campaign: events, SPAM and HARD_BOUNCE counts and rates (% of events)."""
-    t = F.col("type_event")
-    per = events.groupBy("campaign_id").agg(
-        F.count(F.lit(1)).alias("events"),
-        count_if(t.isin(*labels.spam)).alias("spam"),
-        count_if(t.isin(*labels.hard_bounce)).alias("hard_bounce"))
+    return deliverability_from_counts(delivery_counts(events, labels))
+
+
+def deliverability_from_counts(per: DataFrame) -> DataFrame:
     return per.select("campaign_id", "events", "spam", "hard_bounce",
                       rate_or_zero("spam", "events").alias("spam_rate"),
                       rate_or_zero("hard_bounce", "events").alias("bounce_rate"))

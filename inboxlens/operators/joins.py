@@ -2,20 +2,20 @@
 
 Broadcast rules
 ---------------
-* ``broadcast()`` is only applied to sides whose size is bounded by construction
-  (a ``limit(k)`` result: a top-k report or a hot-key set from ``hot_keys``) or
-  whose row count was checked against a bound (``broadcast_if_small``).
+* ``broadcast()`` is only applied to sides whose size is bounded by construction: a
+  ``limit(k)`` result, or the hot keys of a fact table (``hot_keys``: at most its rows
+  divided by the rows a task should take).
 * Dimension look-ups are plain joins: Catalyst broadcasts a side when its size
-  estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
+  estimate in bytes is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
   the real shuffle size at run time; beyond that the join is a sort-merge join
   whose hot partitions AQE's skew-join handling splits across tasks.
 
 Null keys
 ---------
 A left look-up on a mostly-null key (``product_id`` is set on clicks only) would
-hash every null to one shuffle partition.  ``left_lookup`` salts null keys so
-they spread over many partitions (they can never match anyway), and can split
-the keys of a bounded hot-key set over several sub-keys.
+hash every null to one shuffle partition.  ``left_lookup`` joins null keys on a hash of
+their row (they can never match anyway), so they spread over all partitions however
+many rows there are, and can split hot keys over sub-keys counted from the data.
 """
 
 from __future__ import annotations
@@ -40,83 +40,64 @@ def join_bounded(big: DataFrame, small_bounded: DataFrame, on: Column | str | li
     return big.join(F.broadcast(small_bounded), on, how)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
-    """Broadcast hint only behind a size check: counts at most ``max_rows + 1``
-    rows of ``df`` (meant for a materialised, e.g. checkpointed, side) and hints
-    a broadcast when it is within the bound; otherwise the frame is returned
-    unchanged and the join stays a shuffle join."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if small else df), small
+def hot_keys(fact: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """``(key, salts)``: the non-null keys of ``fact`` with more than ``target_rows`` rows,
+    and over how many sub-keys to split each so that a task gets about that many.
 
-
-def hot_keys(fact: DataFrame, key: str, k: int = 64) -> DataFrame:
-    """The ``k`` most frequent non-null keys of ``fact`` (at most ``k`` rows).
-
-    A partial aggregate on one column, then a top-k: the result's size is
-    bounded by ``k`` whatever the data, so it may be broadcast.
+    A partial aggregate on one column; the result has at most ``rows / target_rows`` rows.
     """
     counts = (fact.filter(F.col(key).isNotNull())
               .groupBy(key).agg(F.count(F.lit(1)).alias("__n")))
-    return top_k(counts, [F.col("__n").desc(), F.col(key)], k).select(key)
+    return (counts.filter(F.col("__n") > target_rows)
+            .select(key, F.ceil(F.col("__n") / target_rows).cast("int").alias("salts")))
 
 
-def lookup_side(dim: DataFrame, dim_key: str, key_type: DataType | None = None,
-                hot: DataFrame | None = None, hot_salts: int = 32) -> DataFrame:
-    """The dimension side of ``left_lookup``: key, null flag and hot-key salts
-    (each hot key's row replicated once per salt).  Static, so a stream may
-    materialise it once (``checkpoint()``) instead of rebuilding it per batch."""
-    key_type = key_type or dim.schema[dim_key].dataType
+def _lookup_side(dim: DataFrame, dim_key: str, key_type: DataType,
+                 hot: DataFrame | None) -> DataFrame:
+    """The dimension side: key, null flag and salts (each hot key's row once per sub-key)."""
     d = dim.select(F.lit(False).alias("__ld_null"), F.col(dim_key).cast(key_type).alias("__ld_val"),
                    *[F.col(c) for c in dim.columns if c != dim_key])
     if hot is None:
-        return d.withColumn("__ld_salt", F.lit(0))
+        return d.withColumn("__ld_salt", F.lit(0).cast("long"))
     flags = _hot_flags(hot, key_type)
     return (join_bounded(d, flags, F.col("__ld_val") == F.col("__hk"), "left")
             .withColumn("__ld_salt", F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(hot_salts - 1)))
-                 .otherwise(F.array(F.lit(0)))))
-            .drop("__hk", "__hot"))
+                F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("__salts"), F.lit(1)) - F.lit(1).cast("long"))))
+            .drop("__hk", "__salts"))
 
 
 def _hot_flags(hot: DataFrame, key_type: DataType) -> DataFrame:
-    return hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"), F.lit(True).alias("__hot"))
+    return hot.select(F.col(hot.columns[0]).cast(key_type).alias("__hk"), F.col("salts").alias("__salts"))
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                salt_cols: Sequence[str] | None = None, salt_buckets: int = 1024,
-                hot: DataFrame | None = None, hot_salts: int = 32,
-                prepared: DataFrame | None = None) -> DataFrame:
+                salt_cols: Sequence[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key``, keeping every fact row, one scan.
 
     ``dim_key`` must be unique in ``dim`` (a dimension).  The join runs on
-    ``(key is null, coalesce(key, salt), hot salt)``:
-
-    * a null key gets a deterministic salt (a hash of ``salt_cols``, stable under
-      task retries) so null rows spread over ``salt_buckets`` shuffle keys, and
-      its ``true`` flag never matches a dimension row;
-    * keys listed in ``hot`` (a bounded key set, e.g. from ``hot_keys``) are split
-      over ``hot_salts`` sub-keys on the fact side, and their dimension rows are
-      replicated once per sub-key (``|hot| * hot_salts`` extra rows), so one hot
-      key no longer lands in one task.  Without ``hot``, batch plans rely on
-      AQE's skew-join split, which streaming micro-batches do not have.
-
-    ``prepared`` is the output of ``lookup_side`` for the same ``dim``/``hot``
-    (e.g. materialised once for a stream); otherwise it is built here.
+    ``(key is null, key, salt)``:
+
+    * a row without key takes a hash of ``salt_cols`` for its key (stable under task
+      retries; all 64 bits of it), and its ``true`` flag never matches a dimension row;
+    * keys listed in ``hot`` (``hot_keys``) are split over their number of sub-keys on
+      the fact side, and their dimension rows are replicated once per sub-key, so one
+      hot key no longer lands in one task.  Without ``hot``, batch plans rely on AQE's
+      skew-join split, which streaming micro-batches do not have.
     """
     salt_cols = list(salt_cols or fact.columns)
     key_type = _common_key_type(fact.schema[fact_key].dataType, dim.schema[dim_key].dataType)
-    d = prepared if prepared is not None else lookup_side(dim, dim_key, key_type, hot, hot_salts)
+    d = _lookup_side(dim, dim_key, key_type, hot)
     h = F.xxhash64(*[F.col(c) for c in salt_cols])
     f = (fact.withColumn("__lk_null", F.col(fact_key).isNull())
-             .withColumn("__lk_val", F.coalesce(F.col(fact_key).cast(key_type),
-                                                F.pmod(h, F.lit(salt_buckets)).cast(key_type))))
-    if hot is None:
-        f = f.withColumn("__lk_salt", F.lit(0))
-    else:
-        f = (join_bounded(f, _hot_flags(hot, key_type),
-                          (F.col("__lk_val") == F.col("__hk")) & ~F.col("__lk_null"), "left")
-             .withColumn("__lk_salt", F.when(F.col("__hot"), F.pmod(h, F.lit(hot_salts))).otherwise(0))
-             .drop("__hk", "__hot"))
+             .withColumn("__lk_val", F.coalesce(F.col(fact_key).cast(key_type), h.cast(key_type))))
+    sub_key = F.lit(0).cast("long")
+    if hot is not None:
+        f = join_bounded(f, _hot_flags(hot, key_type),
+                         (F.col("__lk_val") == F.col("__hk")) & ~F.col("__lk_null"), "left")
+        sub_key = F.coalesce(F.pmod(h, F.col("__salts").cast("long")), sub_key)
+    f = f.withColumn("__lk_salt", sub_key)
+    if hot is not None:
+        f = f.drop("__hk", "__salts")
     cond = ((F.col("__lk_null") == F.col("__ld_null")) & (F.col("__lk_val") == F.col("__ld_val"))
             & (F.col("__lk_salt") == F.col("__ld_salt")))
     return f.join(d, cond, "left").drop("__lk_null", "__lk_val", "__lk_salt",
@@ -124,11 +105,8 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def _common_key_type(a: DataType, b: DataType) -> DataType:
-    if a == b:
-        return a
-    if isinstance(a, IntegralType) and isinstance(b, IntegralType):
-        return LongType()
-    return StringType()
+    """Long for integers (a hash has room in it), else text."""
+    return LongType() if isinstance(a, IntegralType) and isinstance(b, IntegralType) else StringType()
 
 
 def semi_join_ids(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:

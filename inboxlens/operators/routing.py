@@ -29,5 +29,6 @@ def topic_rule(labels: EventLabels = DEFAULT_LABELS) -> Column:
 
 
 def route_events(decoded: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
-    """Decoded events (with ``violations``) -> (topic, key, type_event, value-less row)."""
-    return decoded.select(topic_rule(labels).alias("topic"), "key", "type_event")
+    """Decoded events (with ``violations``) -> messages (topic, key, value) as the topic
+    writer takes them, with ``type_event`` beside them."""
+    return decoded.select(topic_rule(labels).alias("topic"), "key", "value", "type_event")

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
 
-from ..functions.stages import count_if
+from ..functions.stages import count_if, stage_rank
 from ..functions.useragent import client_columns
 from ..schemas import DEFAULT_LABELS, EventLabels
-from .joins import left_lookup, lookup_side
+from .joins import left_lookup
 
 
 def campaign_city_counts(events: DataFrame) -> DataFrame:
@@ -50,10 +49,26 @@ def product_counts(events: DataFrame) -> DataFrame:
             .agg(F.count("product_id").alias("count_product")))
 
 
+def furthest_stages(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
+    """The furthest funnel stage of each (campaign, customer): the running part of the
+    funnel; it only grows."""
+    return (events.select("campaign_id", "customer_id", stage_rank(labels).alias("stage"))
+            .groupBy("campaign_id", "customer_id").agg(F.max("stage").alias("furthest")))
+
+
+def delivery_counts(events: DataFrame, labels: EventLabels = DEFAULT_LABELS) -> DataFrame:
+    """Per campaign: events, SPAM and HARD_BOUNCE: the running part of deliverability."""
+    t = F.col("type_event")
+    return events.groupBy("campaign_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        count_if(t.isin(*labels.spam)).alias("spam"),
+        count_if(t.isin(*labels.hard_bounce)).alias("hard_bounce"))
+
+
 def activity_windows(events: DataFrame, duration: str, slide: str | None = None) -> DataFrame:
     """Events per (campaign_id, type_event, event-time window).
 
-    Windows are ``[start, end)`` aligned to the epoch in the session zone (UTC);
+    Windows are ``[start, end)``, aligned to the epoch (UTC) whatever the session zone;
     with ``slide`` each event falls in ``duration / slide`` windows.
     """
     w = F.window("event_date", duration, slide) if slide else F.window("event_date", duration)
@@ -70,7 +85,15 @@ def client_mix(events: DataFrame) -> DataFrame:
     Agents repeat heavily, so events are first counted per (campaign, agent) and
     the regex rules run once per distinct pair instead of once per event.
     """
-    per_agent = events.groupBy("campaign_id", "user_agent").agg(F.count(F.lit(1)).alias("n"))
+    return client_mix_from_agents(agent_counts(events))
+
+
+def agent_counts(events: DataFrame) -> DataFrame:
+    """Events per (campaign_id, user_agent): the running part of the client mix."""
+    return events.groupBy("campaign_id", "user_agent").agg(F.count(F.lit(1)).alias("n"))
+
+
+def client_mix_from_agents(per_agent: DataFrame) -> DataFrame:
     return (per_agent.select("campaign_id", *client_columns("user_agent"), "n")
             .groupBy("campaign_id", "browser_name", "os_name", "device_family")
             .agg(F.sum("n").cast("long").alias("events")))
@@ -85,33 +108,21 @@ def _renamed(df: DataFrame, mapping: dict) -> DataFrame:
     return df.select(*[F.col(k).alias(v) for k, v in mapping.items()])
 
 
-def enrichment_sides(products: DataFrame, campaigns: DataFrame,
-                     hot_products: DataFrame | None = None,
-                     hot_campaigns: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The prepared product and campaign look-up sides of ``enrich_events``."""
-    return (lookup_side(_renamed(products, PRODUCT_LOOKUP), "p_id", IntegerType(), hot_products),
-            lookup_side(_renamed(campaigns, CAMPAIGN_LOOKUP), "c_id", StringType(), hot_campaigns))
-
-
 def enrich_events(events: DataFrame, products: DataFrame, campaigns: DataFrame,
                   hot_products: DataFrame | None = None,
-                  hot_campaigns: DataFrame | None = None,
-                  prepared: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                  hot_campaigns: DataFrame | None = None) -> DataFrame:
     """Events with product and campaign attributes (left joins: no event is lost).
 
     Both dimension keys must be unique.  ``product_id`` is null on most events,
-    so the product look-up salts null keys (``left_lookup``); bounded hot-key
-    sets (``joins.hot_keys``) additionally split the busiest products/campaigns.
-    ``prepared`` takes the sides from ``enrichment_sides`` built once (streams).
+    so the product look-up salts null keys (``left_lookup``); hot-key sets
+    (``joins.hot_keys``) additionally split the busiest products/campaigns.
     """
     prod, camp = _renamed(products, PRODUCT_LOOKUP), _renamed(campaigns, CAMPAIGN_LOOKUP)
-    p_side, c_side = prepared if prepared is not None else (None, None)
     with_product = left_lookup(events, prod, "product_id", "p_id",
                                salt_cols=["customer_id", "event_date", "campaign_id"],
-                               hot=hot_products, prepared=p_side)
+                               hot=hot_products)
     return left_lookup(with_product, camp, "campaign_id", "c_id",
-                       salt_cols=["customer_id", "event_date"], hot=hot_campaigns,
-                       prepared=c_side)
+                       salt_cols=["customer_id", "event_date"], hot=hot_campaigns)
 
 
 def session_counts(events: DataFrame, gap: str = "12 hours", key: str = "customer_id") -> DataFrame:

@@ -13,16 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import utc
 from ..operators import decode, dims, gold, routing, sessions, silver
-from ..sources import fixture
+from ..sources import files, fixture
+from . import dims_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ntz(*cols: str):
     def apply(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
+        return df.select(*[utc.wall(c).alias(c) if c in cols else F.col(c) for c in df.columns])
     return apply
 
 
@@ -50,7 +51,7 @@ def city_top10(spark, sf):
 
 
 def header_counts(spark, sf):
-    return gold.header_counts(fixture.events(spark, sf, geo=False))
+    return gold.header_counts(fixture.events(spark, sf, geo=False), customers_table(spark, sf))
 
 
 def product_popularity(spark, sf):
@@ -71,12 +72,12 @@ def campaign_names(spark, sf):
 
 def json_roundtrip_events(spark, sf):
     decoded = decode.decode_events(fixture.event_messages(spark, sf))
-    return _ntz("event_date")(decode.valid_events(decoded).drop("key"))
+    return _ntz("event_date")(decode.valid_events(decoded))
 
 
 def events_quarantine(spark, sf):
     decoded = decode.decode_events(fixture.event_messages(spark, sf, corrupt=True))
-    return decode.quarantine(decoded).select("key", "reason")
+    return decode.quarantine(decoded).select("key", "value", "reason")
 
 
 def route_events(spark, sf):
@@ -140,6 +141,26 @@ def audience(spark, sf):
     return dims.audience(fixture.events(spark, sf, geo=False), users)
 
 
+def customers_table(spark, sf):
+    """The customers table: its header counts are ``header_counts``."""
+    users = dims.flatten_users(fixture.user_records(spark, sf))
+    return dims.customers_table(fixture.events(spark, sf, geo=False), users)
+
+
+def dims_quarantine(spark, sf):
+    """Every landed dimension record that the load rejects, as it came, with the reason."""
+    out = None
+    for name, lines in fixture.landed_lines(spark, sf).items():
+        schema = dims_load.LANDED[name]
+        _, rejected = files.split_records(files.parse_records(lines, schema), schema)
+        part = rejected.withColumn("table_name", F.lit(name))
+        if name == "campaign":
+            part = part.unionByName(dims_load.links(files.parse_records(lines, schema))[1]
+                                    .withColumn("table_name", F.lit("campaign_product_interactions")))
+        out = part if out is None else out.unionByName(part)
+    return out.select("table_name", "raw", "reason")
+
+
 def price_clean(spark, sf):
     valid, _ = dims.clean_prices(fixture.landed_products(spark, sf))
     return valid.select("id", "title", "category", "price")
@@ -177,6 +198,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "repeat_engagement": repeat_engagement,
     "client_mix": client_mix,
     "audience": audience,
+    "customers_table": customers_table,
+    "dims_quarantine": dims_quarantine,
     "price_clean": price_clean,
     "campaign_links": campaign_links,
     "tag_counts": tag_counts,

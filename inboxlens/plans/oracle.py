@@ -8,7 +8,6 @@ shortcut (e.g. effectiveness sums per-customer counts).
 
 from __future__ import annotations
 
-from ..schemas import EMAIL_DOMAINS
 from ..sources.fixture import USER_AGENTS
 
 
@@ -101,11 +100,6 @@ FROM res"""
 CITY_TOP = _with(EV) + """SELECT city, COUNT(*) AS total_events FROM ev WHERE city IS NOT NULL
 GROUP BY city ORDER BY total_events DESC, city LIMIT 10"""
 
-HEADER = _with(EV) + """SELECT COUNT(*) AS total_events,
-  (SELECT COUNT(*) FROM (SELECT DISTINCT campaign_id, customer_id FROM ev)) AS total_customers,
-  COUNT(DISTINCT customer_id) AS distinct_customers
-FROM ev"""
-
 _POP = """pop AS (
   WITH pc AS (SELECT product_id, COUNT(product_id) AS count_product FROM ev
               WHERE product_id IS NOT NULL GROUP BY product_id
@@ -123,19 +117,41 @@ WHERE uuid_campaign IN (SELECT campaign_id FROM ev)"""
 
 ROUNDTRIP = _with(EV) + f"SELECT {EVENT_COLS} FROM ev"
 
-QUARANTINE = _with(EV) + """SELECT CAST(customer_id AS VARCHAR) AS key,
+# The damaged feed as messages: JSON text of the event's fields, nulls left out.
+MESSAGES = """damaged AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 97 = 2 THEN rpad(COALESCE(city, ''), 31, '#') ELSE city END AS city,
+    CASE WHEN event_id % 97 = 3 THEN NULL ELSE campaign_id END AS campaign_id)
+  FROM ev),
+messages AS (
+  SELECT event_id, type_event, CAST(customer_id AS VARCHAR) AS key,
+    CASE WHEN event_id % 97 = 0 THEN 'not json ' || CAST(customer_id AS VARCHAR) ELSE
+      '{' || array_to_string(list_filter([
+        '"customer_id":' || CAST(customer_id AS VARCHAR),
+        '"campaign_id":"' || campaign_id || '"',
+        '"type_event":"' || type_event || '"',
+        '"event_date":"' || CASE WHEN event_id % 97 = 1 THEN 'bad'
+                                 ELSE strftime(event_date, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END || '"',
+        '"user_agent":"' || user_agent || '"',
+        '"country":"' || country || '"',
+        '"city":"' || city || '"',
+        '"state":"' || state || '"',
+        '"product_id":' || CAST(product_id AS VARCHAR)], lambda x: x IS NOT NULL), ',') || '}' END AS "value"
+  FROM damaged)"""
+
+QUARANTINE = _with(EV, MESSAGES) + """SELECT key, "value",
   CASE event_id % 97 WHEN 0 THEN 'customer_id,campaign_id,type_event,event_date'
        WHEN 1 THEN 'event_date' WHEN 2 THEN 'city' ELSE 'campaign_id' END AS reason
-FROM ev WHERE event_id % 97 IN (0, 1, 2, 3)"""
+FROM messages WHERE event_id % 97 IN (0, 1, 2, 3)"""
 
-ROUTE = _with(EV) + """SELECT
+ROUTE = _with(EV, MESSAGES) + """SELECT
   CASE WHEN event_id % 97 IN (0, 1, 2, 3) THEN 'quarantine'
        WHEN type_event IN ('OPENED', 'CLICKED', 'FORWARDED') THEN 'engagement'
        WHEN type_event IN ('SENT', 'DELIVERED', 'DELIVERED_EVENT') THEN 'delivery'
        WHEN type_event IN ('SPAM', 'HARD_BOUNCE') THEN 'error' ELSE 'unknown' END AS topic,
-  CAST(customer_id AS VARCHAR) AS key,
+  key, "value",
   CASE WHEN event_id % 97 = 0 THEN NULL ELSE type_event END AS type_event
-FROM ev"""
+FROM messages"""
 
 ENRICHED = _with(EV, PRODUCT, CAMPAIGN) + f"""SELECT {', '.join('e.' + c for c in EVENT_COLS.split(', '))},
   p.title AS product_title, p.category AS product_category, p.price AS product_price,
@@ -232,7 +248,7 @@ FROM ev GROUP BY ALL"""
 AUDIENCE = _with(EV) + f""", u AS (
   SELECT c.c_custkey AS id,
          split_part(c.c_name, '#', 1) || '-' || CAST(c.c_custkey AS VARCHAR) || '@'
-           || {_list(EMAIL_DOMAINS)}[c.c_custkey % 10 + 1] || '.com.co' AS email,
+           || 'd' || CAST(c.c_custkey % 10 AS VARCHAR) || '.com.co' AS email,
          concat_ws(' ', split_part(c.c_name, '#', 1), split_part(c.c_name, '#', 2)) AS name_customer,
          concat_ws('/', r.r_name, n.n_name) AS description_customer,
          CAST(NULL AS VARCHAR) AS gender,
@@ -243,6 +259,35 @@ SELECT u.id, p.campaign_id, u.email, u.name_customer, u.description_customer, u.
        u.country, u.city, u.state
 FROM (SELECT DISTINCT campaign_id, customer_id FROM ev) p JOIN u ON p.customer_id = u.id"""
 
+HEADER = AUDIENCE.replace("SELECT u.id, p.campaign_id", ", people AS (SELECT u.id, p.campaign_id", 1) + """)
+SELECT (SELECT COUNT(*) FROM ev) AS total_events, COUNT(*) AS total_customers,
+  COUNT(DISTINCT id) AS distinct_customers FROM people"""
+
+DIMS_QUARANTINE = """WITH product AS (
+  SELECT p_partkey % 11 = 0 AS bad, '{' || array_to_string(list_filter([
+    '"id":' || CAST(CAST(p_partkey AS INTEGER) AS VARCHAR), '"title":"' || p_name || '"',
+    '"description":"' || p_brand || '"', '"category":"' || p_type || '"'], lambda x: x IS NOT NULL), ',') || '}' AS raw
+  FROM part),
+users AS (
+  SELECT c_custkey % 7 = 0 AS bad, '{"name":{' || array_to_string(list_filter([
+    '"first":"' || split_part(c_name, '#', 1) || '"',
+    CASE WHEN contains(c_name, '#') THEN '"last":"' || split_part(c_name, '#', 2) || '"' END], lambda x: x IS NOT NULL), ',')
+    || '},"email_number":' || CAST(c_custkey AS VARCHAR) || '}' AS raw
+  FROM customer),
+campaign AS (
+  SELECT s_suppkey AS k, '{' || array_to_string(list_filter([
+    '"uuid_campaign":"cmp-' || CAST(s_suppkey AS VARCHAR) || '"',
+    CASE WHEN s_suppkey % 5 <> 0 THEN '"name":"' || s_name || '"' END,
+    '"created_by":"' || s_name || '"',
+    CASE WHEN s_suppkey % 5 <> 2 THEN '"product_id":' || CAST(s_suppkey % 21 + 1 AS VARCHAR) END],
+    lambda x: x IS NOT NULL), ',') || '}' AS line
+  FROM supplier)
+SELECT 'product' AS table_name, raw, 'price' AS reason FROM product WHERE bad
+UNION ALL SELECT 'users', raw, 'user_key' FROM users WHERE bad
+UNION ALL SELECT 'campaign', CASE WHEN k % 5 = 1 THEN substr(line, 1, 20) ELSE line END,
+  CASE WHEN k % 5 = 1 THEN 'record' ELSE 'name' END FROM campaign WHERE k % 5 IN (0, 1)
+UNION ALL SELECT 'campaign_product_interactions', line, 'product_id' FROM campaign WHERE k % 5 = 2"""
+
 PRICE_CLEAN = """SELECT id, title, category, COALESCE(TRY_CAST(txt AS FLOAT), CAST(0.0 AS FLOAT)) AS price
 FROM (SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_type AS category,
              CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN '12,5'
@@ -281,6 +326,8 @@ BATCH_SQL = {
     "repeat_engagement": REPEAT,
     "client_mix": CLIENT_MIX,
     "audience": AUDIENCE,
+    "customers_table": AUDIENCE,
+    "dims_quarantine": DIMS_QUARANTINE,
     "price_clean": PRICE_CLEAN,
     "campaign_links": LINKS,
     "tag_counts": TAGS,
@@ -295,6 +342,8 @@ STREAM_EQUALS = {
     "changelog_latest": "engagement_by_customer",
     "stream_activity": "activity_tumbling",
     "stream_product_popularity": "product_popularity",
+    "gold_city_from_silver": "city_top10",
+    "topic_changelog_roundtrip": "events_by_campaign_city",
     "fanout_roundtrip": "json_roundtrip_events",
     "stream_enriched_events": "enriched_events",
     "stream_route_events": "route_events",

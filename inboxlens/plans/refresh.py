@@ -1,10 +1,10 @@
-"""Gold refresh: dashboard tables recomputed from the compacted silver changelogs.
+"""Gold refresh: dashboard tables recomputed from the compacted silver totals.
 
-One call reads the three silver sinks, compacts them (latest value per key),
-computes the gold tables and overwrites each, stamped with ``computed_at``.
-Run it on a schedule (or from a ``foreachBatch`` of a silver stream) for a
-refreshing dashboard; every table is a small result (top-k or one row per
-campaign), so the cost is dominated by reading the compacted silver tables.
+A refresh first brings the snapshot of every silver changelog up to the last committed
+micro-batch (reading only the batches since the snapshot before), then derives all gold
+tables from the snapshots, which hold one row per key: no history is read again and
+nothing needs to be kept in memory.  Every gold table is overwritten, stamped with
+``computed_at``.  Run it on a schedule for a refreshing dashboard.
 """
 
 from __future__ import annotations
@@ -14,92 +14,86 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import gold
+from ..operators import gold, silver
 from ..streaming.changelog import read_latest, snapshot
 from ..streaming.pipeline import with_freshness
 
-
-SILVER_KEYS = {
-    "city": ["campaign_id", "city"],
-    "types": ["campaign_id"],
-    "engagement": ["campaign_id", "customer_id", "type_event"],
-    "products": ["product_id"],
+#: The running aggregates and their keys; every value of theirs only grows.
+SILVER = {
+    "city": (silver.campaign_city_counts, ["campaign_id", "city"]),
+    "types": (silver.campaign_type_counts, ["campaign_id"]),
+    "engagement": (silver.engagement_counts, ["campaign_id", "customer_id", "type_event"]),
+    "products": (silver.product_counts, ["product_id"]),
+    "stages": (silver.furthest_stages, ["campaign_id", "customer_id"]),
+    "delivery": (silver.delivery_counts, ["campaign_id"]),
+    "agents": (silver.agent_counts, ["campaign_id", "user_agent"]),
 }
 
 
-def snapshot_silver(spark: SparkSession, silver_sinks: dict[str, str], snapshots: str) -> dict:
-    """Compact every silver changelog into ``<snapshots>/<name>/upto=<N>`` (run
-    periodically; each run reads only the batches since the previous one)."""
-    return {name: snapshot(spark, path, SILVER_KEYS[name], os.path.join(snapshots, name))
-            for name, path in silver_sinks.items()}
+def silver_paths(root: str, name: str) -> tuple[str, str, str]:
+    """Changelog, checkpoint and snapshot folders of a silver aggregate."""
+    base = os.path.join(root, "silver", name)
+    return tuple(os.path.join(base, part) for part in ("changelog", "checkpoint", "snapshots"))
+
+
+def snapshot_silver(spark: SparkSession, root: str, prune: bool = False) -> dict[str, int | None]:
+    """Bring every silver snapshot up to the last committed batch (independent jobs,
+    submitted together)."""
+    def one(name: str) -> int | None:
+        log, checkpoint, snaps = silver_paths(root, name)
+        return snapshot(spark, log, SILVER[name][1], snaps, checkpoint, prune)
 
+    with ThreadPoolExecutor(max_workers=len(SILVER)) as pool:
+        return dict(zip(SILVER, pool.map(one, SILVER), strict=True))
 
-def compacted_silver(spark: SparkSession, silver_sinks: dict[str, str],
-                     snapshots: str | None = None) -> dict[str, DataFrame]:
-    """Latest value per key of each silver changelog (through the newest snapshot
-    when ``snapshots`` is given)."""
+
+def compacted_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Totals per key of each silver aggregate: newest snapshot and the batches after it."""
     out = {}
-    for name, path in silver_sinks.items():
-        root = os.path.join(snapshots, name) if snapshots else None
-        out[name] = read_latest(spark, path, SILVER_KEYS[name], root).drop("batch_id")
+    for name, (_, keys) in SILVER.items():
+        log, _, snaps = silver_paths(root, name)
+        out[name] = read_latest(spark, log, keys, snaps)
     return out
 
 
-def gold_from_silver(silver: dict[str, DataFrame], campaigns: DataFrame,
-                     products: DataFrame | None = None) -> dict[str, DataFrame]:
+def gold_from_silver(tables: dict[str, DataFrame], campaigns: DataFrame,
+                     products: DataFrame | None = None,
+                     customers: DataFrame | None = None) -> dict[str, DataFrame]:
     """The dashboard tables from compacted silver tables."""
-    engagement = silver["engagement"]
+    engagement = tables["engagement"]
     effectiveness = gold.campaign_effectiveness(engagement, campaigns)
     out = {
-        "city_top10": gold.city_top_from_silver(silver["city"]),
+        "city_top10": gold.city_top_from_silver(tables["city"]),
         "campaign_effectiveness": effectiveness,
         "click_share": gold.click_share(effectiveness),
-        "campaign_types": silver["types"],
+        "campaign_types": tables["types"],
         "repeat_engagement": gold.repeat_engagement(engagement),
-        "user_ctr": gold.user_ctr_from_engagement(engagement),
+        "user_ctr": gold.user_ctr_from_engagement(engagement, tables["types"]),
+        "funnel": gold.funnel_from_stages(tables["stages"]),
+        "deliverability": gold.deliverability_from_counts(tables["delivery"]),
+        "client_mix": silver.client_mix_from_agents(tables["agents"]),
     }
-    if products is not None and "products" in silver:
-        ranking = gold.product_ranking(silver["products"], products)
+    if products is not None:
+        ranking = gold.product_ranking(tables["products"], products)
         out["product_popularity"] = ranking
         out["best_product"] = gold.best_product(ranking)
+    if customers is not None:
+        out["header"] = gold.header_from_silver(tables["city"], customers)
     return out
 
 
-def gold_tables(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
-                products: DataFrame | None = None, product_sink: str | None = None,
-                snapshots: str | None = None) -> dict[str, DataFrame]:
-    """Gold tables (lazy) from the silver changelogs."""
-    sinks = dict(silver_sinks)
-    if product_sink:
-        sinks["products"] = product_sink
-    return gold_from_silver(compacted_silver(spark, sinks, snapshots), campaigns, products)
-
-
-def refresh_gold(spark: SparkSession, silver_sinks: dict[str, str], campaigns: DataFrame,
-                 out_root: str, products: DataFrame | None = None,
-                 product_sink: str | None = None, snapshots: str | None = None) -> dict[str, str]:
-    """Write every gold table (overwrite) with a ``computed_at`` column.
-
-    Each silver changelog is compacted once and kept for the duration of the
-    refresh (several gold tables derive from the same compacted table), then
-    released; the table writes are independent jobs and are submitted together.
-    """
-    sinks = dict(silver_sinks)
-    if product_sink:
-        sinks["products"] = product_sink
-    silver = {name: df.persist() for name, df in compacted_silver(spark, sinks, snapshots).items()}
-    try:
-        tables = gold_from_silver(silver, campaigns, products)
-        paths = {name: os.path.join(out_root, name) for name in tables}
-
-        def write(name: str) -> None:
-            with_freshness(tables[name]).write.mode("overwrite").parquet(paths[name])
-
-        # small independent jobs: submitted together, they share the executors
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            for done in [pool.submit(write, name) for name in tables]:
-                done.result()
-        return paths
-    finally:
-        for df in silver.values():
-            df.unpersist()
+def refresh_gold(spark: SparkSession, root: str, campaigns: DataFrame, products: DataFrame | None = None,
+                 customers: DataFrame | None = None, prune: bool = False) -> dict[str, str]:
+    """Snapshot the silver changelogs below ``root`` and write every gold table."""
+    snapshot_silver(spark, root, prune)
+    tables = gold_from_silver(compacted_silver(spark, root), campaigns, products, customers)
+    paths = {name: os.path.join(root, "gold", name) for name in tables}
+
+    def write(name: str) -> None:
+        with_freshness(tables[name]).write.mode("overwrite").parquet(paths[name])
+
+    # small independent jobs: submitted together, they share the executors
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        for done in [pool.submit(write, name) for name in tables]:
+            done.result()
+    return paths

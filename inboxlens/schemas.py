@@ -45,8 +45,6 @@ CITY_TOPIC = "events-city-aggregation"
 CAMPAIGN_TOPIC = "events-campaign-aggregation"
 EFFECTIVENESS_TOPIC = "campaign-effectiveness"
 
-EMAIL_DOMAINS = ("gmail", "hotmail", "outlook", "yahoo.com", "icloud.com", "mail.com",
-                 "tutanota.com", "fastmail.com", "verizon.net", "godaddy.com")
 # ---------------------------------------------------------------------------
 
 
@@ -150,20 +148,23 @@ USER_RECORD_SCHEMA = StructType([
 
 # Landed (pre-cleaning) records of the dimension load.
 LANDED_PRODUCT_SCHEMA = StructType([
-    StructField("id", IntegerType()),
-    StructField("title", StringType()),
+    StructField("id", IntegerType(), False),
+    StructField("title", StringType(), False),
     StructField("description", StringType()),
-    StructField("category", StringType()),
+    StructField("category", StringType(), False),
     StructField("image", StringType()),
-    StructField("price", StringType()),
+    StructField("price", StringType(), False),
 ])
 
-LANDED_USER_SCHEMA = StructType([StructField("user_key", LongType())] + USER_RECORD_SCHEMA.fields)
+# The number and the domain of the e-mail address come with the record.
+LANDED_USER_SCHEMA = StructType([StructField("user_key", LongType(), False)] + USER_RECORD_SCHEMA.fields
+                                + [StructField("email_number", LongType()),
+                                   StructField("email_domain", StringType())])
 
 LANDED_CAMPAIGN_SCHEMA = StructType([
-    StructField("uuid_campaign", StringType()),
-    StructField("name", StringType()),
-    StructField("created_by", StringType()),
+    StructField("uuid_campaign", StringType(), False),
+    StructField("name", StringType(), False),
+    StructField("created_by", StringType(), False),
     StructField("description", StringType()),
     StructField("valid_campaign", BooleanType()),
     StructField("tags", ArrayType(StringType())),

@@ -7,6 +7,7 @@ handed.  ``build_session`` exists for tests, ``bench.py`` and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -52,16 +53,17 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    key = id(spark)
+    key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="inboxlens-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[key])
+        if not spark.sparkContext.getCheckpointDir():  # one that the user set stays
+            spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[key])
     return _LOCAL_ROOTS[key]
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def local_path(path: str) -> str | None:

@@ -8,13 +8,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def parse_records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Lines of JSON (``value``) -> the declared fields, the line itself (``_raw``) and
+    ``_corrupt`` (null where the line is a record)."""
+    open_ = StructType([StructField(f.name, f.dataType) for f in schema.fields]
+                       + [StructField("_corrupt", StringType())])
+    row = F.from_json("value", open_, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return lines.select(row.alias("r"), F.col("value").alias("_raw")).select("r.*", "_raw")
+
+
+def split_records(parsed: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Parsed records -> (valid, rejected): a line that is no record or lacks a declared
+    non-null field goes to ``rejected (raw, reason)`` as it came."""
+    required = [f.name for f in schema.fields if not f.nullable]
+    bad = F.col("_corrupt").isNotNull()
+    # an empty line or a JSON null has neither fields nor an error
+    names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+    reason = F.when(bad, F.lit("record")).when(F.size(names) > 0, F.array_join(names, ","))
+    marked = parsed.withColumn("_reason", reason)
+    valid = marked.filter(F.col("_reason").isNull()).select(*[f.name for f in schema.fields])
+    rejected = (marked.filter(F.col("_reason").isNotNull())
+                .select(F.col("_raw").alias("raw"), F.col("_reason").alias("reason")))
+    return valid, rejected
+
+
+def read_records_split(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Landed JSON lines -> (valid, rejected); see ``split_records``."""
+    return split_records(parse_records(spark.read.text(path), schema), schema)
+
+
 def read_record_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "json",
                        max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt)

@@ -17,6 +17,9 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from ..functions import utc
 
 # Stand-in labels for the generated event types (anything else -> SPAM),
 # the campaign and product fan-out, and the five user agents picked by event_id % 5.
@@ -26,6 +29,7 @@ OTHER_TYPE = "SPAM"
 N_CAMPAIGNS = 20
 N_LINKED_PRODUCTS = 50
 N_LINK_PRODUCTS = 21
+N_EMAIL_DOMAINS = 10
 USER_AGENTS = (
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
     "Chrome/120.0 Safari/537.36",
@@ -75,6 +79,11 @@ def with_geography(spark: SparkSession, sf_dir: str, df: DataFrame,
               .drop("c_custkey", "c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey"))
 
 
+def _event_time(e: DataFrame) -> Column:
+    """``ts`` is UTC: wall time in the files, whatever zone the session has."""
+    return utc.instant("ts") if isinstance(e.schema["ts"].dataType, TimestampNTZType) else F.col("ts")
+
+
 def events(spark: SparkSession, sf_dir: str, geo: bool = True,
            keep_event_id: bool = False) -> DataFrame:
     """Typed events in the reference shape (``schemas.EVENT_SCHEMA``).
@@ -89,7 +98,7 @@ def events(spark: SparkSession, sf_dir: str, geo: bool = True,
         F.col("user_id").alias("customer_id"),
         campaign_key(k % F.lit(N_CAMPAIGNS)).alias("campaign_id"),
         _type_event().alias("type_event"),
-        F.col("ts").cast("timestamp").alias("event_date"),
+        _event_time(e).alias("event_date"),
         F.lit(None).cast("string").alias("gender"),
         F.lit(None).cast("string").alias("email"),
         F.element_at(agents, (F.pmod(F.col("event_id"), F.lit(len(USER_AGENTS))) + 1).cast("int"))
@@ -185,9 +194,33 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("c_mktsegment").alias("state"),
                  F.struct(F.concat_ws("/", F.col("r_name"), F.col("n_name")).alias("description"))
                   .alias("timezone")).alias("location"),
+        F.col("c_custkey").alias("email_number"),
+        F.concat(F.lit("d"), (F.col("c_custkey") % N_EMAIL_DOMAINS).cast("string")).alias("email_domain"),
     )
 
 
+def landed_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dimension records as landed JSON lines (``value``), with the damage real feeds have:
+    products without a price (every 11th key), users without a key (every 7th), campaigns
+    without a name (keys 0 mod 5), without a product (2 mod 5) or cut short (1 mod 5)."""
+    p = landed_products(spark, sf_dir).drop("tags")
+    u = user_records(spark, sf_dir)
+    key = F.col("user_key")
+    u = u.select(F.when(key % 7 != 0, key).alias("user_key"), "name", "email_number")
+    k = F.col("s_suppkey")
+    c = table(spark, sf_dir, "supplier").select(
+        k, F.to_json(F.struct(
+            campaign_key(k).alias("uuid_campaign"), F.when(k % 5 != 0, F.col("s_name")).alias("name"),
+            F.col("s_name").alias("created_by"),
+            F.when(k % 5 != 2, (k % F.lit(N_LINK_PRODUCTS) + 1).cast("int")).alias("product_id"))).alias("line"))
+    return {
+        "product": p.select(F.to_json(F.struct(*p.columns)).alias("value")),
+        "users": u.select(F.to_json(F.struct(*u.columns)).alias("value")),
+        "campaign": c.select(F.when(k % 5 == 1, F.expr("substring(line, 1, 20)")).otherwise(F.col("line"))
+                             .alias("value")),
+    }
+
+
 def event_messages(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """The events topic as (key, value) JSON messages built from the events table.
 

@@ -48,3 +48,10 @@ def write_table(df: DataFrame, conn: dict, table: str, mode: str = "append",
     (df.write.format("jdbc").options(**conn).option("dbtable", table)
        .option("batchsize", str(batch_size)).option("truncate", str(truncate).lower())
        .mode(mode).save())
+
+
+def append_sink(conn: dict, table: str):
+    """``foreachBatch`` function that appends a micro-batch to a table (S8)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(batch, conn, table)
+    return write

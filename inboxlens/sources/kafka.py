@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def source_options(bootstrap: str, topic: str, starting: str = "earliest",
@@ -39,9 +40,11 @@ def read_topic_batch(spark: SparkSession, bootstrap: str, topic: str, **extra) -
             .options(**source_options(bootstrap, topic, "earliest", "latest", extra)).load())
 
 
-def message_values(df: DataFrame) -> DataFrame:
-    """Raw records -> (key, value) text columns (P1); offsets kept for ordering."""
-    cols = [F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")]
+def message_values(df: DataFrame, text: bool = True) -> DataFrame:
+    """Raw records -> (key, value) text columns (P1); offsets kept for ordering.  With
+    ``text=False`` the payload keeps its bytes (text that is no UTF-8 survives)."""
+    cols = [F.col("key").cast("string").alias("key"),
+            F.col("value").cast("string").alias("value") if text else F.col("value")]
     cols += [F.col(c) for c in ("topic", "partition", "offset") if c in df.columns]
     return df.select(*cols)
 
@@ -58,6 +61,21 @@ def keyed_messages(df: DataFrame, key_cols: Sequence[str], batch_id: int | None
                      F.to_json(row).alias("value"))
 
 
+def decode_changelog(messages: DataFrame, schema: StructType) -> DataFrame:
+    """Changelog messages -> the aggregate's typed rows and ``batch_id`` (S3): what
+    ``keyed_messages`` encoded.  A message that is not one of them raises."""
+    full = StructType([*schema.fields, StructField("batch_id", LongType())])
+    row = F.from_json(F.col("value").cast("string"), full, {"mode": "FAILFAST"})
+    return messages.select(row.alias("r")).select("r.*")
+
+
+def topic_sink(bootstrap: str, topic: str | None = None):
+    """``foreachBatch`` function that writes (key, value[, topic]) messages to a topic (S8)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_topic_batch(batch, bootstrap, topic)
+    return write
+
+
 def id_keyed_messages(df: DataFrame, id_col: str) -> DataFrame:
     """Rows -> (key = id as text, value = JSON of the row) (S9, P5, P6)."""
     return df.select(F.col(id_col).cast("string").alias("key"),

@@ -2,112 +2,185 @@
 
 An update-mode aggregate re-emits the new running total of every key touched
 by a micro-batch.  ``changelog_sink`` stores each micro-batch's rows under
-``batch_id=<n>/``, overwriting that directory, so a replayed batch (after a
-failure, before its commit reached the checkpoint) replaces its own output
-instead of duplicating it.  Readers must compact: summing a changelog counts a
-total once per batch that touched it.
+``epoch=<e>/batch_id=<n>/``, overwriting that directory, so a replayed batch
+(after a failure, before its commit reached the checkpoint) replaces its own
+output instead of duplicating it.  Readers must compact: summing a changelog
+counts a total once per batch that touched it.
+
+* An *epoch* is one checkpoint: with a new checkpoint (a resize, a rebuild) batch
+  ids begin at 0 again, so readers take the newest epoch only.
+* A batch is *committed* once the stream's checkpoint says so; before that its
+  folder may still be written or replaced.  Snapshots stop at the last committed
+  batch, so a row that lands late is never skipped.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+_PLACE = ("epoch", "batch_id")
 
-def changelog_sink(path: str, partition_by: Sequence[str] = ()):
-    """A ``foreachBatch`` function writing each micro-batch to ``path/batch_id=N``
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; any other failure raises."""
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
+    """The numbers in the names of a folder's entries, ascending."""
+    if not path_exists(spark, folder):
+        return []
+    fs, p = _path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names
+                  if n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit())
+
+
+def open_epoch(spark: SparkSession, sink: str, checkpoint: str) -> int:
+    """The epoch of a checkpoint, noted inside it at its first start; a new checkpoint
+    gets a number above every epoch of the sink."""
+    note = f"{checkpoint.rstrip('/')}/epoch"
+    if path_exists(spark, note):
+        return spark.read.parquet(note).first()["epoch"]
+    epoch = max([int(time.time() * 1000), *(e + 1 for e in _numbers(spark, sink, "epoch="))])
+    spark.createDataFrame([(epoch,)], "epoch long").write.mode("overwrite").parquet(note)
+    return epoch
+
+
+def committed_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch that the checkpoint holds as committed (-1: none)."""
+    return max(_numbers(spark, f"{checkpoint.rstrip('/')}/commits"), default=-1)
+
+
+def changelog_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0):
+    """A ``foreachBatch`` function writing each micro-batch to its own folder
     (optionally sub-partitioned, e.g. by a computed ``topic`` column)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         w = batch.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{path}/batch_id={batch_id}")
+        w.parquet(f"{path}/epoch={epoch}/batch_id={batch_id}")
     return write
 
 
 def init_changelog(spark: SparkSession, path: str, schema: StructType,
-                   partition_by: Sequence[str] = ()) -> None:
+                   partition_by: Sequence[str] = (), epoch: int = 0) -> None:
     """Create the sink with an empty, typed ``batch_id=-1`` part so it can always
     be read back, also when the stream delivered nothing."""
     empty = spark.createDataFrame([], schema)
-    leaf = f"{path}/batch_id=-1"
+    leaf = f"{path}/epoch={epoch}/batch_id=-1"
     if partition_by:  # data files must sit at the same depth as the real batches
         empty = empty.drop(*partition_by)
         leaf += "".join(f"/{c}=__empty__" for c in partition_by)
     empty.write.mode("overwrite").parquet(leaf)
 
 
-def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_changelog(spark: SparkSession, path: str, epoch: int | None = None) -> DataFrame:
+    """The rows and ``batch_id`` of one epoch (the newest unless given)."""
+    epoch = max(_numbers(spark, path, "epoch=")) if epoch is None else epoch
+    folder = f"{path}/epoch={epoch}"
+    return spark.read.parquet(folder)
 
 
 def latest_per_key(changelog: DataFrame, keys: Sequence[str],
                    order_col: str = "batch_id") -> DataFrame:
-    """The value columns of the latest changelog row per key (``max_by``)."""
+    """The value columns of the latest changelog row per key (``max_by``): the general
+    case, for values that may also fall."""
     values = [c for c in changelog.columns if c not in keys and c != order_col]
     latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(order_col)).alias("__v")
     return (changelog.groupBy(*keys).agg(latest)
             .select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values]))
 
 
+def totals_per_key(changelog: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Compaction for running totals, which only grow within an epoch: the maximum of
+    every value column per key.  Plain maxima are a hash aggregate with a map-side part;
+    ``latest_per_key`` sorts on both sides of its shuffle."""
+    values = [c for c in changelog.columns if c not in keys and c not in _PLACE]
+    return changelog.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
 def max_per_key(changelog: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Compaction for running totals, which only grow: the max per key."""
+    """``totals_per_key`` for one value column."""
     return changelog.groupBy(*keys).agg(F.max(value).alias(value))
 
 
 # --- snapshots: bounded reads of a long-running changelog ------------------
 
-def _snapshots(spark: SparkSession, snapshot_root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(snapshot_root)
-    except Exception:  # no snapshot written yet
-        return None
+def _newest(spark: SparkSession, path: str, snapshot_root: str) -> tuple[int | None, int | None]:
+    """Newest epoch of the sink, and the last batch that its snapshot holds."""
+    epochs = _numbers(spark, path, "epoch=")
+    if not epochs:
+        return None, None
+    held = _numbers(spark, f"{snapshot_root}/epoch={epochs[-1]}", "upto=")
+    # a snapshot counts once its write is complete
+    done = [n for n in held if path_exists(spark, f"{snapshot_root}/epoch={epochs[-1]}/upto={n}/_SUCCESS")]
+    return epochs[-1], done[-1] if done else None
+
+
+def _after(spark: SparkSession, path: str, epoch: int, upto: int | None) -> DataFrame:
+    log = read_changelog(spark, path, epoch)
+    return log if upto is None else log.filter(F.col("batch_id") > upto)
+
+
+def _merged(spark: SparkSession, path: str, keys: Sequence[str], snapshot_root: str, epoch: int,
+            prev: int | None, upto: int | None = None) -> DataFrame:
+    """Totals of the snapshot ``prev`` and the batches after it (to ``upto``)."""
+    tail = _after(spark, path, epoch, prev)
+    if upto is not None:
+        tail = tail.filter(F.col("batch_id") <= upto)
+    tail = tail.drop("batch_id")
+    if prev is not None:
+        base = spark.read.parquet(f"{snapshot_root}/epoch={epoch}/upto={prev}")
+        tail = base.unionByName(tail)
+    return totals_per_key(tail, keys)
 
 
-def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str],
-             snapshot_root: str, order_col: str = "batch_id") -> int | None:
-    """Write the latest row per key up to the newest batch as ``upto=<N>/``.
+def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str], snapshot_root: str,
+             checkpoint: str, prune: bool = False) -> int | None:
+    """Write the totals per key up to the last committed batch N as
+    ``epoch=<e>/upto=<N>/``; returns N (None if there is none).
 
-    It starts from the previous snapshot and reads only the changelog batches
-    after it (a partition filter on ``batch_id``), so the work per snapshot is
-    bounded by the keys plus the new batches, not by the stream's history.
-    Returns N (None when the changelog is empty).
+    It starts from the previous snapshot and reads only the batches after it (a
+    partition filter on ``batch_id``), so the work is bounded by the keys plus the
+    new batches.  ``prune`` then deletes the folders of batches that the *previous*
+    snapshot already held and of older epochs: a reader that began with that
+    snapshot does not miss them.
     """
-    log = read_changelog(spark, changelog_path)
-    upto = log.agg(F.max(order_col)).first()[0]
-    if upto is None or upto < 0:
+    epoch, prev = _newest(spark, changelog_path, snapshot_root)
+    upto = committed_batch(spark, checkpoint)
+    if epoch is None or upto < 0:
         return None
-    snaps = _snapshots(spark, snapshot_root)
-    prev = snaps.agg(F.max("upto")).first()[0] if snaps is not None else None
     if prev is not None and prev >= upto:
         return prev
-    fresh = log.filter(F.col(order_col) <= upto)
-    if prev is not None:
-        base = snaps.filter(F.col("upto") == prev).drop("upto")
-        fresh = base.unionByName(fresh.filter(F.col(order_col) > prev))
-    latest = latest_per_key(_keep_order(fresh, order_col), keys, order_col="__order")
-    latest.withColumnRenamed("__batch", order_col) \
-        .write.mode("overwrite").parquet(f"{snapshot_root}/upto={upto}")
+    _merged(spark, changelog_path, keys, snapshot_root, epoch, prev, upto).write.mode("overwrite") \
+        .parquet(f"{snapshot_root}/epoch={epoch}/upto={upto}")
+    if prune:
+        fs, _ = _path(spark, changelog_path)
+        old = [f"{changelog_path}/epoch={epoch}/batch_id={n}"
+               for n in _numbers(spark, f"{changelog_path}/epoch={epoch}", "batch_id=")
+               if prev is not None and 0 <= n <= prev]
+        old += [f"{changelog_path}/epoch={e}" for e in _numbers(spark, changelog_path, "epoch=") if e < epoch]
+        for folder in old:
+            fs.delete(_path(spark, folder)[1], True)
     return upto
 
 
-def _keep_order(df: DataFrame, order_col: str) -> DataFrame:
-    """Keep the batch id as a value column too, so a snapshot row remembers which
-    batch its value came from."""
-    return df.withColumn("__order", F.col(order_col)).withColumnRenamed(order_col, "__batch")
-
-
 def read_latest(spark: SparkSession, changelog_path: str, keys: Sequence[str],
-                snapshot_root: str | None = None, order_col: str = "batch_id") -> DataFrame:
-    """Latest value per key: newest snapshot + only the batches after it."""
-    log = read_changelog(spark, changelog_path)
-    snaps = _snapshots(spark, snapshot_root) if snapshot_root else None
-    prev = snaps.agg(F.max("upto")).first()[0] if snaps is not None else None
-    if prev is None:
-        return latest_per_key(log, keys, order_col)
-    base = snaps.filter(F.col("upto") == prev).drop("upto")
-    merged = base.unionByName(log.filter(F.col(order_col) > prev))
-    return latest_per_key(merged, keys, order_col)
+                snapshot_root: str | None = None) -> DataFrame:
+    """Totals per key: newest snapshot + only the batches after it."""
+    if snapshot_root is None:
+        return totals_per_key(read_changelog(spark, changelog_path), keys)
+    epoch, prev = _newest(spark, changelog_path, snapshot_root)
+    return _merged(spark, changelog_path, keys, snapshot_root, epoch, prev)

@@ -14,12 +14,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import decode, gold, joins, routing, silver
-from ..session import fresh_dir, scratch_root
-from ..sources import fixture
-from .changelog import latest_per_key, max_per_key, read_changelog
-from .landing import landed_events
-from .pipeline import event_stream, message_stream, run_changelog, run_fanout, state_settings
+from ..functions import utc
+from ..operators import decode, gold, routing, silver
+from ..schemas import EVENT_SCHEMA
+from ..session import fresh_dir
+from ..sources import fixture, kafka
+from .changelog import latest_per_key, read_changelog, totals_per_key
+from .landing import MESSAGE_SCHEMA, landed_events
+from .pipeline import (event_stream, folder_sink, message_stream, run_changelog, run_enriched, run_fanout,
+                       state_settings)
 
 
 def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update") -> DataFrame:
@@ -40,19 +43,19 @@ LAST_RUN: dict[str, str] = {}
 
 
 def stream_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals only grow, so the maximum per key compacts the changelog."""
     log = _run(spark, sf_dir, silver.campaign_city_counts, "city")
-    return latest_per_key(log, ["campaign_id", "city"]).select("campaign_id", "city", "count")
+    return totals_per_key(log, ["campaign_id", "city"]).select("campaign_id", "city", "count")
 
 
 def stream_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _run(spark, sf_dir, silver.campaign_type_counts, "types")
-    return latest_per_key(log, ["campaign_id"])
+    return totals_per_key(log, ["campaign_id"])
 
 
 def stream_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running totals only grow, so max per key compacts the changelog."""
     log = _run(spark, sf_dir, silver.engagement_counts, "engagement")
-    return max_per_key(log, ["campaign_id", "customer_id", "type_event"], "total_events")
+    return totals_per_key(log, ["campaign_id", "customer_id", "type_event"])
 
 
 def changelog_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,53 +67,67 @@ def changelog_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily event-time windows with the 1-minute watermark, in update mode."""
     log = _run(spark, sf_dir, lambda ev: silver.activity_windows(ev, "1 day"), "activity")
-    out = latest_per_key(log, ["campaign_id", "type_event", "window_start", "window_end"])
-    return out.select("campaign_id", "type_event",
-                      F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "events")
+    out = totals_per_key(log, ["campaign_id", "type_event", "window_start", "window_end"])
+    return out.select("campaign_id", "type_event", utc.wall("window_start").alias("window_start"),
+                      utc.wall("window_end").alias("window_end"), "events")
 
 
 def stream_product_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live product counts, compacted, then the batch ranking (top-k, join, rank)."""
     log = _run(spark, sf_dir, silver.product_counts, "products")
-    counts = max_per_key(log, ["product_id"], "count_product")
-    return gold.product_ranking(counts, fixture.products(spark, sf_dir))
+    return gold.product_ranking(totals_per_key(log, ["product_id"]), fixture.products(spark, sf_dir))
+
+
+def gold_city_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City roll-up and top-k from the compacted (campaign, city) totals of a stream."""
+    return gold.city_top_from_silver(stream_city(spark, sf_dir))
+
+
+def topic_changelog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog as the topic carries it: each micro-batch of a running aggregate as
+    keyed messages; read back, decoded to typed rows and compacted."""
+    landing = landed_events(spark, sf_dir)
+    root = fresh_dir(spark, "topic-changelog")
+    topic = f"{root}/topic"
+    keys = ["campaign_id", "city"]
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(f"{topic}/batch_id=-1")
+    keep = folder_sink(topic)
+    agg = silver.campaign_city_counts(event_stream(spark, landing))
+    run_changelog(agg, f"{root}/changelog", f"{root}/checkpoint", f"topic_{uuid.uuid4().hex[:8]}",
+                  settings=state_settings(spark),
+                  publish=lambda batch, n: keep(kafka.keyed_messages(batch, keys, n), n))
+    messages = spark.read.parquet(topic).select("key", "value")
+    rows = kafka.decode_changelog(messages, agg.schema)
+    return latest_per_key(rows, keys).select("campaign_id", "city", "count")
 
 
 def fanout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One stream, two sinks per micro-batch (table + topic); the topic read back
-    and decoded must give the original events."""
+    """One stream, several sinks per micro-batch (table, topic, quarantine); the topic read
+    back and decoded must give the original events."""
     landing = landed_events(spark, sf_dir)
     root = fresh_dir(spark, "fanout")
-    table_path, topic_path = os.path.join(root, "table"), os.path.join(root, "topic")
-    run_fanout(spark, landing, table_path, topic_path, os.path.join(root, "checkpoint"))
-    topic = spark.read.parquet(topic_path).drop("batch_id")
-    back = decode.valid_events(decode.decode_events(topic)).drop("key")
-    return back.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(f"{root}/topic/batch_id=-1")
+    run_fanout(spark, message_stream(spark, landing), f"{root}/checkpoint", [folder_sink(f"{root}/table")],
+               [folder_sink(f"{root}/topic")], [folder_sink(f"{root}/quarantine")])
+    topic = spark.read.parquet(f"{root}/topic").drop("batch_id")
+    back = decode.valid_events(decode.decode_events(topic))
+    return back.withColumn("event_date", utc.wall("event_date"))
 
 
 def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-static enrichment: each micro-batch of events left-joins the product
-    and campaign tables (append mode, stateless)."""
-    products, campaigns = fixture.products(spark, sf_dir), fixture.campaigns(spark, sf_dir)
-    joins.assert_unique(products, "id")  # a left look-up must not multiply events
-    joins.assert_unique(campaigns, "uuid_campaign")
-    # micro-batches get no AQE skew split: the busiest keys of the event history
-    # (bounded top-k sets, materialised once in the checkpoint folder rather
-    # than recomputed from history in every micro-batch) are salted explicitly
-    history = fixture.events(spark, sf_dir, geo=False)
-    scratch_root(spark)
-    hot_p = joins.hot_keys(history, "product_id").checkpoint(eager=True)
-    hot_c = joins.hot_keys(history, "campaign_id").checkpoint(eager=True)
-    # the static look-up sides are prepared (salted, replicated) once, not per
-    # batch; micro-batches have no AQE, so each side is counted and broadcast
-    # only when within the bound (else the salted shuffle join runs)
-    sides = tuple(joins.broadcast_if_small(side.checkpoint(eager=True))[0]
-                  for side in silver.enrichment_sides(products, campaigns, hot_p, hot_c))
-    log = _run(spark, sf_dir,
-               lambda ev: silver.enrich_events(ev, products, campaigns, hot_p, hot_c, sides),
-               "enriched", mode="append")
-    return log.drop("batch_id").withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
+    """Enrichment in micro-batches: each left-joins the product and campaign tables as they
+    are at that moment."""
+    landing = landed_events(spark, sf_dir)
+    root = fresh_dir(spark, "stream-enriched")
+    products, campaigns = (lambda: fixture.products(spark, sf_dir)), (lambda: fixture.campaigns(spark, sf_dir))
+    empty = silver.enrich_events(spark.createDataFrame([], EVENT_SCHEMA), products(), campaigns())
+    spark.createDataFrame([], empty.schema).write.parquet(f"{root}/enriched/batch_id=-1")
+    name = f"enriched_{uuid.uuid4().hex[:8]}"
+    run_enriched(event_stream(spark, landing), f"{root}/enriched", f"{root}/checkpoint", name,
+                 products, campaigns, settings=state_settings(spark))
+    LAST_RUN["enriched"] = name
+    out = spark.read.parquet(f"{root}/enriched").drop("batch_id")
+    return out.withColumn("event_date", utc.wall("event_date"))
 
 
 def stream_route_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +139,7 @@ def stream_route_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = os.path.join(root, "topics")
     run_changelog(routed, sink, os.path.join(root, "checkpoint"), f"route_{uuid.uuid4().hex[:8]}",
                   mode="append", partition_by=("topic",), settings=state_settings(spark))
-    return read_changelog(spark, sink).select("topic", "key", "type_event")
+    return read_changelog(spark, sink).select("topic", "key", "value", "type_event")
 
 
 STREAM_QUERIES = {
@@ -132,6 +149,8 @@ STREAM_QUERIES = {
     "changelog_latest": changelog_latest,
     "stream_activity": stream_activity,
     "stream_product_popularity": stream_product_popularity,
+    "gold_city_from_silver": gold_city_from_silver,
+    "topic_changelog_roundtrip": topic_changelog_roundtrip,
     "fanout_roundtrip": fanout_roundtrip,
     "stream_enriched_events": stream_enriched_events,
     "stream_route_events": stream_route_events,

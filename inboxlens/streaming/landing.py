@@ -1,23 +1,22 @@
 """Landing of the event topic as files (the producer's role, for file-based streams).
 
 The broker connector is not part of this environment, so a stream reads a
-directory of message files instead of a topic.  Messages are written in
-event-time slices, one write job per slice, so files reach the directory in
-time order; a stream reading ``files_per_slice`` files per trigger (one per core
-by default) then sees one slice per micro-batch, as a live topic would deliver them.
+directory of message files instead of a topic.  Messages are written once, sorted
+into event-time ranges, one file a range, so the files' order is time order; a stream
+that reads ``files_per_slice`` of them per trigger sees one slice of the time per
+micro-batch, as a live topic would deliver them.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..session import fresh_dir, local_path
+from ..session import fresh_dir
+from .changelog import path_exists
 
 MESSAGE_SCHEMA = StructType([StructField("key", StringType()), StructField("value", StringType())])
 
@@ -33,29 +32,17 @@ def land_messages(spark: SparkSession, messages: DataFrame, slices: int = 5,
                   files_per_slice: int | None = None, path: str | None = None) -> Landing:
     """Write (key, value, event_date) messages as ``slices`` time-ordered batches.
 
-    One small aggregate finds the time range; each slice is then written by its
-    own job into ``files_per_slice`` files.  The slice bounds are timestamp
-    literals, so the range filter is pushed into the source scan (row groups
-    outside the slice are skipped by their statistics).
+    One pass: a range partitioning by time (messages without a time first) deals the rows
+    into ``slices * files_per_slice`` files.  The files are named in their order; file
+    streams take files by modification time and then by path.
     """
     path = path or fresh_dir(spark, "landing")
-    # one writer task per core: the write (and each micro-batch's read) scales
+    # one writer task per core and slice: the write (and each micro-batch's read) scales
     # with the cluster instead of a fixed file count
     files_per_slice = files_per_slice or _parallelism(spark)
-    bounds = messages.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        spark.createDataFrame([], MESSAGE_SCHEMA).write.mode("append").parquet(path)
-        return Landing(path, files_per_slice, 0)
-    width = (hi - lo) // slices + dt.timedelta(microseconds=1)
-    t = F.col("event_date")
-    for i in range(slices):
-        # timestamp-literal bounds reach the source scan as pushed filters
-        part = messages.filter((t >= F.lit(lo + i * width)) & (t < F.lit(lo + (i + 1) * width)))
-        if i == 0:  # messages without a parseable time travel with the first slice
-            part = part.unionByName(messages.filter(t.isNull()))
-        (part.select("key", "value").repartition(files_per_slice)
-             .write.mode("append").parquet(path))
+    (messages.repartitionByRange(slices * files_per_slice, F.col("event_date").asc_nulls_first(),
+                                 F.xxhash64("value"))
+     .select("key", "value").write.mode("append").parquet(path))
     return Landing(path, files_per_slice, slices)
 
 
@@ -70,12 +57,10 @@ _LANDINGS: dict[tuple, Landing] = {}
 
 
 def landed_events(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> Landing:
-    """The events topic of a scale directory, landed once per session."""
+    """The events topic of a scale directory, landed once per application."""
     from ..sources import fixture
 
-    key = (id(spark), sf_dir, corrupt)
-    cached = _LANDINGS.get(key)
-    local = local_path(cached.path) if cached is not None else None
-    if cached is None or (local is not None and not os.path.isdir(local)):
+    key = (spark.sparkContext.applicationId, sf_dir, corrupt)
+    if key not in _LANDINGS or not path_exists(spark, _LANDINGS[key].path):
         _LANDINGS[key] = land_messages(spark, fixture.event_messages(spark, sf_dir, corrupt))
     return _LANDINGS[key]

@@ -4,28 +4,30 @@
   watermark (the same decode functions as batch).
 * ``run_changelog``: one silver aggregate in update mode, checkpointed, into a
   ``foreachBatch`` changelog sink; ``availableNow`` runs it to completion.
-* ``start_silver_queries``: the three running aggregates as concurrent queries
-  over one source definition, each with its own checkpoint.
-* ``fanout_sink``: one micro-batch written to a table and to a topic-shaped sink.
+* ``await_all``: waits for several queries; the first failure stops the rest.
+* ``fanout_sink``: one decoded micro-batch to tables, topics and the quarantine.
+* ``enriched_sink``: a micro-batch joined with the look-up tables of the moment.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, StringType, StructField,
+                               StructType)
 
-from ..operators.decode import decode_events, encode_events, valid_events
+from ..functions import utc
+from ..operators import joins, silver
+from ..operators.decode import decode_events, encode_events, quarantine, valid_events
 from ..schemas import EVENT_SCHEMA, WATERMARK_DELAY
-from .changelog import changelog_sink, init_changelog
+from .changelog import changelog_sink, init_changelog, open_epoch
 from .landing import MESSAGE_SCHEMA, Landing
 
-
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -77,37 +79,63 @@ def started_with(spark: SparkSession, settings: dict | None):
                 spark.conf.set(k, v)
 
 
+#: What a stream takes in at most per micro-batch unless told otherwise: the first batch
+#: of a long topic must not be the whole topic.
+MAX_OFFSETS = 1_000_000
+MAX_BYTES = str(1 << 30)
+TRIGGER = "2 seconds"
+
+
 def message_stream(spark: SparkSession, landing: Landing) -> DataFrame:
     """The landed topic as a stream of (key, value) messages."""
-    return (spark.readStream.schema(MESSAGE_SCHEMA)
-            .option("maxFilesPerTrigger", landing.files_per_trigger)
-            .parquet(landing.path))
+    r = spark.readStream.schema(MESSAGE_SCHEMA)
+    if landing.files_per_trigger:
+        r = r.option("maxFilesPerTrigger", landing.files_per_trigger)
+    else:
+        r = r.option("maxBytesPerTrigger", MAX_BYTES)
+    return r.parquet(landing.path)
+
+
+def _triggered(writer, available_now: bool, trigger: str):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
 
 
 def event_stream(spark: SparkSession, landing: Landing,
                  watermark: str | None = WATERMARK_DELAY) -> DataFrame:
     """Typed, contract-valid events with a watermark on ``event_date``."""
-    events = valid_events(decode_events(message_stream(spark, landing))).drop("key")
+    events = valid_events(decode_events(message_stream(spark, landing)))
     return events.withWatermark("event_date", watermark) if watermark else events
 
 
-# The decoded-events table: typed event columns, the rejection reason (null when
-# valid) and the ``valid`` partition column.
+# The decoded-events table: typed event columns; for rejected rows also the payload as it
+# came and the reason (null when valid); the ``valid`` and ``event_day`` partition columns.
 DECODED_SCHEMA = StructType(
-    [StructField("key", StringType())] + list(EVENT_SCHEMA.fields)
+    [StructField("key", StringType()), StructField("value", BinaryType())] + list(EVENT_SCHEMA.fields)
     + [StructField("reason", StringType()), StructField("valid", BooleanType()),
        StructField("event_day", DateType())])
 
+# Client clocks are not to be trusted: days outside of this range share one partition.
+FIRST_DAY, LAST_DAY = "2000-01-01", "2099-12-31"
+
+
+def event_day() -> Column:
+    """The UTC day of an event, null for days that only a wrong clock can give."""
+    d = utc.day("event_date")
+    return F.when(d.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), d)
+
 
 def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
-               available_now: bool = True, wait: bool = True) -> StreamingQuery:
+               available_now: bool = True, wait: bool = True, trigger: str = TRIGGER) -> StreamingQuery:
     """Decode the topic once into a table that every aggregate can stream from.
 
     Valid and rejected rows go to one parquet file sink partitioned by
-    ``valid`` (the quarantine is ``valid=false``) and by ``event_day``, so batch
-    readers of the table prune by date.  The file sink commits files
-    through its metadata log, so downstream file streams see each committed file
-    exactly once, also after a restart of this query.
+    ``valid`` (the quarantine is ``valid=false``, payload included) and by
+    ``event_day``, so batch readers of the table prune by date.  Rows are clustered
+    by day and rejection before the write, so a micro-batch leaves a file for each
+    day rather than one for each day and task; a day's rows are spread over a few
+    tasks by their key.  The file sink commits files through its metadata log, so
+    downstream file streams see each committed file exactly once, also after a
+    restart of this query.
     """
     # create the table folder up front (an empty typed frame in a hidden
     # sub-folder, which file listings skip) so that aggregates started at the
@@ -115,16 +143,17 @@ def run_decode(raw: DataFrame, table_path: str, checkpoint: str, name: str,
     raw.sparkSession.createDataFrame([], DECODED_SCHEMA).write.mode("ignore") \
         .parquet(f"{table_path}/_init")
     decoded = decode_events(raw)
+    bad = F.size("violations") > 0
     rows = decoded.select(
-        *[c for c in decoded.columns if c != "violations"],
-        F.when(F.size("violations") > 0, F.array_join("violations", ",")).alias("reason"),
-        (F.size("violations") == 0).alias("valid"),
-        F.to_date("event_date").alias("event_day"))
+        "key", F.when(bad, F.col("value").cast("binary")).alias("value"),
+        *[F.col(f.name) for f in EVENT_SCHEMA.fields],
+        F.when(bad, F.array_join("violations", ",")).alias("reason"),
+        (~bad).alias("valid"), event_day().alias("event_day"))
+    spread = F.pmod(F.xxhash64("key", "event_date"), F.lit(4))
+    rows = rows.repartition(_default_parallelism(raw.sparkSession), "valid", "event_day", spread)
     writer = (rows.writeStream.queryName(name).format("parquet").partitionBy("valid", "event_day")
               .option("path", table_path).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else \
-        writer.trigger(processingTime="2 seconds")
-    q = writer.start()
+    q = _triggered(writer, available_now, trigger).start()
     if available_now and wait:
         _await(q)
     return q
@@ -145,26 +174,66 @@ def decoded_event_stream(spark: SparkSession, table_path: str,
 def run_changelog(agg: DataFrame, sink: str, checkpoint: str, name: str,
                   mode: str = "update", available_now: bool = True,
                   wait: bool = True, partition_by: tuple[str, ...] = (),
-                  settings: dict | None = None) -> StreamingQuery:
+                  settings: dict | None = None, trigger: str = TRIGGER,
+                  publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Start ``agg`` into a changelog sink.
 
     ``available_now`` processes what is there and stops (tests, scheduled
-    catch-up runs); otherwise a 2-second processing-time trigger runs live.
-    ``wait`` blocks until an ``available_now`` run has finished.
+    catch-up runs); otherwise a processing-time trigger runs live.
+    ``wait`` blocks until an ``available_now`` run has finished.  ``publish`` takes each
+    micro-batch as well (e.g. ``kafka.changelog_topic_sink``): the batch is then kept for
+    both writes.
     """
-    init_changelog(agg.sparkSession, sink, agg.schema, partition_by)
+    spark = agg.sparkSession
+    epoch = open_epoch(spark, sink, checkpoint)
+    init_changelog(spark, sink, agg.schema, partition_by, epoch)
+    write = changelog_sink(sink, partition_by, epoch)
+    sinks = [write] if publish is None else [write, publish]
     writer = (agg.writeStream.queryName(name).outputMode(mode)
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(changelog_sink(sink, partition_by)))
-    writer = writer.trigger(availableNow=True) if available_now else \
-        writer.trigger(processingTime="2 seconds")
-    with started_with(agg.sparkSession, settings):
-        q = writer.start()
+              .option("checkpointLocation", checkpoint).foreachBatch(to_all(sinks)))
+    with started_with(spark, settings):
+        q = _triggered(writer, available_now, trigger).start()
     if available_now and wait:
         _await(q)
     return q
 
 
+def to_all(sinks: Sequence[Callable[[DataFrame, int], None]]):
+    """A ``foreachBatch`` function that hands each micro-batch to every sink; with more
+    than one the batch is computed once and kept meanwhile."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if len(sinks) == 1:
+            sinks[0](batch, batch_id)
+            return
+        batch.persist()
+        try:
+            for sink in sinks:
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def await_all(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until every query has ended.  As soon as one fails, whichever it is, the
+    others are stopped and the failure is raised."""
+    try:
+        while True:
+            for q in queries:
+                if not q.isActive and q.exception() is not None:
+                    raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+            running = [q for q in queries if q.isActive]
+            if not running:
+                break
+            running[0].awaitTermination(1)  # wake up every second: any of them may have failed
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    for q in queries:
+        STREAM_STATS[q.name] = throughput(q)
+
+
 def _await(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:
@@ -186,58 +255,81 @@ def throughput(q: StreamingQuery) -> dict:
             "seconds": ms / 1000.0, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None}
 
 
-def start_silver_queries(spark: SparkSession, landing: Landing, root: str,
-                         available_now: bool = True,
-                         state_partitions: int | None = None) -> dict[str, str]:
-    """The three running silver aggregates as concurrent queries (one source
-    definition, read once per query), each with its own checkpoint; returns the
-    sink path per query.  With ``available_now`` all three run to completion."""
-    from ..operators import silver
+def folder_sink(path: str):
+    """A ``foreachBatch`` function that keeps each micro-batch in ``path/batch_id=N``; a
+    replayed batch overwrites its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return write
 
-    events = event_stream(spark, landing)
-    aggs = {
-        "city": silver.campaign_city_counts(events),
-        "types": silver.campaign_type_counts(events),
-        "engagement": silver.engagement_counts(events),
-    }
-    sinks, running = {}, []
-    for name, agg in aggs.items():
-        sinks[name] = os.path.join(root, name, "changelog")
-        running.append(run_changelog(agg, sinks[name], os.path.join(root, name, "checkpoint"),
-                                     f"silver_{name}_{uuid.uuid4().hex[:8]}",
-                                     available_now=available_now, wait=False,
-                                     settings=state_settings(spark, state_partitions)))
-    if available_now:
-        for q in running:
-            _await(q)
-    return sinks
-
-
-def fanout_sink(table_path: str, topic_path: str):
-    """``foreachBatch``: write valid events to the table and the encoded messages
-    to the topic sink.  The batch is persisted once and written twice; both
-    writes overwrite ``batch_id=N`` so a replayed batch is idempotent."""
+
+def fanout_sink(valid_sinks: Sequence, message_sinks: Sequence, quarantine_sinks: Sequence):
+    """``foreachBatch`` over decoded rows: the typed valid events to every table sink, their
+    encoded messages to every topic sink, and the rejected rows, payload included, to every
+    quarantine sink (functions of (batch, batch id): ``folder_sink``, ``kafka.topic_sink``,
+    ``jdbc.append_sink``).  The decoded batch is computed once."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-            (encode_events(batch).select("key", "value")
-             .write.mode("overwrite").parquet(f"{topic_path}/batch_id={batch_id}"))
+            events = valid_events(batch)
+            for sink in valid_sinks:
+                sink(events, batch_id)
+            for sink in message_sinks:
+                sink(encode_events(events).select("key", "value"), batch_id)
+            for sink in quarantine_sinks:
+                sink(quarantine(batch).select("key", "value", "reason"), batch_id)
         finally:
             batch.unpersist()
     return write
 
 
-def run_fanout(spark: SparkSession, landing: Landing, table_path: str, topic_path: str,
-               checkpoint: str) -> None:
-    events = event_stream(spark, landing, watermark=None)
-    init_changelog(spark, table_path, events.schema)
-    init_changelog(spark, topic_path, MESSAGE_SCHEMA)
-    q = (events.writeStream.queryName(f"fanout_{uuid.uuid4().hex[:8]}")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(fanout_sink(table_path, topic_path))
-         .trigger(availableNow=True).start())
-    _await(q)
+def run_fanout(spark: SparkSession, raw: DataFrame, checkpoint: str, valid_sinks: Sequence,
+               message_sinks: Sequence, quarantine_sinks: Sequence, available_now: bool = True,
+               trigger: str = TRIGGER, wait: bool = True) -> StreamingQuery:
+    """Decode a stream of messages and fan it out; see ``fanout_sink``."""
+    writer = (decode_events(raw).writeStream.queryName(f"fanout_{uuid.uuid4().hex[:8]}")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(fanout_sink(valid_sinks, message_sinks, quarantine_sinks)))
+    q = _triggered(writer, available_now, trigger).start()
+    if available_now and wait:
+        _await(q)
+    return q
+
+
+def enriched_sink(path: str, products: Callable[[], DataFrame], campaigns: Callable[[], DataFrame],
+                  target_rows: int = 1_000_000):
+    """``foreachBatch`` that enriches a micro-batch with the look-up tables *as they are
+    now* and keeps it in ``path/batch_id=N``.
+
+    ``products`` and ``campaigns`` read their table anew for each batch, so a row that was
+    added meanwhile is found.  Micro-batches have no adaptive skew split, so the batch's own
+    key counts say which keys are split, and over how many sub-keys
+    (``joins.hot_keys``)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            p, c = products(), campaigns()
+            joins.assert_unique(p, "id")  # a left look-up must not multiply events
+            joins.assert_unique(c, "uuid_campaign")
+            out = silver.enrich_events(batch, p, c, joins.hot_keys(batch, "product_id", target_rows),
+                                       joins.hot_keys(batch, "campaign_id", target_rows))
+            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+    return write
+
+
+def run_enriched(events: DataFrame, path: str, checkpoint: str, name: str, products, campaigns,
+                 available_now: bool = True, trigger: str = TRIGGER, wait: bool = True,
+                 settings: dict | None = None) -> StreamingQuery:
+    """Stream events through ``enriched_sink``."""
+    writer = (events.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+              .foreachBatch(enriched_sink(path, products, campaigns)))
+    with started_with(events.sparkSession, settings):
+        q = _triggered(writer, available_now, trigger).start()
+    if available_now and wait:
+        _await(q)
+    return q
 
 
 def with_freshness(df: DataFrame) -> DataFrame:

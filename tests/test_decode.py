@@ -30,7 +30,10 @@ def test_malformed_and_bad_rows_go_to_quarantine(spark):
         "3": "event_date",
         "4": "city",
     }
+    payload = {r["key"]: r["value"] for r in quarantine(decoded).collect()}
+    assert payload == {r["key"]: r["value"] for r in raw.filter("key < '5'").collect()}  # as it came
     ok = valid_events(decoded).collect()
+    assert len(ok) + len(q) == raw.count()
     assert len(ok) == 1
     assert ok[0]["product_id"] is None  # absent key -> null
     assert ok[0]["event_date"] == dt.datetime(2024, 1, 1, 0, 0, 0, 1)
@@ -43,7 +46,7 @@ def test_roundtrip_keeps_every_field(spark):
     msgs = encode_events(ev)
     assert [r["key"] for r in msgs.orderBy("key").collect()] == ["7", "8"]
     assert '"product_id"' not in msgs.filter("key = '8'").first()["value"]  # nulls omitted
-    back = valid_events(decode_events(msgs.select("key", "value"))).drop("key")
+    back = valid_events(decode_events(msgs.select("key", "value")))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ev.collect()))
 
 
@@ -54,5 +57,6 @@ def test_binary_topic_records_decode(spark):
         "key binary, value binary")
     decoded = decode_events(raw)
     ok = valid_events(decoded).collect()
-    assert [(r["key"], r["customer_id"], r["type_event"]) for r in ok] == [("7", 7, "OPENED")]
-    assert [r["key"] for r in quarantine(decoded).collect()] == ["8"]
+    assert [(r["customer_id"], r["type_event"]) for r in ok] == [(7, "OPENED")]
+    # bytes that are no text survive in the quarantine
+    assert [(r["key"], bytes(r["value"])) for r in quarantine(decoded).collect()] == [("8", b"\xff\xfe")]

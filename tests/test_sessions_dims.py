@@ -5,6 +5,8 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from inboxlens.operators import dims
 from inboxlens.operators.sessions import sessions
 from tests.helpers import event, events_df
@@ -71,12 +73,15 @@ def test_tag_counts_and_join(spark):
 
 def test_flatten_users_and_audience(spark):
     users = spark.createDataFrame(
-        [(3, ("Ann", "Lee"), "female", ("UK", "Leeds", "WY", ("GMT",)))],
+        [(3, ("Ann", "Lee"), "female", ("UK", "Leeds", "WY", ("GMT",)), 5, "yahoo")],
         "user_key long, name struct<first:string,last:string>, gender string, "
-        "location struct<country:string,city:string,state:string,timezone:struct<description:string>>")
+        "location struct<country:string,city:string,state:string,timezone:struct<description:string>>, "
+        "email_number long, email_domain string")
     flat = dims.flatten_users(users).first().asDict()
     assert flat["name_customer"] == "Ann Lee"
-    assert flat["email"] == "Ann-3@yahoo.com.com.co"
+    assert flat["email"] == "Ann-5@yahoo.com.co"
+    no_domain = dims.flatten_users(users.withColumn("email_domain", F.lit(None).cast("string"))).first()
+    assert no_domain["email"] is None and no_domain["name_customer"] == "Ann Lee"
     assert flat["description_customer"] == "GMT"
     ev = events_df(spark, [event(customer_id=3, campaign_id="a"), event(customer_id=3, campaign_id="a"),
                            event(customer_id=3, campaign_id="b"), event(customer_id=9)])

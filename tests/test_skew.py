@@ -77,4 +77,6 @@ def test_null_product_keys_spread_over_join_partitions(spark, skewed, shuffle_jo
     joined = left_lookup(ev, prod, "product_id", "p_id", salt_cols=["customer_id", "event_date"])
     parts = (joined.filter(F.col("product_id").isNull())
              .groupBy(F.spark_partition_id().alias("p")).count().collect())
-    assert len(parts) >= 4  # ~80% of events have no product; they do not pile into one task
+    # ~80% of events have no product: no task holds much more than its share of them
+    total = sum(r["count"] for r in parts)
+    assert max(r["count"] for r in parts) <= 1.5 * total / 8

@@ -4,11 +4,15 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from inboxlens.operators import gold, silver
 from inboxlens.operators.decode import encode_events
-from inboxlens.streaming.changelog import changelog_sink, latest_per_key, max_per_key, read_changelog
+from inboxlens.plans.refresh import SILVER, silver_paths
+from inboxlens.streaming.changelog import (changelog_sink, latest_per_key, max_per_key, open_epoch, read_changelog,
+                                           read_latest, snapshot, totals_per_key)
 from inboxlens.streaming.landing import Landing, land_messages
-from inboxlens.streaming.pipeline import event_stream, run_changelog, start_silver_queries
+from inboxlens.streaming.pipeline import await_all, event_stream, run_changelog, state_settings
 from tests.helpers import event, events_df, rows
 
 
@@ -89,21 +93,45 @@ def test_restart_from_checkpoint_equals_batch(spark, scratch):
     assert rows(got) == rows(silver.engagement_counts(ev))
 
 
-def test_three_concurrent_silver_queries(spark, scratch):
+def _start_silver(spark, landing, root, **live):
+    events = event_stream(spark, landing)
+    return [run_changelog(build(events), *silver_paths(root, name)[:2], f"silver_{name}_{os.path.basename(root)}",
+                          wait=False, settings=state_settings(spark, 2), **live) for name, (build, _) in SILVER.items()]
+
+
+def test_concurrent_silver_queries(spark, scratch):
     evs = [event(customer_id=i % 5, campaign_id=f"c{i % 2}", type_event=t, minutes=i, city=f"X{i % 3}")
            for i, t in enumerate(["OPENED", "CLICKED", "DELIVERED_EVENT", "SENT", "SPAM"] * 8)]
     ev = events_df(spark, evs)
     landing = land_messages(spark, encode_events(ev), slices=3, files_per_slice=1,
                             path=os.path.join(scratch, "in"))
-    sinks = start_silver_queries(spark, landing, os.path.join(scratch, "silver"))
-    city = latest_per_key(read_changelog(spark, sinks["city"]), ["campaign_id", "city"])
-    assert rows(city, "campaign_id", "city", "count") == rows(silver.campaign_city_counts(ev))
-    types = latest_per_key(read_changelog(spark, sinks["types"]), ["campaign_id"])
-    assert rows(types, *silver.campaign_type_counts(ev).columns) == rows(silver.campaign_type_counts(ev))
-    eng = max_per_key(read_changelog(spark, sinks["engagement"]),
-                      ["campaign_id", "customer_id", "type_event"], "total_events")
+    await_all(_start_silver(spark, landing, scratch))
+    logs = {name: read_changelog(spark, silver_paths(scratch, name)[0]) for name in SILVER}
+    totals = {name: totals_per_key(logs[name], keys) for name, (_, keys) in SILVER.items()}
+    for name, (build, _) in SILVER.items():
+        want = build(ev)
+        assert rows(totals[name], *want.columns) == rows(want), name
     # gold reads the compacted silver table with the same plan as the batch path
-    assert rows(gold.effectiveness(eng)) == rows(gold.effectiveness(gold.engagement_rows(ev)))
+    assert rows(gold.effectiveness(totals["engagement"])) == rows(gold.effectiveness(gold.engagement_rows(ev)))
+
+
+def test_any_failing_query_ends_the_job(spark, scratch):
+    landing = _land_one_row_batches(spark, os.path.join(scratch, "in"), [0, 60])
+    events = event_stream(spark, landing)
+
+    def broken(batch, batch_id):
+        raise ValueError("sink is gone")
+
+    def start(name, publish=None):
+        base = os.path.join(scratch, name)
+        return run_changelog(silver.campaign_type_counts(events), os.path.join(base, "log"),
+                             os.path.join(base, "ckpt"), f"{name}_{os.path.basename(scratch)}", available_now=False,
+                             wait=False, settings=state_settings(spark, 2), publish=publish)
+
+    queries = [start("first"), start("second", broken), start("third")]
+    with pytest.raises(RuntimeError, match="second"):
+        await_all(queries)
+    assert not any(q.isActive for q in queries)
 
 
 def test_stream_settings_apply_to_the_query_only(spark, scratch):
@@ -141,44 +169,120 @@ def test_stream_sessions_append_mode_match_batch_sessions(spark, scratch):
 def test_live_trigger_processes_new_files(spark, scratch):
     evs = [event(customer_id=i % 3, campaign_id="c", type_event=t, minutes=i, city="X")
            for i, t in enumerate(["OPENED", "CLICKED", "SENT"] * 4)]
-    ev = events_df(spark, evs)
     path = os.path.join(scratch, "in")
-    land_messages(spark, encode_events(ev), slices=1, files_per_slice=1, path=path)
-    sinks = start_silver_queries(spark, Landing(path, 1, 1), os.path.join(scratch, "silver"),
-                                 available_now=False, state_partitions=2)
-    live = [q for q in spark.streams.active if q.name.startswith("silver_")]
+    land_messages(spark, encode_events(events_df(spark, evs)), slices=1, files_per_slice=1, path=path)
+    live = _start_silver(spark, Landing(path, 0, 1), scratch, available_now=False, trigger="500 milliseconds")
     try:
-        assert len(live) == 3
         for q in live:
             q.processAllAvailable()
     finally:
         for q in live:
             q.stop()
-    city = latest_per_key(read_changelog(spark, sinks["city"]), ["campaign_id", "city"])
+    city = totals_per_key(read_changelog(spark, silver_paths(scratch, "city")[0]), ["campaign_id", "city"])
     assert rows(city, "campaign_id", "city", "count") == [("c", "X", 12)]
 
 
+SCHEMA = "campaign_id string, city string, count long"
+KEYS = ["campaign_id", "city"]
+
+
+def _commit(scratch, ckpt, n):
+    os.makedirs(os.path.join(ckpt, "commits"), exist_ok=True)
+    with open(os.path.join(ckpt, "commits", str(n)), "w") as fh:
+        fh.write("v1")
+
+
 def test_snapshots_bound_changelog_reads(spark, scratch):
-    from inboxlens.streaming.changelog import read_latest, snapshot
-    log_path, snaps = os.path.join(scratch, "log"), os.path.join(scratch, "snaps")
-    write = changelog_sink(log_path)
-    schema = "campaign_id string, city string, count long"
-    write(spark.createDataFrame([("a", "X", 1), ("b", "Y", 5)], schema), 0)
-    write(spark.createDataFrame([("a", "X", 2)], schema), 1)
-    assert snapshot(spark, log_path, ["campaign_id", "city"], snaps) == 1
-    write(spark.createDataFrame([("a", "X", 3), ("c", "Z", 1)], schema), 2)
-    got = read_latest(spark, log_path, ["campaign_id", "city"], snaps)
-    assert rows(got, "campaign_id", "city", "count") == [("a", "X", 3), ("b", "Y", 5), ("c", "Z", 1)]
-    assert snapshot(spark, log_path, ["campaign_id", "city"], snaps) == 2
-    write(spark.createDataFrame([("b", "Y", 6)], schema), 3)
-    got = read_latest(spark, log_path, ["campaign_id", "city"], snaps)
-    assert rows(got, "campaign_id", "city", "count") == [("a", "X", 3), ("b", "Y", 6), ("c", "Z", 1)]
+    log, snaps, ckpt = (os.path.join(scratch, n) for n in ("log", "snaps", "ckpt"))
+    write = changelog_sink(log, epoch=open_epoch(spark, log, ckpt))
+
+    def put(n, *values):
+        write(spark.createDataFrame(list(values), SCHEMA), n)
+        _commit(scratch, ckpt, n)
+
+    put(0, ("a", "X", 1), ("b", "Y", 5))
+    put(1, ("a", "X", 2))
+    assert snapshot(spark, log, KEYS, snaps, ckpt) == 1
+    put(2, ("a", "X", 3), ("c", "Z", 1))
+    assert rows(read_latest(spark, log, KEYS, snaps), *KEYS, "count") == [("a", "X", 3), ("b", "Y", 5), ("c", "Z", 1)]
+    assert snapshot(spark, log, KEYS, snaps, ckpt, prune=True) == 2
+    put(3, ("b", "Y", 6))
+    assert rows(read_latest(spark, log, KEYS, snaps), *KEYS, "count") == [("a", "X", 3), ("b", "Y", 6), ("c", "Z", 1)]
+    # what the snapshot before held is gone, the rest is there
+    assert sorted(r[0] for r in read_changelog(spark, log).select("batch_id").distinct().collect()) == [2, 3]
     # the reader only touches batches after the newest snapshot
-    plan = read_changelog(spark, log_path).filter(F.col("batch_id") > 2)._jdf.queryExecution() \
+    plan = read_changelog(spark, log).filter(F.col("batch_id") > 2)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan
 
 
+def test_a_batch_in_flight_is_not_lost_to_a_snapshot(spark, scratch):
+    log, snaps, ckpt = (os.path.join(scratch, n) for n in ("log", "snaps", "ckpt"))
+    write = changelog_sink(log, epoch=open_epoch(spark, log, ckpt))
+    write(spark.createDataFrame([("a", "X", 1)], SCHEMA), 0)
+    _commit(scratch, ckpt, 0)
+    write(spark.createDataFrame([("b", "Y", 1)], SCHEMA), 1)  # part of batch 1; not committed
+    assert snapshot(spark, log, KEYS, snaps, ckpt) == 0
+    write(spark.createDataFrame([("b", "Y", 1), ("a", "X", 5)], SCHEMA), 1)  # the batch is written again, whole
+    _commit(scratch, ckpt, 1)
+    assert rows(read_latest(spark, log, KEYS, snaps), *KEYS, "count") == [("a", "X", 5), ("b", "Y", 1)]
+    assert snapshot(spark, log, KEYS, snaps, ckpt) == 1
+    assert rows(read_latest(spark, log, KEYS, snaps), *KEYS, "count") == [("a", "X", 5), ("b", "Y", 1)]
+
+
+def test_a_new_checkpoint_begins_a_new_epoch(spark, scratch):
+    log, snaps = os.path.join(scratch, "log"), os.path.join(scratch, "snaps")
+    old, new = os.path.join(scratch, "old"), os.path.join(scratch, "new")
+    first = open_epoch(spark, log, old)
+    write = changelog_sink(log, epoch=first)
+    for n, total in enumerate([1, 2, 3]):
+        write(spark.createDataFrame([("a", "X", total)], SCHEMA), n)
+        _commit(scratch, old, n)
+    assert snapshot(spark, log, KEYS, snaps, old) == 2
+    assert open_epoch(spark, log, old) == first  # a restart stays in its epoch
+    second = open_epoch(spark, log, new)
+    assert second > first
+    changelog_sink(log, epoch=second)(spark.createDataFrame([("a", "X", 9)], SCHEMA), 0)
+    _commit(scratch, new, 0)
+    for _ in range(2):
+        assert rows(read_latest(spark, log, KEYS, snaps), *KEYS, "count") == [("a", "X", 9)]
+        assert snapshot(spark, log, KEYS, snaps, new) == 0
+
+
+def test_compaction_of_totals_is_a_hash_aggregate(spark, scratch):
+    log = os.path.join(scratch, "log")
+    changelog_sink(log, epoch=1)(spark.createDataFrame([("a", "X", 1)], SCHEMA), 0)
+    plan = totals_per_key(read_changelog(spark, log), KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_a_product_added_while_the_stream_runs_is_found(spark, scratch):
+    from inboxlens.streaming.pipeline import run_enriched
+    path, dims = os.path.join(scratch, "in"), os.path.join(scratch, "dims")
+    product = "id int, title string, category string, price float"
+    spark.createDataFrame([("c1", "n")], "uuid_campaign string, name string").write.parquet(f"{dims}/campaign")
+    spark.createDataFrame([(1, "one", "c", 1.0)], product).write.parquet(f"{dims}/product")
+
+    def land(product_id, minutes):
+        ev = events_df(spark, [event(campaign_id="c1", type_event="CLICKED", product_id=product_id, minutes=minutes)])
+        encode_events(ev).select("key", "value").coalesce(1).write.mode("append").parquet(path)
+
+    land(1, 0)
+    q = run_enriched(event_stream(spark, Landing(path, 1, 1)), f"{scratch}/out", f"{scratch}/ckpt",
+                     f"enriched_{os.path.basename(scratch)}", lambda: spark.read.parquet(f"{dims}/product"),
+                     lambda: spark.read.parquet(f"{dims}/campaign"), available_now=False, wait=False,
+                     trigger="500 milliseconds", settings=state_settings(spark, 2))
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([(2, "two", "c", 2.0)], product).write.mode("append").parquet(f"{dims}/product")
+        land(2, 1)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(f"{scratch}/out")
+    assert rows(got, "product_id", "product_title") == [(1, "one"), (2, "two")]
+
+
 def test_stream_reach_sketch_matches_exact_counts_on_small_data(spark, scratch):
     from inboxlens.operators import gold
     evs = [event(customer_id=i % 37, campaign_id=f"c{i % 3}", type_event=t, minutes=i)
