@@ -46,7 +46,7 @@ def brute(rows, k=2, window=2, least=120):
     docs = {}
     for d, t, *_ in rows:
         us = cut(t or "")
-        bare = [u.strip(" \t\r\n\x0b\x0c") for u in us]
+        bare = [(u[:-1] if u.endswith("\n") else u).strip(" ") for u in us]
         docs[LEAST if d is None else d, t] = (us, [spark_hash(b) for b in bare], [len(b) for b in bare])
     order = sorted(docs, key=lambda x: (x[0], x[1] or ""))
     first_text, out, alive = {}, {}, []
@@ -60,20 +60,28 @@ def brute(rows, k=2, window=2, least=120):
     for key in alive:
         _, hs, ls = docs[key]
         for g, p, width in kept(hs, ls, k, window, least):
-            place[g] = min(place.get(g, (key[0], p, key, width)), (key[0], p, key, width), key=lambda x: x[:2])
+            place[g] = min(place.get(g, (key[0], p, key)), (key[0], p, key), key=lambda x: x[:2])
     for key in alive:
         us, hs, ls = docs[key]
-        hulls = {}
-
-        def near(h, i, other):
-            return (h[i] if 0 <= i < len(h) else other) % 2 ** 15
-
-        for g, p, width in kept(hs, ls, k, window, least):
-            k0, p0, key0, _ = place[g]
-            b = docs[key0][1]
-            goes_on = near(hs, p - 1, 1) == near(b, p0 - 1, 1) or near(hs, p + width, 2) == near(b, p0 + width, 2)
-            if (k0 < key[0] or (key0 == key and p > p0)) and (sum(ls[p:p + width]) >= least or goes_on):
-                hulls.setdefault((key0, p - p0), []).append(p)
+        hulls, last = {}, {}
+
+        def at(h, i, other=None):
+            return h[i] if 0 <= i < len(h) else other
+
+        for g, p, width in sorted(kept(hs, ls, k, window, least), key=lambda m: (m[0], m[1])):
+            enough = sum(ls[p:p + width]) >= least
+            if g in last:
+                back = last[g]
+                sides = [(at(hs, p - 1), at(hs, back - 1)), (at(hs, p + width), at(hs, back + width))]
+                if enough or any(x == y and x is not None for x, y in sides):
+                    hulls.setdefault((key, p - back), []).append(p)
+            else:
+                k0, p0, key0 = place[g]
+                b = docs[key0][1]
+                sides = [(at(hs, p - 1, 1), at(b, p0 - 1, 1)), (at(hs, p + width, 2), at(b, p0 + width, 2))]
+                if k0 < key[0] and (enough or any(x % 2 ** 15 == y % 2 ** 15 for x, y in sides)):
+                    hulls.setdefault((key0, p - p0), []).append(p)
+            last[g] = p
         gone = set()
         for (key0, d), ps in hulls.items():
             b = docs[key0][1]
@@ -125,6 +133,14 @@ def test_no_documents(spark):
 
 def test_kept_grams(spark):
     units = hashed_units(docs_df(spark, corpus(n=20)))
-    got = {(r.key, r.g, r.p) for r in marks(units, 2, 3, 100).collect()}
-    want = {(r.key, g, p) for r in units.collect() for g, p, _ in kept(r.hs, r.ls, 2, 3, 100)}
-    assert got == want
+    got = {(r.key, r.g, r.p) for r in marks(units, 2, 3, 100).collect() if r.back is None}
+    want = {}
+    for r in units.collect():
+        for g, p, _ in kept(r.hs, r.ls, 2, 3, 100):
+            want[r.key, g] = min(p, want.get((r.key, g), p))
+    assert got == {(*x, p) for x, p in want.items()}
+
+
+def test_a_unit_repeated_on_and_on_is_one_diagonal(spark):
+    rows = [(i, "Is onhe. " * (40 + i) + f"Then number {i} ends.") for i in range(4)]
+    assert sorted((r.doc_id, r.text) for r in dedup_lines(docs_df(spark, rows)).collect()) == brute(rows)
