@@ -12,7 +12,6 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import utc
 from ..operators import decode, gold, routing, silver
