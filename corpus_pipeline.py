@@ -15,14 +15,14 @@ written to the shared folder and read again as the next one's input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inboxlens.llm.common import materialise, shared_path
+from inboxlens.llm.common import shared_path
 from inboxlens.llm.entropy_mix import mixed_documents
 from inboxlens.llm.line_dedup import dedup_lines
 from inboxlens.llm.queries import table, vocabulary
-from inboxlens.llm.simhash_trie import simhash_groups
+from inboxlens.llm.simhash_trie import first_of_groups
 from inboxlens.llm.subword_quality import accepted
 from inboxlens.llm.vector_packing import pack_documents
 
@@ -39,15 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash_groups(docs, shingle=3, max_bits=2)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    first = materialise(first.select(F.col("doc_id").alias("__id"), "count"), "first")
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    if first.where("count > 1").isEmpty():
-        return kept
-    # rows that share a doc_id: the least text of each stays
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return first_of_groups(docs, shingle=3, max_bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

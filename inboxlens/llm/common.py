@@ -14,8 +14,6 @@ from ..session import scratch_root
 # A word, and the ASCII white space between words.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -48,15 +46,6 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
-def words(text: Column) -> Column:
-    """Array of the text's words (empty for a blank text)."""
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
-
-
 def blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts with about ``most`` characters together, so
     that what a task holds is bounded by this or by one text."""

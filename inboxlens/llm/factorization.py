@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import blocks, held_out, text_of
 from .subword_quality import COUNTS, sample_counts
+from .wordhash import word_hashes
 
 _MARKS = b".,;:!?\"'()[]{}<>*#$%&@-_/\\|~^+=`"
 
@@ -53,8 +54,6 @@ def forms(words: list[bytes]):
     ends, and its first four and five bytes; a word of marks only gives zeros."""
     import numpy as np
 
-    from .wordhash import word_hashes
-
     bare = [w.strip(_MARKS) for w in words]
     out = np.empty((len(words), 3), dtype=np.int64)
     out[:, 0] = word_hashes(bare).view(np.int64)
@@ -214,11 +213,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
     rows = sample_counts(docs, labels, label, folds, p.sample, term_set, COUNTS)
     taught = [(np.frombuffer(r["idx"], dtype=np.int64), int(r["label"])) for r in rows]
     mean = float(np.mean([t[1] for t in taught])) if taught else 0.0
-    shipped = spark.sparkContext.broadcast((train(taught, p), mean))
+    machine = train(taught, p)
+    # plain arrays: what is broadcast is unpickled without this package
+    parts = (machine.known, machine.linear, machine.vectors, machine.bias, machine.damping) if machine else None
+    shipped = spark.sparkContext.broadcast((parts, mean))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine, mean = shipped.value
-        table = TermTable(machine) if machine else None
+        parts, mean = shipped.value
+        table = TermTable(Machine(*parts)) if parts else None
         for batch in batches:
             texts = batch.tolist()
             values = [np.zeros(0)]

@@ -27,7 +27,7 @@ from .common import materialise, release, text_of
 SPLIT = r"""[\x00-\x20.,;:!?"'()]+"""
 #: The lexicon is dealt at random into so many subsets, of which so many are hashed.
 DEALS = ((8, 8), (64, 16), (512, 16))
-_BUCKET = 2000  # documents of one window
+_BUCKET = 1000  # documents of one window
 _ALWAYS = 0     # stands for the text itself, so that every text meets the lexicon
 
 
@@ -48,7 +48,7 @@ def lexicon(docs: DataFrame, least_share: float, most_share: float) -> DataFrame
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """``(rid, doc_id, text, next_rid, next_text)``: every row with the row after it.
+    """``(bucket, rid, doc_id, text, next_rid, next_text)``: every row with the row after it.
 
     The rows are dealt into ranges that begin at doc_ids of the table, so a range's first
     document is known; it rides along as the last one of the range before.
@@ -77,23 +77,23 @@ def neighbours(docs: DataFrame) -> DataFrame:
                  .alias("place"))
              .select("rid", "doc_id", "text", "k", "place.bucket", "place.guest").where("bucket is not null"))
     by = Window.partitionBy("bucket").orderBy("guest", "k", "text", "rid")
-    return (dealt.select("rid", "doc_id", "text", "guest", F.lead("rid").over(by).alias("next_rid"),
+    return (dealt.select("bucket", "rid", "doc_id", "text", "guest", F.lead("rid").over(by).alias("next_rid"),
                          F.lead("text").over(by).alias("next_text"))
             .where("guest = 0").drop("guest"))
 
 
 def _dealt(terms: Column, into: int, used: int) -> Column:
     """The terms of the used subsets in order: subset number, then the term's bits."""
-    number = F.transform(terms, lambda m: F.shiftleft(F.pmod(F.xxhash64(m, F.lit(into)), F.lit(into)), 56)
-                         .bitwiseOR(F.shiftrightunsigned(m, 8)))
-    return F.array_sort(F.filter(number, lambda v: F.shiftrightunsigned(v, 56) < used))
+    number = F.transform(terms, lambda m: F.shiftleft(F.pmod(F.xxhash64(m, F.lit(into)), F.lit(into)), 48)
+                         .bitwiseOR(F.shiftrightunsigned(m, 16)))
+    return F.array_sort(F.filter(number, lambda v: F.shiftrightunsigned(v, 48) < used))
 
 
 def _subsets(dealt: str, used: int) -> Column:
     """One hash for each used subset over its terms in order (null: none in the text)."""
     nothing = F.xxhash64(F.slice(dealt, 1, 0))
     return F.transform(F.sequence(F.lit(0), F.lit(used - 1)), lambda k: F.nullif(
-        F.xxhash64(F.filter(dealt, lambda v: F.shiftrightunsigned(v, 56) == k)), nothing))
+        F.xxhash64(F.filter(dealt, lambda v: F.shiftrightunsigned(v, 48) == k)), nothing))
 
 
 def _print(parts: Column, every: Column) -> Column:
@@ -126,25 +126,27 @@ def fingerprints(docs: DataFrame, least_share: float = 0.001, most_share: float
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    rows = neighbours(docs).select("rid", "doc_id", "next_rid", n.cast("long").alias("n_chars"), "text",
+    rows = neighbours(docs).select("bucket", "rid", "doc_id", "next_rid", n.cast("long").alias("n_chars"), "text",
                                    edited.alias("edited"))
     always = F.array(F.lit(_ALWAYS).cast("long"))
     own, new = term_hashes(F.col("text")), term_hashes(F.col("edited"))
     # what stands beside a generator is evaluated for each of its rows: the rest comes first
-    rows = rows.select("rid", "doc_id", "next_rid", "n_chars",
+    rows = rows.select("bucket", "rid", "doc_id", "next_rid", "n_chars",
                        F.sha2(F.col("edited").cast("binary"), 256).alias("sha"),
                        F.array(F.struct(F.lit(0).alias("which"), own.alias("terms")),
                                F.struct(F.lit(1).alias("which"), new.alias("terms"))).alias("both"))
-    rows = rows.select("rid", "doc_id", "next_rid", "n_chars", "sha", F.explode("both").alias("x"))
-    rows = rows.select("rid", "doc_id", "next_rid", "n_chars", "sha", "x.which", F.col("x.terms").alias("terms"),
-                       F.xxhash64(F.array_sort("x.terms")).alias("every"))
-    rows = rows.select("rid", "doc_id", "next_rid", "n_chars", "sha", "which", "every",
-                       F.explode(F.concat(always, "terms")).alias("h"))
-    found = rows.join(words, "h")
-    term = F.when(F.col("h") != _ALWAYS, F.col("h"))  # lists leave nulls out
     kept = ["doc_id", "next_rid", "n_chars", "sha", "every"]
-    lists = found.groupBy("rid", "which").agg(*[F.first(c).alias(c) for c in kept],
-                                              F.collect_list(term).alias("terms"))
+    rows = rows.select("bucket", "rid", *kept[:-1], F.explode("both").alias("x"))
+    rows = rows.select("bucket", "rid", "x.which", F.col("x.terms").alias("terms"), F.struct(
+        *kept[:-1], F.xxhash64(F.array_sort("x.terms")).alias("every")).alias("meta"))
+    rows = rows.select("bucket", "rid", "which", "meta", F.explode(F.concat(always, "terms")).alias("h"))
+    first = F.col("h") == _ALWAYS  # the one row of a text that carries the rest
+    found = rows.join(words, "h").select("bucket", "rid", "which", F.when(first, F.col("meta")).alias("meta"),
+                                         F.when(~first, F.col("h")).alias("h"))  # lists leave nulls out
+    # the rows are dealt by bucket already: grouping with it moves nothing
+    lists = found.groupBy("bucket", "rid", "which").agg(
+        F.first("meta", ignorenulls=True).alias("meta"), F.collect_list("h").alias("terms"))
+    lists = lists.select("rid", "which", "meta.*", "terms")
     held = ["rid", "which", *kept]
     deals = [_dealt(F.col("terms"), into, used).alias(f"d{into}") for into, used in DEALS]
     # a generator's output: the optimiser does not copy it into the lambdas

@@ -32,20 +32,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, held_out, map_file, materialise, put_file, shared_path, text_of
+from .elias_fano import EliasFano, encode
+from .wordhash import TokenHashes
 
 END = b"\n"          # the end of a text, before its first word as well; no word holds it
 _SPAN = 2 ** 62      # word hashes are below
+_END = _SPAN - 1     # the hash of END
 _STEPS = 2 ** 16 - 1  # quantisation
 _CLASSES = 24        # contexts are classed by the logarithm of their count
 _ALPHA = 0.1
-_PART = "shard int, keys binary, counts binary"
+_PART = "shard int, n int, keys binary, counts binary"
 
 
 def hash_words(words: list[bytes]):
+    """The hashes by which the trie knows words; END has a number of its own."""
     import numpy as np
-    from xxhash import xxh64_intdigest
 
-    return np.array([xxh64_intdigest(w) >> 2 for w in words], dtype=np.int64)
+    out = np.full(len(words), _END, dtype=np.int64)
+    plain = [i for i, w in enumerate(words) if w != END]
+    out[plain] = TokenHashes()([words[i] for i in plain])[0]
+    return out
+
+
+def with_ends(texts: list[bytes], hasher):
+    """Token hashes of the texts one after the other, each closed by END, and each text's
+    number of tokens."""
+    import numpy as np
+
+    hashes, lengths = hasher(texts)
+    return np.insert(hashes, np.cumsum(lengths), _END), lengths + 1
+
+
+def stretches(x) -> list[tuple[int, int]]:
+    """The bounds of the stretches of equal values in an array."""
+    import numpy as np
+
+    cuts = [0, *(np.flatnonzero(x[1:] != x[:-1]) + 1).tolist(), len(x)]
+    return list(zip(cuts, cuts[1:], strict=False)) if len(x) else []
 
 
 def merged(keys, counts):
@@ -54,60 +77,86 @@ def merged(keys, counts):
 
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     return keys[first], np.add.reduceat(counts[order], first)
 
 
+def _packed(x) -> bytes:
+    """64-bit numbers as compressed byte planes: most planes are zero."""
+    import pyarrow as pa
+
+    return pa.compress(x.view("u1").reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int):
+    import numpy as np
+    import pyarrow as pa
+
+    planes = pa.decompress(raw, decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+
 def parts(keys, counts, step: int) -> Iterator[tuple]:
-    """The sorted keys cut into shards of ``step`` keys' room: differences in byte planes,
-    which the shuffle's compression makes small."""
+    """The sorted keys, cut into shards of ``step`` keys' room, as rows: shard, number, and
+    the differences of the keys and their counts packed."""
     import numpy as np
 
     shard = keys // step
-    first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(keys) else []
-    for a, b in zip(first, [*first[1:], len(keys)], strict=True):
+    for a, b in stretches(shard):
         own = keys[a:b] - int(shard[a]) * step
-        gaps = np.append(own[:1], np.diff(own)).view(np.uint8).reshape(-1, 8).T
-        yield int(shard[a]), gaps.tobytes(), counts[a:b].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+        yield int(shard[a]), b - a, _packed(np.append(own[:1], np.diff(own))), _packed(counts[a:b].astype(np.int64))
 
 
-def unpacked(keys: bytes, counts: bytes):
+def unpacked(n: int, keys: bytes, counts: bytes):
     import numpy as np
 
-    def planes(raw: bytes):
-        return np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
-
-    return np.cumsum(planes(keys)), planes(counts)
+    return np.cumsum(_unpacked(keys, n)), _unpacked(counts, n)
 
 
-def _gathered(rows: list[tuple]):
+def _gathered(pdf):
+    """The merged keys and counts of a shard's rows."""
     import numpy as np
 
-    both = [unpacked(k, c) for k, c in rows]
+    both = [unpacked(*r) for r in zip(pdf["n"], pdf["keys"], pdf["counts"], strict=True)]
     return merged(np.concatenate([k for k, _ in both]), np.concatenate([c for _, c in both]))
 
 
 class Counter:
-    """Distinct keys and counts of a task, merged whenever many have come together."""
+    """Distinct keys and counts of a task.  Whenever many have come together they are
+    merged, and sent on if they are still many: what a task holds is bounded."""
 
-    def __init__(self, most: int = 6_000_000):
-        self.most, self.lists, self.size = most, [], 0
+    def __init__(self, step: int, most: int = 1_500_000):
+        self.step, self.most, self.lists, self.size = step, most, [], 0
 
-    def add(self, keys, counts) -> None:
+    def add(self, keys, counts) -> Iterator:
         self.lists.append((keys, counts))
         self.size += len(keys)
         if self.size > self.most:
-            self.lists = [self.all()]
-            self.size = len(self.lists[0][0])
+            self._merge()
+            if self.size > self.most // 2:
+                yield from self.rows()
 
-    def all(self):
+    def _merge(self) -> None:
         import numpy as np
 
-        if not self.lists:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        return merged(np.concatenate([k for k, _ in self.lists]), np.concatenate([c for _, c in self.lists]))
+        keys, counts = (np.concatenate(x) for x in zip(*self.lists, strict=True))
+        self.lists = [merged(keys, counts)]
+        self.size = len(self.lists[0][0])
+
+    def rows(self) -> Iterator:
+        """What has come together, as a record batch with a row for each shard."""
+        import pyarrow as pa
+
+        if not self.size:
+            return
+        self._merge()
+        columns = zip(*parts(*self.lists[0], self.step), strict=True)
+        self.lists, self.size = [], 0
+        names = (("shard", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, (_, k) in zip(columns, names, strict=True)],
+                                         schema=pa.schema(names))
 
 
 @dataclass(frozen=True)
@@ -125,16 +174,12 @@ class Words:
     def file(hashes, counts) -> list[bytes]:
         import numpy as np
 
-        from .elias_fano import encode
-
-        return [encode(hashes, max(1, int(hashes[-1]) + 1)), np.asarray(counts, dtype="<i8").tobytes()]
+        return [encode(hashes, int(hashes[-1]) + 1), np.asarray(counts, dtype="<i8").tobytes()]
 
     def lookup(self, hashes, opened: dict):
         """Ids (-1: not in the trie) and counts of the hashes."""
         import numpy as np
 
-        from .elias_fano import EliasFano
-
         ids = np.full(len(hashes), -1, dtype=np.int64)
         counts = np.zeros(len(hashes), dtype=np.int64)
         shard = hashes // self.step
@@ -163,16 +208,15 @@ class Words:
 class Reader:
     """Token ids of texts, with the words met so far."""
 
-    def __init__(self, words: Words, most_words: int = 400_000):
-        self.words, self.most_words, self.opened = words, most_words, {}
+    def __init__(self, words: Words, most_words: int = 1_000_000):
+        self.words, self.most_words, self.opened, self.hasher = words, most_words, {}, TokenHashes()
         self._clear()
 
     def _clear(self) -> None:
         import numpy as np
 
-        self.number: dict[bytes, int] = {END: 0}
-        self.ids, self.counts = self.words.lookup(hash_words([END]), self.opened)
-        self.room = np.zeros(0)
+        self.hashes = np.array([_END], dtype=np.int64)
+        self.ids, self.counts = self.words.lookup(self.hashes, self.opened)
 
     def tokens(self, texts: list[bytes]):
         """For the texts one after the other: each token's id and count, the id before it,
@@ -180,23 +224,20 @@ class Reader:
         before its first word."""
         import numpy as np
 
-        if len(self.number) > self.most_words:
+        if len(self.hashes) > self.most_words:
             self._clear()
-        number = self.number
-        split = [t.lower().split() for t in texts]
-        new = list(set().union(*split).difference(number))
-        if new:
-            ids, counts = self.words.lookup(hash_words(new), self.opened)
-            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-            self.ids, self.counts = np.append(self.ids, ids), np.append(self.counts, counts)
-        flat: list[int] = []
-        for s in split:
-            flat += map(number.__getitem__, s)
-            flat.append(0)
-        local = np.array(flat, dtype=np.int64)
-        before = np.append(0, local[:-1])
-        lengths = np.array([len(s) + 1 for s in split])
-        return self.ids[local], self.counts[local], self.ids[before], lengths
+        flat, lengths = with_ends(texts, self.hasher)
+        own, back = np.unique(flat, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+        new = own[self.hashes[at] != own]
+        if len(new):
+            ids, counts = self.words.lookup(new, self.opened)
+            place = np.searchsorted(self.hashes, new)
+            self.hashes = np.insert(self.hashes, place, new)
+            self.ids, self.counts = np.insert(self.ids, place, ids), np.insert(self.counts, place, counts)
+            at = np.searchsorted(self.hashes, own)
+        ids, counts = self.ids[at][back], self.counts[at][back]
+        return ids, counts, np.append(self.words.end, ids[:-1]), lengths
 
 
 def _files(manifest: DataFrame) -> list:
@@ -211,46 +252,19 @@ def count_words(docs: DataFrame, shards: int) -> Words:
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
-
-        found = Counter()
-        number: dict[bytes, int] = {}
-        sums = np.zeros(0, dtype=np.int64)
-
-        def flush():
-            found.add(hash_words(list(number)), sums.copy())
-            number.clear()
 
+        hasher, found = TokenHashes(), Counter(step)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts):
-                flat: list[int] = []
-                split = [t.lower().split() for t in texts[a:b]]
-                for w in set().union(*split, [END]).difference(number):
-                    number[w] = len(number)
-                for s in split:
-                    flat += map(number.__getitem__, s)
-                counts = np.bincount(np.array(flat, dtype=np.int64), minlength=len(number))
-                counts[number[END]] += b - a
-                counts[:len(sums)] += sums
-                sums = counts
-                if len(number) > 1_000_000:
-                    flush()
-                    sums = np.zeros(0, dtype=np.int64)
-        if number:
-            flush()
-        keys, counts = found.all()
-        rows = list(parts(keys, counts, step))
-        if rows:
-            yield pa.RecordBatch.from_pydict(dict(zip(("shard", "keys", "counts"), zip(*rows, strict=True), strict=True)),
-                                             schema=pa.schema([("shard", pa.int32()), ("keys", pa.binary()),
-                                                               ("counts", pa.binary())]))
+                yield from found.add(*np.unique(with_ends(texts[a:b], hasher)[0], return_counts=True))
+        yield from found.rows()
 
     def write(pdf):
         import pandas as pd
 
         shard = int(pdf["shard"].iloc[0])
-        keys, counts = _gathered(list(zip(pdf["keys"], pdf["counts"], strict=True)))
+        keys, counts = _gathered(pdf)
         file = f"{root}/words-{shard:06d}.bin"
         put_file(file, Words.file(keys, counts))
         return pd.DataFrame({"shard": [shard], "file": [file], "n": [len(keys)], "tokens": [int(counts.sum())]})
@@ -262,9 +276,8 @@ def count_words(docs: DataFrame, shards: int) -> Words:
     for r in rows:
         base[r["shard"]] = at
         at += r["n"]
-    words = Words(step, {r["shard"]: r["file"] for r in rows}, base, at, sum(r["tokens"] for r in rows), -1)
-    ids, _ = words.lookup(hash_words([END]), {})
-    return Words(words.step, words.files, words.base, words.distinct, words.tokens, int(ids[0]))
+    # END has the largest hash: the last id
+    return Words(step, {r["shard"]: r["file"] for r in rows}, base, at, sum(r["tokens"] for r in rows), at - 1)
 
 
 @dataclass(frozen=True)
@@ -284,8 +297,6 @@ class Pairs:
     def _open(self, shard: int, opened: dict):
         import numpy as np
 
-        from .elias_fano import EliasFano
-
         if ("p", shard) not in opened:
             raw = map_file(self.files[shard])
             keys = EliasFano(raw)
@@ -315,8 +326,7 @@ class Pairs:
         key, back = np.unique(key, return_inverse=True)  # one search for equal pairs
         got, left = np.full(len(key), np.nan), np.zeros(len(key))
         shard = key // self.step
-        first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(key) else []
-        for a, b in zip(first, [*first[1:], len(key)], strict=True):
+        for a, b in stretches(shard):
             s = int(shard[a])
             if s not in self.files:
                 continue
@@ -345,32 +355,26 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
-        reader, found = Reader(words), Counter()
+        reader, found = Reader(words), Counter(step)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts):
                 ids, _, before, _ = reader.tokens(texts[a:b])
-                found.add(*np.unique(before * v + ids, return_counts=True))
-        keys, counts = found.all()
-        rows = list(parts(keys, counts, step))
-        if rows:
-            yield pa.RecordBatch.from_pydict(dict(zip(("shard", "keys", "counts"), zip(*rows, strict=True), strict=True)),
-                                             schema=pa.schema([("shard", pa.int32()), ("keys", pa.binary()),
-                                                               ("counts", pa.binary())]))
+                yield from found.add(*np.unique(before * v + ids, return_counts=True))
+        yield from found.rows()
 
     def merge(pdf):
         import numpy as np
         import pandas as pd
 
         shard = int(pdf["shard"].iloc[0])
-        keys, counts = _gathered(list(zip(pdf["keys"], pdf["counts"], strict=True)))
+        keys, counts = _gathered(pdf)
         context = keys // v
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
         kind = np.repeat(_classes(np.add.reduceat(counts, first)), np.diff(np.append(first, len(keys))))
-        (_, raw_keys, raw_counts), = parts(keys, counts, step)
-        return pd.DataFrame({"shard": [shard], "keys": [raw_keys], "counts": [raw_counts],
+        (_, n, raw_keys, raw_counts), = parts(keys, counts, step)
+        return pd.DataFrame({"shard": [shard], "n": [n], "keys": [raw_keys], "counts": [raw_counts],
                              "ones": [np.bincount(kind[counts == 1], minlength=_CLASSES).tolist()],
                              "twos": [np.bincount(kind[counts == 2], minlength=_CLASSES).tolist()]})
 
@@ -387,13 +391,12 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
         import numpy as np
         import pyarrow as pa
 
-        from .elias_fano import encode
-
         rate = np.array(discount)
         by_id = _counts_by_id(words)
         for batch in batches:
-            for shard, raw_keys, raw_counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                keys, counts = unpacked(raw_keys, raw_counts)
+            for row in range(batch.num_rows):
+                shard, *raw = (batch.column(i)[row].as_py() for i in range(4))
+                keys, counts = unpacked(*raw)
                 context, word = keys // v, keys % v
                 first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
                 size = np.diff(np.append(first, len(keys)))
@@ -412,7 +415,7 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
                 yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file]}, schema=pa.schema(
                     [("shard", pa.int32()), ("file", pa.string())]))
 
-    written = materialise(found.select("shard", "keys", "counts").repartition(shards, "shard")
+    written = materialise(found.select("shard", "n", "keys", "counts")
                           .mapInArrow(build, "shard int, file string"), "pairs")
     return Pairs(v, step, {r["shard"]: r["file"] for r in _files(written)}, low)
 
@@ -421,8 +424,6 @@ def _counts_by_id(words: Words):
     """``counts(ids)`` from the files of the first level."""
     import numpy as np
 
-    from .elias_fano import EliasFano
-
     shards = sorted(words.files)
     base = np.array([words.base[s] for s in shards] or [0])
     own = []
@@ -444,7 +445,8 @@ def _counts_by_id(words: Words):
 def train(docs: DataFrame, shards: int | None = None) -> tuple[Words, Pairs]:
     """Both levels of the trie from every row of ``docs``."""
     spark: SparkSession = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # two shards for each partition of a shuffle: what a task holds at once is one of them
+    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(text_of(docs).cast("binary").alias("text"))
     words = count_words(texts, shards)
     return words, count_pairs(texts, words, shards)

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, text_of
@@ -30,8 +30,9 @@ from .components import components
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, fp long)`` of every row: bit set if it is set in over half the hashes."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    """``(doc_id, uid, fp)`` of every row: ``uid`` tells texts apart; a bit of the long
+    ``fp`` is set if it is set in over half the hashes."""
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("uid"),
                        text_of(docs).cast("binary").alias("text"))
 
     def sketch(batches: Iterator) -> Iterator:
@@ -69,15 +70,16 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
                     out |= on.astype(np.uint64) << np.uint64(8 * lane + bit)
             return out
 
-        schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("fp", pa.int64())])
         for batch in batches:
-            names, texts = batch.column("doc_id"), batch.column("text")
+            names, uids, texts = (batch.column(c) for c in ("doc_id", "uid", "text"))
             for a in range(0, batch.num_rows, 256):
                 own = [hashes(t) for t in texts.slice(a, 256).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [names.slice(a, 256), pa.array(majority(own).view(np.int64))], schema=schema)
+                    [names.slice(a, 256), uids.slice(a, 256), pa.array(majority(own).view(np.int64))],
+                    schema=schema)
 
-    return cols.mapInArrow(sketch, "doc_id long, fp long")
+    return cols.mapInArrow(sketch, "doc_id long, uid long, fp long")
 
 
 def walk(values, guests, top: int, top_budget: int, budget: int, depth: int, slice_size: int = 1 << 19):
@@ -216,16 +218,39 @@ def links(fps: DataFrame, max_bits: int, node_limit: int = 1 << 16) -> DataFrame
     return out
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
-                   node_limit: int = 1 << 16) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` of every row: the fingerprint as 16 hex
-    digits and the least doc_id that its links reach."""
+def grouped(docs: DataFrame, shingle: int, max_bits: int, node_limit: int) -> DataFrame:
+    """``(doc_id, uid, fp, component, component_id)`` of every row: the least fingerprint and
+    the least doc_id of its group."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = components(links(fps.select("fp"), max_bits, node_limit))
     named = (fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
              .select("fp", "least", F.coalesce("component", "fp").alias("component")))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fp", "component_id")
-    return (rows.join(named, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return rows.join(named.join(least, "component").select("fp", "component", "component_id"), "fp")
+
+
+def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
+                   node_limit: int = 1 << 16) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` of every row: the fingerprint as 16 hex
+    digits and the least doc_id that its links reach."""
+    return grouped(docs, shingle, max_bits, node_limit).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
+                    node_limit: int = 1 << 16) -> DataFrame:
+    """One row of ``docs`` for each group: that of its least doc_id (no doc_id: one of the
+    group's rows; rows that share the doc_id: the one with the least hash of its text)."""
+    rows = grouped(docs, shingle, max_bits, node_limit)
+    first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy("component").agg(F.first("doc_id").alias("__id"), F.min("uid").alias("__uid"))
+             .select("__id", "__uid"))
+    kept = docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                     & (F.xxhash64("text") == F.col("__uid")), "left_semi")
+    repeated = rows.groupBy("doc_id", "uid").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept
+    # rows that repeat both doc_id and text: the first by their other columns stays
+    order = Window.partitionBy("doc_id", "text").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, held_out, text_of
+from .wordhash import subwords, word_hashes
 
 REPEAT = b"\n"  # no word holds it: the feature of a word that repeats its predecessor
 
@@ -34,7 +35,7 @@ class Params:
     most: int = 5
     epochs: int = 8
     rate: float = 1.0
-    sample: int = 3000
+    sample: int = 2000
     seed: int = 1
 
 
@@ -53,8 +54,6 @@ class WordTable:
         """Sum of the weights of each word's features, and their number."""
         import numpy as np
 
-        from .wordhash import subwords, word_hashes
-
         if words == [REPEAT]:
             hashes, owner = word_hashes(words), np.zeros(1, dtype=np.int64)
         else:
@@ -97,8 +96,6 @@ def counts_of(text: bytes, p: Params):
     """The text's feature buckets and how often each occurs."""
     import numpy as np
 
-    from .wordhash import subwords, word_hashes
-
     found = text.split()
     if not found:
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
@@ -128,15 +125,15 @@ def train(docs: list[tuple], p: Params):
     vectors = rng.uniform(-1, 1, (1 << p.buckets_log2, p.dim)).astype(np.float32) / p.dim
     out = np.zeros((p.dim, 2), dtype=np.float32)
     bias = np.log(np.bincount(y, minlength=2) / len(y)).astype(np.float32)
-    shares = [np.asarray(c, dtype=np.float32) / max(1, sum(c)) for _, c, _ in docs]
     steps, at = p.epochs * len(docs), 0
     for _ in range(p.epochs):
         for i in rng.permutation(len(docs)):
             rate = p.rate * (1 - at / steps)
             at += 1
-            idx, x = docs[i][0], shares[i]
+            idx, counts, _ = docs[i]
             if not len(idx):
                 continue
+            x = (counts / counts.sum()).astype(np.float32)
             hidden = x @ vectors[idx]
             z = hidden @ out + bias
             prob = np.exp(z - z.max())

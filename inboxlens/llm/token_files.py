@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import blocks, filesystem, put_file, shared_path, text_of
+from .elias_fano import EliasFano, encode
+from .tokens import encoder
 
 MANIFEST = "low long, file string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -33,8 +35,6 @@ def write_file(uri: str, doc_ids: list[int | None], parts: list[bytes], width: i
     """One token file; ``parts`` holds each document's 32-bit ids."""
     import numpy as np
 
-    from .elias_fano import encode
-
     nulls = sum(d is None for d in doc_ids)
     known = np.array([d for d in doc_ids if d is not None], dtype=np.int64)
     least = int(known[0]) if len(known) else 0
@@ -58,8 +58,6 @@ class TokenFile:
     def __init__(self, uri: str):
         import numpy as np
 
-        from .elias_fano import EliasFano
-
         fs, path = filesystem(uri)
         self._file = fs.open_input_file(path)
         head = np.frombuffer(self._file.read_at(8 * _HEAD, 0), dtype=np.int64)
@@ -109,8 +107,6 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, width: int = 2,
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        from .tokens import encoder
-
         encode = None
         doc_ids: list = []
         parts: list[bytes] = []

@@ -50,7 +50,7 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
-def encoder(path: str, cache: int = 500_000) -> Callable[[list[str]], list[bytes]]:
+def encoder(path: str, cache: int = 800_000) -> Callable[[list[str]], list[bytes]]:
     """``encode(texts)``: each text's ids as little-endian unsigned 32-bit integers.
 
     ``cache`` bounds the number of remembered pieces.  A vocabulary whose
@@ -73,16 +73,26 @@ def encoder(path: str, cache: int = 500_000) -> Callable[[list[str]], list[bytes
     lower, letters = _drops_spaces(spec), _byte_letters()
     model = tok.model
 
+    packers = [struct.Struct(f"<{n}I").pack for n in range(64)]
+    space = letters[0x20]
+
     def ids_of(word: str) -> bytes:
-        if not word.isascii() or word[0] == " ":
+        if not word.isascii():
             word = word.encode().decode("latin-1").translate(letters)
+        elif word[0] == " ":
+            word = space + word[1:]
         found = [t.id for t in model.tokenize(word)]
-        return struct.pack(f"<{len(found)}I", *found)
+        n = len(found)
+        return packers[n](*found) if n < 64 else struct.pack(f"<{n}I", *found)
 
     class Known(dict):
         """Ids by piece; a new piece is encoded when it is first asked for."""
 
         def __missing__(self, piece: str) -> bytes:
+            if piece.isascii() and piece[0] == " " and piece[1:].isalpha():
+                # a plain word after a space, the commonest piece where spaces are kept
+                ids = self[piece] = ids_of(piece)
+                return ids
             m = _WORD.fullmatch(piece)
             if not m:
                 ids = direct(piece)

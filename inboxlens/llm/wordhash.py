@@ -49,3 +49,57 @@ def subwords(words: list[bytes], least: int, most: int):
         hashes.append(_mix(h[whole] + np.uint64(n)))
         owners.append(owner[:at][whole])
     return np.concatenate(hashes), np.concatenate(owners)
+
+
+_WIDE = 0xD6E8FEB86659FD93  # an odd number
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_SLICE = 1 << 21
+
+
+def _powers(base: int, n: int):
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class TokenHashes:
+    """62-bit hashes of the words (A-Z lower-cased, cut at ASCII white space) of many texts
+    at once: a word's hash is a difference of two running sums, without a loop over words."""
+
+    def __init__(self):
+        self.up, self.down = _powers(_WIDE, _SLICE + 1), _powers(pow(_WIDE, -1, 2 ** 64), _SLICE + 1)
+
+    def _slice(self, data):
+        """Hashes and first places of the words of an array of bytes."""
+        if len(data) >= len(self.up):  # one word longer than a slice
+            self.up, self.down = _powers(_WIDE, len(data) + 1), _powers(pow(_WIDE, -1, 2 ** 64), len(data) + 1)
+        word = ~_BLANK[data]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
+        first, end = edge[::2], edge[1::2]
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:len(data)], out=sums[1:])
+        h = (sums[end] - sums[first]) * self.down[first] + (end - first).astype(np.uint64)
+        return (_mix(h) >> np.uint64(2)).view(np.int64), first
+
+    def __call__(self, texts: list[bytes]):
+        """All words' hashes, text by text, and the number of words of each text."""
+        raw = b"\n".join(texts).lower()
+        data = np.frombuffer(raw, dtype=np.uint8)
+        hashes, places, at = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], 0
+        while at < len(data):
+            end = at + _SLICE
+            if end < len(data):  # up to white space
+                blank = np.flatnonzero(_BLANK[data[at:end]])
+                while not len(blank) and end < len(data):
+                    more = np.flatnonzero(_BLANK[data[end:end + _SLICE]])
+                    blank = more + (end - at)
+                    end += _SLICE
+                end = at + int(blank[-1]) + 1 if len(blank) else len(data)
+            h, first = self._slice(data[at:end])
+            hashes.append(h)
+            places.append(first + at)
+            at = end
+        starts = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
+        cuts = np.searchsorted(np.concatenate(places), starts)
+        return np.concatenate(hashes), np.diff(np.append(0, cuts))
