@@ -46,6 +46,13 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def slices(batches: Iterator, rows: int = 1024) -> Iterator:
+    """The record batches in smaller ones, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts with about ``most`` characters together, so
     that what a task holds is bounded by this or by one text."""

@@ -90,17 +90,22 @@ def _dealt(terms: Column, into: int, used: int) -> Column:
 
 
 def _subsets(dealt: str, used: int) -> Column:
-    """One hash for each used subset over its terms in order (null: none in the text)."""
+    """32 bits of a hash for each used subset over its terms in order (null: none in the
+    text), as an integer less 2^31."""
     nothing = F.xxhash64(F.slice(dealt, 1, 0))
-    return F.transform(F.sequence(F.lit(0), F.lit(used - 1)), lambda k: F.nullif(
-        F.xxhash64(F.filter(dealt, lambda v: F.shiftrightunsigned(v, 48) == k)), nothing))
 
+    def one(k: Column) -> Column:
+        h = F.nullif(F.xxhash64(F.filter(dealt, lambda v: F.shiftrightunsigned(v, 48) == k)), nothing)
+        return (h.bitwiseAND(F.lit(2 ** 32 - 1).cast("long")) - F.lit(2 ** 31)).cast("int")
 
-def _print(parts: Column, every: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(used - 1)), one)
+
+
+def _print(parts: str, every: str) -> Column:
     """The fingerprint: 8 hex digits for each subset, dots for an empty one; of a text
     without lexicon terms, an x and the hash of all its terms."""
     digits = F.transform(parts, lambda p: F.coalesce(
-        F.lower(F.lpad(F.hex(p.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), 8, "0")), F.lit("........")))
+        F.lower(F.lpad(F.hex(p.cast("long") + F.lit(2 ** 31)), 8, "0")), F.lit("........")))
     none = F.forall(parts, lambda p: p.isNull())
     return F.when(none, F.concat(F.lit("x"), F.lower(F.lpad(F.hex(every), 16, "0")))).otherwise(
         F.array_join(digits, ""))
@@ -144,27 +149,23 @@ def fingerprints(docs: DataFrame, least_share: float = 0.001, most_share: float
     found = rows.join(words, "h").select("bucket", "rid", "which", F.when(first, F.col("meta")).alias("meta"),
                                          F.when(~first, F.col("h")).alias("h"))  # lists leave nulls out
     # the rows are dealt by bucket already: grouping with it moves nothing
-    lists = found.groupBy("bucket", "rid", "which").agg(
-        F.first("meta", ignorenulls=True).alias("meta"), F.collect_list("h").alias("terms"))
-    lists = lists.select("rid", "which", "meta.*", "terms")
-    held = ["rid", "which", *kept]
-    deals = [_dealt(F.col("terms"), into, used).alias(f"d{into}") for into, used in DEALS]
+    own, new = F.col("which") == 0, F.col("which") == 1
+    lists = found.groupBy("bucket", "rid").agg(
+        F.first(F.when(own, F.col("meta")), ignorenulls=True).alias("meta"),
+        F.first(F.when(new, F.col("meta")["every"]), ignorenulls=True).alias("every1"),
+        F.collect_list(F.when(own, F.col("h"))).alias("t0"), F.collect_list(F.when(new, F.col("h"))).alias("t1"))
+    lists = lists.select("rid", "meta.*", "every1", "t0", "t1")
+    held = ["rid", *kept, "every1"]
+    deals = [_dealt(F.col(t), into, used).alias(f"{t}_{into}") for t in ("t0", "t1") for into, used in DEALS]
     # a generator's output: the optimiser does not copy it into the lambdas
     lists = lists.select(*held, F.explode(F.array(F.struct(*deals))).alias("x"))
-    lists = lists.select(*held, F.explode(F.array(F.concat(
-        *[_subsets(f"x.d{into}", used) for into, used in DEALS]))).alias("parts"))
-    prints = materialise(lists.select("rid", "which", "doc_id", "next_rid", "n_chars", "sha", "parts",
-                                      _print(F.col("parts"), F.col("every")).alias("print")), "prints")
+    subsets = [F.concat(*[_subsets(f"x.{t}_{into}", used) for into, used in DEALS]) for t in ("t0", "t1")]
+    prints = materialise(lists.select(*held, subsets[0].alias("p0"), subsets[1].alias("p1")), "prints")
     release(spark)
-    both = prints.where("which = 0").select(
-        "rid", "doc_id", "next_rid", "n_chars", F.col("sha").alias("edited_sha256"),
-        F.col("print").alias("fingerprint"), F.col("parts").alias("own"))
-    changed = prints.where("which = 1").select("rid", F.col("print").alias("edited_fingerprint"),
-                                               F.col("parts").alias("edited"))
-    after = prints.where("which = 0").select(F.col("rid").alias("next_rid"), F.col("print").alias("next_print"),
-                                             F.col("parts").alias("next"))
-    out = both.join(changed, "rid").join(after, "next_rid")
-    return out.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness("own", "edited", F.col("fingerprint") == F.col("edited_fingerprint")).alias("near_edited"),
-        likeness("own", "next", F.col("fingerprint") == F.col("next_print")).alias("near_next"))
+    after = prints.select(F.col("rid").alias("next_rid"), F.col("p0").alias("p2"), F.col("every").alias("every2"))
+    both = prints.join(after, "next_rid")
+    same = [_print("p0", "every") == _print(p, e) for p, e in (("p1", "every1"), ("p2", "every2"))]
+    return both.select(
+        "doc_id", "n_chars", F.col("sha").alias("edited_sha256"), _print("p0", "every").alias("fingerprint"),
+        _print("p1", "every1").alias("edited_fingerprint"), likeness("p0", "p1", same[0]).alias("near_edited"),
+        likeness("p0", "p2", same[1]).alias("near_next"))

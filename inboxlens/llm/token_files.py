@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, filesystem, put_file, shared_path, text_of
+from .common import blocks, filesystem, put_file, shared_path, slices, text_of
 from .elias_fano import EliasFano, encode
 from .tokens import encoder
 
@@ -112,7 +112,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, width: int = 2,
         parts: list[bytes] = []
         part = 0
         end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             encode = encode or encoder(vocabulary)
             texts = batch.column("text").to_pylist()
             if texts:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialise, text_of
+from .common import blocks, materialise, slices, text_of
 from .tokens import encoder
 
 PIECE = ("doc_id long, row long, piece int, start long, length long, ids_crc32 long")
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int,
         if with_ids:
             names, kinds = [*names, "ids"], [*kinds, pa.binary()]
         schema = pa.schema(list(zip(names, kinds, strict=True)))
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             doc_ids, numbers = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             for a, b in blocks(texts):
