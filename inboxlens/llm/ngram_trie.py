@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, held_out, map_file, materialise, put_file, shared_path, text_of
+from .common import blocks, held_out, map_file, materialise, put_file, shared_path, slices, text_of
 from .elias_fano import EliasFano, encode
 from .wordhash import TokenHashes
 
@@ -41,6 +41,7 @@ _END = _SPAN - 1     # the hash of END
 _STEPS = 2 ** 16 - 1  # quantisation
 _CLASSES = 24        # contexts are classed by the logarithm of their count
 _ALPHA = 0.1
+_CHARS = 2_000_000   # characters of the texts that are hashed at once
 _PART = "shard int, n int, keys binary, counts binary"
 
 
@@ -127,7 +128,7 @@ class Counter:
     """Distinct keys and counts of a task.  Whenever many have come together they are
     merged, and sent on if they are still many: what a task holds is bounded."""
 
-    def __init__(self, step: int, most: int = 1_500_000):
+    def __init__(self, step: int, most: int = 1_000_000):
         self.step, self.most, self.lists, self.size = step, most, [], 0
 
     def add(self, keys, counts) -> Iterator:
@@ -208,7 +209,7 @@ class Words:
 class Reader:
     """Token ids of texts, with the words met so far."""
 
-    def __init__(self, words: Words, most_words: int = 1_000_000):
+    def __init__(self, words: Words, most_words: int = 600_000):
         self.words, self.most_words, self.opened, self.hasher = words, most_words, {}, TokenHashes()
         self._clear()
 
@@ -254,9 +255,9 @@ def count_words(docs: DataFrame, shards: int) -> Words:
         import numpy as np
 
         hasher, found = TokenHashes(), Counter(step)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, _CHARS):
                 yield from found.add(*np.unique(with_ends(texts[a:b], hasher)[0], return_counts=True))
         yield from found.rows()
 
@@ -357,9 +358,9 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
         import numpy as np
 
         reader, found = Reader(words), Counter(step)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, _CHARS):
                 ids, _, before, _ = reader.tokens(texts[a:b])
                 yield from found.add(*np.unique(before * v + ids, return_counts=True))
         yield from found.rows()
@@ -461,10 +462,10 @@ def score(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
         import pyarrow as pa
 
         reader = Reader(words)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             cols: list[list] = [[], [], [], []]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, _CHARS):
                 ids, counts, before, lengths = reader.tokens(texts[a:b])
                 base = words.log10(counts)
                 own = base.copy()

@@ -54,7 +54,7 @@ def subwords(words: list[bytes], least: int, most: int):
 _WIDE = 0xD6E8FEB86659FD93  # an odd number
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_SLICE = 1 << 21
+_SLICE = 1 << 19
 
 
 def _powers(base: int, n: int):
