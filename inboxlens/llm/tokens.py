@@ -27,9 +27,12 @@ _PIECES = re.compile(f"[ \n]?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACE
 
 
 def _drops_spaces(spec: dict) -> bool:
-    """The pre-tokeniser splits at white space and removes it."""
+    """The normaliser composes and lower-cases, and the pre-tokeniser splits at white space
+    and removes it."""
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
-    return bool(steps) and steps[0].get("type") == "Split" and steps[0].get("invert") is True
+    kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers") or []]
+    return (kinds == ["NFC", "Replace", "Lowercase"] and bool(steps)
+            and steps[0].get("type") == "Split" and steps[0].get("invert") is True)
 
 
 def _keeps_spaces(spec: dict) -> bool:
