@@ -4,13 +4,16 @@ In each of several tables a vector is turned by a pseudo-random rotation (three
 random signs and a fast Hadamard transform) and hashed to the signed axis nearest to it.
 A query looks into the bucket of its own axis and of the next nearest ones (multiprobe),
 in every table; all vectors found there are ranked by their exact inner product with it.
-For vectors of unlike lengths one more coordinate turns the largest inner product into the
-smallest angle before hashing; scores always use the vectors as they are.
+Vectors of unlike lengths are dealt into bands, each of at most twice its least length;
+each band has tables of its own, in which its vectors lie by direction, and a query probes
+those of every band.  A band of at most ``small_band`` vectors is one bucket that every
+query visits.  Scores always use the vectors as they are.
 
 Spark routes each vector once for every table and each query once for every probe to its
 bucket, where the products are taken in blocks.  A bucket of more than ``bucket_rows``
 vectors is dealt over several tasks, all of which its queries visit, so a group of equal
-vectors is no limit and nothing is dropped; the best of all tasks are merged.
+vectors is no limit and nothing is dropped; the best of all tasks are merged.  A query for
+which fewer than ``k`` are found, though there are more vectors, is compared with all.
 
 Rows: vectors that are null, zero, hold null or non-finite components, or have another
 dimension than most (ties: the smaller), and rows without vec_id, take no part; rows that
@@ -29,6 +32,7 @@ from pyspark.sql import types as T
 from .common import materialise
 
 FOUND = "query_id long, vec_id long, score double"
+_ALL = -1  # the one bucket of a small band
 
 
 @dataclass(frozen=True)
@@ -37,6 +41,7 @@ class Params:
     probes: int = 16
     rounds: int = 3
     bucket_rows: int = 4096
+    small_band: int = 256
     seed: int = 7
 
 
@@ -88,10 +93,20 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, p: Params | None =
     rows, dim = usable(vectors)
     rows = materialise(rows, "vectors")
     item = "f4" if isinstance(rows.schema["v"].dataType.elementType, T.FloatType) else "f8"
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    most, least = rows.agg(F.max(norm), F.min(norm)).first()
-    level = not most or (most - least) <= 1e-6 * most  # all of one length: no more coordinate
-    width = 1 << max(0, (dim + (not level) - 1).bit_length())
+    # log2 of the length, by the largest component: no square leaves the range of a double
+    peak = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    rows = rows.withColumn("peak", peak)
+    sized = rows.withColumn("long", F.log2("peak") + 0.5 * F.log2(F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + (x.cast("double") / F.col("peak")) * (x.cast("double") / F.col("peak")))))
+    most, least = sized.agg(F.max("long"), F.min("long")).first()
+    level = most is None or most - least <= 1.5e-6  # all of one length, but for rounding
+    band = F.lit(0) if level else F.floor(F.lit(most) - F.col("long")).cast("int")
+    rows = sized.select("vec_id", "v", band.alias("band"))
+    # one number for each band, and there are at most as many as doubles have exponents
+    held = {r["band"]: r["count"] for r in rows.groupBy("band").count().collect()}
+    small = [i for i, n in held.items() if n <= p.small_band]
+    total = sum(held.values())
+    width = 1 << max(0, (dim - 1).bit_length())
     probes = min(p.probes, 2 * width)
 
     def hashed(batches: Iterator) -> Iterator:
@@ -102,35 +117,39 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, p: Params | None =
             ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
             flat = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(item)
             x = flat.reshape(len(ids), dim)
+            bands = batch.column("band").to_numpy(zero_copy_only=False)
+            whole = np.isin(bands, small)
             for a in range(0, len(ids), 2048):
-                own, raw = ids[a:a + 2048], x[a:a + 2048]
+                own, raw, few = ids[a:a + 2048], x[a:a + 2048], whole[a:a + 2048]
                 wide = np.zeros((len(own), width))
-                wide[:, :dim] = raw.astype(np.float64) / most
+                wide[:, :dim] = raw
+                wide /= np.abs(wide).max(axis=1)[:, None]
+                wide /= np.sqrt((wide ** 2).sum(axis=1))[:, None]
                 asked = own % every == 0
-                ask = wide[asked]  # a query's own length changes no order
-                if not level:
-                    wide[:, dim] = np.sqrt(np.maximum(0, 1 - (wide ** 2).sum(axis=1)))
                 axes = np.stack([signed_axes(y, 1)[:, 0] for y in rotations(wide, p)], axis=1)
-                seen = np.stack([signed_axes(y, probes) for y in rotations(ask, p)], axis=1)
+                seen = np.stack([signed_axes(y, probes) for y in rotations(wide[asked], p)], axis=1)
                 probed = iter(seen.reshape(len(seen), -1).tolist())
                 yield pa.RecordBatch.from_pydict({
-                    "vec_id": own, "v": [r.tobytes() for r in raw], "axes": axes.tolist(),
-                    "probes": [next(probed) if q else None for q in asked],
-                }, schema=pa.schema([("vec_id", pa.int64()), ("v", pa.binary()),
+                    "vec_id": own, "v": [r.tobytes() for r in raw], "band": bands[a:a + 2048],
+                    "axes": [[_ALL] if f else x for f, x in zip(few, axes.tolist(), strict=True)],
+                    "probes": [[*next(probed), _ALL] if q else None for q in asked],
+                }, schema=pa.schema([("vec_id", pa.int64()), ("v", pa.binary()), ("band", pa.int32()),
                                      ("axes", pa.list_(pa.int32())), ("probes", pa.list_(pa.int32()))]))
 
-    index = materialise(rows.mapInArrow(hashed, "vec_id long, v binary, axes array<int>, probes array<int>"), "index")
-    base = index.select("vec_id", "v", F.posexplode("axes").alias("t", "b"))
-    # at most tables x signed axes rows
-    sizes = base.groupBy("t", "b").count().select(
-        "t", "b", F.ceil(F.col("count") / p.bucket_rows).cast("int").alias("parts"))
+    index = materialise(rows.mapInArrow(
+        hashed, "vec_id long, v binary, band int, axes array<int>, probes array<int>"), "index")
+    base = index.select("vec_id", "v", "band", F.posexplode("axes").alias("t", "b"))
+    # at most tables x signed axes rows a band
+    sizes = base.groupBy("band", "t", "b").count().select(
+        "band", "t", "b", F.ceil(F.col("count") / p.bucket_rows).cast("int").alias("parts"))
     sizes = F.broadcast(sizes)
-    base = base.join(sizes, ["t", "b"]).select(
-        "t", "b", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v")
+    base = base.join(sizes, ["band", "t", "b"]).select(
+        "band", "t", "b", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v")
+    table = F.when(F.col("b") == _ALL, 0).otherwise(F.floor(F.col("at") / probes)).cast("int")
     asked = (index.where("probes is not null").select("vec_id", "v", F.posexplode("probes").alias("at", "b"))
-             .select("vec_id", "v", F.floor(F.col("at") / probes).cast("int").alias("t"), "b")
-             .join(sizes, ["t", "b"])
-             .select("t", "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+             .select("vec_id", "v", table.alias("t"), "b")
+             .join(sizes, ["t", "b"])  # in every band
+             .select("band", "t", "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                      F.col("vec_id").alias("query_id"), F.col("v").alias("q")))
 
     def ranked(left, right):
@@ -157,9 +176,27 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, p: Params | None =
         return pd.concat(out) if out else pd.DataFrame(
             {"query_id": np.zeros(0, "i8"), "vec_id": np.zeros(0, "i8"), "score": np.zeros(0)})
 
-    found = (base.groupBy("t", "b", "part").cogroup(asked.groupBy("t", "b", "part"))
-             .applyInPandas(ranked, FOUND))
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def merged(found: DataFrame) -> DataFrame:
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    place = ["band", "t", "b", "part"]
+    best = materialise(merged(base.groupBy(*place).cogroup(asked.groupBy(*place)).applyInPandas(ranked, FOUND)), "best")
+    enough = best.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select("query_id")
+    short = (index.where("probes is not null").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+             .join(enough, "query_id", "left_anti"))
+    short = materialise(short, "short")
+    missing = short.count() if total > 1 else 0
+    if not missing:
+        return best
+    # all rows in blocks, each with every block of the queries left
+    deal, ask = (-(-n // p.bucket_rows) for n in (total, missing))
+    every_row = index.select(F.pmod(F.xxhash64("vec_id"), F.lit(deal)).cast("int").alias("part"),
+                             F.explode(F.sequence(F.lit(0), F.lit(ask - 1))).alias("own"), "vec_id", "v")
+    left = short.select(F.explode(F.sequence(F.lit(0), F.lit(deal - 1))).alias("part"),
+                        F.pmod(F.xxhash64("query_id"), F.lit(ask)).cast("int").alias("own"), "query_id", "q")
+    exact = merged(every_row.groupBy("part", "own").cogroup(left.groupBy("part", "own")).applyInPandas(ranked, FOUND))
+    return best.join(enough, "query_id", "left_semi").unionByName(exact)

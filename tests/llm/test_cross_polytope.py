@@ -77,6 +77,35 @@ def test_vectors_that_take_no_part(spark):
     assert [tuple(r) for r in pair] == [(0, 1, 1, 2.0)]
 
 
+@pytest.mark.parametrize("times", [3, 100, 1e-3])
+def test_one_row_of_another_length(spark, times):
+    rows = vectors(700, 64)
+    rows[7] = (7, rows[7][1] * np.float32(times))
+    want, got = brute(rows), {}
+    for r in nearest(frame(spark, rows)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want) and all(len(own) == 20 for own in got.values())
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
+def test_queries_with_too_few_found_are_compared_with_all(spark):
+    """One probe in one table finds few; two rows of every three have another length."""
+    rows = [(i, v * np.float32((1, 4, 9)[i % 3])) for i, v in vectors(400, 64)]
+    p, want = Params(tables=1, probes=1, small_band=8, bucket_rows=64), brute(rows)
+    got = {}
+    for r in nearest(frame(spark, rows), p=p).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(want) and all(len(own) == 20 for own in got.values())
+    exact = [q for q in want if [i for _, i, _ in sorted(got[q])] == [i for i, _ in want[q]]]
+    assert len(exact) >= 0.8 * len(want)
+
+
+def test_lengths_beyond_the_square_root_of_a_double(spark):
+    rows = [(i, v.astype(float) * (1e-200 if i % 2 else 1.0)) for i, v in vectors(60, 8)]
+    got = nearest(frame(spark, rows, "double"), k=59).collect()
+    assert sorted((r.query_id, r.vec_id) for r in got) == [(q, i) for q in (0, 20, 40) for i in range(60) if i != q]
+
+
 def test_rotations_keep_angles():
     x = np.array([v for _, v in vectors(20, 32)], dtype=float)
     for y in rotations(x, Params(tables=2)):
