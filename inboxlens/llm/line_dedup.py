@@ -4,8 +4,8 @@ A *unit* is a line, cut further after a full stop, question or exclamation mark
 space, so that a passage pasted into the middle of a line still holds whole units.  Each
 ``k`` consecutive unit hashes give one gram hash, and of every ``window`` consecutive grams
 the least (the rightmost of equals) is kept: a run of at least ``window + k - 1`` units
-that stands in two places has a kept gram in common.  A unit that alone has ``min_chars``
-characters is kept as well.
+that stands in two places has a kept gram in common.  A gram or a unit that alone has
+``min_chars`` characters is kept as well, so a shorter run that has them is not missed.
 
 A text that an earlier document has whole is deleted whole, if it has ``min_chars``
 characters; only the first of equal texts goes on.  A kept gram's first place in a document
@@ -91,10 +91,11 @@ def first_texts(rows: DataFrame, min_chars: int) -> tuple[DataFrame, DataFrame]:
     return kept, copies
 
 
-def marks(rows: DataFrame, k: int, window: int, min_chars: int) -> DataFrame:
+def marks(rows: DataFrame, k: int, window: int, min_chars: int, every_long: bool = False) -> DataFrame:
     """The kept grams ``(key, uid, g, p, around, enough, back)``: hash, position, hashes of
     the units before and after (15 bits each), whether its own length is ``min_chars``, and
-    the position before in the document that holds the same gram."""
+    the position before in the document that holds the same gram.  With ``every_long`` the
+    grams that by themselves have ``min_chars`` characters are kept whatever their hash."""
     n = F.greatest(F.size("hs") - (k - 1), F.lit(0))  # number of grams
     grams = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
         F.xxhash64(*[F.get("hs", i + j) for j in range(k)]).alias("g"), (-i).alias("p"))))
@@ -106,6 +107,10 @@ def marks(rows: DataFrame, k: int, window: int, min_chars: int) -> DataFrame:
         least = F.zip_with(least, F.slice("grams", t + 1, wide), lambda a, b: F.least(a, b))
     places = F.when(wide > 0, F.array_distinct(F.transform(least, lambda m: -m["p"]))).when(
         F.size("grams") > 0, F.array(-F.array_min("grams")["p"]))
+    if every_long:
+        long_grams = F.filter(F.sequence(F.lit(0), F.size("hs") - k), lambda i: sum(
+            (F.get("ls", i + j) for j in range(1, k)), F.get("ls", i)) >= min_chars)
+        places = F.when(F.size("grams") > 0, F.array_union(places, long_grams))
     big = F.filter(F.sequence(F.lit(0), F.size("hs") - 1), lambda i: F.get("ls", i) >= min_chars)
     # by gram and place, each with the place before it that holds the same gram
     kinds = [F.transform(places, lambda i: F.struct(F.get("grams", i)["g"].alias("g"), F.lit(k).alias("width"),
@@ -137,7 +142,7 @@ def marks(rows: DataFrame, k: int, window: int, min_chars: int) -> DataFrame:
 def diagonals(rows: DataFrame, k: int, window: int, min_chars: int) -> DataFrame:
     """``(key, uid, key0, diag, p1, p2)``: document, earlier document, difference of their
     positions, first and last position in the document of the pairs that gave it."""
-    every = materialise(marks(rows, k, window, min_chars), "marks")
+    every = materialise(marks(rows, k, window, min_chars, every_long=True), "marks")
     kept = every.where("back is null")
     # (key, position) and what is around as one number, so that the first is a plain minimum
     rest = F.shiftleft(F.col("p").cast("long"), 30).bitwiseOR(F.col("around").cast("long"))

@@ -144,3 +144,25 @@ def test_kept_grams(spark):
 def test_a_unit_repeated_on_and_on_is_one_diagonal(spark):
     rows = [(i, "Is onhe. " * (40 + i) + f"Then number {i} ends.") for i in range(4)]
     assert sorted((r.doc_id, r.text) for r in dedup_lines(docs_df(spark, rows)).collect()) == brute(rows)
+
+
+def test_every_run_of_two_units_is_found(spark):
+    """Each of the two is short; together they are long enough, and winnowing alone misses many."""
+    import random
+
+    from .helpers import sentences
+
+    def unit(i):
+        return f"Unit {i} of the shared passage holds {i * 37} words that are not so many, all told."
+
+    rng, rows = random.Random(11), []
+    for i in range(30):
+        both = [unit(2 * i), unit(2 * i + 1)]
+        assert all(len(u) < 120 for u in both) and sum(map(len, both)) >= 120
+        for d in (i, 100 + i):
+            own = [f"{s[:-1]} {d} {j}." for j, s in enumerate(sentences(rng, 6))]
+            rows.append((d, " ".join(own[:3] + both + own[3:])))
+    got = {r.doc_id: r.text for r in dedup_lines(docs_df(spark, rows)).collect()}
+    for i in range(30):
+        assert got[i] == dict(rows)[i]
+        assert unit(2 * i) not in got[100 + i] and unit(2 * i + 1) not in got[100 + i]
