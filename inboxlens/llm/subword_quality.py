@@ -153,9 +153,9 @@ def sample_counts(docs: DataFrame, labels: DataFrame, label: str, folds: int, si
     taught = labels.where(F.col(label).isNotNull() & ~held_out("doc_id", folds)
                           & F.col("doc_id").isNotNull())
     taught = taught.groupBy("doc_id").agg(F.min(label).alias("label"))  # one label a document
-    # the sample is chosen on ids alone: only its own texts move
-    chosen = (docs.select("doc_id").join(taught, "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).distinct())
+    # the sample is chosen on ids alone: only its own texts move; repeated rows take one place
+    chosen = (docs.select("doc_id").distinct().join(taught, "doc_id")
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
     texts = (docs.select("doc_id", text_of(docs).cast("binary").alias("text"))
              .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"))
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from inboxlens.llm import factorization, subword_quality
 from inboxlens.llm.common import blocks
@@ -92,6 +93,20 @@ def test_edges(spark, labelled, score):
     assert score(spark.createDataFrame([], DOCS), marks).count() == 0
 
 
+def test_a_repeated_document_takes_one_place_of_the_sample(spark, labelled):
+    rows, labels = labelled
+    p, marks = subword_quality.Params(), spark.createDataFrame(labels, LABELS)
+
+    def sample(own):
+        got = subword_quality.sample_counts(docs_df(spark, own), marks, "quality", 5, 20,
+                                            lambda t: subword_quality.counts_of(t, p), subword_quality.COUNTS)
+        return [r["doc_id"] for r in got]
+
+    once = sample(rows)
+    first = spark.createDataFrame([(i,) for i in once], "i long").orderBy(F.xxhash64("i")).first().i
+    assert len(once) == 20 and sample(rows + [rows[first]] * 60) == once
+
+
 def test_word_table_averages_features():
     p = subword_quality.Params(buckets_log2=8, dim=4)
     weights = np.random.default_rng(1).normal(size=(256, 2))
