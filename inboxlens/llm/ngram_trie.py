@@ -1,6 +1,6 @@
-"""Language-model scores from an Elias-Fano n-gram trie (words and word pairs).
+"""Language-model scores from an Elias-Fano n-gram trie (words, word pairs, triples).
 
-The trie has two levels, each cut into shards by ranges and kept in files of the shared
+The trie has two levels or three (``order``), each cut into shards by ranges and kept in files of the shared
 folder, which tasks map into memory:
 
 * words: their hashes in order (Elias-Fano; a word's id is its rank) and their counts;
@@ -9,7 +9,9 @@ folder, which tasks map into memory:
   whole level is one monotone Elias-Fano sequence, and a lookup is a successor search from
   the context's place.  Monotone pointers (Elias-Fano too) give each context's range; the
   pairs' smoothed log-probabilities and the contexts' backoff weights are quantised to 16
-  bits, downwards, so that no context's probabilities add up to more than one.
+  bits, downwards, so that no context's probabilities add up to more than one;
+* triples: the same, a context being a pair, known by its place in the second level; a
+  word is searched between its context's pointers.
 
 Counting is distributed: a task reduces its documents to sorted distinct keys with counts,
 cuts them at the shards' bounds and sends each part as one row; a shard merges its parts.
@@ -17,7 +19,9 @@ All of a context's successors meet in one shard, at most V short numbers however
 context occurs.  Probabilities interpolate by absolute discounting: the discount of
 contexts seen about equally often comes from their counts of pairs seen once and twice.
 A pair that was not seen has its context's backoff weight times the word's probability,
-(c + 0.1) / (N + 0.1 (V + 1)), which also serves words never seen.
+(c + 0.1) / (N + 0.1 (V + 1)), which also serves words never seen.  With three levels a
+triple's probability interpolates with its last pair's in the same way; a text's first word
+has one END before it and is scored as a pair.
 
 Rows: a null text is an empty one (its end alone); a null doc_id is a training row; repeated
 rows count as often as they stand; an empty training set scores with N = V = 0.
@@ -26,7 +30,7 @@ rows count as often as they stand; an empty training set scores with N = V = 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -283,12 +287,14 @@ def count_words(docs: DataFrame, shards: int) -> Words:
 
 @dataclass(frozen=True)
 class Pairs:
-    """The trie's second level."""
+    """The trie's second level, or the third: then a context is the place of a pair."""
 
     distinct: int          # words
     step: int              # room of a shard, in keys: whole contexts
     files: dict[int, str]
     low: float             # least log-probability that the quantisation can write
+    base: dict[int, int] = field(default_factory=dict)  # shard to the place of its first key
+    total: int = 0         # keys
 
     def quantised(self, x):
         import numpy as np
@@ -320,25 +326,82 @@ class Pairs:
     def lookup(self, context, word, opened: dict):
         """For known words: log10 of the pair's probability (nan: not seen) and of the
         context's backoff weight (0: nothing seen after it)."""
+        return self.search(context, word, opened)[:2]
+
+    def search(self, context, word, opened: dict):
+        """As ``lookup``, and the pair's place in this level (-1: not seen)."""
         import numpy as np
 
-        prob, weight = np.full(len(context), np.nan), np.zeros(len(context))
         key = context * self.distinct + word
         key, back = np.unique(key, return_inverse=True)  # one search for equal pairs
-        got, left = np.full(len(key), np.nan), np.zeros(len(key))
+        got, left, place = np.full(len(key), np.nan), np.zeros(len(key)), np.full(len(key), -1, dtype=np.int64)
         shard = key // self.step
         for a, b in stretches(shard):
             s = int(shard[a])
             if s not in self.files:
                 continue
-            keys, _, own, weights = self._open(s, opened)
+            keys, pointers, own, weights = self._open(s, opened)
             x = key[a:b] - s * self.step
-            at = keys.find(x)
+            at = self._find(keys, pointers, x)
             hit = at >= 0
             got[a:b][hit] = self.low - own[at[hit]] / _STEPS * self.low
             left[a:b] = self.low - weights[x // self.distinct] / _STEPS * self.low
-        prob[:], weight[:] = got[back], left[back]
-        return prob, weight
+            place[a:b][hit] = at[hit] + self.base.get(s, 0)
+        return got[back], left[back], place[back]
+
+    def _find(self, keys, pointers, x):
+        return keys.find(x)
+
+    def words_at(self, place, opened: dict):
+        """The last words of the pairs at these places."""
+        import numpy as np
+
+        shards = sorted(self.files)
+        first = np.array([self.base[s] for s in shards])
+        out, at = np.zeros(len(place), dtype=np.int64), np.searchsorted(first, place, side="right") - 1
+        for i in np.unique(at).tolist():
+            on = at == i
+            out[on] = self._open(shards[i], opened)[0].get(place[on] - first[i]) % self.distinct
+        return out
+
+
+@dataclass(frozen=True)
+class Triples(Pairs):
+    """The trie's third level."""
+
+    def _open(self, shard: int, opened: dict):
+        own = opened.setdefault("triples", {})  # the levels' shards have the same numbers
+        return super()._open(shard, own)
+
+    def _find(self, keys, pointers, x):
+        """Places of the keys, each searched between its context's pointers (-1: none)."""
+        import numpy as np
+
+        context = x // self.distinct
+        low, end = pointers.get(context), pointers.get(context + 1)
+        high = end.copy()
+        on = np.flatnonzero(low < high)
+        while len(on):
+            middle = (low[on] + high[on]) // 2
+            less = keys.get(middle) < x[on]
+            low[on[less]] = middle[less] + 1
+            high[on[~less]] = middle[~less]
+            on = on[low[on] < high[on]]
+        out = np.full(len(x), -1, dtype=np.int64)
+        inside = np.flatnonzero(low < end)
+        hit = inside[keys.get(low[inside]) == x[inside]]
+        out[hit] = low[hit]
+        return out
+
+
+def chained(place, lengths):
+    """For each token the place of the pair before it (-1: none), from the place of the
+    pair that it closes itself."""
+    import numpy as np
+
+    out = np.append(np.int64(-1), place[:-1])
+    out[np.cumsum(lengths) - lengths] = -1
+    return out
 
 
 def _classes(total):
@@ -347,12 +410,16 @@ def _classes(total):
     return np.minimum(np.log2(total).astype(np.int64), _CLASSES - 1)
 
 
-def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
-    """The second level from the texts of ``docs (text binary)``."""
+def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None = None) -> Pairs:
+    """The second level from the texts of ``docs (text binary)``; the third above ``pairs``."""
     spark = docs.sparkSession
-    root = shared_path(spark, "pairs")
+    name = "triples" if pairs else "pairs"
+    root = shared_path(spark, name)
     v = max(1, words.distinct)
-    step = -(-v // shards) * v
+    contexts = max(1, pairs.total) if pairs else v
+    if contexts * v >= 2 ** 63:
+        raise ValueError(f"{contexts} contexts of {v} words do not fit 64 bits")
+    step = -(-contexts // shards) * v
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
@@ -361,7 +428,10 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, _CHARS):
-                ids, _, before, _ = reader.tokens(texts[a:b])
+                ids, _, before, lengths = reader.tokens(texts[a:b])
+                if pairs:
+                    before = chained(pairs.search(before, ids, reader.opened)[2], lengths)
+                    ids, before = ids[before >= 0], before[before >= 0]
                 yield from found.add(*np.unique(before * v + ids, return_counts=True))
         yield from found.rows()
 
@@ -380,20 +450,28 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
                              "twos": [np.bincount(kind[counts == 2], minlength=_CLASSES).tolist()]})
 
     found = materialise(docs.mapInArrow(count, _PART).groupBy("shard").applyInPandas(
-        merge, _PART + ", ones array<long>, twos array<long>"), "pairs")
+        merge, _PART + ", ones array<long>, twos array<long>"), name)
     # counts of counts by class: a few numbers
     sums = found.agg(*[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("ones", "twos") for i in range(_CLASSES)]).first()
     ones, twos = ([sums[f"{c}{i}"] or 0 for i in range(_CLASSES)] for c in ("ones", "twos"))
     discount = [min(0.95, max(0.1, a / (a + 2 * b))) if a else 0.5 for a, b in zip(ones, twos, strict=True)]
-    low = float(words.log10(0)) - 3
-    empty = Pairs(v, step, {}, low)
+    low = (pairs.low if pairs else float(words.log10(0))) - 3
+    kind = Triples if pairs else Pairs
+    empty = kind(v, step, {}, low)
 
     def build(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         rate = np.array(discount)
-        by_id = _counts_by_id(words)
+        by_id, opened = None if pairs else _counts_by_id(words), {}
+
+        def shorter(context, word):
+            """log10 of the probability after the context without its first word."""
+            if not pairs:
+                return words.log10(by_id(word))
+            return pairs.lookup(pairs.words_at(context, opened), word, opened)[0]
+
         for batch in batches:
             for row in range(batch.num_rows):
                 shard, *raw = (batch.column(i)[row].as_py() for i in range(4))
@@ -406,19 +484,23 @@ def count_pairs(docs: DataFrame, words: Words, shards: int) -> Pairs:
                 weight = d * size / total
                 here, width = np.repeat(np.arange(len(first)), size), step // v
                 prob = ((counts - d[here]) / total[here]
-                        + weight[here] * 10 ** words.log10(by_id(word)))
+                        + weight[here] * 10 ** shorter(context + shard * width, word))
                 weights = np.full(width, _STEPS, dtype="<u2")  # one: nothing seen after it
                 weights[context[first]] = empty.quantised(np.log10(weight))
                 pointers = np.searchsorted(context, np.arange(width + 1))
                 file = f"{root}/pairs-{shard:06d}.bin"
                 put_file(file, [encode(keys, step), encode(pointers, len(keys) + 1),
                                 empty.quantised(np.log10(prob)).tobytes(), weights.tobytes()])
-                yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file]}, schema=pa.schema(
-                    [("shard", pa.int32()), ("file", pa.string())]))
+                yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file], "n": [len(keys)]}, schema=pa.schema(
+                    [("shard", pa.int32()), ("file", pa.string()), ("n", pa.int64())]))
 
     written = materialise(found.select("shard", "n", "keys", "counts")
-                          .mapInArrow(build, "shard int, file string"), "pairs")
-    return Pairs(v, step, {r["shard"]: r["file"] for r in _files(written)}, low)
+                          .mapInArrow(build, "shard int, file string, n long"), name)
+    rows, base, at = _files(written), {}, 0
+    for r in rows:
+        base[r["shard"]] = at
+        at += r["n"]
+    return kind(v, step, {r["shard"]: r["file"] for r in rows}, low, base, at)
 
 
 def _counts_by_id(words: Words):
@@ -443,17 +525,20 @@ def _counts_by_id(words: Words):
     return counts
 
 
-def train(docs: DataFrame, shards: int | None = None) -> tuple[Words, Pairs]:
-    """Both levels of the trie from every row of ``docs``."""
+def train(docs: DataFrame, shards: int | None = None, order: int = 2) -> tuple:
+    """The ``order`` (2 or 3) levels of the trie from every row of ``docs``."""
+    if order not in (2, 3):
+        raise ValueError(f"order must be 2 or 3, not {order}")
     spark: SparkSession = docs.sparkSession
     # two shards for each partition of a shuffle: what a task holds at once is one of them
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(text_of(docs).cast("binary").alias("text"))
     words = count_words(texts, shards)
-    return words, count_pairs(texts, words, shards)
+    pairs = count_pairs(texts, words, shards)
+    return (words, pairs) if order == 2 else (words, pairs, count_pairs(texts, words, shards, pairs))
 
 
-def score(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
+def score(docs: DataFrame, words: Words, pairs: Pairs, triples: Triples | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, base_score, score`` of every row of ``docs``,
     which has a column ``held_out``."""
 
@@ -470,12 +555,22 @@ def score(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
                 base = words.log10(counts)
                 own = base.copy()
                 known = np.flatnonzero((ids >= 0) & (before >= 0))
-                prob, weight = pairs.lookup(before[known], ids[known], reader.opened)
+                prob, weight, at = pairs.search(before[known], ids[known], reader.opened)
                 own[known] = np.where(np.isnan(prob), weight + base[known], prob)
                 # a word never seen, after a context that was
                 new = np.flatnonzero((ids < 0) & (before >= 0))
                 _, weight = pairs.lookup(before[new], np.zeros(len(new), dtype=np.int64), reader.opened)
                 own[new] += weight
+                if triples:
+                    place = np.full(len(ids), -1, dtype=np.int64)
+                    place[known] = at
+                    context = chained(place, lengths)
+                    known = np.flatnonzero((context >= 0) & (ids >= 0))
+                    prob, weight = triples.lookup(context[known], ids[known], reader.opened)
+                    own[known] = np.where(np.isnan(prob), weight + own[known], prob)
+                    new = np.flatnonzero((context >= 0) & (ids < 0))
+                    _, weight = triples.lookup(context[new], np.zeros(len(new), dtype=np.int64), reader.opened)
+                    own[new] += weight
                 first = np.cumsum(lengths) - lengths
                 cols[0] += lengths.tolist()
                 cols[1] += np.add.reduceat((counts > 0).astype(np.int64), first).tolist()
@@ -492,8 +587,8 @@ def score(docs: DataFrame, words: Words, pairs: Pairs) -> DataFrame:
                                 "base_score double, score double")
 
 
-def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, order: int = 2) -> DataFrame:
     """Train on the rows outside the held-out fold and score every row."""
     marked = docs.select("doc_id", "text", held_out("doc_id", folds).alias("held_out"))
-    words, pairs = train(marked.where(~F.col("held_out")))
-    return score(marked, words, pairs).withColumn("train_tokens", F.lit(words.tokens).cast("long"))
+    words, *levels = train(marked.where(~F.col("held_out")), order=order)
+    return score(marked, words, *levels).withColumn("train_tokens", F.lit(words.tokens).cast("long"))

@@ -40,7 +40,7 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"), folds=10)
+    return score_documents(table(spark, sf_dir, "documents"), folds=10, order=3)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,41 @@ def test_nothing_to_learn_from(spark):
     (row,) = score_documents(docs_df(spark, [(held, "two words")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == row.base_score == pytest.approx(0.0)
+
+
+def test_three_levels_equal_a_dictionary_model(spark):
+    rows = corpus(n=80) + [(1000 + i if r[0] is not None else None, *r[1:]) for i, r in enumerate(EDGES)]
+    texts = [r[1] for r in rows if not is_held_out(r[0])]
+    model, triples, after = Model(texts), collections.Counter(), collections.defaultdict(list)
+    for t in texts:
+        w = [END, *words_of(t), END]
+        triples.update(zip(w, w[1:], w[2:], strict=False))
+    for (a, b, _), c in triples.items():
+        after[a, b].append(c)
+    ones, twos = collections.Counter(), collections.Counter()
+    for own in after.values():
+        k = int(math.log2(sum(own)))
+        ones[k] += own.count(1)
+        twos[k] += own.count(2)
+
+    def prob(a, b, w):
+        if (a, b) not in after:
+            return model.prob(b, w)
+        own, k = after[a, b], int(math.log2(sum(after[a, b])))
+        d = min(0.95, max(0.1, ones[k] / (ones[k] + 2 * twos[k]))) if ones[k] else 0.5
+        c = triples[a, b, w]
+        return (c - d if c else 0) / sum(own) + d * len(own) / sum(own) * model.prob(b, w)
+
+    def score(text):
+        w = [END, *words_of(text), END]
+        return math.log10(model.prob(END, w[1])) + sum(math.log10(prob(*x)) for x in zip(w, w[1:], w[2:], strict=False))
+
+    got = score_documents(docs_df(spark, rows), 10, order=3).collect()
+    want = {}
+    for r in rows:
+        want.setdefault(r[0], []).append((len(words_of(r[1])) + 1, score(r[1])))
+    assert len(got) == len(rows)
+    for r in got:
+        # each probability is quantised downwards, a triple's over a pair's that was
+        assert any(n == r.n_tokens and x - n * 8e-4 <= r.score <= x + 1e-9 * abs(x) + 1e-9 for n, x in want[r.doc_id])
+    assert score_documents(spark.createDataFrame([], DOCS), order=3).count() == 0
