@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import oracle
 from .cross_polytope import nearest
+from .decontaminate import contamination
 from .entropy_mix import mix
 from .factorization import score_toxicity
 from .imatch import fingerprints
@@ -78,6 +81,12 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "row")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_imatch": op2_imatch,
@@ -89,6 +98,11 @@ QUERIES: dict[str, Query] = {
     "op7_cross_polytope": op7_cross_polytope,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_vector_packing": op9_vector_packing,
+    "op11_decontamination": op11_decontamination,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_decontamination": oracle.DECONTAMINATION,
 }
 
 
@@ -97,4 +111,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
