@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .common import materialise
+from .conversation_repair import digests, report
 from .cross_polytope import nearest
 from .decontaminate import contamination
 from .entropy_mix import mix
@@ -87,6 +89,24 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with faults by crc32("conv_id:turn") mod 20: 0 drops the row, 1
+    empties its text, 2 removes what ends sentences, 3 repeats it, 4 gives it to the user."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    by = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), by.alias("by")).where("by <> 0")
+    text = F.when(F.col("by") == 1, F.lit("")).when(F.col("by") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    rows = rows.select("conv_id", "turn", F.when(F.col("by") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(F.sequence(F.lit(1), F.when(F.col("by") == 3, 2).otherwise(1))).alias("again"))
+    return rows.drop("again")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    rows = damaged(original)
+    return digests(rows, materialise(report(rows, original), "reports"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_imatch": op2_imatch,
@@ -99,10 +119,12 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_trie": op8_simhash_trie,
     "op9_vector_packing": op9_vector_packing,
     "op11_decontamination": op11_decontamination,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_decontamination": oracle.DECONTAMINATION,
+    "op12_conversation_repair": oracle.CONVERSATION_REPAIR,
 }
 
 
