@@ -277,6 +277,8 @@ def _repair(audit: str) -> Iterator[tuple]:
                 then = _AFTER_S
             yield edit, turn, own if edit == "K" else role, text
         state = then
+    while True:  # the edits are done
+        yield None
 
 
 def _played(batches: Iterator) -> Iterator[tuple]:
