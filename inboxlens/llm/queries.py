@@ -21,6 +21,7 @@ from .simhash_trie import simhash_groups
 from .subword_quality import score_quality
 from .token_files import read_tokens, write_tokens
 from .vector_packing import pack_documents
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(rows, materialise(report(rows, original), "reports"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_imatch": op2_imatch,
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op9_vector_packing": op9_vector_packing,
     "op11_decontamination": op11_decontamination,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
