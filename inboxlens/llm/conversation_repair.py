@@ -12,8 +12,9 @@ where its last node's price is below that, the price is raised to it and the nod
 path (contraction).  Where a path ends its prices are exact on every shortest path, so the
 tight arcs, whose cost is the difference of their ends' prices, are the arcs of the cheapest
 edits; they are traced in the order D, I, K, R, so the least of equally cheap audits is
-found.  Long conversations are auctioned in blocks of layers from the end: four prices are
-kept for each block, and the trace auctions each block again.
+found.  Conversations are auctioned in blocks of layers from the end: the four prices where a
+block begins, less the least of them, are those the block before it ends with, so the work is
+linear in the rows; the trace auctions each block again from its one state.
 
 Spark deals the rows by conversation and sorts them; a task sees them as a stream.  The
 first pass carries no texts: a byte for each row, and then the audit, which is as long as the
@@ -22,8 +23,9 @@ collected, so a conversation of any length needs three bytes a row in a task.
 
 Rows: order is by turn (nulls first), ties by role, then the text's first 64 characters, then
 a hash of both; a null role or text is one space; a null conv_id is a conversation of its own;
-repeated rows are rows like others (the later ones duplicates); conversations without rows
-have zeros and an empty audit; an empty table gives no rows.
+repeated rows are rows like others (the later ones duplicates); an empty role may not stay;
+conversations without rows have zeros and an empty audit; an empty table gives no rows; more
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ USER, ASSISTANT, SYSTEM, OTHER = range(4)  # what a role's initial says
 _MUST_GO, _TRUNCATED = 4, 8
 _START, _AFTER_S, _AFTER_U, _AFTER_A = range(4)
 _BLOCK = 16       # layers auctioned at a time
-_REMEMBERED = 50_000  # short conversations' edits that a task keeps
+_REMEMBERED = 50_000  # auctioned blocks that a task keeps
 
 
 def _due(state: int) -> tuple[str, int]:
@@ -125,48 +127,70 @@ def _trace(origin: int, prices: list[int], layers: list, ends: dict[int, int]) -
     return "".join(labels), path[-1]
 
 
-def cheapest_edits(codes: bytes) -> tuple[int, str]:
-    """The least cost and, of the audits that have it, the ASCII-least."""
-    n = len(codes)
-    bounds = list(range(0, n, _BLOCK)) or [0]
-
-    def block(number: int, after: list[int]) -> tuple[list, dict[int, int]]:
-        """A block's arcs by layer and its final nodes with their prices."""
-        a = bounds[number]
-        if number + 1 < len(bounds):
-            layers = [_ARCS[c] for c in codes[a:bounds[number + 1]]]
-            return layers, {4 * len(layers) + s: p for s, p in enumerate(after)}
-        layers = [_ARCS[c] for c in codes[a:]] + [_ARCS[None]]
-        return layers, {4 * n - 4 * a + s: 0 for s in (_START, _AFTER_A)}  # where a conversation may end
-
-    known = array("q", bytes(32 * (len(bounds) + 1)))  # four prices at the start of each block
-    for number in reversed(range(len(bounds))):
-        layers, ends = block(number, list(known[4 * number + 4:4 * number + 8]))
-        prices = [0] * (4 * len(layers) + 4)
-        for state in range(4):
-            if state in ends:  # no row is left
-                known[4 * number + state] = ends[state]
-                continue
+def _block(codes: bytes, after: tuple | None) -> tuple[list, dict[int, int]]:
+    """A block's arcs by layer, and its final nodes with their prices: ``after`` of the four
+    states where the next block begins, None for the last block."""
+    layers = [_ARCS[c] for c in codes]
+    end = 4 * len(layers)
+    if after is not None:
+        return layers, {end + s: p for s, p in enumerate(after)}
+    return [*layers, _ARCS[None]], {end + s: 0 for s in (_START, _AFTER_A)}  # where a conversation may end
+
+
+def _block_prices(codes: bytes, after: tuple | None) -> tuple:
+    """The prices of the four states at the start of a block."""
+    layers, ends = _block(codes, after)
+    prices = [0] * (4 * len(layers) + 4)
+    for state in range(4):
+        if state not in ends:
             _auction(state, prices, layers, ends)
-            known[4 * number + state] = prices[state]
-    audit, state = [], _START
-    for number in range(len(bounds)):
-        layers, ends = block(number, list(known[4 * number + 4:4 * number + 8]))
-        prices = [0] * (4 * len(layers) + 4)
-        _auction(state, prices, layers, ends)
-        labels, node = _trace(state, prices, layers, ends)
+    return tuple(ends.get(state, prices[state]) for state in range(4))
+
+
+def _block_trace(codes: bytes, after: tuple | None, state: int) -> tuple[str, int]:
+    """The least edits through a block from ``state``, and the state they lead to."""
+    layers, ends = _block(codes, after)
+    prices = [0] * (4 * len(layers) + 4)
+    _auction(state, prices, layers, ends)
+    labels, node = _trace(state, prices, layers, ends)
+    return labels, node & 3
+
+
+def _once(remembered: dict, solve, *args):
+    found = remembered.get(args)
+    if found is None:
+        if len(remembered) >= _REMEMBERED:
+            remembered.clear()
+        found = remembered[args] = solve(*args)
+    return found
+
+
+def cheapest_edits(codes: bytes, remembered: dict | None = None) -> tuple[int, str]:
+    """The least cost and, of the audits that have it, the ASCII-least.  ``remembered`` keeps
+    auctioned blocks from one conversation to the next."""
+    remembered = {} if remembered is None else remembered
+    blocks = range(0, max(len(codes), 1), _BLOCK)
+    known = array("q", bytes(32 * len(blocks)))  # the four prices after each block, less the least
+    after, cost = None, 0
+    for number in reversed(range(len(blocks))):
+        if after is not None:
+            known[4 * number:4 * number + 4] = array("q", after)
+        prices = _once(remembered, _block_prices, codes[blocks[number]:blocks[number] + _BLOCK], after)
+        least = min(prices)  # differences stay small however long the conversation is
+        after, cost = tuple(p - least for p in prices), cost + least
+    audit, state, last = [], _START, len(blocks) - 1
+    for number, at in enumerate(blocks):
+        rest = None if number == last else tuple(known[4 * number:4 * number + 4])
+        labels, state = _once(remembered, _block_trace, codes[at:at + _BLOCK], rest, state)
         audit.append(labels)
-        state = node & 3
-    return known[_START], "".join(audit)
+    return cost + after[_START], "".join(audit)
 
 
 class _Report:
     """Faults, codes and edits of one conversation, row by row in order."""
 
-    remembered: dict[bytes, tuple[int, str]] = {}
-
-    def __init__(self, conv_id):
-        self.conv_id, self.codes = conv_id, bytearray()
+    def __init__(self, conv_id, remembered: dict):
+        self.conv_id, self.codes, self.remembered = conv_id, bytearray(), remembered
         self.blank = self.duplicate = self.truncated = self.illegal = self.turns = 0
         self.low = self.high = self.last = None
 
@@ -185,15 +209,10 @@ class _Report:
         self.last = (turn, key)
 
     def row(self) -> dict:
-        codes = bytes(self.codes)
-        found = self.remembered.get(codes)
-        if found is None:
-            found = cheapest_edits(codes)
-            if len(codes) <= 64 and len(self.remembered) < _REMEMBERED:
-                self.remembered[codes] = found
+        cost, audit = cheapest_edits(bytes(self.codes), self.remembered)
         gaps = self.high - self.low + 1 - self.turns if self.turns else 0
         return {"conv_id": self.conv_id, "gaps": gaps, "blank": self.blank, "duplicate": self.duplicate,
-                "truncated": self.truncated, "illegal": self.illegal, "cost": found[0], "audit": found[1]}
+                "truncated": self.truncated, "illegal": self.illegal, "cost": cost, "audit": audit}
 
 
 _REPORT = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
@@ -243,13 +262,13 @@ def report(messages: DataFrame, conversations: DataFrame | None = None) -> DataF
 
     def judged(batches: Iterator) -> Iterator:
         def rows() -> Iterator[dict]:
-            now = None
+            now, remembered = None, {}
             for batch in slices(batches):
                 for conv, is_row, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if now is None or conv != now.conv_id:
                         if now is not None:
                             yield now.row()
-                        now = _Report(conv)
+                        now = _Report(conv, remembered)
                     if is_row:
                         now.add(*rest)
             if now is not None:
