@@ -13,8 +13,8 @@ query that fails ends the job.  ``--available-now`` processes what is there and
 ``route`` sends each raw message to the topic its rule names, ``fanout`` to a table, a topic
 and the quarantine.  ``dims`` loads landed product/user/campaign JSON into cleaned tables
 and, with ``--events``, the customers table and its keyed messages.  ``gold`` brings the
-snapshots of the silver changelogs up to date and recomputes the dashboard tables into
-``<root>/gold/<name>`` with a ``computed_at`` column.
+snapshots of the silver changelogs up to date and recomputes the dashboard tables as a new
+version below ``<root>/gold`` with a ``computed_at`` column (``refresh.read_gold``).
 
 Event time is UTC: ``main`` sets the session's time zone.
 """
@@ -25,6 +25,7 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import dims, routing
 from .operators.decode import decode_events
@@ -32,7 +33,9 @@ from .plans import dims_load
 from .plans.refresh import SILVER, refresh_gold, silver_paths
 from .schemas import CAMPAIGN_TOPIC, CITY_TOPIC, EFFECTIVENESS_TOPIC
 from .sources import files, jdbc, kafka
+from .streaming.changelog import open_epoch
 from .streaming.landing import Landing
+from .streaming.ledger import Target, once_sink
 from .streaming.pipeline import (MAX_OFFSETS, TRIGGER, await_all, decoded_event_stream, folder_sink,
                                  message_stream, run_changelog, run_decode, run_enriched, run_fanout,
                                  state_settings)
@@ -85,15 +88,19 @@ def run_silver(spark: SparkSession, args) -> dict[str, str]:
 def run_route(spark: SparkSession, args) -> None:
     """Each raw message, payload included, to the topic that its rule names."""
     routed = routing.route_events(decode_events(raw_from(spark, args)))
+    folder, checkpoint = os.path.join(args.root, "routed"), os.path.join(args.root, "route_checkpoint")
+    epoch = open_epoch(spark, folder, checkpoint)
     if args.to:
-        sink = kafka.topic_sink(args.to)
+        sink = once_sink(kafka.append_target(args.to, topics=routing.TOPICS),
+                         os.path.join(args.root, "route_ledger"), epoch)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            sink(batch.select("topic", "key", "value"), batch_id)
+            value = F.col("value").cast("string").alias("value")
+            sink(batch.select("topic", "key", value), batch_id)
     else:
-        write = folder_sink(os.path.join(args.root, "routed"))
+        write = folder_sink(folder, epoch)
     writer = (routed.writeStream.queryName("route").foreachBatch(write)
-              .option("checkpointLocation", os.path.join(args.root, "route_checkpoint")))
+              .option("checkpointLocation", checkpoint))
     q = (writer.trigger(availableNow=True) if args.available_now
          else writer.trigger(processingTime=args.trigger)).start()
     await_all([q])
@@ -102,14 +109,22 @@ def run_route(spark: SparkSession, args) -> None:
 def run_fan(spark: SparkSession, args) -> None:
     """The topic fanned out to a table, a topic (or folder) and the quarantine."""
     base = os.path.join(args.root, "fanout")
-    tables = [folder_sink(os.path.join(base, "events"))]
+    folders = {name: os.path.join(base, name) for name in ("events", "topic", "quarantine")}
+    checkpoint = os.path.join(base, "checkpoint")
+    epoch = open_epoch(spark, list(folders.values()), checkpoint)
+
+    def once(target: Target, name: str):
+        return once_sink(target, os.path.join(base, "ledger", name), epoch)
+
+    tables = [folder_sink(folders["events"], epoch)]
     if args.jdbc_url:
         conn = jdbc.connection_options(args.jdbc_url, args.jdbc_user,
                                        os.environ.get(args.jdbc_password_env or "", None))
-        tables.append(jdbc.append_sink(conn, args.jdbc_table))
-    messages = [kafka.topic_sink(args.to, args.to_topic) if args.to else folder_sink(os.path.join(base, "topic"))]
-    q = run_fanout(spark, raw_from(spark, args), os.path.join(base, "checkpoint"), tables, messages,
-                   [folder_sink(os.path.join(base, "quarantine"))], available_now=args.available_now,
+        tables.append(once(jdbc.append_target(conn, args.jdbc_table), "table"))
+    messages = [once(kafka.append_target(args.to, args.to_topic), "topic") if args.to
+                else folder_sink(folders["topic"], epoch)]
+    q = run_fanout(spark, raw_from(spark, args), checkpoint, tables, messages,
+                   [folder_sink(folders["quarantine"], epoch)], available_now=args.available_now,
                    trigger=args.trigger, wait=False)
     await_all([q])
 
@@ -206,7 +221,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--campaigns", required=True)
     g.add_argument("--products")
     g.add_argument("--customers", help="customers table of the dimension load, for the header")
-    g.add_argument("--prune", action="store_true", help="delete changelog batches that older snapshots hold")
+    g.add_argument("--prune", action=argparse.BooleanOptionalAction, default=True,
+                   help="delete changelog batches that the snapshot before holds, and what is older")
     d = sub.add_parser("dims")
     d.add_argument("--products", help="landed product JSON")
     d.add_argument("--users", help="landed nested user JSON")

@@ -17,6 +17,7 @@ ENGAGEMENT_TOPIC = "engagement"
 DELIVERY_TOPIC = "delivery"
 ERROR_TOPIC = "error"
 UNKNOWN_TOPIC = "unknown"
+TOPICS = (QUARANTINE_TOPIC, ENGAGEMENT_TOPIC, DELIVERY_TOPIC, ERROR_TOPIC, UNKNOWN_TOPIC)
 
 
 def topic_rule(labels: EventLabels = DEFAULT_LABELS) -> Column:

@@ -10,11 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..streaming.changelog import path_exists
+from ..streaming.ledger import Target
+
 
 def read_records(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def append_rows(path: str):
+    """Appends rows to a folder of files."""
+    return lambda rows: rows.write.mode("append").parquet(path)
+
+
+def append_target(path: str) -> Target:
+    """A folder that micro-batches are appended to, each once (``ledger.once_sink``); the
+    rows carry ``epoch`` and ``batch_id``."""
+    def held(spark: SparkSession, epoch: int, batch_id: int, since: int) -> DataFrame | None:
+        if not path_exists(spark, path):
+            return None
+        rows = spark.read.option("mergeSchema", "true").parquet(path)
+        if "epoch" not in rows.columns:  # nothing but rows from elsewhere
+            return None
+        return rows.where((F.col("epoch") == epoch) & (F.col("batch_id") == batch_id))
+
+    return Target(append_rows(path), held)
+
+
 def parse_records(lines: DataFrame, schema: StructType) -> DataFrame:
     """Lines of JSON (``value``) -> the declared fields, the line itself (``_raw``) and
     ``_corrupt`` (null where the line is a record)."""

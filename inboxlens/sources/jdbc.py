@@ -12,6 +12,9 @@ environment does not provide.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..streaming.ledger import Target
 
 
 def connection_options(url: str, user: str | None = None, password: str | None = None,
@@ -50,8 +53,11 @@ def write_table(df: DataFrame, conn: dict, table: str, mode: str = "append",
        .mode(mode).save())
 
 
-def append_sink(conn: dict, table: str):
-    """``foreachBatch`` function that appends a micro-batch to a table (S8)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(batch, conn, table)
-    return write
+def append_target(conn: dict, table: str) -> Target:
+    """A table that micro-batches are appended to, each once (S8, ``ledger.once_sink``).  It
+    has the columns ``epoch`` and ``batch_id`` beside the rows' own; an index on them serves
+    the read after a failure.  The filter goes to the database."""
+    def held(spark: SparkSession, epoch: int, batch_id: int, since: int) -> DataFrame:
+        return read_table(spark, conn, table).where((F.col("epoch") == epoch) & (F.col("batch_id") == batch_id))
+
+    return Target(lambda rows: write_table(rows, conn, table), held)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..streaming.ledger import TAGS, Target
+
 
 def source_options(bootstrap: str, topic: str, starting: str = "earliest",
                    ending: str | None = None, extra: dict | None = None) -> dict:
@@ -69,11 +71,36 @@ def decode_changelog(messages: DataFrame, schema: StructType) -> DataFrame:
     return messages.select(row.alias("r")).select("r.*")
 
 
-def topic_sink(bootstrap: str, topic: str | None = None):
-    """``foreachBatch`` function that writes (key, value[, topic]) messages to a topic (S8)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_topic_batch(batch, bootstrap, topic)
-    return write
+def with_headers(messages: DataFrame) -> DataFrame:
+    """The tags of a message's micro-batch as its headers."""
+    tags = [F.struct(F.lit(t).alias("key"), F.col(t).cast("string").cast("binary").alias("value")) for t in TAGS]
+    return messages.withColumn("headers", F.array(*tags)).drop(*TAGS)
+
+
+def from_headers(records: DataFrame) -> DataFrame:
+    """Records read with their headers -> (topic, key, value) with the tags as columns."""
+    def header(name: str):
+        return F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"]
+
+    tags = [header(t).cast("string").try_cast("long").alias(t) for t in TAGS]
+    return records.select(F.col("topic"), F.col("key").cast("string").alias("key"),
+                          F.col("value").cast("string").alias("value"), *tags)
+
+
+def append_target(bootstrap: str, topic: str | None = None, topics: Sequence[str] = (),
+                  margin_ms: int = 600_000) -> Target:
+    """A topic that micro-batches of (key, value[, topic]) text messages are appended to, each
+    once (S8, ``ledger.once_sink``).  Without ``topic`` they go to the one that each names,
+    among ``topics``.  After a failure the messages since the batch was begun, less a margin
+    for the clocks, are read back."""
+    def held(spark: SparkSession, epoch: int, batch_id: int, since: int) -> DataFrame:
+        records = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+                   .option("subscribe", ",".join([topic] if topic else topics))
+                   .option("includeHeaders", "true").option("startingTimestamp", str(since - margin_ms))
+                   .option("startingOffsetsByTimestampStrategy", "latest").load())
+        return from_headers(records).where((F.col("epoch") == epoch) & (F.col("batch_id") == batch_id))
+
+    return Target(lambda rows: write_topic_batch(with_headers(rows), bootstrap, topic), held)
 
 
 def id_keyed_messages(df: DataFrame, id_col: str) -> DataFrame:

@@ -37,7 +37,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _numbers(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
+def mark(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if there is one already."""
+    fs, p = _path(spark, path)
+    return fs.createNewFile(p)
+
+
+def marked_at(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds."""
+    fs, p = _path(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists, with what is in it."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def numbers_in(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
     """The numbers in the names of a folder's entries, ascending."""
     if not path_exists(spark, folder):
         return []
@@ -47,20 +65,21 @@ def _numbers(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
                   if n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit())
 
 
-def open_epoch(spark: SparkSession, sink: str, checkpoint: str) -> int:
+def open_epoch(spark: SparkSession, sink: str | Sequence[str], checkpoint: str) -> int:
     """The epoch of a checkpoint, noted inside it at its first start; a new checkpoint
-    gets a number above every epoch of the sink."""
+    gets a number above every epoch of the sink (or of several)."""
+    sinks = [sink] if isinstance(sink, str) else sink
     note = f"{checkpoint.rstrip('/')}/epoch"
     if path_exists(spark, note):
         return spark.read.parquet(note).first()["epoch"]
-    epoch = max([int(time.time() * 1000), *(e + 1 for e in _numbers(spark, sink, "epoch="))])
+    epoch = max([int(time.time() * 1000), *(e + 1 for s in sinks for e in numbers_in(spark, s, "epoch="))])
     spark.createDataFrame([(epoch,)], "epoch long").write.mode("overwrite").parquet(note)
     return epoch
 
 
 def committed_batch(spark: SparkSession, checkpoint: str) -> int:
     """The last micro-batch that the checkpoint holds as committed (-1: none)."""
-    return max(_numbers(spark, f"{checkpoint.rstrip('/')}/commits"), default=-1)
+    return max(numbers_in(spark, f"{checkpoint.rstrip('/')}/commits"), default=-1)
 
 
 def changelog_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0):
@@ -88,11 +107,22 @@ def init_changelog(spark: SparkSession, path: str, schema: StructType,
 
 def read_changelog(spark: SparkSession, path: str, epoch: int | None = None) -> DataFrame:
     """The rows and ``batch_id`` of one epoch (the newest unless given)."""
-    epoch = max(_numbers(spark, path, "epoch=")) if epoch is None else epoch
+    epoch = max(numbers_in(spark, path, "epoch=")) if epoch is None else epoch
     folder = f"{path}/epoch={epoch}"
     return spark.read.parquet(folder)
 
 
+def batches_after(spark: SparkSession, path: str, epoch: int, batch_id: int) -> list[str]:
+    """The folders of the complete batches that follow ``batch_id``.  Batch ids have no gaps,
+    so the folders are asked for by name until one is missing or unfinished: the history
+    before is neither listed nor opened."""
+    found = []
+    while path_exists(spark, f"{path}/epoch={epoch}/batch_id={batch_id + 1}/_SUCCESS"):
+        batch_id += 1
+        found.append(f"{path}/epoch={epoch}/batch_id={batch_id}")
+    return found
+
+
 def latest_per_key(changelog: DataFrame, keys: Sequence[str],
                    order_col: str = "batch_id") -> DataFrame:
     """The value columns of the latest changelog row per key (``max_by``): the general
@@ -120,31 +150,34 @@ def max_per_key(changelog: DataFrame, keys: Sequence[str], value: str) -> DataFr
 
 def _newest(spark: SparkSession, path: str, snapshot_root: str) -> tuple[int | None, int | None]:
     """Newest epoch of the sink, and the last batch that its snapshot holds."""
-    epochs = _numbers(spark, path, "epoch=")
+    epochs = numbers_in(spark, path, "epoch=")
     if not epochs:
         return None, None
-    held = _numbers(spark, f"{snapshot_root}/epoch={epochs[-1]}", "upto=")
+    held = numbers_in(spark, f"{snapshot_root}/epoch={epochs[-1]}", "upto=")
     # a snapshot counts once its write is complete
     done = [n for n in held if path_exists(spark, f"{snapshot_root}/epoch={epochs[-1]}/upto={n}/_SUCCESS")]
     return epochs[-1], done[-1] if done else None
 
 
-def _after(spark: SparkSession, path: str, epoch: int, upto: int | None) -> DataFrame:
-    log = read_changelog(spark, path, epoch)
-    return log if upto is None else log.filter(F.col("batch_id") > upto)
+def _after(spark: SparkSession, path: str, epoch: int, upto: int | None) -> DataFrame | None:
+    if upto is None:
+        return read_changelog(spark, path, epoch)
+    folder = f"{path}/epoch={epoch}"
+    paths = batches_after(spark, path, epoch, upto)
+    return spark.read.option("basePath", folder).parquet(*paths) if paths else None
 
 
 def _merged(spark: SparkSession, path: str, keys: Sequence[str], snapshot_root: str, epoch: int,
             prev: int | None, upto: int | None = None) -> DataFrame:
     """Totals of the snapshot ``prev`` and the batches after it (to ``upto``)."""
+    base = None if prev is None else spark.read.parquet(f"{snapshot_root}/epoch={epoch}/upto={prev}")
     tail = _after(spark, path, epoch, prev)
+    if tail is None:
+        return base
     if upto is not None:
         tail = tail.filter(F.col("batch_id") <= upto)
     tail = tail.drop("batch_id")
-    if prev is not None:
-        base = spark.read.parquet(f"{snapshot_root}/epoch={epoch}/upto={prev}")
-        tail = base.unionByName(tail)
-    return totals_per_key(tail, keys)
+    return totals_per_key(tail if base is None else base.unionByName(tail), keys)
 
 
 def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str], snapshot_root: str,
@@ -152,11 +185,10 @@ def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str], snap
     """Write the totals per key up to the last committed batch N as
     ``epoch=<e>/upto=<N>/``; returns N (None if there is none).
 
-    It starts from the previous snapshot and reads only the batches after it (a
-    partition filter on ``batch_id``), so the work is bounded by the keys plus the
-    new batches.  ``prune`` then deletes the folders of batches that the *previous*
-    snapshot already held and of older epochs: a reader that began with that
-    snapshot does not miss them.
+    It starts from the previous snapshot and opens only the batches after it, so the
+    work is bounded by the keys plus the new batches.  ``prune`` then deletes the
+    folders of batches that the *previous* snapshot already held, the snapshots before
+    that one, and older epochs: a reader that began with that snapshot does not miss them.
     """
     epoch, prev = _newest(spark, changelog_path, snapshot_root)
     upto = committed_batch(spark, checkpoint)
@@ -167,13 +199,16 @@ def snapshot(spark: SparkSession, changelog_path: str, keys: Sequence[str], snap
     _merged(spark, changelog_path, keys, snapshot_root, epoch, prev, upto).write.mode("overwrite") \
         .parquet(f"{snapshot_root}/epoch={epoch}/upto={upto}")
     if prune:
-        fs, _ = _path(spark, changelog_path)
         old = [f"{changelog_path}/epoch={epoch}/batch_id={n}"
-               for n in _numbers(spark, f"{changelog_path}/epoch={epoch}", "batch_id=")
+               for n in numbers_in(spark, f"{changelog_path}/epoch={epoch}", "batch_id=")
                if prev is not None and 0 <= n <= prev]
-        old += [f"{changelog_path}/epoch={e}" for e in _numbers(spark, changelog_path, "epoch=") if e < epoch]
+        old += [f"{changelog_path}/epoch={e}" for e in numbers_in(spark, changelog_path, "epoch=") if e < epoch]
+        old += [f"{snapshot_root}/epoch={epoch}/upto={n}"
+                for n in numbers_in(spark, f"{snapshot_root}/epoch={epoch}", "upto=")
+                if prev is not None and n < prev]
+        old += [f"{snapshot_root}/epoch={e}" for e in numbers_in(spark, snapshot_root, "epoch=") if e < epoch]
         for folder in old:
-            fs.delete(_path(spark, folder)[1], True)
+            delete(spark, folder)
     return upto
 
 

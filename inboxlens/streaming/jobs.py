@@ -17,11 +17,12 @@ from ..functions import utc
 from ..operators import decode, gold, routing, silver
 from ..schemas import EVENT_SCHEMA
 from ..session import fresh_dir
-from ..sources import fixture, kafka
-from .changelog import latest_per_key, read_changelog, totals_per_key
+from ..sources import files, fixture, kafka
+from .changelog import init_changelog, latest_per_key, open_epoch, read_changelog, totals_per_key
 from .landing import MESSAGE_SCHEMA, landed_events
-from .pipeline import (event_stream, folder_sink, message_stream, run_changelog, run_enriched, run_fanout,
-                       state_settings)
+from .ledger import once_sink
+from .pipeline import (event_stream, folder_sink, message_stream, read_batches, run_changelog, run_enriched,
+                       run_fanout, state_settings)
 
 
 def _run(spark: SparkSession, sf_dir: str, build, name: str, mode: str = "update") -> DataFrame:
@@ -89,26 +90,29 @@ def topic_changelog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "topic-changelog")
     topic = f"{root}/topic"
     keys = ["campaign_id", "city"]
-    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(f"{topic}/batch_id=-1")
-    keep = folder_sink(topic)
+    epoch = open_epoch(spark, topic, f"{root}/checkpoint")
+    init_changelog(spark, topic, MESSAGE_SCHEMA, epoch=epoch)
+    keep = folder_sink(topic, epoch)
     agg = silver.campaign_city_counts(event_stream(spark, landing))
     run_changelog(agg, f"{root}/changelog", f"{root}/checkpoint", f"topic_{uuid.uuid4().hex[:8]}",
                   settings=state_settings(spark),
                   publish=lambda batch, n: keep(kafka.keyed_messages(batch, keys, n), n))
-    messages = spark.read.parquet(topic).select("key", "value")
+    messages = read_batches(spark, topic).select("key", "value")
     rows = kafka.decode_changelog(messages, agg.schema)
     return latest_per_key(rows, keys).select("campaign_id", "city", "count")
 
 
 def fanout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One stream, several sinks per micro-batch (table, topic, quarantine); the topic read
-    back and decoded must give the original events."""
+    """One stream, several sinks per micro-batch (table, topic, quarantine), the topic only
+    appended to; read back and decoded it must give the original events."""
     landing = landed_events(spark, sf_dir)
     root = fresh_dir(spark, "fanout")
-    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(f"{root}/topic/batch_id=-1")
-    run_fanout(spark, message_stream(spark, landing), f"{root}/checkpoint", [folder_sink(f"{root}/table")],
-               [folder_sink(f"{root}/topic")], [folder_sink(f"{root}/quarantine")])
-    topic = spark.read.parquet(f"{root}/topic").drop("batch_id")
+    epoch = open_epoch(spark, f"{root}/table", f"{root}/checkpoint")
+    files.append_rows(f"{root}/topic")(spark.createDataFrame([], MESSAGE_SCHEMA))
+    topic = once_sink(files.append_target(f"{root}/topic"), f"{root}/ledger", epoch)
+    run_fanout(spark, message_stream(spark, landing), f"{root}/checkpoint", [folder_sink(f"{root}/table", epoch)],
+               [topic], [folder_sink(f"{root}/quarantine", epoch)])
+    topic = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{root}/topic")
     back = decode.valid_events(decode.decode_events(topic))
     return back.withColumn("event_date", utc.wall("event_date"))
 
@@ -120,12 +124,13 @@ def stream_enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "stream-enriched")
     products, campaigns = (lambda: fixture.products(spark, sf_dir)), (lambda: fixture.campaigns(spark, sf_dir))
     empty = silver.enrich_events(spark.createDataFrame([], EVENT_SCHEMA), products(), campaigns())
-    spark.createDataFrame([], empty.schema).write.parquet(f"{root}/enriched/batch_id=-1")
+    init_changelog(spark, f"{root}/enriched", empty.schema,
+                   epoch=open_epoch(spark, f"{root}/enriched", f"{root}/checkpoint"))
     name = f"enriched_{uuid.uuid4().hex[:8]}"
     run_enriched(event_stream(spark, landing), f"{root}/enriched", f"{root}/checkpoint", name,
                  products, campaigns, settings=state_settings(spark))
     LAST_RUN["enriched"] = name
-    out = spark.read.parquet(f"{root}/enriched").drop("batch_id")
+    out = read_batches(spark, f"{root}/enriched")
     return out.withColumn("event_date", utc.wall("event_date"))
 
 

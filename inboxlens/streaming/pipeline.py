@@ -25,7 +25,7 @@ from ..functions import utc
 from ..operators import joins, silver
 from ..operators.decode import decode_events, encode_events, quarantine, valid_events
 from ..schemas import EVENT_SCHEMA, WATERMARK_DELAY
-from .changelog import changelog_sink, init_changelog, open_epoch
+from .changelog import changelog_sink, init_changelog, open_epoch, read_changelog
 from .landing import MESSAGE_SCHEMA, Landing
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -255,19 +255,29 @@ def throughput(q: StreamingQuery) -> dict:
             "seconds": ms / 1000.0, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None}
 
 
-def folder_sink(path: str):
-    """A ``foreachBatch`` function that keeps each micro-batch in ``path/batch_id=N``; a
-    replayed batch overwrites its own folder."""
+def folder_sink(path: str, epoch: int):
+    """A ``foreachBatch`` function that keeps each micro-batch in
+    ``path/epoch=E/batch_id=N`` (``changelog.open_epoch``): a replayed batch overwrites its
+    own folder, a new checkpoint, whose batch ids begin at 0 again, nothing of the old one's.
+    ``read_batches`` reads them back."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}/batch_id={batch_id}")
     return write
 
 
+def read_batches(spark: SparkSession, path: str, every: bool = False) -> DataFrame:
+    """The rows of a ``folder_sink`` or ``enriched_sink``: of the newest epoch, which began
+    with the oldest message the source has, or of every one."""
+    rows = spark.read.parquet(path) if every else read_changelog(spark, path)
+    return rows.drop("epoch", "batch_id")
+
+
 def fanout_sink(valid_sinks: Sequence, message_sinks: Sequence, quarantine_sinks: Sequence):
     """``foreachBatch`` over decoded rows: the typed valid events to every table sink, their
     encoded messages to every topic sink, and the rejected rows, payload included, to every
-    quarantine sink (functions of (batch, batch id): ``folder_sink``, ``kafka.topic_sink``,
-    ``jdbc.append_sink``).  The decoded batch is computed once."""
+    quarantine sink (functions of (batch, batch id): ``folder_sink``, or
+    ``ledger.once_sink`` over ``kafka.append_target`` or ``jdbc.append_target``).  The decoded
+    batch is computed once."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -297,14 +307,16 @@ def run_fanout(spark: SparkSession, raw: DataFrame, checkpoint: str, valid_sinks
 
 
 def enriched_sink(path: str, products: Callable[[], DataFrame], campaigns: Callable[[], DataFrame],
-                  target_rows: int = 1_000_000):
+                  epoch: int, target_rows: int = 1_000_000):
     """``foreachBatch`` that enriches a micro-batch with the look-up tables *as they are
-    now* and keeps it in ``path/batch_id=N``.
+    now* and keeps it in ``path/epoch=E/batch_id=N``.
 
     ``products`` and ``campaigns`` read their table anew for each batch, so a row that was
     added meanwhile is found.  Micro-batches have no adaptive skew split, so the batch's own
     key counts say which keys are split, and over how many sub-keys
     (``joins.hot_keys``)."""
+    keep = folder_sink(path, epoch)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -313,7 +325,7 @@ def enriched_sink(path: str, products: Callable[[], DataFrame], campaigns: Calla
             joins.assert_unique(c, "uuid_campaign")
             out = silver.enrich_events(batch, p, c, joins.hot_keys(batch, "product_id", target_rows),
                                        joins.hot_keys(batch, "campaign_id", target_rows))
-            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            keep(out, batch_id)
         finally:
             batch.unpersist()
     return write
@@ -323,8 +335,9 @@ def run_enriched(events: DataFrame, path: str, checkpoint: str, name: str, produ
                  available_now: bool = True, trigger: str = TRIGGER, wait: bool = True,
                  settings: dict | None = None) -> StreamingQuery:
     """Stream events through ``enriched_sink``."""
+    epoch = open_epoch(events.sparkSession, path, checkpoint)
     writer = (events.writeStream.queryName(name).option("checkpointLocation", checkpoint)
-              .foreachBatch(enriched_sink(path, products, campaigns)))
+              .foreachBatch(enriched_sink(path, products, campaigns, epoch)))
     with started_with(events.sparkSession, settings):
         q = _triggered(writer, available_now, trigger).start()
     if available_now and wait:

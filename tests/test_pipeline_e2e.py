@@ -16,10 +16,11 @@ from inboxlens.operators import dims as dims_ops
 from inboxlens.operators import gold as gold_ops
 from inboxlens.operators import silver as silver_ops
 from inboxlens.plans import catalog, oracle
-from inboxlens.plans.refresh import SILVER, silver_paths
+from inboxlens.plans.refresh import SILVER, gold_versions, read_gold, silver_paths
 from inboxlens.session import fresh_dir
 from inboxlens.sources import fixture
 from inboxlens.streaming.changelog import read_changelog, totals_per_key
+from inboxlens.streaming.pipeline import read_batches
 from inboxlens.streaming.landing import landed_events
 from tests.conftest import SF_SMALL
 from tests.helpers import rows
@@ -65,7 +66,9 @@ def test_silver_then_gold_equals_batch_queries(spark, scratch):
         for name, want in expected.items():
             got = spark.read.parquet(paths[name]).drop("computed_at")
             assert rows(got, *want.columns) == rows(want), name
-    enriched = spark.read.parquet(os.path.join(root, "silver", "enriched", "events"))
+    held = read_gold(spark, root)
+    assert set(held) == set(expected) and len(gold_versions(spark, root)) == 2
+    enriched = read_batches(spark, os.path.join(root, "silver", "enriched", "events"))
     want = silver_ops.enrich_events(ev, products, campaigns)
     assert rows(enriched, *want.columns) == rows(want)
     ev.unpersist()

@@ -257,7 +257,7 @@ def test_compaction_of_totals_is_a_hash_aggregate(spark, scratch):
 
 
 def test_a_product_added_while_the_stream_runs_is_found(spark, scratch):
-    from inboxlens.streaming.pipeline import run_enriched
+    from inboxlens.streaming.pipeline import read_batches, run_enriched
     path, dims = os.path.join(scratch, "in"), os.path.join(scratch, "dims")
     product = "id int, title string, category string, price float"
     spark.createDataFrame([("c1", "n")], "uuid_campaign string, name string").write.parquet(f"{dims}/campaign")
@@ -279,7 +279,7 @@ def test_a_product_added_while_the_stream_runs_is_found(spark, scratch):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = spark.read.parquet(f"{scratch}/out")
+    got = read_batches(spark, f"{scratch}/out")
     assert rows(got, "product_id", "product_title") == [(1, "one"), (2, "two")]
 
 
