@@ -14,17 +14,22 @@ bracket known so far is halved into it.
 Rates become copies by a hash of doc_id: the whole part, and one more where the hash
 minus the rate's fraction is below a source's cut.  The cut takes as many documents as the
 target allows; it is found from two histograms of that difference, the second within the
-bin in which the first one passes the target.  A large document just beyond the cut can
-leave a gap, so further cuts follow for the documents that are small enough for it.  Each
-source's words end near its target, and reruns agree.
-
-Rows: a null text has size 0; a null source is a source of its own, the last; repeated
-rows of one doc_id are rounded alike; a null doc_id is hashed like any value; an empty
-table gives an empty plan and no rows.
+bin in which the first one passes the target.  Rows of one doc_id and size have the same
+difference, however many they are: those at which the target is passed are cut by a hash of
+their place in the table, found in the same way, so as many of them are taken as there is
+room for.  A large document just beyond the cut can leave a gap, so further cuts follow for
+the documents that are small enough for it.  Each source's words end near its target, and
+reruns agree: over one table row by row, and whatever the order of its rows in what each
+(source, doc_id, size) takes in all.
+
+Rows: a null text has size 0; a null source is a source of its own, the last; of repeated
+rows of one doc_id some may have one copy more than others; a null doc_id is hashed like any
+value; an empty table gives an empty plan and no rows.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,7 +87,7 @@ def _cut(cap: float) -> tuple[Column, Column]:
 
 def balance(sized: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, tolerance: float = 1e-9,
             most_steps: int = 60) -> DataFrame:
-    """The plan for ``sized (doc_id, source, size)``: one row a source with its size,
+    """The plan for ``sized (doc_id, source, size, key)``: one row a source with its size,
     target, multiplier ``lam`` and ``cuts``."""
     hist = materialise(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     totals = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
@@ -122,51 +127,80 @@ def balance(sized: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, tole
 
 def _more(t: Column) -> Column:
     """Whether one of the plan's ``cuts`` gives the document a further copy."""
-    return F.coalesce(F.exists("cuts", lambda c: (t < c["delta"]) & (F.col("size") <= c["most"])),
-                      F.lit(False))
+    def takes(c: Column) -> Column:
+        return (F.col("size") <= c["most"]) & ((t < c["delta"]) | ((t == c["delta"]) & (F.col("key") < c["key"])))
+
+    return F.coalesce(F.exists("cuts", takes), F.lit(False))
+
+
+def _passing(rows: DataFrame, value: Column) -> DataFrame:
+    """By ``sid``, the least ``value`` up to which the rows' words, with those ``below``,
+    exceed the gap (null: they do not), and the words below it."""
+    words = rows.groupBy("sid", value.alias("value")).agg(
+        F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("below").alias("below"))
+    up = F.sum("words").over(Window.partitionBy("sid").orderBy("value")) + F.col("below")
+    words = words.withColumn("sum", up).withColumn("over", F.col("sum") > F.col("gap"))
+    return words.groupBy("sid").agg(
+        F.min(F.when(F.col("over"), F.col("value"))).alias("passing"),
+        F.coalesce(F.max(F.when(~F.col("over"), F.col("sum"))), F.first("below")).alias("below"))
+
+
+def _inside(rows: DataFrame, value: Column, passed: DataFrame) -> DataFrame:
+    """The rows at their source's passing value."""
+    kept = rows.drop("below").join(passed, "sid").where(value == F.col("passing"))
+    return kept.drop("passing")
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A number from 0 to 1 of each row's own: from its place in its file; from its place in
+    the frame if it comes from none."""
+    try:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+        docs.select(*place)
+    except AnalysisException:
+        place = [F.monotonically_increasing_id()]
+    return F.shiftrightunsigned(F.xxhash64(*place), 11) / F.lit(float(2 ** 53))
+
+
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select("doc_id", "source", word_count(docs).alias("size"), row_key(docs).alias("key"), *more)
 
 
 def _cuts(sized: DataFrame, plan: DataFrame, cap: float, rounds: int = 4) -> DataFrame:
-    """Add ``cuts``: an array of (delta, most), see the module's text."""
+    """Add ``cuts``: an array of (delta, key, most), see the module's text."""
     whole, t = _cut(cap)
     width = 2.0 / BINS  # -1 <= t < 1
     at = (F.col("t") + 1) / width
-    docs = (sized.select(F.col("source").alias("s"), "doc_id", "size")
+    docs = (sized.select(F.col("source").alias("s"), "doc_id", "size", "key")
             .join(plan, F.col("source").eqNullSafe(F.col("s")))
-            .select("sid", "size", whole.alias("whole"), t.alias("t")))
+            .select("sid", "size", "key", whole.alias("whole"), t.alias("t")))
     docs = materialise(docs, "rounding")
     base = docs.groupBy("sid").agg(F.sum(F.col("whole") * F.col("size")).alias("base"))
     plan = materialise(plan.join(base, "sid").select(
         *plan.columns, (F.col("target") - F.col("base")).alias("gap"),
-        F.expr("cast(array() as array<struct<delta: double, most: double>>)").alias("cuts")), "plan")
+        F.expr("cast(array() as array<struct<delta: double, key: double, most: double>>)").alias("cuts")), "plan")
     for _ in range(rounds):
         # documents that no cut takes yet and that the gap has room for
         free = (docs.join(plan.select("sid", "gap", "cuts"), "sid")
                 .where(F.col("t").isNotNull() & (F.col("size") <= F.col("gap")) & (F.col("size") > 0)
                        & ~_more(F.col("t")))
-                .withColumn("bin", F.floor(at)))
-        up = Window.partitionBy("sid").orderBy("bin")
-        passed = (materialise(free.groupBy("sid", "bin").agg(F.sum("size").alias("words"),
-                                                             F.first("gap").alias("gap")), "bins")
-                  .withColumn("sum", F.sum("words").over(up)))
-        passed = materialise(
-            passed.groupBy("sid").agg(
-                F.min(F.when(F.col("sum") > F.col("gap"), F.col("bin"))).alias("passing"),
-                F.sum(F.when(F.col("sum") <= F.col("gap"), F.col("words")).otherwise(0)).alias("below")), "bin")
-        inner = (free.join(passed, "sid").where(F.col("bin") == F.col("passing"))
-                 .withColumn("sub", F.floor((at - F.col("bin")) * BINS))
-                 .groupBy("sid", "sub").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"),
-                                            F.first("below").alias("below")))
-        up = Window.partitionBy("sid").orderBy("sub")
-        inner = (inner.withColumn("sum", F.sum("words").over(up) + F.col("below"))
-                 .where(F.col("sum") <= F.col("gap")).groupBy("sid")
-                 .agg(F.max("sub").alias("sub"), F.max("sum").alias("sum")))
-        start = F.col("passing") * width - 1
-        delta = F.when(F.col("passing").isNull(), F.lit(1.0)).when(F.col("sub").isNull(), start).otherwise(
-            start + (F.col("sub") + 1) * (width / BINS))
-        found = passed.join(inner, "sid", "left").select(
-            "sid", delta.alias("delta"), F.coalesce("sum", "below").alias("taken"))
-        new = F.concat("cuts", F.array(F.struct("delta", F.col("gap").cast("double").alias("most"))))
+                .select("sid", "size", "gap", "t", "key", at.alias("at"), F.lit(0).cast("long").alias("below")))
+        passed = materialise(_passing(free, F.floor("at")), "bin")
+        near = materialise(_inside(free, F.floor("at"), passed), "near")
+        # the bin's part, the value of t in it, and the rows of that value by their own keys
+        steps = (F.floor((F.col("at") - F.floor("at")) * BINS), F.col("t"), F.floor(F.col("key") * BINS),
+                 F.floor(F.col("key") * BINS * BINS))
+        rows, found = near, passed.select("sid", "below", F.col("passing").isNull().alias("all"))
+        for step in steps:
+            passed = materialise(_passing(rows, step), "bin")
+            rows = _inside(rows, step, passed)
+            last = passed.select("sid", F.col("below").alias("in"), F.col("passing").cast("double").alias(f"p{len(found.columns)}"))
+            found = found.join(last, "sid", "left").withColumn("below", F.coalesce("in", "below")).drop("in")
+        _, _, _, _, value, _, key = found.columns
+        found = materialise(found.select(
+            "sid", F.col("below").alias("taken"), F.when(F.col("all"), F.lit(1.0)).otherwise(F.col(value)).alias("delta"),
+            F.coalesce(F.col(key) / (BINS * BINS), F.lit(0.0)).alias("key")), "cut")
+        new = F.concat("cuts", F.array(F.struct("delta", "key", F.col("gap").cast("double").alias("most"))))
         plan = materialise(plan.join(found, "sid", "left").select(
             *[c for c in plan.columns if c not in ("gap", "cuts")],
             (F.col("gap") - F.coalesce("taken", F.lit(0))).alias("gap"),
@@ -175,30 +209,29 @@ def _cuts(sized: DataFrame, plan: DataFrame, cap: float, rounds: int = 4) -> Dat
 
 
 def copies(sized: DataFrame, plan: DataFrame, cap: float = 3.0) -> DataFrame:
-    """Rows of ``sized`` (doc_id, source, size and any more) with ``copies``, ``rate``,
+    """Rows of ``sized`` (doc_id, source, size, key and any more) with ``copies``, ``rate``,
     ``source_size`` and ``target``.  The plan has one row a source."""
     whole, t = _cut(cap)
     more = _more(t).cast("long")
     p = plan.withColumnRenamed("source", "s").drop("sid")
     return (sized.join(p, F.col("source").eqNullSafe(F.col("s")))
             .withColumn("copies", whole + more).withColumn("rate", _rate(cap))
-            .drop("s", "mean", "full", "lam", "cuts"))
+            .drop("s", "mean", "full", "lam", "cuts", "key"))
 
 
 def mix(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """``doc_id, source, size, source_size, target, rate, copies, taken`` of every row."""
-    sized = materialise(docs.select("doc_id", "source", word_count(docs).alias("size")), "sized")
+    sized = materialise(_sized(docs), "sized")
     plan = balance(sized, weights, cap)
     return copies(sized, plan, cap).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """The rows of ``docs`` repeated as often as the mix takes them."""
-    sized = materialise(docs.select("doc_id", "source", word_count(docs).alias("size")), "sized")
+    sized = materialise(_sized(docs), "sized")
     plan = balance(sized, weights, cap)
     # names that no column of docs has; the texts are not shuffled
-    own = docs.select("doc_id", "source", word_count(docs).alias("size"), F.struct(*[
-        F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = _sized(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     taken = copies(own, plan, cap)
     return (taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("k"))
             .select("row.*"))

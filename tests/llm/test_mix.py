@@ -78,3 +78,66 @@ def test_edges(spark):
     assert mixed_documents(spark.createDataFrame([], DOCS)).count() == 0
     blank = mix(docs_df(spark, [(1, "", "a"), (2, None, "b")])).collect()
     assert all(r.size == r.taken == 0 for r in blank)
+
+
+def by_hand(spark, out):
+    """Taken words by (source, doc_id, size), rounded document by document."""
+    ids = sorted({r.doc_id for r in out}, key=lambda d: (d is not None, d or 0))
+    h = {r.doc_id: (r.h % 2 ** 64 >> 11) / 2 ** 53 for r in spark.createDataFrame(
+        [(i,) for i in ids], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    taken = {}
+    for source in {r.source for r in out}:
+        rows = [r for r in out if r.source == source]
+        whole = [min(math.floor(r.rate), 3) for r in rows]
+        gap = rows[0].target - sum(w * r.size for w, r in zip(whole, rows, strict=True))
+        order = sorted((h[r.doc_id] - (r.rate - w), i) for i, (r, w) in enumerate(zip(rows, whole, strict=True)) if w < 3)
+        more = set()
+        for _ in range(4):
+            room = gap
+            for _, i in order:
+                if i in more or not 0 < rows[i].size <= gap:
+                    continue
+                if rows[i].size > room:
+                    break
+                room -= rows[i].size
+                more.add(i)
+            gap = room
+        for i, (r, w) in enumerate(zip(rows, whole, strict=True)):
+            k = (source, r.doc_id, r.size)
+            taken[k] = taken.get(k, 0) + (w + (i in more)) * r.size
+    return taken
+
+
+@pytest.mark.parametrize("shape", ["null ids", "sizes", "repeats"])
+def test_rounding_by_hand_with_ties(spark, shape):
+    words = lambda n: " ".join(["w"] * n)
+    ids = {"null ids": lambda i: None,
+           "sizes": lambda i: None, "repeats": lambda i: i // 3}[shape]
+    rows = [(ids(i), words(10 if shape != "sizes" else 1 + i * i % 37), "a") for i in range(500)]
+    rows += [(10_000 + i, words(3 + i % 9), "b") for i in range(200)] + [(i % 5, words(400), "c") for i in range(30)]
+    docs = docs_df(spark, rows)
+    out = mix(docs).collect()
+    got, most = {}, {}
+    for r in out:
+        k = (r.source, r.doc_id, r.size)
+        got[k] = got.get(k, 0) + r.taken
+        most[r.source] = max(most.get(r.source, 0), r.size)
+    assert got == by_hand(spark, out)
+    for source in most:
+        assert abs(sum(v for k, v in got.items() if k[0] == source) - [r for r in out if r.source == source][0].target) <= most[source]
+    again = {}
+    for r in mix(docs.repartition(7)).collect():
+        again[r.source, r.doc_id, r.size] = again.get((r.source, r.doc_id, r.size), 0) + r.taken
+    assert again == got
+    assert mixed_documents(docs).count() == sum(r.copies for r in out)
+
+
+def test_ties_of_a_table(spark, scratch):
+    docs_df(spark, [(None, "a b c d e", "s")] * 900 + [(i, "a b", "t") for i in range(300)]).repartition(4) \
+        .write.parquet(f"{scratch}/docs")
+    docs = spark.read.parquet(f"{scratch}/docs")
+    out = mix(docs).collect()
+    assert all(abs(sum(r.taken for r in out if r.source == s) - t) <= 5 for s, t in {(r.source, r.target) for r in out})
+    assert mixed_documents(docs).count() == sum(r.copies for r in out)
+    with_field = docs.withColumn("_metadata", F.lit(1)).withColumn("key", F.lit(2)).withColumn("at", F.lit(3))
+    assert mixed_documents(with_field).columns == with_field.columns
