@@ -3,7 +3,8 @@
 A byte-pair encoder spends most of its time on words it has met before.  The text is
 cut only where the tokenizer's own pre-tokenisation cuts as well, each distinct piece is
 encoded once per task, and the pieces' ids are joined, which gives the same ids as one
-call on the whole text (``tests/llm/test_tokens.py`` compares them).  Most pieces are a
+call on the whole text (``tests/llm/test_tokens.py`` compares them).  The strings of the
+vocabulary's added tokens are cut out first and have their own ids, as in the library.  Most pieces are a
 word of Latin letters and closing marks: the word goes to the tokenizer's model directly,
 once for all its marks, and skips the general normaliser and splitter, which would leave
 it as it is but for its case.
@@ -57,7 +58,8 @@ def encoder(path: str, cache: int = 800_000) -> Callable[[list[str]], list[bytes
     """``encode(texts)``: each text's ids as little-endian unsigned 32-bit integers.
 
     ``cache`` bounds the number of remembered pieces.  A vocabulary whose
-    pre-tokenisation is not one of the two known kinds is encoded text by text.
+    pre-tokenisation is not one of the two known kinds, or whose added tokens do not match
+    just as they are written, is encoded text by text.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import numpy as np
@@ -66,7 +68,11 @@ def encoder(path: str, cache: int = 800_000) -> Callable[[list[str]], list[bytes
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = spec.get("added_tokens") or []
+    # the library looks for these in the text as it is, before all else
+    fixed = {a["content"]: struct.pack("<I", a["id"]) for a in added if a["content"]}
+    simple = not any(a.get(flag) for a in added for flag in ("normalized", "single_word", "lstrip", "rstrip"))
+    around = re.compile("(" + "|".join(map(re.escape, sorted(fixed, key=len, reverse=True))) + ")") if fixed else None
     words: dict[str, bytes] = {}
 
     def direct(text: str) -> bytes:
@@ -130,8 +136,21 @@ def encoder(path: str, cache: int = 800_000) -> Callable[[list[str]], list[bytes
         return [direct(text) if _CONTROL.search(text) else joined([text], str.split)[0]
                 for text in texts]
 
-    if _drops_spaces(spec):
-        return spaced
-    if _keeps_spaces(spec):
-        return lambda texts: joined(texts, _PIECES.findall)
+    def apart(encode: Callable[[list[str]], list[bytes]]) -> Callable[[list[str]], list[bytes]]:
+        """``encode`` for texts in which added tokens may stand: what is between them is
+        encoded by itself, as the library does."""
+        def encoded(texts: list[str]) -> list[bytes]:
+            out = encode([t for t in texts if not around.search(t)])
+            if len(out) == len(texts):
+                return out
+            rest = iter(out)
+            return [b"".join(fixed.get(part) or encode([part])[0] for part in around.split(t) if part)
+                    if around.search(t) else next(rest) for t in texts]
+
+        return encoded if around else encode
+
+    if simple and _drops_spaces(spec):
+        return apart(spaced)
+    if simple and _keeps_spaces(spec):
+        return apart(lambda texts: joined(texts, _PIECES.findall))
     return lambda texts: [direct(text) for text in texts]

@@ -25,7 +25,6 @@ VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 def both(request):
     path = vocabulary(request.param)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return tok, encoder(path)
 
 
@@ -37,18 +36,27 @@ def test_pieces_give_the_ids_of_the_whole_text(both):
     tok, encode_ = both
     rng = random.Random(3)
     bits = ["a", "B", "é", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "　", "'s", "12", "!", "ß", "中", "́", "İ",
-            "Σς", "<|endoftext|>", "​", "\x0b", "😀", "Über.", "x,,", "it's", "...", "$$$", "Haus "]
+            "Σς", "<|endoftext|>", "<|endoftext", "<|startoftext|>", "<|STARTOFTEXT|>", "<|EndOfText|>", "​", "\x0b", "😀", "Über.", "x,,", "it's", "...", "$$$", "Haus "]
     texts = TRICKY + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
     for text, ids in zip(texts, encode_(texts), strict=True):
         assert ids == plain(tok, text), ascii(text)
 
 
+def test_added_tokens(both):
+    tok, encode_ = both
+    token = next(t.content for t in tok.get_added_tokens_decoder().values())
+    texts = [token, f"hello {token} world", f"{token}{token}", f" {token} \n {token}x", f"a{token[:-1]}", f"hello  {token}",
+             token.upper(), f"Ünd {token}é.  ", "", "no token", f"{token} " * 50 + "end"]
+    assert encode_(texts) == [plain(tok, t) for t in texts]
+    ids = {i for i in tok.get_added_tokens_decoder()}
+    assert ids & set(np.frombuffer(encode_([f"hello {token} world"])[0], dtype="<u4").tolist())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=40))
 def test_any_text(text):
     for name in VOCABULARIES:
         tok = Tokenizer.from_file(vocabulary(name))
-        tok.encode_special_tokens = True
         assert encoder(vocabulary(name))([text])[0] == plain(tok, text)
 
 
@@ -82,7 +90,6 @@ def test_token_files_hold_every_document(spark):
     got = sorted(((r.doc_id is not None, r.doc_id or 0), r.start, r.n_tokens, r.ids_crc32, tuple(r.ids))
                  for r in read_tokens(spark, manifest, with_ids=True).collect())
     tok = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     at = 0
     assert [g[0][1] for g in got] == sorted(r[0] or 0 for r in rows if r[0] is None) + sorted(
         r[0] for r in rows if r[0] is not None)
@@ -125,7 +132,6 @@ def test_packing_is_whole_and_dense(spark):
     got = pack_documents(docs_df(spark, rows, extra=("row", "piece")), vocabulary("byte_bpe_50k.json"), 0,
                          capacity=256, group_size=64, with_ids=True).toPandas()
     tok = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     for _, own in got.groupby("row"):
         own = own.sort_values("piece")
         ids = b"".join(own["ids"])
