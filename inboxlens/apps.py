@@ -87,11 +87,13 @@ def run_silver(spark: SparkSession, args) -> dict[str, str]:
 
 def run_route(spark: SparkSession, args) -> None:
     """Each raw message, payload included, to the topic that its rule names."""
-    routed = routing.route_events(decode_events(raw_from(spark, args)))
+    rules = (routing.read_rules(spark.read.schema(routing.RULE_SCHEMA).json(args.rules)) if args.rules
+             else routing.default_rules())
+    routed = routing.route_events(decode_events(raw_from(spark, args)), rules)
     folder, checkpoint = os.path.join(args.root, "routed"), os.path.join(args.root, "route_checkpoint")
     epoch = open_epoch(spark, folder, checkpoint)
     if args.to:
-        sink = once_sink(kafka.append_target(args.to, topics=routing.TOPICS),
+        sink = once_sink(kafka.append_target(args.to, topics=routing.topics(rules)),
                          os.path.join(args.root, "route_ledger"), epoch)
 
         def write(batch: DataFrame, batch_id: int) -> None:
@@ -210,6 +212,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--enrich-products", help="product table for the enriched events")
     s.add_argument("--enrich-campaigns", help="campaign table for the enriched events")
     s = stream("route")
+    s.add_argument("--rules", help="rule table, JSON lines of priority, predicate, topic (default: built in)")
     s.add_argument("--to", metavar="BOOTSTRAP", help="broker of the destination topics (default: a folder)")
     s = stream("fanout")
     s.add_argument("--to", metavar="BOOTSTRAP", help="broker of the message topic (default: a folder)")

@@ -166,6 +166,8 @@ def decoded_event_stream(spark: SparkSession, table_path: str,
     r = spark.readStream.schema(DECODED_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:  # a new aggregate, or one after a pause, takes the history in parts
+        r = r.option("maxBytesPerTrigger", MAX_BYTES)
     events = (r.parquet(table_path).filter(F.col("valid"))
               .select(*[F.col(f.name) for f in EVENT_SCHEMA.fields]))
     return events.withWatermark("event_date", watermark) if watermark else events
