@@ -19,7 +19,7 @@ def test_stages_and_queries_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "mix", "pack"]
     entry = importlib.import_module("__spark_entry__")
     assert "pipeline" in entry.queries() and set(queries.queries()) <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -80,4 +80,7 @@ def test_query_covers_its_table(spark, name):
         n = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").where("vec_id % 20 = 0").count()
         assert got.select("query_id").distinct().count() == n
     else:
-        assert got.select("doc_id").distinct().count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+        key, source = {"op12_": ("conv_id", "conversations"), "op13_": ("vec_id", "embeddings")}.get(
+            name[:5], ("doc_id", "documents"))
+        whole = spark.read.parquet(f"{SF_SMALL}/{source}.parquet").select(key).distinct()
+        assert got.select(key).distinct().count() == whole.count()
