@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from ..functions import utc
-from ..functions.contract import violations
+from ..functions.contract import product_rule, violations
 from ..schemas import EVENT_COLUMNS, EVENT_SCHEMA
 
 
@@ -67,7 +67,7 @@ def decode_events(raw: DataFrame, value_col: str = "value", keep=("key",)) -> Da
         "__no_value",
         *[_typed(f"__j_{f.name}", f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
     checks = F.concat(F.array_compact(F.array(F.when(F.col("__no_value"), F.lit("value")))),
-                      violations())
+                      violations(rules={"product_id": product_rule()}))
     return typed.withColumn("violations", checks).drop("__no_value")
 
 

@@ -121,7 +121,8 @@ ROUNDTRIP = _with(EV) + f"SELECT {EVENT_COLS} FROM ev"
 MESSAGES = """damaged AS (
   SELECT * REPLACE (
     CASE WHEN event_id % 97 = 2 THEN rpad(COALESCE(city, ''), 31, '#') ELSE city END AS city,
-    CASE WHEN event_id % 97 = 3 THEN NULL ELSE campaign_id END AS campaign_id)
+    CASE WHEN event_id % 97 = 3 THEN NULL ELSE campaign_id END AS campaign_id,
+    CASE WHEN event_id % 97 = 4 THEN CAST(event_id % 50 AS INTEGER) ELSE product_id END AS product_id)
   FROM ev),
 messages AS (
   SELECT event_id, type_event, CAST(customer_id AS VARCHAR) AS key,
@@ -141,11 +142,11 @@ messages AS (
 
 QUARANTINE = _with(EV, MESSAGES) + """SELECT key, "value",
   CASE event_id % 97 WHEN 0 THEN 'customer_id,campaign_id,type_event,event_date'
-       WHEN 1 THEN 'event_date' WHEN 2 THEN 'city' ELSE 'campaign_id' END AS reason
-FROM messages WHERE event_id % 97 IN (0, 1, 2, 3)"""
+       WHEN 1 THEN 'event_date' WHEN 2 THEN 'city' WHEN 3 THEN 'campaign_id' ELSE 'product_id' END AS reason
+FROM messages WHERE event_id % 97 IN (0, 1, 2, 3) OR (event_id % 97 = 4 AND type_event <> 'CLICKED')"""
 
 ROUTE = _with(EV, MESSAGES) + """SELECT
-  CASE WHEN event_id % 97 IN (0, 1, 2, 3) THEN 'quarantine'
+  CASE WHEN event_id % 97 IN (0, 1, 2, 3) OR (event_id % 97 = 4 AND type_event <> 'CLICKED') THEN 'quarantine'
        WHEN type_event IN ('OPENED', 'CLICKED', 'FORWARDED') THEN 'engagement'
        WHEN type_event IN ('SENT', 'DELIVERED', 'DELIVERED_EVENT') THEN 'delivery'
        WHEN type_event IN ('SPAM', 'HARD_BOUNCE') THEN 'error' ELSE 'unknown' END AS topic,
@@ -195,6 +196,24 @@ USER_CTR = _with(EV) + """, per AS (
   FROM ev GROUP BY campaign_id)
 SELECT campaign_id, clickers, openers, """ + rate("clickers", "openers") + " AS ctr FROM per"
 
+REACH = USER_CTR.replace("SELECT campaign_id, clickers", """, every AS (SELECT * FROM per UNION ALL
+  SELECT CAST(NULL AS VARCHAR), CAST(COUNT(DISTINCT CASE WHEN type_event = 'CLICKED' THEN customer_id END) AS BIGINT),
+         CAST(COUNT(DISTINCT CASE WHEN type_event = 'OPENED' THEN customer_id END) AS BIGINT) FROM ev HAVING COUNT(*) > 0)
+SELECT campaign_id, clickers""").split("clickers, openers, ")[0] + """clickers, openers, TRUE AS clickers_within,
+  TRUE AS openers_within FROM every"""
+
+# The delayed events meet the watermark of all others: their newest time less one minute.
+LATE = _with(EV) + """, w AS (
+  SELECT campaign_id, type_event, time_bucket(INTERVAL 1 DAY, event_date) AS window_start,
+         time_bucket(INTERVAL 1 DAY, event_date) + INTERVAL 1 DAY AS window_end,
+         customer_id % 7 = 0 AND time_bucket(INTERVAL 1 DAY, event_date) + INTERVAL 1 DAY <=
+           (SELECT MAX(event_date) FROM ev WHERE customer_id % 7 <> 0) - INTERVAL 1 MINUTE AS behind
+  FROM ev WHERE event_date IS NOT NULL)
+SELECT campaign_id, type_event, window_start, window_end,
+       CAST(SUM(CASE WHEN behind THEN 0 ELSE 1 END) AS BIGINT) AS events,
+       CAST(SUM(CASE WHEN behind THEN 1 ELSE 0 END) AS BIGINT) AS late
+FROM w GROUP BY ALL"""
+
 _STAGES = ("sent", "delivered", "opened", "clicked", "forwarded")
 FUNNEL = _with(EV) + """, f AS (
   SELECT campaign_id, customer_id,
@@ -347,10 +366,16 @@ STREAM_EQUALS = {
     "fanout_roundtrip": "json_roundtrip_events",
     "stream_enriched_events": "enriched_events",
     "stream_route_events": "route_events",
+    "stream_customers": "customers_table",
+    "stream_sessions": "customer_sessions",
+    "topic_bookmarked_types": "events_by_campaign_type",
 }
 
+STREAM_SQL = {"stream_reach": REACH, "stream_late_activity": LATE}
+
 
 def oracle_sql() -> dict[str, str]:
     out = dict(BATCH_SQL)
     out.update({k: BATCH_SQL[v] for k, v in STREAM_EQUALS.items()})
+    out.update(STREAM_SQL)
     return out

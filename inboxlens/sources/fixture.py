@@ -226,7 +226,8 @@ def event_messages(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> D
 
     With ``corrupt=True`` a deterministic share of the messages is damaged the way
     real feeds break (``event_id % 97``: 0 unparseable JSON, 1 bad timestamp text,
-    2 a 31-character city, 3 no campaign id); every message is kept.
+    2 a 31-character city, 3 no campaign id, 4 a product on an event of any type); every
+    message is kept.
     """
     from ..operators.decode import encode_events
 
@@ -236,7 +237,9 @@ def event_messages(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> D
         ev = (ev.withColumn("city", F.when(m == 2, F.rpad(F.coalesce(F.col("city"), F.lit("")), 31, "#"))
                             .otherwise(F.col("city")))
                 .withColumn("campaign_id", F.when(m == 3, F.lit(None).cast("string"))
-                            .otherwise(F.col("campaign_id"))))
+                            .otherwise(F.col("campaign_id")))
+                .withColumn("product_id", F.when(m == 4, (F.col("event_id") % F.lit(N_LINKED_PRODUCTS)).cast("int"))
+                            .otherwise(F.col("product_id"))))
         msgs = encode_events(ev, extra=["event_id"],
                              event_date_text=F.when(m == 1, F.lit("bad")))
         return msgs.select(
