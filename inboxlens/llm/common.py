@@ -66,6 +66,28 @@ def blocks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]
         yield at, len(texts)
 
 
+def give_back() -> None:
+    """Return what a finished task has freed to the system: Python workers are used again by
+    later stages and would go on holding it."""
+    import ctypes
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def spare(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def filesystem(uri: str):
     """The file system of a file that a task writes or reads itself, and its path there."""
     from pyarrow import fs

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import materialise, spare, text_of
 from .components import components
 
 
@@ -243,14 +243,16 @@ def first_of_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     """One row of ``docs`` for each group: that of its least doc_id (no doc_id: one of the
     group's rows; rows that share the doc_id: the one with the least hash of its text)."""
     rows = grouped(docs, shingle, max_bits, node_limit)
+    # names that no column of the documents has
+    id_, uid, n = (spare(c, docs.columns) for c in ("__id", "__uid", "__n"))
     first = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("component").agg(F.first("doc_id").alias("__id"), F.min("uid").alias("__uid"))
-             .select("__id", "__uid"))
-    kept = docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64("text") == F.col("__uid")), "left_semi")
+             .groupBy("component").agg(F.first("doc_id").alias(id_), F.min("uid").alias(uid))
+             .select(id_, uid))
+    kept = docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
+                     & (F.xxhash64("text") == F.col(uid)), "left_semi")
     repeated = rows.groupBy("doc_id", "uid").count().where("count > 1")
     if repeated.isEmpty():
         return kept
     # rows that repeat both doc_id and text: the first by their other columns stays
     order = Window.partitionBy("doc_id", "text").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return kept.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)

@@ -4,7 +4,7 @@ import numpy as np
 from xxhash import xxh64_intdigest
 
 from inboxlens.llm.components import components
-from inboxlens.llm.simhash_trie import forest, simhash_groups, walk
+from inboxlens.llm.simhash_trie import first_of_groups, forest, simhash_groups, walk
 
 from .helpers import DOCS, EDGES, corpus, docs_df
 
@@ -84,3 +84,11 @@ def test_components_of_chains_stars_and_rings(spark):
             **{i: 280 for i in range(280, 301)}}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_extra_columns_keep_their_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 7, 8, 9), (1, "a b c d", 7, 8, 9), (2, "x y z w", 5, 5, 5)],
+                                 "doc_id long, text string, __id long, __uid long, __N long")
+    got = first_of_groups(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a b c d", 7, 8, 9), (2, "x y z w", 5, 5, 5)]
