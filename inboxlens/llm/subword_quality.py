@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, held_out, text_of
+from .common import blocks, give_back, held_out, slices, text_of
 from .wordhash import subwords, word_hashes
 
 REPEAT = b"\n"  # no word holds it: the feature of a word that repeats its predecessor
@@ -42,7 +42,7 @@ class Params:
 class WordTable:
     """Words met so far with the sums of their features' rows of ``weights``."""
 
-    def __init__(self, weights, p: Params, most_words: int = 300_000):
+    def __init__(self, weights, p: Params, most_words: int = 100_000):
         import numpy as np
 
         self.weights, self.p, self.most_words = weights, p, most_words
@@ -162,7 +162,7 @@ def sample_counts(docs: DataFrame, labels: DataFrame, label: str, folds: int, si
     def featurise(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 256):
             found = [counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").to_pylist(),
@@ -184,7 +184,7 @@ COUNTS = "doc_id long, label int, idx binary, n binary"
 def scorer(docs: DataFrame, labels: DataFrame, label: str, folds: int, p: Params):
     """A column function that scores texts (binary), trained on the labelled ``docs``."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     spark = docs.sparkSession
     rows = sample_counts(docs, labels, label, folds, p.sample, lambda t: counts_of(t, p), COUNTS)
@@ -193,22 +193,25 @@ def scorer(docs: DataFrame, labels: DataFrame, label: str, folds: int, p: Params
     mean = float(np.mean([t[2] for t in taught])) if taught else 0.5
     shipped = spark.sparkContext.broadcast((train(taught, p), mean))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, mean = shipped.value
         table = WordTable(model[0], p) if model else None
         for batch in batches:
-            texts = batch.tolist()
             values = [np.zeros(0)]
-            for a, b in blocks(texts):
-                if model is None:
-                    values.append(np.full(b - a, mean))
-                    continue
-                z = table.averages(texts[a:b]) + model[1]
-                values.append(1 / (1 + np.exp(z[:, 0] - z[:, 1])))
-            yield pd.Series(np.concatenate(values))
-
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "double")
+            for at in range(0, len(batch), 512):  # few texts are Python objects at once
+                texts = batch.slice(at, 512).to_pylist()
+                for a, b in blocks(texts, 500_000):
+                    if model is None:
+                        values.append(np.full(b - a, mean))
+                        continue
+                    z = table.averages(texts[a:b]) + model[1]
+                    values.append(1 / (1 + np.exp(z[:, 0] - z[:, 1])))
+            yield pa.array(np.concatenate(values))
+        table = batch = texts = None
+        give_back()
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "double")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialise, slices, text_of
+from .common import blocks, give_back, materialise, slices, text_of
 from .tokens import encoder
 
 PIECE = ("doc_id long, row long, piece int, start long, length long, ids_crc32 long")
@@ -63,6 +63,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int,
                         out.append((doc_ids[i], numbers[i], k, start, stop - start, zlib.crc32(own), own))
                 columns = list(zip(*out, strict=True))[:len(names)]
                 yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)), schema=schema)
+        encode = texts = None
+        give_back()
 
     return cols.mapInArrow(cut, PIECE + (", ids binary" if with_ids else ""))
 
