@@ -10,7 +10,8 @@ rejected messages keep their payload) and runs the running aggregates from that
 checkpointed under ``<root>/silver/<name>``; ``--publish`` also sends the three changelogs to
 their topics, ``--enrich-products/--enrich-campaigns`` adds the enriched events.  The first
 query that fails ends the job.  ``--available-now`` processes what is there and stops.
-``route`` sends each raw message to the topic its rule names, ``fanout`` to a table, a topic
+``customers`` keeps the customers table below ``<root>/customers`` from a topic of customer
+records.  ``route`` sends each raw message to the topic its rule names, ``fanout`` to a table, a topic
 and the quarantine.  ``dims`` loads landed product/user/campaign JSON into cleaned tables
 and, with ``--events``, the customers table and its keyed messages.  ``gold`` brings the
 snapshots of the silver changelogs up to date and recomputes the dashboard tables as a new
@@ -33,10 +34,11 @@ from .plans import dims_load
 from .plans.refresh import SILVER, refresh_gold, silver_paths
 from .schemas import CAMPAIGN_TOPIC, CITY_TOPIC, EFFECTIVENESS_TOPIC
 from .sources import files, jdbc, kafka
+from .streaming import customers
 from .streaming.changelog import open_epoch
 from .streaming.landing import Landing
 from .streaming.ledger import Target, once_sink
-from .streaming.pipeline import (MAX_OFFSETS, TRIGGER, await_all, decoded_event_stream, folder_sink,
+from .streaming.pipeline import (MAX_BYTES, MAX_OFFSETS, TRIGGER, await_all, decoded_event_stream, folder_sink,
                                  message_stream, run_changelog, run_decode, run_enriched, run_fanout,
                                  state_settings)
 
@@ -85,6 +87,20 @@ def run_silver(spark: SparkSession, args) -> dict[str, str]:
     return sinks
 
 
+def run_live_customers(spark: SparkSession, args) -> None:
+    """The customers table kept from a topic (or landed folder) of customer records; read it
+    with ``streaming.customers.read_customers``."""
+    if args.source == "kafka":
+        messages = raw_from(spark, args).select(*customers.RECORD_SCHEMA.names)
+    else:
+        limit = ("maxFilesPerTrigger", args.max_per_trigger) if args.max_per_trigger else ("maxBytesPerTrigger", MAX_BYTES)
+        messages = spark.readStream.schema(customers.RECORD_SCHEMA).option(*limit).parquet(args.path)
+    base = os.path.join(args.root, "customers")
+    q = customers.run_customers(messages, os.path.join(base, "table"), os.path.join(base, "checkpoint"), "customers",
+                                buckets=args.buckets, available_now=args.available_now, trigger=args.trigger, wait=False)
+    await_all([q])
+
+
 def run_route(spark: SparkSession, args) -> None:
     """Each raw message, payload included, to the topic that its rule names."""
     rules = (routing.read_rules(spark.read.schema(routing.RULE_SCHEMA).json(args.rules)) if args.rules
@@ -211,6 +227,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--publish", metavar="BOOTSTRAP", help="also publish the changelogs to their topics")
     s.add_argument("--enrich-products", help="product table for the enriched events")
     s.add_argument("--enrich-campaigns", help="campaign table for the enriched events")
+    s = stream("customers")
+    s.add_argument("--buckets", type=int, default=64, help="buckets of a new table")
     s = stream("route")
     s.add_argument("--rules", help="rule table, JSON lines of priority, predicate, topic (default: built in)")
     s.add_argument("--to", metavar="BOOTSTRAP", help="broker of the destination topics (default: a folder)")
@@ -238,7 +256,8 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-JOBS = {"silver": run_silver, "route": run_route, "fanout": run_fan, "gold": run_gold, "dims": run_dims}
+JOBS = {"silver": run_silver, "customers": run_live_customers, "route": run_route, "fanout": run_fan,
+        "gold": run_gold, "dims": run_dims}
 
 
 def main(argv=None) -> None:

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from inboxlens import apps
 from inboxlens.functions.contract import product_rule, violations
 from inboxlens.operators import gold, silver
 from inboxlens.operators.decode import encode_events
@@ -123,6 +124,14 @@ def test_customers_hot_key(spark, scratch):
     assert held(spark, scratch) == [(1, "a", "v2999")]
 
 
+def test_customers_job(spark, scratch):
+    records_df(spark, record(1, name="x", offset=1), record(1, name="y", offset=2)).write.parquet(f"{scratch}/in")
+    args = apps.parser().parse_args(["customers", "--source", "files", "--path", f"{scratch}/in", "--root", scratch,
+                                     "--buckets", "2", "--available-now"])
+    apps.JOBS["customers"](spark, args)
+    assert held(spark, f"{scratch}/customers/table") == [(1, "a", "y")]
+
+
 # --- late rows ---------------------------------------------------------------
 
 def _land(spark, path, *batches):
