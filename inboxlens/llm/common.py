@@ -118,6 +118,6 @@ def map_file(uri: str):
 
     fs, path = filesystem(uri)
     if isinstance(fs, kinds.LocalFileSystem):
-        return np.memmap(path, dtype=np.uint8, mode="r")
+        return np.asarray(np.memmap(path, dtype=np.uint8, mode="r"))  # slices of a plain array cost less
     with fs.open_input_file(path) as f:
         return np.frombuffer(f.read(), dtype=np.uint8)

@@ -12,6 +12,10 @@ import numpy as np
 
 _HEAD = 4      # 64-bit words: n, universe, low bits, high words
 _BLOCK = 8     # high words for each count of the directory
+_LOW8, _ONES16, _TOP16 = (np.uint64(x) for x in (0x00FF00FF00FF00FF, 0x0001000100010001, 0x8000800080008000))
+_ONES8, _TOP8 = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: place of the i-th one of a byte, at 8 * byte + i
+_PLACES = np.array([([k for k in range(8) if b >> k & 1] + [0] * 8)[i] for b in range(256) for i in range(8)])
 
 
 def _popcount(words):
@@ -82,34 +86,32 @@ class EliasFano:
             bits = np.arange(len(self.ones), dtype=np.int64) * (64 * _BLOCK)
             before = bits - self.ones
         else:
-            before = self.ones
+            before = self.ones.astype(np.int64)
         block = np.searchsorted(before, i, side="right") - 1
         block = np.minimum(block, len(self.high) // _BLOCK - 1)
-        left = i - before[block].astype(np.int64)
-        word = block * _BLOCK
-        value = self.high[word]
+        left = (i - before[block]).astype(np.uint64)
+        words = self.high.reshape(-1, _BLOCK)[block]
         if zeros:
-            value = ~value
-        todo = np.arange(len(i))
-        for _ in range(_BLOCK - 1):
-            count = _popcount(value[todo])
-            on = left[todo] >= count
-            todo = todo[on]
-            if not len(todo):
-                break
-            left[todo] -= count[on]
-            word[todo] += 1
-            nxt = self.high[word[todo]]
-            value[todo] = ~nxt if zeros else nxt
-        bit = np.zeros(len(i), dtype=np.int64)
-        for width in (32, 16, 8, 4, 2, 1):
-            lower = value & np.uint64((1 << width) - 1)
-            count = _popcount(lower)
-            on = left >= count
-            left -= np.where(on, count, 0)
-            bit += np.where(on, width, 0)
-            value = np.where(on, value >> np.uint64(width), lower)
-        return word * 64 + bit
+            words = ~words
+        # running counts of the pairs of words, in four lanes of 16 bits; then of the bytes of
+        # the word, in eight of 8 bits; the lanes that are not above ``left`` are passed
+        counts = np.bitwise_count(words)
+        packed = counts.view(np.uint64).ravel()
+        sums = ((packed & _LOW8) + ((packed >> np.uint64(8)) & _LOW8)) * _ONES16
+        pair = np.bitwise_count(((left * _ONES16 | _TOP16) - sums) & _TOP16).astype(np.uint64)
+        left -= (sums << np.uint64(16)) >> (pair << np.uint64(4)) & np.uint64(0xFFFF)
+        word = pair.astype(np.int64) * 2
+        row = np.arange(len(word)) * _BLOCK
+        count = counts.ravel()[row + word].astype(np.uint64)
+        on = left >= count
+        left -= count * on
+        word += on
+        value = words.ravel()[row + word]
+        sums = np.bitwise_count(value.view(np.uint8)).view(np.uint64) * _ONES8
+        byte = np.bitwise_count(((left * _ONES8 | _TOP8) - sums) & _TOP8).astype(np.uint64) << np.uint64(3)
+        left -= (sums << np.uint64(8)) >> byte & np.uint64(0xFF)
+        bit = _PLACES[((value >> byte) & np.uint64(0xFF)) << np.uint64(3) | left]
+        return (block * _BLOCK + word) * 64 + byte.astype(np.int64) + bit
 
     def get(self, i):
         """The values at positions ``i``."""
@@ -131,7 +133,11 @@ class EliasFano:
         low = np.zeros(len(h), dtype=np.int64)
         later = h > 0
         low[later] = self._select(h[later] - 1, True) + 1 - h[later]
-        end = self._select(h, True) - h
+        at = low + h  # the run's ones go on to the next zero, mostly in the same word
+        rest = ~self.high[at >> 6] >> (at & 63).astype(np.uint64)
+        end = low + np.bitwise_count((rest & -rest) - np.uint64(1))
+        far = np.flatnonzero(rest == 0)
+        end[far] = self._select(h[far], True) - h[far]
         high = end.copy()
         want = x & ((1 << self.low_bits) - 1)
         todo = np.flatnonzero(low < high)

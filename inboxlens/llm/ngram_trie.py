@@ -10,8 +10,7 @@ folder, which tasks map into memory:
   the context's place.  Monotone pointers (Elias-Fano too) give each context's range; the
   pairs' smoothed log-probabilities and the contexts' backoff weights are quantised to 16
   bits, downwards, so that no context's probabilities add up to more than one;
-* triples: the same, a context being a pair, known by its place in the second level; a
-  word is searched between its context's pointers.
+* triples: the same, a context being a pair, known by its place in the second level.
 
 Counting is distributed: a task reduces its documents to sorted distinct keys with counts,
 cuts them at the shards' bounds and sends each part as one row; a shard merges its parts.
@@ -45,7 +44,8 @@ _END = _SPAN - 1     # the hash of END
 _STEPS = 2 ** 16 - 1  # quantisation
 _CLASSES = 24        # contexts are classed by the logarithm of their count
 _ALPHA = 0.1
-_CHARS = 2_000_000   # characters of the texts that are hashed at once
+_CHARS = 6_000_000   # bytes of the texts that are hashed at once
+_ROWS = 4096         # most texts among them
 _PART = "shard int, n int, keys binary, counts binary"
 
 
@@ -146,6 +146,8 @@ class Counter:
     def _merge(self) -> None:
         import numpy as np
 
+        if len(self.lists) == 1:  # sorted and distinct as it came
+            return
         keys, counts = (np.concatenate(x) for x in zip(*self.lists, strict=True))
         self.lists = [merged(keys, counts)]
         self.size = len(self.lists[0][0])
@@ -259,7 +261,7 @@ def count_words(docs: DataFrame, shards: int) -> Words:
         import numpy as np
 
         hasher, found = TokenHashes(), Counter(step)
-        for batch in slices(batches):
+        for batch in slices(batches, _ROWS):
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, _CHARS):
                 yield from found.add(*np.unique(with_ends(texts[a:b], hasher)[0], return_counts=True))
@@ -340,18 +342,15 @@ class Pairs:
             s = int(shard[a])
             if s not in self.files:
                 continue
-            keys, pointers, own, weights = self._open(s, opened)
+            keys, _, own, weights = self._open(s, opened)
             x = key[a:b] - s * self.step
-            at = self._find(keys, pointers, x)
+            at = keys.find(x)
             hit = at >= 0
             got[a:b][hit] = self.low - own[at[hit]] / _STEPS * self.low
             left[a:b] = self.low - weights[x // self.distinct] / _STEPS * self.low
             place[a:b][hit] = at[hit] + self.base.get(s, 0)
         return got[back], left[back], place[back]
 
-    def _find(self, keys, pointers, x):
-        return keys.find(x)
-
     def words_at(self, place, opened: dict):
         """The last words of the pairs at these places."""
         import numpy as np
@@ -373,26 +372,6 @@ class Triples(Pairs):
         own = opened.setdefault("triples", {})  # the levels' shards have the same numbers
         return super()._open(shard, own)
 
-    def _find(self, keys, pointers, x):
-        """Places of the keys, each searched between its context's pointers (-1: none)."""
-        import numpy as np
-
-        context = x // self.distinct
-        low, end = pointers.get(context), pointers.get(context + 1)
-        high = end.copy()
-        on = np.flatnonzero(low < high)
-        while len(on):
-            middle = (low[on] + high[on]) // 2
-            less = keys.get(middle) < x[on]
-            low[on[less]] = middle[less] + 1
-            high[on[~less]] = middle[~less]
-            on = on[low[on] < high[on]]
-        out = np.full(len(x), -1, dtype=np.int64)
-        inside = np.flatnonzero(low < end)
-        hit = inside[keys.get(low[inside]) == x[inside]]
-        out[hit] = low[hit]
-        return out
-
 
 def chained(place, lengths):
     """For each token the place of the pair before it (-1: none), from the place of the
@@ -425,7 +404,7 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
         import numpy as np
 
         reader, found = Reader(words), Counter(step)
-        for batch in slices(batches):
+        for batch in slices(batches, _ROWS):
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts, _CHARS):
                 ids, _, before, lengths = reader.tokens(texts[a:b])
@@ -466,11 +445,12 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
         rate = np.array(discount)
         by_id, opened = None if pairs else _counts_by_id(words), {}
 
-        def shorter(context, word):
-            """log10 of the probability after the context without its first word."""
+        def shorter(context, size, word):
+            """log10 of the probability after the context without its first word; ``size``:
+            each context's number of words."""
             if not pairs:
                 return words.log10(by_id(word))
-            return pairs.lookup(pairs.words_at(context, opened), word, opened)[0]
+            return pairs.lookup(np.repeat(pairs.words_at(context, opened), size), word, opened)[0]
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -484,7 +464,7 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
                 weight = d * size / total
                 here, width = np.repeat(np.arange(len(first)), size), step // v
                 prob = ((counts - d[here]) / total[here]
-                        + weight[here] * 10 ** shorter(context + shard * width, word))
+                        + weight[here] * 10 ** shorter(context[first] + shard * width, size, word))
                 weights = np.full(width, _STEPS, dtype="<u2")  # one: nothing seen after it
                 weights[context[first]] = empty.quantised(np.log10(weight))
                 pointers = np.searchsorted(context, np.arange(width + 1))
@@ -547,7 +527,7 @@ def score(docs: DataFrame, words: Words, pairs: Pairs, triples: Triples | None =
         import pyarrow as pa
 
         reader = Reader(words)
-        for batch in slices(batches):
+        for batch in slices(batches, _ROWS):
             texts = batch.column("text").to_pylist()
             cols: list[list] = [[], [], [], []]
             for a, b in blocks(texts, _CHARS):

@@ -7,7 +7,8 @@ import zlib
 import numpy as np
 import pytest
 
-from inboxlens.llm.ngram_trie import END, Reader, hash_words, merged, parts, score_documents, train, unpacked
+from inboxlens.llm.elias_fano import EliasFano, encode
+from inboxlens.llm.ngram_trie import END, Counter, Reader, hash_words, merged, parts, score_documents, train, unpacked
 
 from .helpers import DOCS, EDGES, corpus, docs_df
 
@@ -141,3 +142,54 @@ def test_three_levels_equal_a_dictionary_model(spark):
         # each probability is quantised downwards, a triple's over a pair's that was
         assert any(n == r.n_tokens and x - n * 8e-4 <= r.score <= x + 1e-9 * abs(x) + 1e-9 for n, x in want[r.doc_id])
     assert score_documents(spark.createDataFrame([], DOCS), order=3).count() == 0
+
+
+def test_a_triple_is_found_with_one_select(spark, monkeypatch):
+    rows = corpus(n=40)
+    words, pairs, triples = train(docs_df(spark, rows), shards=3, order=3)
+    reader, seen = Reader(words), []
+    ids, _, before, lengths = reader.tokens([(r[1] or "").encode() for r in rows])
+    place = pairs.search(before, ids, reader.opened)[2]
+    context = np.append(-1, place[:-1])
+    context[np.cumsum(lengths) - lengths] = -1
+    on = np.flatnonzero(context >= 0)
+    select = EliasFano._select
+    monkeypatch.setattr(EliasFano, "_select", lambda e, i, zeros: (seen.append(len(i)), select(e, i, zeros))[1])
+    assert (triples.search(context[on], ids[on], reader.opened)[2] >= 0).all()
+    distinct = len(np.unique(context[on] * words.distinct + ids[on]))
+    assert 0 < sum(seen) <= 1.2 * distinct
+
+
+def test_a_counter_sends_every_key_once_merged():
+    rng = np.random.default_rng(5)
+    for lists in (1, 4):
+        counter, want, got = Counter(64, most=200), collections.Counter(), collections.Counter()
+        batches = []
+        for _ in range(lists):
+            keys = rng.integers(0, 500, 120)
+            want.update(keys.tolist())
+            batches += counter.add(*np.unique(keys, return_counts=True))
+        batches += counter.rows()
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts = unpacked(row["n"], row["keys"], row["counts"])
+                for k, c in zip((keys + row["shard"] * 64).tolist(), counts.tolist(), strict=True):
+                    got[k] += c
+        assert got == want
+
+
+@pytest.mark.parametrize("share", [0.0005, 0.02, 0.5, 0.98, 3.0])
+def test_elias_fano_of_dense_and_sparse_stretches(share):
+    rng = np.random.default_rng(7)
+    n = 20_000
+    some = rng.integers(0, int(n / share), n)
+    run = np.arange(3000) + int(n / share) // 2  # a full stretch among the others
+    values = np.sort(np.concatenate([some, run, np.repeat(run[:5], 400)]))
+    universe = int(values[-1]) + 1000
+    e = EliasFano(encode(values, universe))
+    assert (e.get(np.arange(len(values))) == values).all()
+    probes = np.unique(np.concatenate([values, values + 1, rng.integers(0, universe, 5000)]))
+    want = np.searchsorted(values, probes)
+    assert (e.successor(probes) == want).all()
+    hit = values[np.minimum(want, len(values) - 1)] == probes
+    assert (e.find(probes) == np.where(hit, want, -1)).all()
