@@ -12,8 +12,10 @@ it as it is but for its case.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
+import operator
 import os
 import re
 import struct
@@ -23,7 +25,8 @@ from collections.abc import Callable
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _CONTROL = re.compile("[\x1c-\x1f]")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"  # letters that composition and splitting leave alone
-_WORD = re.compile(f"([ \n]?)([{_LATIN}]+)([.,!?;:%$&*#]*)")
+_MARKS = ".,!?;:%$&*#"
+_WORD = re.compile(f"([ \n]?)([{_LATIN}]+)([{_MARKS}]*)")
 _PIECES = re.compile(f"[ \n]?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]")
 
 
@@ -54,10 +57,11 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
-def encoder(path: str, cache: int = 400_000) -> Callable[[list[str]], list[bytes]]:
+def encoder(path: str, cache: int = 800_000) -> Callable[[list[str]], list[bytes]]:
     """``encode(texts)``: each text's ids as little-endian unsigned 32-bit integers.
 
-    ``cache`` bounds the number of remembered pieces.  A vocabulary whose
+    ``cache`` bounds the number of remembered pieces: of two halves the older one is dropped,
+    but for what was met since.  A vocabulary whose
     pre-tokenisation is not one of the two known kinds, or whose added tokens do not match
     just as they are written, is encoded text by text.
     """
@@ -73,7 +77,6 @@ def encoder(path: str, cache: int = 400_000) -> Callable[[list[str]], list[bytes
     fixed = {a["content"]: struct.pack("<I", a["id"]) for a in added if a["content"]}
     simple = not any(a.get(flag) for a in added for flag in ("normalized", "single_word", "lstrip", "rstrip"))
     around = re.compile("(" + "|".join(map(re.escape, sorted(fixed, key=len, reverse=True))) + ")") if fixed else None
-    words: dict[str, bytes] = {}
 
     def direct(text: str) -> bytes:
         return np.asarray(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -83,52 +86,61 @@ def encoder(path: str, cache: int = 400_000) -> Callable[[list[str]], list[bytes
     model = tok.model
 
     packers = [struct.Struct(f"<{n}I").pack for n in range(64)]
-    space = letters[0x20]
+    byte_letters = "".join(letters[b] for b in range(256))
+    space, id_of = letters[0x20], operator.attrgetter("id")
 
     def ids_of(word: str) -> bytes:
         if not word.isascii():
-            word = word.encode().decode("latin-1").translate(letters)
+            word = codecs.charmap_decode(word.encode(), "strict", byte_letters)[0]
         elif word[0] == " ":
             word = space + word[1:]
-        found = [t.id for t in model.tokenize(word)]
+        found = model.tokenize(word)
         n = len(found)
-        return packers[n](*found) if n < 64 else struct.pack(f"<{n}I", *found)
+        return packers[n](*map(id_of, found)) if n < 64 else struct.pack(f"<{n}I", *map(id_of, found))
 
     class Known(dict):
-        """Ids by piece; a new piece is encoded when it is first asked for."""
+        """Ids by piece; a new piece is looked for in the older half, and encoded when it is
+        not there: a word with marks from the piece that is the word alone."""
+
+        def __init__(self, old: dict[str, bytes]):
+            self.old = old
 
         def __missing__(self, piece: str) -> bytes:
-            if piece.isascii() and piece[0] == " " and piece[1:].isalpha():
+            ids = self[piece] = self.old.get(piece) or self.encoded(piece)
+            return ids
+
+        def encoded(self, piece: str) -> bytes:
+            if not lower and piece[0] == " " and piece.isascii():
                 # a plain word after a space, the commonest piece where spaces are kept
-                ids = self[piece] = ids_of(piece)
-                return ids
+                if piece[1:].isalpha():
+                    return ids_of(piece)
+                word = piece.rstrip(_MARKS)
+                if word[1:].isalpha():
+                    return self[word] + few(piece[len(word):])
             m = _WORD.fullmatch(piece)
             if not m:
-                ids = direct(piece)
-            else:
-                lead, word, marks = m.groups()
-                if lower:
-                    word = word.lower()
-                elif lead == " ":
-                    word, lead = " " + word, ""
-                ids = words.get(word)
-                if ids is None:
-                    ids = words[word] = ids_of(word)
-                if lead:
-                    ids = few(lead) + ids
-                if marks:
-                    ids += few(marks)
-            self[piece] = ids
-            return ids
-
-    known = Known()
+                return direct(piece)
+            lead, word, marks = m.groups()
+            if lower:
+                word = word.lower()
+            elif lead == " ":
+                word, lead = " " + word, ""
+            if word == piece:
+                return ids_of(word)
+            ids = self[word]
+            if lead:
+                ids = few(lead) + ids
+            return ids + few(marks) if marks else ids
+
+    known = Known({})
 
     def joined(texts: list[str], cut: Callable[[str], list[str]]) -> list[bytes]:
+        nonlocal known
         out = []
         for text in texts:
-            if len(known) > cache:
-                known.clear()
-                words.clear()
+            if len(known) > cache // 2:
+                known.old = {}
+                known = Known(known)
             out.append(b"".join(map(known.__getitem__, cut(text))))
         return out
 

@@ -73,6 +73,32 @@ def test_elias_fano(values, x):
     assert e.find(probes).tolist() == want
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_known_words_are_encoded_once(name, monkeypatch):
+    """Words that keep coming stay known however many others pass, with marks as without."""
+    path, calls = vocabulary(name), []
+    tok = Tokenizer.from_file(path)
+
+    class Model:
+        def tokenize(self, word):
+            calls.append(word)
+            return tok.model.tokenize(word)
+
+    class Spy:
+        model, encode = Model(), tok.encode
+
+        @staticmethod
+        def from_file(path):
+            return Spy()
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Spy)
+    texts = [f" common Über, common. x{chr(97 + i % 26)}{chr(97 + i // 26)}rare common, Über" for i in range(300)]
+    got = encoder(path, cache=40)(texts)
+    assert got == [plain(tok, t) for t in texts]
+    assert sum("common" in c for c in calls) == 1
+    assert len(calls) <= 303
+
+
 @pytest.mark.parametrize("ids", [[5, 7, 7, 100], [None, -3, 4], [-2 ** 62, 2 ** 62 + 5], [None], []])
 def test_token_file_round_trip(tmp_path, ids):
     parts = [struct.pack(f"<{i + 1}I", *range(i + 1)) for i in range(len(ids))]
