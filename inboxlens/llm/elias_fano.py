@@ -8,10 +8,13 @@ in unary in a bit vector.  A directory with one 32-bit count for every 512 bits
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 _HEAD = 4      # 64-bit words: n, universe, low bits, high words
 _BLOCK = 8     # high words for each count of the directory
+_WINDOW = 57   # so many bits are within the 64 that begin at their first byte
 _LOW8, _ONES16, _TOP16 = (np.uint64(x) for x in (0x00FF00FF00FF00FF, 0x0001000100010001, 0x8000800080008000))
 _ONES8, _TOP8 = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 #: place of the i-th one of a byte, at 8 * byte + i
@@ -69,9 +72,23 @@ class EliasFano:
         self.ones = buf[c:c + 4 * blocks].view(np.uint32)
         self.end = c + 4 * (blocks + blocks % 2)
 
+    @cached_property
+    def windows(self):
+        """The 64 bits from each byte of the low bits on."""
+        return np.ndarray(8 * len(self.low) - 7, dtype="<i8", buffer=self.low, strides=(1,))
+
+    @cached_property
+    def before(self):
+        """The ones and the zeros before each block of the high bits."""
+        ones = self.ones.astype(np.int64)
+        return ones, np.arange(len(ones)) * (64 * _BLOCK) - ones
+
     def _low(self, i):
         if not self.low_bits:
             return np.zeros(len(i), dtype=np.int64)
+        if self.low_bits <= _WINDOW:
+            at = i * self.low_bits
+            return self.windows[at >> 3] >> (at & 7) & ((1 << self.low_bits) - 1)
         at = i.astype(np.uint64) * np.uint64(self.low_bits)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
         first = self.low[word] >> shift
@@ -82,11 +99,7 @@ class EliasFano:
 
     def _select(self, i, zeros: bool):
         """Position in the high bits of the i-th (from 0) one or zero."""
-        if zeros:
-            bits = np.arange(len(self.ones), dtype=np.int64) * (64 * _BLOCK)
-            before = bits - self.ones
-        else:
-            before = self.ones.astype(np.int64)
+        before = self.before[zeros]
         block = np.searchsorted(before, i, side="right") - 1
         block = np.minimum(block, len(self.high) // _BLOCK - 1)
         left = (i - before[block]).astype(np.uint64)
@@ -127,8 +140,8 @@ class EliasFano:
         return ((np.flatnonzero(bits)[:self.n] - i) << self.low_bits) | self._low(i)
 
     def _search(self, x):
-        """Of values below the universe: the first position not below each, and the end of
-        the run of positions that share its high part."""
+        """Of values below the universe: the first position and the end of the run of positions
+        that share each one's high part, and its low bits."""
         h = x >> self.low_bits
         low = np.zeros(len(h), dtype=np.int64)
         later = h > 0
@@ -138,16 +151,20 @@ class EliasFano:
         end = low + np.bitwise_count((rest & -rest) - np.uint64(1))
         far = np.flatnonzero(rest == 0)
         end[far] = self._select(h[far], True) - h[far]
-        high = end.copy()
-        want = x & ((1 << self.low_bits) - 1)
+        return low, end, x & ((1 << self.low_bits) - 1)
+
+    def _bisect(self, low, high, want):
+        """The first positions from ``low`` whose low bits are not below ``want``, or ``high``."""
         todo = np.flatnonzero(low < high)
+        a, b, w = low[todo], high[todo], want[todo]
         while len(todo):
-            mid = (low[todo] + high[todo]) >> 1
-            below = self._low(mid) < want[todo]
-            low[todo] = np.where(below, mid + 1, low[todo])
-            high[todo] = np.where(below, high[todo], mid)
-            todo = todo[low[todo] < high[todo]]
-        return low, end, want
+            mid = (a + b) >> 1
+            below = self._low(mid) < w
+            a, b = np.where(below, mid + 1, a), np.where(below, b, mid)
+            open_ = a < b
+            low[todo] = a
+            todo, a, b, w = todo[open_], a[open_], b[open_], w[open_]
+        return low
 
     def successor(self, x):
         """For each x the first position whose value is not below it (n if there is none)."""
@@ -155,7 +172,7 @@ class EliasFano:
         out = np.full(len(x), self.n, dtype=np.int64)
         inside = np.flatnonzero(x < self.universe)
         if len(inside) and self.n:
-            out[inside] = self._search(np.maximum(x[inside], 0))[0]
+            out[inside] = self._bisect(*self._search(np.maximum(x[inside], 0)))
         return out
 
     def find(self, x):
@@ -164,8 +181,10 @@ class EliasFano:
         out = np.full(len(x), -1, dtype=np.int64)
         inside = np.flatnonzero((x >= 0) & (x < self.universe))
         if len(inside) and self.n:
-            at, end, want = self._search(x[inside])
-            hit = np.flatnonzero(at < end)
-            hit = hit[self._low(at[hit]) == want[hit]]
-            out[inside[hit]] = at[hit]
+            low, end, want = self._search(x[inside])
+            run = np.flatnonzero(low < end)
+            want = want[run]
+            at = self._bisect(low[run], end[run] - 1, want)  # no further: the last one is compared here
+            hit = self._low(at) == want
+            out[inside[run[hit]]] = at[hit]
         return out

@@ -76,6 +76,38 @@ def stretches(x) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False)) if len(x) else []
 
 
+def ranked(x):
+    """The distinct values of an array of numbers from 0, in order, and each one's place among
+    them.  Sorts the values' upper bits with their places side by side in one number, which
+    costs less than an argsort; values that differ in the bits left out are sorted again."""
+    import numpy as np
+
+    if not len(x):
+        return x, x
+    bits = len(x).bit_length()
+    left = max(0, int(x.max()).bit_length() + bits - 63)
+    both = x >> left << bits | np.arange(len(x))
+    both.sort()
+    order = both & ((1 << bits) - 1)
+    sorted_ = x[order]
+    new = sorted_[1:] != sorted_[:-1]
+    if left:
+        upper = both >> bits
+        mixed = np.flatnonzero(new & (upper[1:] == upper[:-1]))
+        if len(mixed):
+            begins = np.flatnonzero(np.append(True, upper[1:] != upper[:-1]))
+            group = np.unique(np.searchsorted(begins, mixed, side="right") - 1)
+            size = np.diff(np.append(begins, len(x)))[group]
+            at = np.repeat(begins[group] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            order[at] = order[at][np.argsort(sorted_[at])]
+            sorted_ = x[order]
+            new = sorted_[1:] != sorted_[:-1]
+    first = np.append(True, new)
+    back = np.empty(len(x), dtype=np.int64)
+    back[order] = np.cumsum(first) - 1
+    return sorted_[first], back
+
+
 def merged(keys, counts):
     """Sorted distinct keys with their counts added."""
     import numpy as np
@@ -234,7 +266,7 @@ class Reader:
         if len(self.hashes) > self.most_words:
             self._clear()
         flat, lengths = with_ends(texts, self.hasher)
-        own, back = np.unique(flat, return_inverse=True)
+        own, back = ranked(flat)
         at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
         new = own[self.hashes[at] != own]
         if len(new):
@@ -335,7 +367,7 @@ class Pairs:
         import numpy as np
 
         key = context * self.distinct + word
-        key, back = np.unique(key, return_inverse=True)  # one search for equal pairs
+        key, back = ranked(key)  # one search for equal pairs
         got, left, place = np.full(len(key), np.nan), np.zeros(len(key)), np.full(len(key), -1, dtype=np.int64)
         shard = key // self.step
         for a, b in stretches(shard):
@@ -351,6 +383,20 @@ class Pairs:
             place[a:b][hit] = at[hit] + self.base.get(s, 0)
         return got[back], left[back], place[back]
 
+    def backoff(self, context, opened: dict):
+        """log10 of the contexts' backoff weights (0: nothing seen after it)."""
+        import numpy as np
+
+        context, back = ranked(context)
+        left, width = np.zeros(len(context)), self.step // self.distinct
+        shard = context // width
+        for a, b in stretches(shard):
+            s = int(shard[a])
+            if s in self.files:
+                weights = self._open(s, opened)[3]
+                left[a:b] = self.low - weights[context[a:b] - s * width] / _STEPS * self.low
+        return left[back]
+
     def words_at(self, place, opened: dict):
         """The last words of the pairs at these places."""
         import numpy as np
@@ -539,8 +585,7 @@ def score(docs: DataFrame, words: Words, pairs: Pairs, triples: Triples | None =
                 own[known] = np.where(np.isnan(prob), weight + base[known], prob)
                 # a word never seen, after a context that was
                 new = np.flatnonzero((ids < 0) & (before >= 0))
-                _, weight = pairs.lookup(before[new], np.zeros(len(new), dtype=np.int64), reader.opened)
-                own[new] += weight
+                own[new] += pairs.backoff(before[new], reader.opened)
                 if triples:
                     place = np.full(len(ids), -1, dtype=np.int64)
                     place[known] = at
@@ -549,8 +594,7 @@ def score(docs: DataFrame, words: Words, pairs: Pairs, triples: Triples | None =
                     prob, weight = triples.lookup(context[known], ids[known], reader.opened)
                     own[known] = np.where(np.isnan(prob), weight + own[known], prob)
                     new = np.flatnonzero((context >= 0) & (ids < 0))
-                    _, weight = triples.lookup(context[new], np.zeros(len(new), dtype=np.int64), reader.opened)
-                    own[new] += weight
+                    own[new] += triples.backoff(context[new], reader.opened)
                 first = np.cumsum(lengths) - lengths
                 cols[0] += lengths.tolist()
                 cols[1] += np.add.reduceat((counts > 0).astype(np.int64), first).tolist()

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from inboxlens.llm.elias_fano import EliasFano, encode
-from inboxlens.llm.ngram_trie import END, Counter, Reader, hash_words, merged, parts, score_documents, train, unpacked
+from inboxlens.llm.ngram_trie import (END, Counter, Reader, hash_words, merged, parts, ranked, score_documents, train,
+                                     unpacked)
 
 from .helpers import DOCS, EDGES, corpus, docs_df
 
@@ -193,3 +194,45 @@ def test_elias_fano_of_dense_and_sparse_stretches(share):
     assert (e.successor(probes) == want).all()
     hit = values[np.minimum(want, len(values) - 1)] == probes
     assert (e.find(probes) == np.where(hit, want, -1)).all()
+
+
+@pytest.mark.parametrize("high", [1, 3, 1 << 20, 1 << 44, 1 << 62])
+def test_ranked_equals_unique(high):
+    rng = np.random.default_rng(high % 97)
+    few = rng.integers(0, high, 200)
+    for x in (few, rng.choice(few, 5000), np.sort(rng.integers(0, high, 3000)),
+              high - 1 - rng.integers(0, min(high, 64), 4000),  # equal but for their last bits
+              np.zeros(0, dtype=np.int64)):
+        got, back = ranked(x)
+        want, place = np.unique(x, return_inverse=True)
+        assert got.tolist() == want.tolist() and back.tolist() == place.tolist()
+
+
+def test_a_value_alone_in_its_run_is_compared_once(monkeypatch):
+    values = np.arange(1, 2001, dtype=np.int64) * 64 + 5
+    level, read = EliasFano(encode(values)), []
+    low = EliasFano._low
+    monkeypatch.setattr(EliasFano, "_low", lambda self, i: read.append(len(i)) or low(self, i))
+    x = np.arange(int(values[-1]) + 100)
+    want = np.where(np.isin(x, values), (x - 5) // 64 - 1, -1)
+    assert level.find(x).tolist() == want.tolist()
+    assert sum(read) <= len(x)
+
+
+@pytest.mark.parametrize("width", [1, 56, 57, 58, 61])
+def test_low_bits_of_every_width(width):
+    rng, n = np.random.default_rng(width), 40 if width < 58 else 3
+    values = np.sort(rng.integers(0, 1 << 62, n)) >> (61 - width)
+    level = EliasFano(encode(values, n << width))
+    assert level.low_bits == width
+    assert level.get(np.arange(n)).tolist() == values.tolist()
+    assert level.find(values).tolist() == np.searchsorted(values, values).tolist()
+    assert level.successor(values + 1).tolist() == np.searchsorted(values, values + 1).tolist()
+
+
+def test_backoff_is_the_weight_that_a_lookup_gives(spark):
+    words, pairs, triples = train(docs_df(spark, corpus(n=30)), shards=3, order=3)
+    for level, contexts in ((pairs, words.distinct), (triples, pairs.total)):
+        some = np.random.default_rng(3).integers(0, contexts, 500)
+        want = level.lookup(some, np.zeros(500, dtype=np.int64), {})[1]
+        assert level.backoff(some, {}).tolist() == want.tolist()
