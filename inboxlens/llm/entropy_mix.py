@@ -33,9 +33,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise, text_of
+from .common import SPACE, materialise, release, text_of
 
 BINS = 4096
+_STEPS = 3  # of Newton's method between two releases of what the driver holds of broadcasts
 
 
 def word_count(docs: DataFrame) -> Column:
@@ -101,7 +102,9 @@ def balance(sized: DataFrame, weights: tuple = (1, 2, 3), cap: float = 3.0, tole
                     F.lit(None).cast("double").alias("high"), F.lit(False).alias("done")))
     plan = materialise(plan, "plan")
     counts = hist.select(F.col("source").alias("s"), "size", "n")
-    for _ in range(most_steps):
+    for k in range(most_steps):
+        if k % _STEPS == _STEPS - 1:
+            release(sized.sparkSession)
         if plan.where(~F.col("done") & ~F.col("full")).isEmpty():
             break
         rate = _rate(cap)
@@ -180,6 +183,7 @@ def _cuts(sized: DataFrame, plan: DataFrame, cap: float, rounds: int = 4) -> Dat
         *plan.columns, (F.col("target") - F.col("base")).alias("gap"),
         F.expr("cast(array() as array<struct<delta: double, key: double, most: double>>)").alias("cuts")), "plan")
     for _ in range(rounds):
+        release(docs.sparkSession)  # the driver would hold each round's broadcasts and plans on
         # documents that no cut takes yet and that the gap has room for
         free = (docs.join(plan.select("sid", "gap", "cuts"), "sid")
                 .where(F.col("t").isNotNull() & (F.col("size") <= F.col("gap")) & (F.col("size") > 0)
@@ -205,6 +209,7 @@ def _cuts(sized: DataFrame, plan: DataFrame, cap: float, rounds: int = 4) -> Dat
             *[c for c in plan.columns if c not in ("gap", "cuts")],
             (F.col("gap") - F.coalesce("taken", F.lit(0))).alias("gap"),
             F.when(F.col("taken").isNull(), F.col("cuts")).otherwise(new).alias("cuts")), "plan")
+    release(docs.sparkSession)
     return plan.drop("gap")
 
 

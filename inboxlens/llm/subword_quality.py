@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, give_back, held_out, slices, text_of
+from .common import blocks, give_back, held_out, release, slices, text_of
 from .wordhash import subwords, word_hashes
 
 REPEAT = b"\n"  # no word holds it: the feature of a word that repeats its predecessor
@@ -192,6 +192,9 @@ def scorer(docs: DataFrame, labels: DataFrame, label: str, folds: int, p: Params
                int(r["label"])) for r in rows]
     mean = float(np.mean([t[2] for t in taught])) if taught else 0.5
     shipped = spark.sparkContext.broadcast((train(taught, p), mean))
+    rows = taught = None  # the driver holds the model alone from here on
+    give_back()
+    release(spark)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, mean = shipped.value

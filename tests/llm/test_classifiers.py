@@ -145,3 +145,12 @@ def test_blocks_cover_every_text():
     got = list(blocks(texts, 52))
     assert [i for a, b in got for i in range(a, b)] == list(range(6))
     assert all(b - a == 1 or sum(map(len, texts[a:b])) <= 52 for a, b in got)
+
+
+def test_the_driver_keeps_no_sample_after_training(spark, labelled, monkeypatch):
+    rows, labels = labelled
+    calls = []
+    monkeypatch.setattr(subword_quality, "give_back", lambda: calls.append("memory"))
+    monkeypatch.setattr(subword_quality, "release", lambda spark: calls.append("spark"), raising=False)
+    subword_quality.accepted(docs_df(spark, rows), spark.createDataFrame(labels, LABELS), p=SMALL)
+    assert calls == ["memory", "spark"]

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from inboxlens.llm import entropy_mix
 from inboxlens.llm.common import WORD
 from inboxlens.llm.entropy_mix import mix, mixed_documents, targets, word_count
 
@@ -141,3 +142,11 @@ def test_ties_of_a_table(spark, scratch):
     assert mixed_documents(docs).count() == sum(r.copies for r in out)
     with_field = docs.withColumn("_metadata", F.lit(1)).withColumn("key", F.lit(2)).withColumn("at", F.lit(3))
     assert mixed_documents(with_field).columns == with_field.columns
+
+
+def test_the_driver_lets_go_of_each_rounds_broadcasts(spark, monkeypatch):
+    rows = [(i, "w " * (i % 9), f"s{i % 3}") for i in range(60)]
+    calls = []
+    monkeypatch.setattr(entropy_mix, "release", lambda spark: calls.append(1))
+    assert entropy_mix.mixed_documents(docs_df(spark, rows)).count() > 0
+    assert len(calls) >= 5  # before each of four rounds, and after the last
