@@ -135,17 +135,24 @@ class EliasFano:
 
     def all(self):
         """Every value, in order."""
-        bits = np.unpackbits(self.high.view(np.uint8), bitorder="little")
-        i = np.arange(self.n, dtype=np.int64)
-        return ((np.flatnonzero(bits)[:self.n] - i) << self.low_bits) | self._low(i)
+        return self.between(0, self.n)
+
+    def between(self, a: int, b: int):
+        """The values at positions from a to b - 1; only their part of the bits is read."""
+        if a >= b:
+            return np.zeros(0, dtype=np.int64)
+        first, last = self._select(np.array([a, b - 1]), False).tolist()
+        words = self.high[first >> 6:(last >> 6) + 1]
+        bits = np.unpackbits(words.view(np.uint8), bitorder="little")[first & 63:]
+        i = np.arange(a, b, dtype=np.int64)
+        return ((np.flatnonzero(bits)[:b - a] + (first - i)) << self.low_bits) | self._low(i)
 
     def _search(self, x):
         """Of values below the universe: the first position and the end of the run of positions
         that share each one's high part, and its low bits."""
         h = x >> self.low_bits
-        low = np.zeros(len(h), dtype=np.int64)
-        later = h > 0
-        low[later] = self._select(h[later] - 1, True) + 1 - h[later]
+        low = self._select(np.maximum(h - 1, 0), True) + 1 - h
+        low[h == 0] = 0
         at = low + h  # the run's ones go on to the next zero, mostly in the same word
         rest = ~self.high[at >> 6] >> (at & 63).astype(np.uint64)
         end = low + np.bitwise_count((rest & -rest) - np.uint64(1))
@@ -179,12 +186,16 @@ class EliasFano:
         """For each x the first position that holds it, or -1."""
         x = np.asarray(x, dtype=np.int64)
         out = np.full(len(x), -1, dtype=np.int64)
-        inside = np.flatnonzero((x >= 0) & (x < self.universe))
-        if len(inside) and self.n:
-            low, end, want = self._search(x[inside])
-            run = np.flatnonzero(low < end)
-            want = want[run]
-            at = self._bisect(low[run], end[run] - 1, want)  # no further: the last one is compared here
-            hit = self._low(at) == want
-            out[inside[run[hit]]] = at[hit]
+        if not len(x) or not self.n:
+            return out
+        if x.min() < 0 or x.max() >= self.universe:
+            inside = np.flatnonzero((x >= 0) & (x < self.universe))
+            out[inside] = self.find(x[inside])
+            return out
+        low, end, want = self._search(x)
+        run = np.flatnonzero(low < end)
+        want = want[run]
+        at = self._bisect(low[run], end[run] - 1, want)  # no further: the last one is compared here
+        hit = self._low(at) == want
+        out[run[hit]] = at[hit]
         return out

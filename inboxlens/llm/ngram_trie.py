@@ -12,8 +12,13 @@ folder, which tasks map into memory:
   bits, downwards, so that no context's probabilities add up to more than one;
 * triples: the same, a context being a pair, known by its place in the second level.
 
+The texts are read twice: to count the words, and to write every text's word ids, from which
+pairs and triples are counted and all scores are taken.
+
 Counting is distributed: a task reduces its documents to sorted distinct keys with counts,
 cuts them at the shards' bounds and sends each part as one row; a shard merges its parts.
+Triples are sent with their contexts' pairs, of which a shard knows the places: those between
+its bounds, read in order, so that a task need not search the second level for each token.
 All of a context's successors meet in one shard, at most V short numbers however often the
 context occurs.  Probabilities interpolate by absolute discounting: the discount of
 contexts seen about equally often comes from their counts of pairs seen once and twice.
@@ -28,13 +33,14 @@ rows count as often as they stand; an empty training set scores with N = V = 0.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, held_out, map_file, materialise, put_file, shared_path, slices, text_of
+from .common import blocks, give_back, held_out, map_file, materialise, put_file, shared_path, slices, text_of
 from .elias_fano import EliasFano, encode
 from .wordhash import TokenHashes
 
@@ -47,6 +53,8 @@ _ALPHA = 0.1
 _CHARS = 6_000_000   # bytes of the texts that are hashed at once
 _ROWS = 4096         # most texts among them
 _PART = "shard int, n int, keys binary, counts binary"
+_BLOCK = ("held_out boolean, doc_id array<long>, n_tokens array<long>, n_known array<long>, "
+          "base_score array<double>, ids binary")
 
 
 def hash_words(words: list[bytes]):
@@ -121,18 +129,23 @@ def merged(keys, counts):
 
 
 def _packed(x) -> bytes:
-    """64-bit numbers as compressed byte planes: most planes are zero."""
+    """64-bit numbers as their number of byte planes that are not zero, and those compressed."""
+    import numpy as np
     import pyarrow as pa
 
-    return pa.compress(x.view("u1").reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    planes = max(1, -(-int(np.bitwise_or.reduce(x.view(np.uint64))).bit_length() // 8))
+    raw = x.view("u1").reshape(-1, 8)[:, :planes].T.tobytes()
+    return bytes([planes]) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpacked(raw: bytes, n: int):
     import numpy as np
     import pyarrow as pa
 
-    planes = pa.decompress(raw, decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+    planes = pa.decompress(raw[1:], decompressed_size=raw[0] * n, codec="zstd", asbytes=True)
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :raw[0]] = np.frombuffer(planes, dtype=np.uint8).reshape(raw[0], n).T
+    return out.view(np.int64).ravel()
 
 
 def parts(keys, counts, step: int) -> Iterator[tuple]:
@@ -152,11 +165,21 @@ def unpacked(n: int, keys: bytes, counts: bytes):
     return np.cumsum(_unpacked(keys, n)), _unpacked(counts, n)
 
 
-def _gathered(pdf):
+def _batch(rows: Iterator[tuple]):
+    """Parts as a record batch."""
+    import pyarrow as pa
+
+    names = (("shard", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, (_, k) in zip(columns, names, strict=True)],
+                                      schema=pa.schema(names))
+
+
+def _gathered(pdf, unpack=unpacked):
     """The merged keys and counts of a shard's rows."""
     import numpy as np
 
-    both = [unpacked(*r) for r in zip(pdf["n"], pdf["keys"], pdf["counts"], strict=True)]
+    both = [unpack(*r) for r in zip(pdf["n"], pdf["keys"], pdf["counts"], strict=True)]
     return merged(np.concatenate([k for k, _ in both]), np.concatenate([c for _, c in both]))
 
 
@@ -186,16 +209,62 @@ class Counter:
 
     def rows(self) -> Iterator:
         """What has come together, as a record batch with a row for each shard."""
-        import pyarrow as pa
-
         if not self.size:
             return
         self._merge()
-        columns = zip(*parts(*self.lists[0], self.step), strict=True)
+        batch = _batch(parts(*self.lists[0], self.step))
         self.lists, self.size = [], 0
-        names = (("shard", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()))
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, (_, k) in zip(columns, names, strict=True)],
-                                         schema=pa.schema(names))
+        yield batch
+
+
+def triple_parts(pair, word, distinct: int, bounds) -> Iterator[tuple]:
+    """The triples of the pairs' keys with the words after them, each once with its count, cut
+    where a pair reaches one of ``bounds``, as rows: shard, number, and keys and counts packed."""
+    import numpy as np
+
+    own, back = ranked(pair)
+    key, counts = np.unique(back * distinct + word, return_counts=True)
+    at, word = key // distinct, key % distinct
+    first = np.append(True, at[1:] != at[:-1])
+    marked = word << 1 | first  # each pair's words, the first one marked
+    begins = np.append(np.flatnonzero(first), len(key))
+    shard = np.searchsorted(bounds, own, side="right")
+    for a, b in stretches(shard):
+        i, j = int(begins[a]), int(begins[b])
+        keys = _packed(np.append(own[a], np.diff(own[a:b]))), _packed(marked[i:j])
+        yield int(shard[a]), j - i, b"".join([np.array([b - a, len(keys[0])]).tobytes(), *keys]), \
+            _packed(counts[i:j].astype(np.int64))
+
+
+def unpacked_triples(n: int, keys: bytes, counts: bytes, distinct: int, pairs):
+    """The keys, a pair's place among ``pairs`` times ``distinct`` plus the word, and counts."""
+    import numpy as np
+
+    size, cut = np.frombuffer(keys, dtype=np.int64, count=2).tolist()
+    place = np.searchsorted(pairs, np.cumsum(_unpacked(keys[16:16 + cut], size)))
+    marked = _unpacked(keys[16 + cut:], n)
+    return place[np.cumsum(marked & 1) - 1] * distinct + (marked >> 1), _unpacked(counts, n)
+
+
+class TripleCounter:
+    """The triples of a task, sent on whenever many tokens have come together."""
+
+    def __init__(self, distinct: int, bounds, most: int = 1_000_000):
+        self.distinct, self.bounds, self.most, self.lists, self.size = distinct, bounds, most, [], 0
+
+    def add(self, pair, word) -> Iterator:
+        self.lists.append((pair, word))
+        self.size += len(pair)
+        if self.size > self.most:
+            yield from self.rows()
+
+    def rows(self) -> Iterator:
+        import numpy as np
+
+        if self.size:
+            pair, word = (np.concatenate(x) for x in zip(*self.lists, strict=True))
+            self.lists, self.size = [], 0
+            yield _batch(triple_parts(pair, word, self.distinct, self.bounds))
 
 
 @dataclass(frozen=True)
@@ -215,6 +284,28 @@ class Words:
 
         return [encode(hashes, int(hashes[-1]) + 1), np.asarray(counts, dtype="<i8").tobytes()]
 
+    def _open(self, shard: int, opened: dict):
+        import numpy as np
+
+        if ("w", shard) not in opened:
+            raw = map_file(self.files[shard])
+            level = EliasFano(raw)
+            opened["w", shard] = level, raw[level.end:].view(np.int64)
+        return opened["w", shard]
+
+    def counts_at(self, ids, opened: dict):
+        """The counts of the words with these ids."""
+        import numpy as np
+
+        shards = sorted(self.files)
+        first = np.array([self.base[s] for s in shards])
+        ids, back = ranked(ids)
+        out, at = np.zeros(len(ids), dtype=np.int64), np.searchsorted(first, ids, side="right") - 1
+        for a, b in stretches(at):
+            i = int(at[a])
+            out[a:b] = self._open(shards[i], opened)[1][ids[a:b] - first[i]]
+        return out[back]
+
     def lookup(self, hashes, opened: dict):
         """Ids (-1: not in the trie) and counts of the hashes."""
         import numpy as np
@@ -225,11 +316,7 @@ class Words:
         for s in np.unique(shard).tolist():
             if s not in self.files:
                 continue
-            if ("w", s) not in opened:
-                raw = map_file(self.files[s])
-                level = EliasFano(raw)
-                opened["w", s] = level, raw[level.end:].view(np.int64)
-            level, own = opened["w", s]
+            level, own = self._open(s, opened)
             on = np.flatnonzero(shard == s)
             at = level.find(hashes[on] - s * self.step)
             hit = at >= 0
@@ -298,6 +385,8 @@ def count_words(docs: DataFrame, shards: int) -> Words:
             for a, b in blocks(texts, _CHARS):
                 yield from found.add(*np.unique(with_ends(texts[a:b], hasher)[0], return_counts=True))
         yield from found.rows()
+        batch = texts = found = None
+        give_back()
 
     def write(pdf):
         import pandas as pd
@@ -397,18 +486,31 @@ class Pairs:
                 left[a:b] = self.low - weights[context[a:b] - s * width] / _STEPS * self.low
         return left[back]
 
-    def words_at(self, place, opened: dict):
-        """The last words of the pairs at these places."""
+    def keys_at(self, place, opened: dict):
+        """The keys at these places."""
         import numpy as np
 
         shards = sorted(self.files)
         first = np.array([self.base[s] for s in shards])
         out, at = np.zeros(len(place), dtype=np.int64), np.searchsorted(first, place, side="right") - 1
-        for i in np.unique(at).tolist():
-            on = at == i
-            out[on] = self._open(shards[i], opened)[0].get(place[on] - first[i]) % self.distinct
+        for a, b in stretches(at):
+            i = int(at[a])
+            out[a:b] = self._open(shards[i], opened)[0].get(place[a:b] - first[i]) + shards[i] * self.step
         return out
 
+    def between(self, low: int, high: int, opened: dict):
+        """The keys at the places from ``low`` to before ``high``, as far as there are any."""
+        import numpy as np
+
+        shards = sorted(self.files)
+        first = [*(self.base[s] for s in shards), self.total]
+        out, i = [np.zeros(0, dtype=np.int64)], max(0, bisect_right(first, low) - 1)
+        while i < len(shards) and first[i] < high:
+            a, b = max(low, first[i]) - first[i], min(high, first[i + 1]) - first[i]
+            out.append(self._open(shards[i], opened)[0].between(a, b) + shards[i] * self.step)
+            i += 1
+        return np.concatenate(out)
+
 
 @dataclass(frozen=True)
 class Triples(Pairs):
@@ -435,37 +537,105 @@ def _classes(total):
     return np.minimum(np.log2(total).astype(np.int64), _CLASSES - 1)
 
 
-def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None = None) -> Pairs:
-    """The second level from the texts of ``docs (text binary)``; the third above ``pairs``."""
-    spark = docs.sparkSession
+def token_blocks(docs: DataFrame, words: Words) -> DataFrame:
+    """The word ids (-1: not in the trie) of ``docs (doc_id, held_out, text)``: a row for each
+    block of texts that are all held out or all not, one more than the ids packed."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        reader = Reader(words)
+        waiting: dict[bool, tuple[list, list]] = {False: ([], []), True: ([], [])}
+
+        def block(held: bool, texts: list, docs: list):
+            ids, counts, _, lengths = reader.tokens(texts)
+            first = np.cumsum(lengths) - lengths
+            columns = (pa.array(docs, pa.int64()), pa.array(lengths),
+                       pa.array(np.add.reduceat((counts > 0).astype(np.int64), first)),
+                       pa.array(np.add.reduceat(words.log10(counts), first)))
+            ends = pa.array([0, len(texts)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([held]), *(pa.ListArray.from_arrays(ends, c) for c in columns), pa.array([_packed(ids + 1)])],
+                names=["held_out", "doc_id", "n_tokens", "n_known", "base_score", "ids"])
+
+        for batch in slices(batches, _ROWS):
+            held = batch.column("held_out").to_numpy(zero_copy_only=False)
+            for kind, (texts, docs) in waiting.items():
+                rows = pa.array(np.flatnonzero(held == kind))
+                texts += batch.column("text").take(rows).to_pylist()
+                docs += batch.column("doc_id").take(rows).to_pylist()
+                cuts = list(blocks(texts, _CHARS))
+                if len(texts) < _ROWS:  # the last ones wait for more
+                    cuts = cuts[:-1]
+                for a, b in cuts:
+                    yield block(kind, texts[a:b], docs[a:b])
+                done = cuts[-1][1] if cuts else 0
+                del texts[:done], docs[:done]
+        for kind, (texts, docs) in waiting.items():
+            for a, b in blocks(texts, _CHARS):
+                yield block(kind, texts[a:b], docs[a:b])
+        batch = texts = docs = rows = waiting = reader = None
+        give_back()
+
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce("held_out", F.lit(False)).alias("held_out"),
+                       text_of(docs).cast("binary").alias("text"))
+    return cols.mapInArrow(run, _BLOCK)
+
+
+def _ids(batches: Iterator) -> Iterator[tuple]:
+    """The rows of ``token_blocks``: word ids, the texts' numbers of tokens, batch and row."""
+    import numpy as np
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            lengths = np.asarray(batch.column("n_tokens")[row].values)
+            yield _unpacked(batch.column("ids")[row].as_py(), int(lengths.sum())) - 1, lengths, batch, row
+
+
+def count_pairs(tokens: DataFrame, words: Words, shards: int, pairs: Pairs | None = None) -> Pairs:
+    """The second level from the texts of ``tokens`` (see ``token_blocks``) that are not held
+    out; the third above ``pairs``."""
+    spark = tokens.sparkSession
     name = "triples" if pairs else "pairs"
     root = shared_path(spark, name)
     v = max(1, words.distinct)
     contexts = max(1, pairs.total) if pairs else v
     if contexts * v >= 2 ** 63:
         raise ValueError(f"{contexts} contexts of {v} words do not fit 64 bits")
-    step = -(-contexts // shards) * v
+    width = -(-contexts // shards)  # contexts in a shard
+    step = width * v
 
     def count(batches: Iterator) -> Iterator:
         import numpy as np
 
-        reader, found = Reader(words), Counter(step)
-        for batch in slices(batches, _ROWS):
-            texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts, _CHARS):
-                ids, _, before, lengths = reader.tokens(texts[a:b])
-                if pairs:
-                    before = chained(pairs.search(before, ids, reader.opened)[2], lengths)
-                    ids, before = ids[before >= 0], before[before >= 0]
-                yield from found.add(*np.unique(before * v + ids, return_counts=True))
+        if pairs:
+            # the shards' first pairs, without the first shard's
+            found = TripleCounter(v, pairs.keys_at(np.arange(width, pairs.total, width), {}))
+        else:
+            found = Counter(step)
+        for ids, lengths, *_ in _ids(batches):
+            key = np.append(words.end, ids[:-1]) * v + ids
+            if pairs:
+                pair = chained(key, lengths)
+                yield from found.add(pair[pair >= 0], ids[pair >= 0])
+            else:
+                yield from found.add(*np.unique(key, return_counts=True))
         yield from found.rows()
+        ids = lengths = key = pair = found = _ = None
+        give_back()
 
     def merge(pdf):
         import numpy as np
         import pandas as pd
 
         shard = int(pdf["shard"].iloc[0])
-        keys, counts = _gathered(pdf)
+        if pairs:
+            own = pairs.between(shard * width, (shard + 1) * width, {})
+            keys, counts = _gathered(pdf, lambda *r: unpacked_triples(*r, v, own))
+        else:
+            keys, counts = _gathered(pdf)
         context = keys // v
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
         kind = np.repeat(_classes(np.add.reduceat(counts, first)), np.diff(np.append(first, len(keys))))
@@ -474,7 +644,8 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
                              "ones": [np.bincount(kind[counts == 1], minlength=_CLASSES).tolist()],
                              "twos": [np.bincount(kind[counts == 2], minlength=_CLASSES).tolist()]})
 
-    found = materialise(docs.mapInArrow(count, _PART).groupBy("shard").applyInPandas(
+    learnt = tokens.where(~F.col("held_out")).select("n_tokens", "ids")
+    found = materialise(learnt.mapInArrow(count, _PART).groupBy("shard").applyInPandas(
         merge, _PART + ", ones array<long>, twos array<long>"), name)
     # counts of counts by class: a few numbers
     sums = found.agg(*[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("ones", "twos") for i in range(_CLASSES)]).first()
@@ -488,15 +659,15 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
         import numpy as np
         import pyarrow as pa
 
-        rate = np.array(discount)
-        by_id, opened = None if pairs else _counts_by_id(words), {}
+        rate, opened = np.array(discount), {}
 
-        def shorter(context, size, word):
-            """log10 of the probability after the context without its first word; ``size``:
-            each context's number of words."""
+        def shorter(shard, context, word):
+            """log10 of the words' probabilities after their contexts, which are numbered from
+            the shard's first, without the contexts' first words."""
             if not pairs:
-                return words.log10(by_id(word))
-            return pairs.lookup(np.repeat(pairs.words_at(context, opened), size), word, opened)[0]
+                return words.log10(words.counts_at(word, opened))
+            last = pairs.between(shard * width, (shard + 1) * width, opened) % v
+            return pairs.lookup(last[context], word, opened)[0]
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -508,9 +679,8 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
                 total = np.add.reduceat(counts, first)
                 d = rate[_classes(total)]
                 weight = d * size / total
-                here, width = np.repeat(np.arange(len(first)), size), step // v
-                prob = ((counts - d[here]) / total[here]
-                        + weight[here] * 10 ** shorter(context[first] + shard * width, size, word))
+                here = np.repeat(np.arange(len(first)), size)
+                prob = ((counts - d[here]) / total[here] + weight[here] * 10 ** shorter(shard, context, word))
                 weights = np.full(width, _STEPS, dtype="<u2")  # one: nothing seen after it
                 weights[context[first]] = empty.quantised(np.log10(weight))
                 pointers = np.searchsorted(context, np.arange(width + 1))
@@ -519,6 +689,8 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
                                 empty.quantised(np.log10(prob)).tobytes(), weights.tobytes()])
                 yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file], "n": [len(keys)]}, schema=pa.schema(
                     [("shard", pa.int32()), ("file", pa.string()), ("n", pa.int64())]))
+        batch = raw = keys = counts = context = word = here = prob = weights = pointers = None
+        give_back()
 
     written = materialise(found.select("shard", "n", "keys", "counts")
                           .mapInArrow(build, "shard int, file string, n long"), name)
@@ -529,90 +701,79 @@ def count_pairs(docs: DataFrame, words: Words, shards: int, pairs: Pairs | None
     return kind(v, step, {r["shard"]: r["file"] for r in rows}, low, base, at)
 
 
-def _counts_by_id(words: Words):
-    """``counts(ids)`` from the files of the first level."""
-    import numpy as np
-
-    shards = sorted(words.files)
-    base = np.array([words.base[s] for s in shards] or [0])
-    own = []
-    for s in shards:
-        raw = map_file(words.files[s])
-        own.append(raw[EliasFano(raw).end:].view(np.int64))
-
-    def counts(ids):
-        out = np.zeros(len(ids), dtype=np.int64)
-        at = np.searchsorted(base, ids, side="right") - 1
-        for i in np.unique(at).tolist():
-            on = at == i
-            out[on] = own[i][ids[on] - base[i]]
-        return out
-
-    return counts
-
-
-def train(docs: DataFrame, shards: int | None = None, order: int = 2) -> tuple:
-    """The ``order`` (2 or 3) levels of the trie from every row of ``docs``."""
+def _trained(marked: DataFrame, shards: int | None, order: int) -> tuple:
+    """The word ids of all texts and the levels of the trie from those not held out."""
     if order not in (2, 3):
         raise ValueError(f"order must be 2 or 3, not {order}")
-    spark: SparkSession = docs.sparkSession
+    spark: SparkSession = marked.sparkSession
     # two shards for each partition of a shuffle: what a task holds at once is one of them
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(text_of(docs).cast("binary").alias("text"))
-    words = count_words(texts, shards)
-    pairs = count_pairs(texts, words, shards)
-    return (words, pairs) if order == 2 else (words, pairs, count_pairs(texts, words, shards, pairs))
+    learnt = marked.where(~F.col("held_out"))
+    words = count_words(learnt.select(text_of(learnt).cast("binary").alias("text")), shards)
+    tokens = materialise(token_blocks(marked, words), "tokens")
+    pairs = count_pairs(tokens, words, shards)
+    return tokens, (words, pairs) if order == 2 else (words, pairs, count_pairs(tokens, words, shards, pairs))
+
+
+def train(docs: DataFrame, shards: int | None = None, order: int = 2) -> tuple:
+    """The ``order`` (2 or 3) levels of the trie from every row of ``docs``."""
+    marked = docs.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text")
+    return _trained(marked, shards, order)[1]
 
 
 def score(docs: DataFrame, words: Words, pairs: Pairs, triples: Triples | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, base_score, score`` of every row of ``docs``,
     which has a column ``held_out``."""
+    return score_tokens(token_blocks(docs, words), words, pairs, triples)
+
+
+def score_tokens(tokens: DataFrame, words: Words, pairs: Pairs, triples: Triples | None = None) -> DataFrame:
+    """The scores of the texts of ``tokens`` (see ``token_blocks``)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        reader = Reader(words)
-        for batch in slices(batches, _ROWS):
-            texts = batch.column("text").to_pylist()
-            cols: list[list] = [[], [], [], []]
-            for a, b in blocks(texts, _CHARS):
-                ids, counts, before, lengths = reader.tokens(texts[a:b])
-                base = words.log10(counts)
-                own = base.copy()
-                known = np.flatnonzero((ids >= 0) & (before >= 0))
-                prob, weight, at = pairs.search(before[known], ids[known], reader.opened)
-                own[known] = np.where(np.isnan(prob), weight + base[known], prob)
-                # a word never seen, after a context that was
-                new = np.flatnonzero((ids < 0) & (before >= 0))
-                own[new] += pairs.backoff(before[new], reader.opened)
-                if triples:
-                    place = np.full(len(ids), -1, dtype=np.int64)
-                    place[known] = at
-                    context = chained(place, lengths)
-                    known = np.flatnonzero((context >= 0) & (ids >= 0))
-                    prob, weight = triples.lookup(context[known], ids[known], reader.opened)
-                    own[known] = np.where(np.isnan(prob), weight + own[known], prob)
-                    new = np.flatnonzero((context >= 0) & (ids < 0))
-                    own[new] += triples.backoff(context[new], reader.opened)
-                first = np.cumsum(lengths) - lengths
-                cols[0] += lengths.tolist()
-                cols[1] += np.add.reduceat((counts > 0).astype(np.int64), first).tolist()
-                cols[2] += np.add.reduceat(base, first).tolist()
-                cols[3] += np.add.reduceat(own, first).tolist()
+        opened: dict = {}
+        for ids, lengths, batch, row in _ids(batches):
+            before = np.append(words.end, ids[:-1])
+            own = words.log10(np.zeros(len(ids), dtype=np.int64))  # of a word never seen
+            known = np.flatnonzero((ids >= 0) & (before >= 0))
+            prob, weight, at = pairs.search(before[known], ids[known], opened)
+            own[known] = prob
+            rare = np.flatnonzero(np.isnan(prob))
+            own[known[rare]] = weight[rare] + words.log10(words.counts_at(ids[known[rare]], opened))
+            # a known word after one never seen
+            new = np.flatnonzero((ids >= 0) & (before < 0))
+            own[new] = words.log10(words.counts_at(ids[new], opened))
+            # a word never seen, after a context that was
+            new = np.flatnonzero((ids < 0) & (before >= 0))
+            own[new] += pairs.backoff(before[new], opened)
+            if triples:
+                place = np.full(len(ids), -1, dtype=np.int64)
+                place[known] = at
+                context = chained(place, lengths)
+                known = np.flatnonzero((context >= 0) & (ids >= 0))
+                prob, weight = triples.lookup(context[known], ids[known], opened)
+                own[known] = np.where(np.isnan(prob), weight + own[known], prob)
+                new = np.flatnonzero((context >= 0) & (ids < 0))
+                own[new] += triples.backoff(context[new], opened)
+            first = np.cumsum(lengths) - lengths
+            doc_id, n_tokens, n_known, base = (batch.column(c)[row].values
+                                               for c in ("doc_id", "n_tokens", "n_known", "base_score"))
+            held = pa.array(np.full(len(lengths), batch.column("held_out")[row].as_py()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(cols[0], pa.int64()),
-                 pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],
+                [doc_id, held, n_tokens, n_known, base, pa.array(np.add.reduceat(own, first))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        ids = lengths = batch = before = own = known = prob = weight = at = place = context = None
+        give_back()
 
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out",
-                       text_of(docs).cast("binary").alias("text"))
-    return cols.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                                "base_score double, score double")
+    return tokens.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                                  "base_score double, score double")
 
 
 def score_documents(docs: DataFrame, folds: int = 10, order: int = 2) -> DataFrame:
     """Train on the rows outside the held-out fold and score every row."""
     marked = docs.select("doc_id", "text", held_out("doc_id", folds).alias("held_out"))
-    words, *levels = train(marked.where(~F.col("held_out")), order=order)
-    return score(marked, words, *levels).withColumn("train_tokens", F.lit(words.tokens).cast("long"))
+    tokens, (words, *levels) = _trained(marked, None, order)
+    return score_tokens(tokens, words, *levels).withColumn("train_tokens", F.lit(words.tokens).cast("long"))

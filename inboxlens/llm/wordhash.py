@@ -52,9 +52,12 @@ def subwords(words: list[bytes], least: int, most: int):
 
 
 _WIDE = 0xD6E8FEB86659FD93  # an odd number
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_SLICE = 1 << 19
+_SLICE = 1 << 15       # bytes hashed at once: their running sums stay in the cache
+
+
+def _blank(data):
+    """Which bytes are ASCII white space: 9 to 13 and 32."""
+    return (data - np.uint8(9) < 5) | (data == 32)
 
 
 def _powers(base: int, n: int):
@@ -68,17 +71,22 @@ class TokenHashes:
     at once: a word's hash is a difference of two running sums, without a loop over words."""
 
     def __init__(self):
-        self.up, self.down = _powers(_WIDE, _SLICE + 1), _powers(pow(_WIDE, -1, 2 ** 64), _SLICE + 1)
+        # a slice and the rest of its last word
+        self.up, self.down = _powers(_WIDE, 2 * _SLICE), _powers(pow(_WIDE, -1, 2 ** 64), 2 * _SLICE)
 
     def _slice(self, data):
         """Hashes and first places of the words of an array of bytes."""
         if len(data) >= len(self.up):  # one word longer than a slice
             self.up, self.down = _powers(_WIDE, len(data) + 1), _powers(pow(_WIDE, -1, 2 ** 64), len(data) + 1)
-        word = ~_BLANK[data]
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
+        word = np.zeros(len(data) + 2, dtype=bool)
+        np.logical_not(_blank(data), out=word[1:-1])
+        edge = np.flatnonzero(word[1:] != word[:-1])
         first, end = edge[::2], edge[1::2]
+        terms = data.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= self.up[:len(data)]
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:len(data)], out=sums[1:])
+        np.cumsum(terms, out=sums[1:])
         h = (sums[end] - sums[first]) * self.down[first] + (end - first).astype(np.uint64)
         return (_mix(h) >> np.uint64(2)).view(np.int64), first
 
@@ -88,14 +96,13 @@ class TokenHashes:
         data = np.frombuffer(raw, dtype=np.uint8)
         hashes, places, at = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], 0
         while at < len(data):
-            end = at + _SLICE
-            if end < len(data):  # up to white space
-                blank = np.flatnonzero(_BLANK[data[at:end]])
-                while not len(blank) and end < len(data):
-                    more = np.flatnonzero(_BLANK[data[end:end + _SLICE]])
-                    blank = more + (end - at)
-                    end += _SLICE
-                end = at + int(blank[-1]) + 1 if len(blank) else len(data)
+            end, look = at + _SLICE, 256
+            while end < len(data):  # up to white space
+                blank = _blank(data[end:end + look])
+                if blank.any():
+                    end += int(blank.argmax()) + 1
+                    break
+                end, look = end + look, 2 * look
             h, first = self._slice(data[at:end])
             hashes.append(h)
             places.append(first + at)

@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 
 from inboxlens.llm.elias_fano import EliasFano, encode
-from inboxlens.llm.ngram_trie import (END, Counter, Reader, hash_words, merged, parts, ranked, score_documents, train,
-                                     unpacked)
+from inboxlens.llm.ngram_trie import (END, Counter, Reader, TripleCounter, _packed, _unpacked, chained, count_words,
+                                     hash_words, merged, parts, ranked, score, score_documents, score_tokens,
+                                     token_blocks, train, unpacked, unpacked_triples)
+from inboxlens.llm.wordhash import TokenHashes
 
 from .helpers import DOCS, EDGES, corpus, docs_df
 
@@ -236,3 +238,90 @@ def test_backoff_is_the_weight_that_a_lookup_gives(spark):
         some = np.random.default_rng(3).integers(0, contexts, 500)
         want = level.lookup(some, np.zeros(500, dtype=np.int64), {})[1]
         assert level.backoff(some, {}).tolist() == want.tolist()
+
+
+def test_triples_are_counted_without_a_search_of_the_pairs(spark, monkeypatch):
+    rows = corpus(n=60)
+    words, pairs, triples = train(docs_df(spark, rows), shards=4, order=3)
+    reader = Reader(words)
+    ids, _, before, lengths = reader.tokens([(r[1] or "").encode() for r in rows])
+    pair = chained(before * words.distinct + ids, lengths)
+    word = ids[pair >= 0]
+    place = chained(pairs.search(before, ids, reader.opened)[2], lengths)
+    want = collections.Counter((place[place >= 0] * words.distinct + word).tolist())
+    pair = pair[pair >= 0]
+    width = triples.step // words.distinct
+    own = pairs.between(0, pairs.total, reader.opened)
+    assert (np.diff(own) > 0).all() and len(own) == pairs.total
+    monkeypatch.setattr(EliasFano, "find", None)  # no lookup from here on
+    bounds = pairs.keys_at(np.arange(width, pairs.total, width), reader.opened)
+    assert bounds.tolist() == own[width::width].tolist()
+    counter, batches = TripleCounter(words.distinct, bounds, most=700), []
+    for a in range(0, len(pair), 500):
+        batches += counter.add(pair[a:a + 500], word[a:a + 500])
+    batches += counter.rows()
+    assert len(batches) > 2
+    got, raw = collections.Counter(), [r for b in batches for r in b.to_pylist()]
+    for r in raw:
+        some = pairs.between(r["shard"] * width, (r["shard"] + 1) * width, reader.opened)
+        keys, counts = unpacked_triples(r["n"], r["keys"], r["counts"], words.distinct, some)
+        assert len(keys) == r["n"] and (np.diff(keys) > 0).all() and keys[-1] < triples.step
+        for k, c in zip((keys + r["shard"] * triples.step).tolist(), counts.tolist(), strict=True):
+            got[k] += c
+    assert got == want and {r["shard"] for r in raw} == set(triples.files)
+
+
+@pytest.mark.parametrize("share", [0.0005, 0.5, 3.0])
+def test_a_stretch_of_elias_fano(share):
+    rng = np.random.default_rng(11)
+    values = np.sort(rng.integers(0, int(5000 / share), 5000))
+    level = EliasFano(encode(values))
+    for a, b in ((0, 5000), (0, 1), (4999, 5000), (17, 17), (63, 64), (100, 4000), *rng.integers(0, 5000, (40, 2)).tolist()):
+        assert level.between(a, b).tolist() == values[a:b].tolist()
+
+
+def test_hashes_do_not_depend_on_slices(monkeypatch):
+    rng = np.random.default_rng(13)
+    letters = np.frombuffer(bytes(range(256)) + b" \t\n\v\f\r" * 12, dtype=np.uint8)
+    texts = [rng.choice(letters, n).tobytes() for n in (0, 1, 3000, 200_000)] + [b"x" * 90_000, b"  A x" * 30_000, b""]
+    hashes, lengths = TokenHashes()(texts)
+    assert lengths.tolist() == [len(t.split()) for t in texts]
+    number = {}
+    for w, h in zip([w.lower() for t in texts for w in t.split()], hashes.tolist(), strict=True):
+        assert number.setdefault(w, h) == h
+    assert len(set(number.values())) == len(number)
+    monkeypatch.setattr("inboxlens.llm.wordhash._SLICE", 1 << 9)
+    again = TokenHashes()(texts)
+    assert again[0].tolist() == hashes.tolist() and again[1].tolist() == lengths.tolist()
+
+
+def test_word_ids_are_written_once_and_scored(spark):
+    rows = [(None if i == 3 else i, t, i % 3 == 0) for i, (_, t, *_) in enumerate(corpus(n=60) + EDGES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(2)
+    learnt = docs.where("not held_out")
+    words = count_words(learnt.selectExpr("cast(coalesce(text, '') as binary) text"), 4)
+    tokens, reader, got = token_blocks(docs, words).cache(), Reader(words), []
+    for r in tokens.collect():
+        ids, at = _unpacked(bytes(r.ids), sum(r.n_tokens)) - 1, 0
+        for doc, n, known, base in zip(r.doc_id, r.n_tokens, r.n_known, r.base_score, strict=True):
+            got.append((doc, r.held_out, n, known, round(base, 6), ids[at:at + n].tolist()))
+            at += n
+        assert at == len(ids)
+    want = []
+    for doc, text, held in rows:
+        ids, counts, _, (n,) = reader.tokens([(text or "").encode()])
+        assert (words.counts_at(ids[ids >= 0], {}) == counts[ids >= 0]).all()
+        want.append((doc, held, n, int((counts > 0).sum()), round(float(words.log10(counts).sum()), 6), ids.tolist()))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    _, *levels = train(learnt, shards=4, order=3)
+    both = [sorted(map(str, f.collect())) for f in (score(docs, words, *levels), score_tokens(tokens, words, *levels))]
+    assert both[0] == both[1] and len(both[0]) == len(rows)
+
+
+@pytest.mark.parametrize("most", [0, 1, 255, 256, 1 << 23, 1 << 40, (1 << 63) - 1])
+def test_packed_numbers_take_the_planes_they_need(most):
+    x = np.random.default_rng(3).integers(0, most, 1000, endpoint=True)
+    x[0] = most
+    raw = _packed(x)
+    assert raw[0] == max(1, -(-most.bit_length() // 8)) and _unpacked(raw, len(x)).tolist() == x.tolist()
+    assert _unpacked(_packed(-x), len(x)).tolist() == (-x).tolist()
